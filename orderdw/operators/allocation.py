@@ -22,14 +22,14 @@ from pyspark.sql import DataFrame, functions as F
 
 from orderdw.functions.ids import bin_to_uuid
 from orderdw.functions.scalars import NO_SUCH_PRODUCT, SHORT_STOCK, message
-from orderdw.operators.running import SLOT, running_before, slotted
+from orderdw.operators.running import Slots, running_before, slotted
 from orderdw.schemas import CONFIRMED
-from orderdw.session import cut_lineage
+from orderdw.session import cut_and_measure, cut_lineage
 
 
 class Allocation(NamedTuple):
     accepted: DataFrame  # the orders that fit
-    rejected: DataFrame  # order_no, rule
+    rejected: DataFrame  # order_no
     taken: DataFrame     # order_no, product_id, quantity: what accepted orders take from stock
 
 
@@ -48,10 +48,10 @@ def _demand(lines: DataFrame, orders: DataFrame, sequence: Sequence[str], line_c
         # A negative line gives stock back to the later lines of its order: the need is then the
         # highest running total, not the sum.
         mixed = lines.filter("quantity < 0").select("order_no", "product_id").distinct()
-        rows = slotted(lines.select("order_no", "product_id", "quantity", *line_cols)
-                       .join(mixed, ["order_no", "product_id"], "left_semi"),
-                       ["order_no", "product_id", *line_cols], "mixed")
-        peaks = (running_before(rows, ["order_no", "product_id"], sums={"_own": F.col("quantity")})
+        slots, _ = slotted(lines.select("order_no", "product_id", "quantity", *line_cols)
+                           .join(mixed, ["order_no", "product_id"], "left_semi"),
+                           ["order_no", "product_id", *line_cols], "mixed")
+        peaks = (running_before(slots, ["order_no", "product_id"], sums={"_own": F.col("quantity")})
                  .groupBy("order_no", "product_id")
                  .agg(F.max(F.col("_own") + F.col("quantity")).alias("_peak")))
         pairs = pairs.join(peaks, ["order_no", "product_id"], "left")
@@ -74,39 +74,49 @@ def allocate(lines: DataFrame, orders: DataFrame, products: DataFrame,
     ranks = [f"_s{i}" for i in range(len(sequence))]
 
     stock = products.select("product_id", F.col("stock").cast("long").alias("stock"))
-    demand = slotted(_demand(lines, orders, sequence, line_cols, takes)
-                     .join(stock, "product_id", "left"),
-                     ["product_id", *ranks], "demand").drop(*ranks)
-    # Lines that could never be stored reject their order before any stock is looked at.
-    flawed = (demand.filter("stock IS NULL OR _no_quantity").groupBy("order_no")
-              .agg(F.max(F.col("stock").isNull()).alias("_unknown")))
-    rejects = [flawed.select("order_no", F.when(F.col("_unknown"), "unknown_product")
-                             .otherwise("no_quantity").alias("rule"))]
-    base = demand.join(flawed, "order_no", "left_anti").drop("_no_quantity")
+    flaw = F.col("stock").isNull() | F.col("_no_quantity")
+    slots, seen = slotted(_demand(lines, orders, sequence, line_cols, takes)
+                          .join(stock, "product_id", "left"), ["product_id", *ranks], "demand",
+                          flaws=F.count(F.when(flaw, 1)))
+    base = slots.rows.drop(*ranks)
+    rejects = []
+    if seen["flaws"]:
+        # A line that could never be stored rejects its order before any stock is looked at.
+        flawed = base.filter(flaw).select("order_no").distinct()
+        rejects.append(flawed)
+        base = base.join(flawed, "order_no", "left_anti")
+    base = base.drop("_no_quantity")
 
     opened = base.withColumn("taken", F.lit(0).cast("long"))
     while True:
-        bounds = running_before(opened, ["product_id"], sums={
-            "_most": F.greatest("take", F.lit(0)), "_least": F.least("take", F.lit(0))})
-        fails = F.col("stock") - F.col("taken") - F.col("_most") < F.col("need")
-        fails_anyway = F.col("stock") - F.col("taken") - F.col("_least") < F.col("need")
-        doubtful = (bounds.filter(fails).groupBy("order_no")
-                    .agg(F.max(fails_anyway).alias("_rejected")))
-        # Accepted orders leave here; what they take is kept in ``taken`` of the rows that stay:
-        # everything open before the row, less what belongs to orders that stay.
-        left = cut_lineage(
-            bounds.join(doubtful, "order_no")
-            .withColumn("taken", F.col("taken") + F.col("_most") + F.col("_least"))
-            .drop("_most", "_least"), "open")
-        rejects.append(left.filter("_rejected").select("order_no").distinct()
-                       .withColumn("rule", F.lit("short_stock")))
-        if left.filter("NOT _rejected").isEmpty():
+        # Accept. The orders that stay keep in ``taken`` what all open orders before them take ...
+        most = running_before(Slots(opened, slots.blocks), ["product_id"], sums={
+            "_most": F.greatest("take", F.lit(0)), "_all": F.col("take")})
+        doubtful = (most.filter(F.col("stock") - F.col("taken") - F.col("_most") < F.col("need"))
+                    .select("order_no").distinct())
+        left, seen = cut_and_measure(
+            most.join(doubtful, "order_no", "left_semi")
+            .withColumn("taken", F.col("taken") + F.col("_all")).drop("_most", "_all"),
+            "doubtful", rows=F.count("*"))
+        if not seen["rows"]:
             break
-        opened = (running_before(left, ["product_id"], sums={"_stay": F.col("take")})
-                  .withColumn("taken", F.col("taken") - F.col("_stay"))
-                  .filter("NOT _rejected").drop("_stay", "_rejected"))
+        # ... less what belongs to orders that stay: the accepted ones are then accounted for.
+        least = running_before(Slots(left, slots.blocks), ["product_id"], sums={
+            "_least": F.least("take", F.lit(0)), "_stay": F.col("take")}) \
+            .withColumn("taken", F.col("taken") - F.col("_stay"))
+        hopeless = (least.filter(F.col("stock") - F.col("taken") - F.col("_least")
+                                 < F.col("need"))
+                    .select("order_no", F.lit(True).alias("_rejected")).distinct())
+        judged, seen = cut_and_measure(
+            least.drop("_least", "_stay").join(hopeless, "order_no", "left"), "judged",
+            open=F.count(F.when(F.col("_rejected").isNull(), 1)))
+        rejects.append(judged.filter("_rejected").select("order_no").distinct())
+        if not seen["open"]:
+            break
+        opened = judged.filter("_rejected IS NULL").drop("_rejected")
 
-    rejected = cut_lineage(reduce(DataFrame.unionByName, rejects), "rejected")
+    rejected = (cut_lineage(reduce(DataFrame.unionByName, rejects), "rejected") if rejects
+                else orders.select("order_no").limit(0))
     accepted = orders.join(rejected, "order_no", "left_anti")
     taken = (base.join(rejected, "order_no", "left_anti").filter("take <> 0")
              .select("order_no", "product_id", F.col("take").alias("quantity")))
@@ -126,25 +136,26 @@ def explain_rejects(result: Allocation, lines: DataFrame, orders: DataFrame, pro
     ranks = [f"_s{i}" for i in range(len(sequence))]
     heads = (orders.select("order_no", *[F.col(c).alias(r) for c, r in zip(sequence, ranks)],
                            takes.alias("takes"))
-             .join(result.rejected, "order_no", "left"))
+             .join(result.rejected.withColumn("_out", F.lit(True)), "order_no", "left"))
     stock = products.select("product_id", "description",
                             F.col("stock").cast("long").alias("stock"))
     order_cols = list(line_cols)
-    rows = slotted(
+    slots, _ = slotted(
         lines.select("order_no", "product_id", "quantity", *order_cols).join(heads, "order_no")
         .join(stock.select("product_id", "stock"), "product_id", "left")
-        .withColumn("accepted", F.col("rule").isNull()),
+        .withColumn("accepted", F.col("_out").isNull()),
         ["product_id", *ranks, *order_cols], "explain")
-    seen = running_before(rows, ["product_id"], sums={
+    seen = running_before(slots, ["product_id"], sums={
         "_taken": F.when(F.col("accepted") & F.col("takes"), F.col("quantity"))})
-    failed = seen.filter("NOT accepted")
-    failed = running_before(failed, ["product_id", "order_no"], sums={
+    failed = running_before(Slots(seen.filter("NOT accepted"), slots.blocks), ["product_id", "order_no"], sums={
         "_own": F.when(F.col("takes"), F.col("quantity"))})
     available = F.col("stock") - F.col("_taken") - F.col("_own")
+    rule = (F.when(F.col("stock").isNull(), "unknown_product")
+            .when(F.col("quantity").isNull(), "no_quantity").otherwise("short_stock"))
     broken = (F.col("stock").isNull() | F.col("quantity").isNull()
               | (available < F.col("quantity")))
     first = (failed.withColumn("available", available).filter(broken).groupBy("order_no")
-             .agg(F.min_by(F.struct("rule", "product_id", "available", "quantity"),
+             .agg(F.min_by(F.struct(rule.alias("rule"), "product_id", "available", "quantity"),
                            F.struct(*order_cols)).alias("f"))
              .select("order_no", "f.rule", "f.product_id", "f.available",
                      F.col("f.quantity").alias("required"))

@@ -9,80 +9,93 @@ back. A key with a third of all rows is then spread over a third of the blocks.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import add
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from orderdw.session import cut_lineage
+from orderdw.session import cut_and_measure
 
 SLOT = "_slot"
 _PARTITION_BITS = 33  # monotonically_increasing_id keeps the partition above this bit
 
 
-def slotted(df: DataFrame, order_cols: Sequence[str], label: str = "slots") -> DataFrame:
+class Slots(NamedTuple):
+    rows: DataFrame  # the input with ``_slot``
+    blocks: int      # how many blocks the range sort made
+
+
+def slotted(df: DataFrame, order_cols: Sequence[str], label: str = "slots",
+            **metrics: Column) -> tuple[Slots, dict]:
     """Add ``_slot``, a number that grows along ``order_cols`` over the whole table.
 
     ``order_cols`` must tell every two rows apart. The result is written out, because the range
-    limits come from a sample: worked out twice, they could differ.
+    limits come from a sample: worked out twice, they could differ. ``metrics`` are measured on
+    the way.
     """
-    ranged = df.repartitionByRange(*order_cols).sortWithinPartitions(*order_cols)
-    return cut_lineage(ranged.withColumn(SLOT, F.monotonically_increasing_id()), label)
+    ranged = (df.repartitionByRange(*order_cols).sortWithinPartitions(*order_cols)
+              .withColumn(SLOT, F.monotonically_increasing_id()))
+    rows, seen = cut_and_measure(ranged, label, _blocks=F.max(_block()), **metrics)
+    return Slots(rows, (seen.pop("_blocks") or 0) + 1), seen
 
 
 def _block() -> Column:
     return F.shiftright(F.col(SLOT), _PARTITION_BITS)
 
 
-def running_before(df: DataFrame, keys: Sequence[str], sums: Mapping[str, Column] | None = None,
+def running_before(slots: Slots, keys: Sequence[str], sums: Mapping[str, Column] | None = None,
                    last: Mapping[str, Column] | None = None) -> DataFrame:
     """Per row, totals (``sums``) and latest values (``last``) of the earlier rows of its key.
 
-    ``df`` comes from :func:`slotted`, ordered by ``keys`` first (a filtered or extended copy will
-    do). Keys must not be NULL.
+    ``slots`` comes from :func:`slotted`, ordered by ``keys`` first; its rows may since have been
+    filtered or given more columns. Keys must not be NULL.
     """
-    sums, last = dict(sums or {}), dict(last or {})
+    sums, last, df = dict(sums or {}), dict(last or {}), slots.rows
     values = {name: F.coalesce(c.cast("long"), F.lit(0).cast("long")) for name, c in sums.items()}
     values |= {name: F.struct(F.col(SLOT).alias("at"), c.alias("value"))
                for name, c in last.items()}
     merge = {name: F.sum if name in sums else F.max for name in values}
 
     tagged = df.withColumns({"_block": _block(), **{f"_v_{n}": c for n, c in values.items()}})
-    totals = tagged.groupBy("_block", *keys).agg(
-        *[merge[n](f"_v_{n}").alias(f"_t_{n}") for n in values])
-    before_block = (Window.partitionBy(*keys).orderBy("_block")
-                    .rowsBetween(Window.unboundedPreceding, -1))
-    # Only the first key of a block has rows in earlier blocks: at most one row per block is left.
-    carried = (totals
-               .select("_block", *keys, F.count("*").over(before_block).alias("_earlier"),
-                       *[merge[n](f"_t_{n}").over(before_block).alias(f"_c_{n}") for n in values])
-               .filter("_earlier > 0").drop("_earlier"))
     in_block = (Window.partitionBy("_block", *keys).orderBy(SLOT)
                 .rowsBetween(Window.unboundedPreceding, -1))
-    joined = (tagged
-              .select("*", *[merge[n](f"_v_{n}").over(in_block).alias(f"_w_{n}") for n in values])
-              .join(carried, ["_block", *keys], "left"))
+    found = tagged.select("*", *[merge[n](f"_v_{n}").over(in_block).alias(f"_w_{n}")
+                                 for n in values])
+    if slots.blocks > 1:
+        totals = tagged.groupBy("_block", *keys).agg(
+            *[merge[n](f"_v_{n}").alias(f"_t_{n}") for n in values])
+        before = (Window.partitionBy(*keys).orderBy("_block")
+                  .rowsBetween(Window.unboundedPreceding, -1))
+        # Only the first key of a block has rows in earlier blocks: one row per block is left.
+        carried = (totals
+                   .select("_block", *keys, F.count("*").over(before).alias("_earlier"),
+                           *[merge[n](f"_t_{n}").over(before).alias(f"_c_{n}") for n in values])
+                   .filter("_earlier > 0").drop("_earlier"))
+        found = found.join(carried, ["_block", *keys], "left")
+
+    def both(n: str) -> list[Column]:
+        return [F.col(f"_w_{n}"), *([F.col(f"_c_{n}")] if slots.blocks > 1 else [])]
 
     def total(n: str) -> Column:
-        nothing = F.lit(0).cast("long")
-        return F.coalesce(F.col(f"_w_{n}"), nothing) + F.coalesce(F.col(f"_c_{n}"), nothing)
-
-    def latest(n: str) -> Column:
-        return F.coalesce(F.col(f"_w_{n}"), F.col(f"_c_{n}"))["value"]
+        return reduce(add, [F.coalesce(c, F.lit(0).cast("long")) for c in both(n)])
 
-    return joined.select(*[F.col(c) for c in df.columns],
-                         *[total(n).alias(n) for n in sums], *[latest(n).alias(n) for n in last])
+    return found.select(
+        *df.columns, *[total(n).alias(n) for n in sums],
+        *[F.coalesce(*both(n))["value"].alias(n) for n in last])
 
 
 def number_within(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str],
                   name: str = "n") -> DataFrame:
     """Number the rows of each key from 0 along ``order_cols``."""
-    rows = slotted(df, [*keys, *order_cols], "within")
-    return running_before(rows, keys, sums={name: F.lit(1)}).drop(SLOT)
+    slots, _ = slotted(df, [*keys, *order_cols], "within")
+    return running_before(slots, keys, sums={name: F.lit(1)}).drop(SLOT)
 
 
 def assign_numbers(df: DataFrame, order_cols: Sequence[str], start: int = 1,
                    name: str = "order_no") -> DataFrame:
     """Gapless numbers over the whole table, counted per block and shifted by the blocks before."""
-    rows = slotted(df, order_cols, "numbers").withColumn("_block", _block())
+    rows = slotted(df, order_cols, "numbers")[0].rows.withColumn("_block", _block())
     first = F.lit(1 << _PARTITION_BITS).cast("long")
     # One row per block of the range sort, whatever the table holds.
     counts = rows.groupBy("_block").agg(F.count("*").alias("_rows"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 # Joins are left to the optimizer: a side is broadcast only when its size, estimated or measured at
 # run time, is under spark.sql.autoBroadcastJoinThreshold. Skewed join partitions are split at run
@@ -59,3 +59,10 @@ def cut_lineage(df: DataFrame, label: str = "stage") -> DataFrame:
     path = stage_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def cut_and_measure(df: DataFrame, label: str, **metrics: Column) -> tuple[DataFrame, dict]:
+    """As :func:`cut_lineage`, with aggregates that are taken while the rows are written."""
+    seen = Observation()
+    stored = cut_lineage(df.observe(seen, *[c.alias(name) for name, c in metrics.items()]), label)
+    return stored, seen.get

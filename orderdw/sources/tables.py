@@ -6,14 +6,12 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from orderdw.schemas import TABLES, TEST_TABLES
+from orderdw.schemas import TABLES
 
 
 def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A table with its declared layout; nothing is inferred from the files."""
-    if name in TABLES:
-        return spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}")
-    return spark.read.schema(TEST_TABLES[name]).parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}")
 
 
 def write_table(df: DataFrame, path: str, mode: str = "errorifexists",

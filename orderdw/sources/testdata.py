@@ -7,8 +7,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from orderdw.functions.ids import stable_key
-from orderdw.schemas import CANCELLED, CONFIRMED, IMPORTED, NATIONAL, PENDING
-from orderdw.sources.tables import load
+from orderdw.schemas import CANCELLED, CONFIRMED, IMPORTED, NATIONAL, PENDING, TEST_TABLES
+
+
+def load_test_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return spark.read.schema(TEST_TABLES[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def int_key(c: Column) -> Column:
@@ -27,11 +30,11 @@ class OrderModel:
 
 
 def order_model(spark: SparkSession, folder: str) -> OrderModel:
-    customer = load(spark, folder, "customer")
-    supplier = load(spark, folder, "supplier")
-    part = load(spark, folder, "part")
-    orders = load(spark, folder, "orders")
-    lineitem = load(spark, folder, "lineitem")
+    customer = load_test_table(spark, folder, "customer")
+    supplier = load_test_table(spark, folder, "supplier")
+    part = load_test_table(spark, folder, "part")
+    orders = load_test_table(spark, folder, "orders")
+    lineitem = load_test_table(spark, folder, "lineitem")
     # One value, computed once by Spark as a scalar subquery.
     n_suppliers = supplier.select(F.count("*")).scalar()
 

@@ -83,10 +83,11 @@ def test_running_before_with_a_hot_key(spark):
     df = spark.createDataFrame(rows, "k int, i int, v int, s string").repartition(8)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # keep many blocks
     try:
-        slots = slotted(df, ["k", "i"])
+        slots, _ = slotted(df, ["k", "i"])
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    per_block = slots.groupBy(F.shiftright("_slot", 33), "k").count()
+    assert slots.blocks > 1
+    per_block = slots.rows.groupBy(F.shiftright("_slot", 33), "k").count()
     assert per_block.filter("k = 1").count() > 1  # the hot key is spread
     got = {r.i: (r.total, r.previous) for r in running_before(
         slots, ["k"], sums={"total": F.col("v")}, last={"previous": F.col("s")}).collect()}
