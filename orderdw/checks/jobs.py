@@ -12,7 +12,7 @@ from orderdw.checks.registry import query
 from orderdw.functions.scalars import between_dates
 from orderdw.plans import property_tax as tax, reports, warehouse
 from orderdw.session import stage_path
-from orderdw.streaming.state_changes import (read_changes, read_ledger, stock_now,
+from orderdw.streaming.state_changes import (read_changes, read_ledger, read_log, stock_now,
                                              stream_state_changes)
 
 LO, HI = "1997-04-01", "1997-04-30"
@@ -236,7 +236,7 @@ changes AS (
 def _stream(x):
     """Run the stream over the changes; gives the folder of its outputs."""
     source, target = stage_path(x.spark, "changes"), stage_path(x.spark, "stream")
-    state_changes(x.spark, x.folder, x.m).write.parquet(source)
+    state_changes(x.spark, x.folder, x.m).repartition(4).write.parquet(source)
     lines = x.m.lines.select("order_no", "product_id", "quantity")
     stream_state_changes(read_changes(x.spark, source, files_per_batch=2), lines, target) \
         .awaitTermination()
@@ -261,6 +261,5 @@ def z1(x):
 SELECT order_no, ts AS cancelled_at FROM changes
 WHERE new_state = 'anulado' AND old_state <> 'anulado'""", CHANGES.strip()))
 def z1_log(x):
-    log = x.spark.read.parquet(f"{_stream(x)}/log/batch=*")
-    return log.select("order_no", F.col("cancelled_at").cast("timestamp_ntz")
+    return read_log(x.spark, _stream(x)).select("order_no", F.col("cancelled_at").cast("timestamp_ntz")
                       .alias("cancelled_at"))

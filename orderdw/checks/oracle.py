@@ -82,4 +82,34 @@ def model_sql(body: str, more: str = "", recursive: bool = False) -> str:
     return f"WITH {'RECURSIVE ' if recursive else ''}{MODEL.strip()}{extra}\n{body.strip()}"
 
 
+def rounds(demand: str) -> str:
+    """Orders taken one after the other, as rounds over ``(order_no, product_id, seq, take, need,
+    stock)``: whoever fits under all open orders before it is accepted, whoever does not fit under
+    the accepted ones alone is rejected. ``settled`` has the outcome of the last round.
+    """
+    earlier = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    queue = f"OVER (PARTITION BY product_id ORDER BY seq, order_no {earlier})"
+    return f"""
+demand AS ({demand}),
+rounds AS (
+  SELECT 0 AS i, order_no, product_id, seq, take, need, stock, 0 AS status FROM demand
+  UNION ALL
+  SELECT i + 1, order_no, product_id, seq, take, need, stock,
+         CASE WHEN status <> 0 THEN status WHEN NOT doubtful THEN 1 WHEN hopeless THEN 2
+              ELSE 0 END
+  FROM (SELECT *, bool_or(doubtful AND stock - low < need) OVER (PARTITION BY order_no)
+                    AS hopeless
+        FROM (SELECT *, coalesce(sum(CASE WHEN status = 1 OR status = 0 AND NOT doubtful
+                                          THEN take ELSE 0 END) {queue}, 0) AS low
+              FROM (SELECT *, bool_or(status = 0 AND stock - most < need)
+                                OVER (PARTITION BY order_no) AS doubtful
+                    FROM (SELECT *, coalesce(sum(CASE WHEN status < 2 THEN take ELSE 0 END)
+                                             {queue}, 0) AS most,
+                                 bool_or(status = 0) OVER () AS open FROM rounds)
+                    WHERE open)))),
+settled AS (
+  SELECT *, coalesce(sum(CASE WHEN status = 1 THEN take ELSE 0 END) {queue}, 0) AS used
+  FROM rounds WHERE i = (SELECT max(i) FROM rounds))""".strip()
+
+
 AS_OF = "TIMESTAMP '2025-05-01 10:00:00'"

@@ -7,7 +7,7 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from orderdw.checks.derived import AS_OF, asked_numbers, later_orders, requests
-from orderdw.checks.oracle import AS_OF as AS_OF_SQL, model_sql, uuid
+from orderdw.checks.oracle import AS_OF as AS_OF_SQL, model_sql, rounds, uuid
 from orderdw.checks.registry import query
 from orderdw.functions.ids import bin_to_uuid, hex_text
 from orderdw.operators import quality, stock
@@ -35,7 +35,17 @@ def s1(x):
     return stock.stamp_price(x.m.lines, x.m.products).select("line_id", "unit_price")
 
 
-@query("s2_allocation")
+DEMAND = """
+SELECT order_no, product_id, order_date AS seq,
+       CASE WHEN state = 'confirmado' THEN sum(quantity) ELSE 0 END AS take,
+       CASE WHEN state = 'confirmado' THEN sum(quantity) ELSE max(quantity) END AS need, stock
+FROM m_lines JOIN m_orders USING (order_no) JOIN m_products USING (product_id)
+GROUP BY order_no, product_id, order_date, state, stock"""
+
+
+@query("s2_allocation", model_sql("""
+SELECT order_no, order_no NOT IN (SELECT order_no FROM settled WHERE status = 2) AS accepted
+FROM m_orders""", rounds(DEMAND), recursive=True))
 def s2(x):
     got = allocate(x.m.lines, x.m.orders, x.m.products, sequence=["order_date"])
     return x.m.orders.select("order_no").join(got.rejected.withColumn("r", F.lit(True)),
@@ -43,7 +53,26 @@ def s2(x):
         .select("order_no", F.col("r").isNull().alias("accepted"))
 
 
-@query("s2_reject_messages")
+# Lines of rejected orders with what is left for each of them.
+SHORT = """
+short AS (
+  SELECT l.order_no, l.product_id, l.line_no, l.line_id, l.quantity, d.stock - d.used
+           - CASE WHEN d.take = 0 THEN 0 ELSE coalesce(sum(l.quantity) OVER (
+               PARTITION BY l.order_no, l.product_id ORDER BY l.line_no, l.line_id
+               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) END AS available
+  FROM {lines} l JOIN settled d USING (order_no, product_id) WHERE d.status = 2),
+failed AS (
+  SELECT *, row_number() OVER (PARTITION BY order_no ORDER BY line_no, line_id) AS n
+  FROM short WHERE available < quantity)"""
+SHORT_TEXT = """'Stock insuficiente para el producto ' || description || '. Stock disponible: '
+       || CAST(available AS BIGINT) || '. Cantidad requerida: ' || quantity"""
+
+
+@query("s2_reject_messages", model_sql(f"""
+SELECT order_no, 'short_stock' AS rule, product_id, CAST(available AS BIGINT) AS available,
+       quantity AS required, {SHORT_TEXT} AS message
+FROM failed JOIN m_products USING (product_id) WHERE n = 1""",
+    f"{rounds(DEMAND)},{SHORT.format(lines='m_lines')}", recursive=True))
 def s2_messages(x):
     got = allocate(x.m.lines, x.m.orders, x.m.products, sequence=["order_date"])
     return explain_rejects(got, x.m.lines, x.m.orders, x.m.products, sequence=["order_date"])
@@ -98,14 +127,41 @@ def s6(x):
     return stock.cancel_log(x.m.orders, later_orders(x.m.orders), AS_OF).drop("cancelled_at")
 
 
-@query("s7_register_orders")
+# Requests: the lines of each order in threes; order_no is the place in the queue.
+REQUESTS = """
+placed AS (
+  SELECT l.*, (row_number() OVER (PARTITION BY l.order_no ORDER BY line_no, line_id) - 1) AS n
+  FROM m_lines l),
+queue AS (
+  SELECT order_no AS old_no, n // 3 AS chunk,
+         row_number() OVER (ORDER BY order_date, order_no, n // 3) AS request_no
+  FROM placed JOIN m_orders USING (order_no) GROUP BY order_no, n // 3, order_date),
+wanted AS (
+  SELECT request_no AS order_no, CAST(n % 3 + 1 AS INTEGER) AS line_no, '' AS line_id, product_id,
+         quantity
+  FROM placed JOIN queue ON old_no = order_no AND chunk = n // 3)"""
+REQUEST_DEMAND = """
+SELECT order_no, product_id, 0 AS seq, sum(quantity) AS take, sum(quantity) AS need, stock
+FROM wanted JOIN m_products USING (product_id) GROUP BY order_no, product_id, stock"""
+
+
+@query("s7_register_orders", model_sql("""
+SELECT new_no AS order_no, line_no, product_id, quantity, unit_price
+FROM wanted JOIN m_products USING (product_id) JOIN (
+  SELECT order_no, row_number() OVER (ORDER BY order_no) AS new_no
+  FROM settled GROUP BY order_no HAVING max(status) = 1) USING (order_no)""",
+    f"{REQUESTS.strip()},\n{rounds(REQUEST_DEMAND)}", recursive=True))
 def s7(x):
     got = register_orders(requests(x.m), x.m.customers, x.m.sellers, x.m.products,
                           last_order_no=0, as_of=AS_OF)
     return got.lines.select("order_no", "line_no", "product_id", "quantity", "unit_price")
 
 
-@query("s7_register_rejects")
+@query("s7_register_rejects", model_sql(f"""
+SELECT order_no AS request_no, 'short_stock' AS rule, {SHORT_TEXT} AS message
+FROM failed JOIN m_products USING (product_id) WHERE n = 1""",
+    f"{REQUESTS.strip()},\n{rounds(REQUEST_DEMAND)},{SHORT.format(lines='wanted')}",
+    recursive=True))
 def s7_rejects(x):
     return register_orders(requests(x.m), x.m.customers, x.m.sellers, x.m.products,
                            last_order_no=0, as_of=AS_OF).rejects

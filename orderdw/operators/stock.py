@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from orderdw.functions.scalars import CANCEL_NOTE, message
@@ -41,21 +43,21 @@ def becomes_cancelled() -> Column:
     return (F.col("new_state") == CANCELLED) & (F.col("old_state") != CANCELLED)
 
 
-def moves_of(changes: DataFrame, lines: DataFrame) -> DataFrame:
-    """Signed stock moves per (order, product) of changes ``(order_no, old_state, new_state)``.
+def moves_of(changes: DataFrame, lines: DataFrame,
+             keys: Sequence[str] = ("order_no",)) -> DataFrame:
+    """Signed stock moves per product of changes ``(order_no, old_state, new_state)``.
 
-    A change may name an order several times (confirmed, then cancelled): signs are netted first.
-    With a ``stock_taken`` column, confirming an order whose stock left at registration moves
-    nothing.
+    Changes that agree in ``keys`` (which contain ``order_no``) are netted first. With a
+    ``stock_taken`` column, confirming an order whose stock left at registration moves nothing.
     """
     confirm = takes_stock()
     if "stock_taken" in changes.columns:
         confirm = confirm & ~F.coalesce(F.col("stock_taken"), F.lit(False))
     sign = F.when(confirm, -1).when(gives_back(), 1)
     net = (changes.withColumn("_sign", sign).dropna(subset=["_sign"])
-           .groupBy("order_no").agg(F.sum("_sign").alias("_sign")).filter("_sign <> 0"))
+           .groupBy(*keys).agg(F.sum("_sign").alias("_sign")).filter("_sign <> 0"))
     return (lines.select("order_no", "product_id", "quantity").join(net, "order_no")
-            .groupBy("order_no", "product_id")
+            .groupBy(*keys, "product_id")
             .agg(F.sum(F.col("quantity") * F.col("_sign")).alias("delta")))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from orderdw.operators.stock import (apply_moves, audit_rows, becomes_cancelled, gives_back,
                                      log_rows, moves_of)
+from orderdw.schemas import ORDERS_MODEL
 from orderdw.sources.tables import write_table
 
 # A change carries the state before and after it, as the row images of an update do, so a batch
@@ -17,8 +18,8 @@ CHANGE = T.StructType([
     T.StructField("old_state", T.StringType()), T.StructField("new_state", T.StringType())])
 
 LEDGER = T.StructType([
-    T.StructField("order_no", T.LongType()), T.StructField("product_id", T.BinaryType()),
-    T.StructField("delta", T.LongType())])
+    T.StructField("event_id", T.LongType()), T.StructField("order_no", T.LongType()),
+    T.StructField("product_id", T.BinaryType()), T.StructField("delta", T.LongType())])
 
 
 def read_changes(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
@@ -27,20 +28,25 @@ def read_changes(spark: SparkSession, folder: str, files_per_batch: int = 1000)
 
 
 def stream_state_changes(changes: DataFrame, lines: DataFrame, target: str,
-                         delay: str = "1 day") -> StreamingQuery:
+                         delay: str | None = None) -> StreamingQuery:
     """Follow a stream of state changes until the files at hand are read.
 
     Each micro-batch replaces its own ``batch=<id>`` folders, so a batch that is run again after a
-    failure leaves one copy of its rows. A change sent twice within ``delay`` counts once.
+    failure leaves one copy of its rows. Every row is keyed by its change, and the readers below
+    keep one row per key: a change that was sent twice counts once, however late the second copy
+    comes, and no change is too late to count.
+
+    ``delay`` also drops repeats inside the stream, which keeps the files smaller. Only give it if
+    no change is ever later than that: later ones would be lost.
     """
-    once = (changes.withWatermark("ts", delay)
-            .dropDuplicatesWithinWatermark(["event_id"]))
+    if delay is not None:
+        changes = changes.withWatermark("ts", delay).dropDuplicatesWithinWatermark(["event_id"])
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.persist()
+        rows = batch.dropDuplicates(["event_id"]).persist()
         try:
             outputs = {
-                "ledger": moves_of(rows, lines),
+                "ledger": moves_of(rows, lines, keys=["event_id", "order_no"]),
                 "audit": audit_rows(rows.filter(gives_back()), F.col("ts")),
                 "log": log_rows(rows.filter(becomes_cancelled()), F.col("ts")),
             }
@@ -49,13 +55,24 @@ def stream_state_changes(changes: DataFrame, lines: DataFrame, target: str,
         finally:
             rows.unpersist()
 
-    return (once.writeStream.foreachBatch(handle)
+    return (changes.writeStream.foreachBatch(handle)
             .option("checkpointLocation", f"{target}/_progress")
             .trigger(availableNow=True).start())
 
 
 def read_ledger(spark: SparkSession, target: str) -> DataFrame:
-    return spark.read.schema(LEDGER).parquet(f"{target}/ledger/batch=*")
+    return (spark.read.schema(LEDGER).parquet(f"{target}/ledger/batch=*")
+            .dropDuplicates(["event_id", "product_id"]))
+
+
+def read_audit(spark: SparkSession, target: str) -> DataFrame:
+    return (spark.read.schema(ORDERS_MODEL["cancel_audit"]).parquet(f"{target}/audit/batch=*")
+            .dropDuplicates(["audit_id"]))
+
+
+def read_log(spark: SparkSession, target: str) -> DataFrame:
+    return (spark.read.schema(ORDERS_MODEL["cancel_log"]).parquet(f"{target}/log/batch=*")
+            .dropDuplicates(["log_id"]))
 
 
 def stock_now(products: DataFrame, ledger: DataFrame) -> DataFrame:

@@ -12,8 +12,8 @@ from orderdw.plans.warehouse import run_etl
 from orderdw.schemas import PROPERTY_TAX
 from orderdw.session import stage_path
 from orderdw.sources.tables import load, register_views, with_defaults, write_table
-from orderdw.streaming.state_changes import (CHANGE, read_changes, read_ledger, stock_now,
-                                             stream_state_changes)
+from orderdw.streaming.state_changes import (CHANGE, read_audit, read_changes, read_ledger,
+                                             read_log, stock_now, stream_state_changes)
 from seed import key, number, seed
 
 
@@ -129,17 +129,18 @@ def test_stream(spark):
     spark.createDataFrame([change(1, 9, 3, p, c), change(2, 10, 2, c, a), change(3, 11, 6, p, a),
                            change(2, 10, 2, c, a)], CHANGE).coalesce(1).write.parquet(source)
     stream_state_changes(read_changes(spark, source), m.lines, target).awaitTermination()
-    # A second delivery: one repeat, and order 3 cancelled again.
-    spark.createDataFrame([change(1, 9, 3, p, c), change(4, 12, 3, c, a)], CHANGE) \
+    # A second delivery: one repeat, order 3 cancelled again, and a change that is days late.
+    late = (5, datetime(2025, 4, 1, 8), 9, bytearray(key(9)), p, c)
+    spark.createDataFrame([change(1, 9, 3, p, c), change(4, 12, 3, c, a), late], CHANGE) \
         .coalesce(1).write.mode("append").parquet(source)
     stream_state_changes(read_changes(spark, source), m.lines, target).awaitTermination()
 
     start = {number(r.product_id): r.stock for r in m.products.collect()}
     ledger = read_ledger(spark, target)
     got = {number(r.product_id): r.stock for r in stock_now(m.products, ledger).collect()}
-    assert got == {**start, 5: start[5] + 36}  # 3 confirmed and cancelled, 2 cancelled, 6 no stock
-    audit = spark.read.parquet(f"{target}/audit/batch=*")
-    log = spark.read.parquet(f"{target}/log/batch=*")
+    # 3 is confirmed and cancelled, 2 cancelled, 9 confirmed, 6 never took stock.
+    assert got == {**start, 5: start[5] + 36, 2: start[2] - 458}
+    audit, log = read_audit(spark, target), read_log(spark, target)
     assert sorted(r.note for r in audit.collect()) == ["Pedido 2 anulado.", "Pedido 3 anulado."]
     assert sorted(r.order_no for r in log.collect()) == [2, 3, 6]
     moved = {(r.order_no, number(r.product_id)): r.delta for r in ledger.filter("order_no = 3")
