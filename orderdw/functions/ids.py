@@ -14,26 +14,27 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _sixteen(c: Column) -> Column:
-    """Spark has no fixed-width binary type, so anything that is not 16 bytes becomes NULL."""
-    return F.when(F.octet_length(c) == 16, c)
+def _sixteen(digits: Column) -> Column:
+    """Spark has no fixed-width binary type, so anything but 32 hex digits becomes NULL."""
+    return F.when(F.length(digits) == 32, F.unhex(digits))
 
 
 def uuid_to_bin(c: Column | str) -> Column:
     """UUID text to 16 bytes, reading the hex groups at their positions."""
     c = _col(c)
-    return _sixteen(F.unhex(F.concat(*[F.substring(c, at, n) for at, n in TEXT_GROUPS])))
+    return _sixteen(F.concat(*[F.substring(c, at, n) for at, n in TEXT_GROUPS]))
 
 
 def uuid_to_bin_dashless(c: Column | str) -> Column:
     """UUID text to 16 bytes, dropping every dash wherever it stands."""
-    return _sixteen(F.unhex(F.replace(_col(c), F.lit("-"), F.lit(""))))
+    return _sixteen(F.replace(_col(c), F.lit("-"), F.lit("")))
 
 
 def bin_to_uuid(c: Column | str) -> Column:
-    """16 bytes to lower-case 8-4-4-4-12 text."""
-    text = F.hex(_col(c))
-    return F.lower(F.concat_ws("-", *[F.substring(text, at, n) for at, n in HEX_GROUPS]))
+    """16 bytes to lower-case 8-4-4-4-12 text; NULL stays NULL."""
+    c = _col(c)
+    text = F.concat_ws("-", *[F.substring(F.hex(c), at, n) for at, n in HEX_GROUPS])
+    return F.when(c.isNotNull(), F.lower(text))
 
 
 def is_uuid(c: Column | str) -> Column:

@@ -77,7 +77,8 @@ def allocate(lines: DataFrame, orders: DataFrame, products: DataFrame,
     flaw = F.col("stock").isNull() | F.col("_no_quantity")
     slots, seen = slotted(_demand(lines, orders, sequence, line_cols, takes)
                           .join(stock, "product_id", "left"), ["product_id", *ranks], "demand",
-                          flaws=F.count(F.when(flaw, 1)))
+                          flaws=F.count(F.when(flaw, 1)),
+                          negatives=F.count(F.when(F.col("take") < 0, 1)))
     base = slots.rows.drop(*ranks)
     rejects = []
     if seen["flaws"]:
@@ -87,28 +88,34 @@ def allocate(lines: DataFrame, orders: DataFrame, products: DataFrame,
         base = base.join(flawed, "order_no", "left_anti")
     base = base.drop("_no_quantity")
 
+    # Bounds on what open orders take: normally from 0 to all of it. Lines that give stock back
+    # (negative) need sums of their own.
+    plain = not seen["negatives"]
+    upper = {} if plain else {"_most": F.greatest("take", F.lit(0))}
+    lower = {} if plain else {"_least": F.least("take", F.lit(0))}
+    most, least = F.col("_all" if plain else "_most"), F.lit(0) if plain else F.col("_least")
+
     opened = base.withColumn("taken", F.lit(0).cast("long"))
     while True:
         # Accept. The orders that stay keep in ``taken`` what all open orders before them take ...
-        most = running_before(Slots(opened, slots.blocks), ["product_id"], sums={
-            "_most": F.greatest("take", F.lit(0)), "_all": F.col("take")})
-        doubtful = (most.filter(F.col("stock") - F.col("taken") - F.col("_most") < F.col("need"))
+        bounds = running_before(Slots(opened, slots.blocks), ["product_id"],
+                                sums={"_all": F.col("take"), **upper})
+        doubtful = (bounds.filter(F.col("stock") - F.col("taken") - most < F.col("need"))
                     .select("order_no").distinct())
         left, seen = cut_and_measure(
-            most.join(doubtful, "order_no", "left_semi")
-            .withColumn("taken", F.col("taken") + F.col("_all")).drop("_most", "_all"),
+            bounds.join(doubtful, "order_no", "left_semi")
+            .withColumn("taken", F.col("taken") + F.col("_all")).drop("_all", *upper),
             "doubtful", rows=F.count("*"))
         if not seen["rows"]:
             break
         # ... less what belongs to orders that stay: the accepted ones are then accounted for.
-        least = running_before(Slots(left, slots.blocks), ["product_id"], sums={
-            "_least": F.least("take", F.lit(0)), "_stay": F.col("take")}) \
+        bounds = running_before(Slots(left, slots.blocks), ["product_id"],
+                                sums={"_stay": F.col("take"), **lower}) \
             .withColumn("taken", F.col("taken") - F.col("_stay"))
-        hopeless = (least.filter(F.col("stock") - F.col("taken") - F.col("_least")
-                                 < F.col("need"))
-                    .select("order_no", F.lit(True).alias("_rejected")).distinct())
+        hopeless = (bounds.filter(F.col("stock") - F.col("taken") - least < F.col("need"))
+                    .select("order_no").distinct().withColumn("_rejected", F.lit(True)))
         judged, seen = cut_and_measure(
-            least.drop("_least", "_stay").join(hopeless, "order_no", "left"), "judged",
+            bounds.drop("_stay", *lower).join(hopeless, "order_no", "left"), "judged",
             open=F.count(F.when(F.col("_rejected").isNull(), 1)))
         rejects.append(judged.filter("_rejected").select("order_no").distinct())
         if not seen["open"]:

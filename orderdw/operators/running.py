@@ -50,21 +50,24 @@ def running_before(slots: Slots, keys: Sequence[str], sums: Mapping[str, Column]
 
     ``slots`` comes from :func:`slotted`, ordered by ``keys`` first; its rows may since have been
     filtered or given more columns. Keys must not be NULL.
+
+    Values go into the window as they are given: a plain column adds nothing to the shuffle, so
+    two uses of the result that differ only in what they read share one shuffle.
     """
-    sums, last, df = dict(sums or {}), dict(last or {}), slots.rows
-    values = {name: F.coalesce(c.cast("long"), F.lit(0).cast("long")) for name, c in sums.items()}
-    values |= {name: F.struct(F.col(SLOT).alias("at"), c.alias("value"))
-               for name, c in last.items()}
-    merge = {name: F.sum if name in sums else F.max for name in values}
+    sums, df = dict(sums or {}), slots.rows
+    last = {n: F.struct(F.col(SLOT).alias("at"), c.alias("value"))
+            for n, c in dict(last or {}).items()}
+    merge = {**{n: F.sum for n in sums}, **{n: F.max for n in last}}
+    values = {**sums, **last}
 
-    tagged = df.withColumns({"_block": _block(), **{f"_v_{n}": c for n, c in values.items()}})
+    tagged = df.withColumn("_block", _block())
     in_block = (Window.partitionBy("_block", *keys).orderBy(SLOT)
                 .rowsBetween(Window.unboundedPreceding, -1))
-    found = tagged.select("*", *[merge[n](f"_v_{n}").over(in_block).alias(f"_w_{n}")
-                                 for n in values])
+    found = tagged.select("*", *[merge[n](c).over(in_block).alias(f"_w_{n}")
+                                 for n, c in values.items()])
     if slots.blocks > 1:
         totals = tagged.groupBy("_block", *keys).agg(
-            *[merge[n](f"_v_{n}").alias(f"_t_{n}") for n in values])
+            *[merge[n](c).alias(f"_t_{n}") for n, c in values.items()])
         before = (Window.partitionBy(*keys).orderBy("_block")
                   .rowsBetween(Window.unboundedPreceding, -1))
         # Only the first key of a block has rows in earlier blocks: one row per block is left.
