@@ -1,4 +1,8 @@
-"""Run registered queries and their SQL side by side: ``python -m orderdw.checks.compare DIR``."""
+"""Run registered queries and their SQL side by side.
+
+``python -m orderdw.checks.compare DIR [name prefix ...] [--spread]``. With ``--spread`` nothing is
+broadcast and no partitions are merged, so that the plans are those of a large cluster.
+"""
 
 from __future__ import annotations
 
@@ -56,9 +60,14 @@ def compare(spark, con, folder, build, sql):
 
 def main(folder: str, only: list[str]) -> int:
     from orderdw.checks import ORACLE, QUERIES
+    spread = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+              "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+              "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    settings = spread if "--spread" in only else {}
+    only = [o for o in only if o != "--spread"]
     spark = build_session("compare", master="local[8]", spark__sql__shuffle__partitions="8",
                           spark__ui__enabled="false", spark__ui__showConsoleProgress="false",
-                          spark__driver__memory="8g")
+                          spark__driver__memory="8g", **settings)
     spark.sparkContext.setLogLevel("ERROR")
     con, bad = duck(folder), 0
     for name, build in QUERIES.items():

@@ -75,7 +75,7 @@ FROM failed JOIN m_products USING (product_id) WHERE n = 1""",
     f"{rounds(DEMAND)},{SHORT.format(lines='m_lines')}", recursive=True))
 def s2_messages(x):
     got = allocate(x.m.lines, x.m.orders, x.m.products, sequence=["order_date"])
-    return explain_rejects(got, x.m.lines, x.m.orders, x.m.products, sequence=["order_date"])
+    return explain_rejects(got, x.m.lines, x.m.products)
 
 
 def _stock_sql(sign: str, where: str) -> str:

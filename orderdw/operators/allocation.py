@@ -31,6 +31,7 @@ class Allocation(NamedTuple):
     accepted: DataFrame  # the orders that fit
     rejected: DataFrame  # order_no
     taken: DataFrame     # order_no, product_id, quantity: what accepted orders take from stock
+    demand: Slots        # every (order, product) in queue order, for explain_rejects
 
 
 def _demand(lines: DataFrame, orders: DataFrame, sequence: Sequence[str], line_cols: Sequence[str],
@@ -57,7 +58,7 @@ def _demand(lines: DataFrame, orders: DataFrame, sequence: Sequence[str], line_c
         pairs = pairs.join(peaks, ["order_no", "product_id"], "left")
         need = F.when(F.col("takes"), F.coalesce("_peak", "_sum")).otherwise(
             F.col("_max").cast("long"))
-    return pairs.select("order_no", "product_id", *ranks, "_no_quantity",
+    return pairs.select("order_no", "product_id", *ranks, "_no_quantity", "takes",
                         F.when(F.col("takes"), F.col("_sum")).otherwise(F.lit(0)).cast("long")
                         .alias("take"), need.alias("need"))
 
@@ -79,7 +80,8 @@ def allocate(lines: DataFrame, orders: DataFrame, products: DataFrame,
                           .join(stock, "product_id", "left"), ["product_id", *ranks], "demand",
                           flaws=F.count(F.when(flaw, 1)),
                           negatives=F.count(F.when(F.col("take") < 0, 1)))
-    base = slots.rows.drop(*ranks)
+    slots = Slots(slots.rows.drop(*ranks), slots.blocks)
+    base = slots.rows.drop("takes")
     rejects = []
     if seen["flaws"]:
         # A line that could never be stored rejects its order before any stock is looked at.
@@ -127,46 +129,39 @@ def allocate(lines: DataFrame, orders: DataFrame, products: DataFrame,
     accepted = orders.join(rejected, "order_no", "left_anti")
     taken = (base.join(rejected, "order_no", "left_anti").filter("take <> 0")
              .select("order_no", "product_id", F.col("take").alias("quantity")))
-    return Allocation(accepted, rejected, taken)
+    return Allocation(accepted, rejected, taken, slots)
 
 
-def explain_rejects(result: Allocation, lines: DataFrame, orders: DataFrame, products: DataFrame,
-                    sequence: Sequence[str] = (),
-                    line_cols: Sequence[str] = ("line_no", "line_id"),
-                    takes=None) -> DataFrame:
+def explain_rejects(result: Allocation, lines: DataFrame, products: DataFrame,
+                    line_cols: Sequence[str] = ("line_no", "line_id")) -> DataFrame:
     """For each rejected order the first line that failed and the message it fails with.
 
-    Gives ``(order_no, rule, product_id, available, required, message)``.
+    Gives ``(order_no, rule, product_id, available, required, message)``. What was taken before is
+    summed over the stored demand; only the lines of rejected orders are looked at.
     """
-    takes = F.col("state") == CONFIRMED if takes is None else takes
-    sequence = [*[c for c in sequence if c != "order_no"], "order_no"]
-    ranks = [f"_s{i}" for i in range(len(sequence))]
-    heads = (orders.select("order_no", *[F.col(c).alias(r) for c, r in zip(sequence, ranks)],
-                           takes.alias("takes"))
-             .join(result.rejected.withColumn("_out", F.lit(True)), "order_no", "left"))
-    stock = products.select("product_id", "description",
-                            F.col("stock").cast("long").alias("stock"))
+    out = result.rejected.withColumn("_out", F.lit(True))
+    demand = result.demand.rows.join(out, "order_no", "left").withColumn(
+        "_kept", F.when(F.col("_out").isNull(), F.col("take")).otherwise(F.lit(0)))
+    before = (running_before(Slots(demand, result.demand.blocks), ["product_id"],
+                             sums={"_taken": F.col("_kept")})
+              .filter("_out").select("order_no", "product_id", "takes", "stock", "_taken"))
     order_cols = list(line_cols)
-    slots, _ = slotted(
-        lines.select("order_no", "product_id", "quantity", *order_cols).join(heads, "order_no")
-        .join(stock.select("product_id", "stock"), "product_id", "left")
-        .withColumn("accepted", F.col("_out").isNull()),
-        ["product_id", *ranks, *order_cols], "explain")
-    seen = running_before(slots, ["product_id"], sums={
-        "_taken": F.when(F.col("accepted") & F.col("takes"), F.col("quantity"))})
-    failed = running_before(Slots(seen.filter("NOT accepted"), slots.blocks), ["product_id", "order_no"], sums={
-        "_own": F.when(F.col("takes"), F.col("quantity"))})
-    available = F.col("stock") - F.col("_taken") - F.col("_own")
+    slots, _ = slotted(lines.select("order_no", "product_id", "quantity", *order_cols)
+                       .join(before, ["order_no", "product_id"]),
+                       ["order_no", "product_id", *order_cols], "explain")
+    own = F.when(F.col("takes"), F.coalesce("quantity", F.lit(0))).otherwise(F.lit(0))
     rule = (F.when(F.col("stock").isNull(), "unknown_product")
             .when(F.col("quantity").isNull(), "no_quantity").otherwise("short_stock"))
+    available = F.col("stock") - F.col("_taken") - F.col("_own")
     broken = (F.col("stock").isNull() | F.col("quantity").isNull()
               | (available < F.col("quantity")))
-    first = (failed.withColumn("available", available).filter(broken).groupBy("order_no")
+    first = (running_before(slots, ["order_no", "product_id"], sums={"_own": own})
+             .withColumn("available", available).filter(broken).groupBy("order_no")
              .agg(F.min_by(F.struct(rule.alias("rule"), "product_id", "available", "quantity"),
                            F.struct(*order_cols)).alias("f"))
              .select("order_no", "f.rule", "f.product_id", "f.available",
                      F.col("f.quantity").alias("required"))
-             .join(stock.select("product_id", "description"), "product_id", "left"))
+             .join(products.select("product_id", "description"), "product_id", "left"))
     text = (F.when(F.col("rule") == "unknown_product",
                    message(NO_SUCH_PRODUCT, bin_to_uuid("product_id")))
             .when(F.col("rule") == "no_quantity", F.lit("NULL in quantity"))

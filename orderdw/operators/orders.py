@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+from functools import cached_property
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -18,11 +21,17 @@ from orderdw.session import cut_lineage
 LINE_SLOTS = (1, 2, 3)
 
 
-class Registration(NamedTuple):
+@dataclass(frozen=True)
+class Registration:
     orders: DataFrame    # the new orders, pending, with stock_taken = true
     lines: DataFrame     # their lines, with the price of now
     products: DataFrame  # products with the stock taken
-    rejects: DataFrame   # request_no, rule, message
+    explain: Callable[[], DataFrame]
+
+    @cached_property
+    def rejects(self) -> DataFrame:
+        """``(request_no, rule, message)``; worked out only when asked for."""
+        return self.explain()
 
 
 def _first_flaw() -> Column:
@@ -97,8 +106,6 @@ def register_orders(requests: DataFrame, customers: DataFrame, sellers: DataFram
               .select("order_no", "l.line_no", uuid_to_bin("l.product").alias("product_id"),
                       "l.quantity"))
     result = allocate(wanted, heads, products, line_cols=["line_no"], takes=F.lit(True))
-    short = explain_rejects(result, wanted, heads, products, line_cols=["line_no"],
-                            takes=F.lit(True))
 
     numbered = assign_numbers(result.accepted.withColumnRenamed("order_no", "request_no"),
                               ["request_no"], start=last_order_no + 1)
@@ -112,10 +119,13 @@ def register_orders(requests: DataFrame, customers: DataFrame, sellers: DataFram
         stable_key(F.lit("line"), "order_no", "line_no").alias("line_id"), "order_no", "line_no",
         "product_id", "quantity", "unit_price")
     taken = result.taken.select("product_id", (-F.col("quantity")).alias("delta"))
-    rejects = (malformed.unionByName(strays)
-               .unionByName(short.select(F.col("order_no").alias("request_no"), "rule",
-                                         "message")))
-    return Registration(orders, lines, apply_moves(products, taken), rejects)
+
+    def explain() -> DataFrame:
+        short = explain_rejects(result, wanted, products, line_cols=["line_no"])
+        return malformed.unionByName(strays).unionByName(
+            short.select(F.col("order_no").alias("request_no"), "rule", "message"))
+
+    return Registration(orders, lines, apply_moves(products, taken), explain)
 
 
 class Cancellation(NamedTuple):

@@ -67,7 +67,7 @@ def test_allocate_like_a_loop(spark, seed_no, hot, negative):
     for r in got.taken.collect():
         taken[number(r.product_id)] += r.quantity
     assert {p: s - taken[p] for p, s in stock.items()} == left
-    why = explain_rejects(got, lines, heads, products, line_cols=["line_no"])
+    why = explain_rejects(got, lines, products, line_cols=["line_no"])
     for r in why.collect():
         p, avail, q = want[r.order_no]
         if r.rule == "short_stock":

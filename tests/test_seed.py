@@ -120,7 +120,7 @@ def test_allocate_boundary(spark):
     taken = got.taken.select("product_id", (-F.col("quantity")).alias("delta"))
     left = stocks(apply_moves(m.products, taken))
     assert (left[5], left[3], left[8]) == (1767, 1002, 211)
-    why = explain_rejects(got, m.lines, m.orders, m.products).collect()
+    why = explain_rejects(got, m.lines, m.products).collect()
     assert [r.message for r in why] == ["Stock insuficiente para el producto product 8. "
                                         "Stock disponible: 211. Cantidad requerida: 212"]
 
