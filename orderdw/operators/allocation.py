@@ -146,8 +146,11 @@ def explain_rejects(result: Allocation, lines: DataFrame, products: DataFrame,
                              sums={"_taken": F.col("_kept")})
               .filter("_out").select("order_no", "product_id", "takes", "stock", "_taken"))
     order_cols = list(line_cols)
-    slots, _ = slotted(lines.select("order_no", "product_id", "quantity", *order_cols)
-                       .join(before, ["order_no", "product_id"]),
+    wanted = lines.select("order_no", "product_id", "quantity", *order_cols)
+    # A line without any product is one of those to explain, so NULL must meet NULL.
+    same = ((wanted["order_no"] == before["order_no"])
+            & wanted["product_id"].eqNullSafe(before["product_id"]))
+    slots, _ = slotted(wanted.join(before, same).drop(before["order_no"], before["product_id"]),
                        ["order_no", "product_id", *order_cols], "explain")
     own = F.when(F.col("takes"), F.coalesce("quantity", F.lit(0))).otherwise(F.lit(0))
     rule = (F.when(F.col("stock").isNull(), "unknown_product")

@@ -17,6 +17,7 @@ from orderdw.operators.running import assign_numbers
 from orderdw.operators.stock import apply_moves, audit_rows, log_rows, stamp_price
 from orderdw.schemas import CANCELLED, CONFIRMED, PENDING
 from orderdw.session import cut_lineage
+from orderdw.sources.tables import ORDER_RANGE, order_keys
 
 LINE_SLOTS = (1, 2, 3)
 
@@ -144,9 +145,10 @@ def cancel_orders(numbers: DataFrame, orders: DataFrame, lines: DataFrame, produ
     cancelled by its first call; the other calls find it cancelled and are rejected (``calls``).
     """
     asked = numbers.groupBy("order_no").agg(F.count("*").alias("calls"))
-    known = asked.join(orders.select("order_no", "order_id", "state"), "order_no", "left")
+    extra = [c for c in [ORDER_RANGE] if c in orders.columns]
+    known = asked.join(orders.select("order_no", "order_id", "state", *extra), "order_no", "left")
     ok = F.col("state").eqNullSafe(F.lit(CONFIRMED))
-    hit = known.filter(ok).select("order_no", "order_id", F.lit(CONFIRMED).alias("old_state"),
+    hit = known.filter(ok).select("order_no", "order_id", *extra, F.lit(CONFIRMED).alias("old_state"),
                                   F.lit(CANCELLED).alias("new_state"))
     text = (F.when(F.col("state").isNull(), message(NO_SUCH_ORDER, "order_no"))
             .otherwise(message(NOT_CONFIRMED, "order_no",
@@ -155,8 +157,8 @@ def cancel_orders(numbers: DataFrame, orders: DataFrame, lines: DataFrame, produ
                .withColumn("calls", F.col("calls") - F.when(ok, 1).otherwise(0))
                .filter("calls > 0").select("order_no", "calls", "message"))
 
-    moved = (lines.select("order_no", "product_id", "quantity")
-             .join(hit.select("order_no"), "order_no", "left_semi")
+    on = order_keys(lines, hit)
+    moved = (lines.select(*on, "product_id", "quantity").join(hit.select(*on), on, "left_semi")
              .select("product_id", F.col("quantity").alias("delta")))
     changed = (orders.join(hit.select("order_no", "new_state"), "order_no", "left")
                .withColumn("state", F.coalesce("new_state", "state")).select(*orders.columns))

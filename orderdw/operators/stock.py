@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from orderdw.functions.scalars import CANCEL_NOTE, message
 from orderdw.functions.ids import hex_text, stable_key
 from orderdw.schemas import CANCELLED, CONFIRMED
+from orderdw.sources.tables import ORDER_RANGE, order_keys
 
 
 def with_line_total(lines: DataFrame) -> DataFrame:
@@ -54,16 +55,18 @@ def moves_of(changes: DataFrame, lines: DataFrame,
     if "stock_taken" in changes.columns:
         confirm = confirm & ~F.coalesce(F.col("stock_taken"), F.lit(False))
     sign = F.when(confirm, -1).when(gives_back(), 1)
+    on = order_keys(lines, changes)
     net = (changes.withColumn("_sign", sign).dropna(subset=["_sign"])
-           .groupBy(*keys).agg(F.sum("_sign").alias("_sign")).filter("_sign <> 0"))
-    return (lines.select("order_no", "product_id", "quantity").join(net, "order_no")
+           .groupBy(*dict.fromkeys([*on, *keys])).agg(F.sum("_sign").alias("_sign"))
+           .filter("_sign <> 0"))
+    return (lines.select(*on, "product_id", "quantity").join(net, on)
             .groupBy(*keys, "product_id")
             .agg(F.sum(F.col("quantity") * F.col("_sign")).alias("delta")))
 
 
 def stock_moves(old: DataFrame, new: DataFrame, lines: DataFrame) -> DataFrame:
     """The ledger between two versions of the orders table, new confirmed orders included."""
-    extra = [c for c in ["stock_taken"] if c in new.columns]
+    extra = [c for c in ["stock_taken", ORDER_RANGE] if c in new.columns]
     return moves_of(_between_states(old, new, *extra), lines)
 
 

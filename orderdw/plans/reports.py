@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 from orderdw.functions.scalars import between_dates, date_of
 from orderdw.operators.running import number_within
 from orderdw.operators.stock import with_line_total
+from orderdw.sources.tables import order_keys
 
 CUSTOMER_LABELS = ["surname", "names", "email"]
 
@@ -53,8 +54,9 @@ def product_sales_between(orders: DataFrame, lines: DataFrame, products: DataFra
 
     ``loose`` groups descriptions without regard to case and accents and shows one of them.
     """
-    wanted = orders.filter(between_dates(orders, "order_date", lo, hi)).select("order_no")
-    sold = (lines.join(wanted, "order_no").groupBy("product_id")
+    on = order_keys(lines, orders)
+    wanted = orders.filter(between_dates(orders, "order_date", lo, hi)).select(*on)
+    sold = (lines.join(wanted, on).groupBy("product_id")
             .agg(F.sum("quantity").alias("_sold")))
     named = sold.join(products.select("product_id", "description"), "product_id")
     if not loose:

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from orderdw.schemas import TABLES
 
+ORDER_RANGE = "order_range"
+
 
 def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A table with its declared layout; nothing is inferred from the files."""
@@ -24,6 +26,28 @@ def write_table(df: DataFrame, path: str, mode: str = "errorifexists",
     df.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
+def by_order_range(df: DataFrame, orders_per_range: int = 1_000_000) -> DataFrame:
+    """Add ``order_range`` to orders or lines, to be stored in one folder per range.
+
+    Jobs that start from some orders (a period, a batch of cancellations) join the lines on it as
+    well, and Spark then reads only the folders of those orders. Numbers are given in order of
+    time, so the orders of a period lie in few folders.
+    """
+    return df.withColumn(ORDER_RANGE, F.floor(F.col("order_no") / orders_per_range))
+
+
+def order_keys(left: DataFrame, right: DataFrame) -> list[str]:
+    """Join columns for tables that share order numbers, and order ranges if both have them."""
+    both = ORDER_RANGE in left.columns and ORDER_RANGE in right.columns
+    return [ORDER_RANGE, "order_no"] if both else ["order_no"]
+
+
+def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int) -> None:
+    """Store a table hashed and sorted by ``key``; tables with equal buckets join unshuffled."""
+    (df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).option("path", path)
+     .saveAsTable(table))
+
+
 def register_views(spark: SparkSession, folder: str, names: Iterable[str]) -> list[str]:
     """Local names for tables of another folder, to be used from SQL text."""
     names = list(names)

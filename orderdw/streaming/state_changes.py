@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from orderdw.operators.stock import (apply_moves, audit_rows, becomes_cancelled, gives_back,
                                      log_rows, moves_of)
 from orderdw.schemas import ORDERS_MODEL
-from orderdw.sources.tables import write_table
+from orderdw.sources.tables import by_order_range, write_table
 
 # A change carries the state before and after it, as the row images of an update do, so a batch
 # needs nothing from the batches before it.
@@ -28,7 +28,8 @@ def read_changes(spark: SparkSession, folder: str, files_per_batch: int = 1000)
 
 
 def stream_state_changes(changes: DataFrame, lines: DataFrame, target: str,
-                         delay: str | None = None) -> StreamingQuery:
+                         delay: str | None = None,
+                         orders_per_range: int | None = None) -> StreamingQuery:
     """Follow a stream of state changes until the files at hand are read.
 
     Each micro-batch replaces its own ``batch=<id>`` folders, so a batch that is run again after a
@@ -36,6 +37,9 @@ def stream_state_changes(changes: DataFrame, lines: DataFrame, target: str,
     keep one row per key: a change that was sent twice counts once, however late the second copy
     comes, and no change is too late to count.
 
+    Lines stored by order range (``orders_per_range``) are read only in the folders of the orders
+    that a batch changes.
+
     ``delay`` also drops repeats inside the stream, which keeps the files smaller. Only give it if
     no change is ever later than that: later ones would be lost.
     """
@@ -43,7 +47,10 @@ def stream_state_changes(changes: DataFrame, lines: DataFrame, target: str,
         changes = changes.withWatermark("ts", delay).dropDuplicatesWithinWatermark(["event_id"])
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.dropDuplicates(["event_id"]).persist()
+        rows = batch.dropDuplicates(["event_id"])
+        if orders_per_range is not None:
+            rows = by_order_range(rows, orders_per_range)
+        rows = rows.persist()
         try:
             outputs = {
                 "ledger": moves_of(rows, lines, keys=["event_id", "order_no"]),
