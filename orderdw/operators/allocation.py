@@ -4,7 +4,8 @@ An order is accepted if each of its lines fits the stock that the accepted confi
 it left over; otherwise the whole order is rejected and takes nothing. Orders in another state are
 checked the same way but take nothing.
 
-One order's fate hangs on all earlier ones, across products, so a single pass cannot decide it.
+Products with enough stock for all that is asked of them are set aside first; the rest is decided
+in rounds. One order's fate hangs on all earlier ones, across products, so a single pass cannot decide it.
 Each round bounds the stock taken before an undecided order from above (all undecided orders before
 it are accepted) and from below (none is). Who fits under the upper bound is accepted for good, who
 does not fit under the lower bound is rejected for good. The first undecided order has equal
@@ -31,7 +32,7 @@ class Allocation(NamedTuple):
     accepted: DataFrame  # the orders that fit
     rejected: DataFrame  # order_no
     taken: DataFrame     # order_no, product_id, quantity: what accepted orders take from stock
-    demand: Slots        # every (order, product) in queue order, for explain_rejects
+    demand: Slots        # (order, product) of scarce products in queue order
 
 
 def _demand(lines: DataFrame, orders: DataFrame, sequence: Sequence[str], line_cols: Sequence[str],
@@ -63,6 +64,26 @@ def _demand(lines: DataFrame, orders: DataFrame, sequence: Sequence[str], line_c
                         .alias("take"), need.alias("need"))
 
 
+def _on_scarce_products(pairs: DataFrame, products: DataFrame) -> DataFrame:
+    """The demand that could fail at all, with the product's stock.
+
+    A product whose stock covers everything asked of it never fails an order, whoever else is
+    accepted, so its lines need no queue. Unknown products and missing quantities stay in.
+    """
+    asked = F.when(F.col("takes"), F.greatest("take", "need", F.lit(0)))
+    looked_at = F.max(F.when(~F.col("takes"), F.col("need")))
+    loads = pairs.groupBy("product_id").agg(
+        (F.coalesce(F.sum(asked), F.lit(0)) + F.coalesce(looked_at, F.lit(0))).alias("_load"),
+        F.max("_no_quantity").alias("_flawed"))
+    stock = products.select("product_id", F.col("stock").cast("long").alias("stock"))
+    scarce = (loads.join(stock, "product_id", "left")
+              .filter(F.col("stock").isNull() | F.col("_flawed")
+                      | (F.col("_load") > F.col("stock")))
+              .select(F.col("product_id").alias("_product"), "stock"))
+    return (pairs.join(scarce, pairs["product_id"].eqNullSafe(scarce["_product"]))
+            .drop("_product"))
+
+
 def allocate(lines: DataFrame, orders: DataFrame, products: DataFrame,
              sequence: Sequence[str] = (), line_cols: Sequence[str] = ("line_no", "line_id"),
              takes=None) -> Allocation:
@@ -74,10 +95,9 @@ def allocate(lines: DataFrame, orders: DataFrame, products: DataFrame,
     sequence = [*[c for c in sequence if c != "order_no"], "order_no"]
     ranks = [f"_s{i}" for i in range(len(sequence))]
 
-    stock = products.select("product_id", F.col("stock").cast("long").alias("stock"))
+    pairs = cut_lineage(_demand(lines, orders, sequence, line_cols, takes), "pairs")
     flaw = F.col("stock").isNull() | F.col("_no_quantity")
-    slots, seen = slotted(_demand(lines, orders, sequence, line_cols, takes)
-                          .join(stock, "product_id", "left"), ["product_id", *ranks], "demand",
+    slots, seen = slotted(_on_scarce_products(pairs, products), ["product_id", *ranks], "demand",
                           flaws=F.count(F.when(flaw, 1)),
                           negatives=F.count(F.when(F.col("take") < 0, 1)))
     slots = Slots(slots.rows.drop(*ranks), slots.blocks)
@@ -127,7 +147,7 @@ def allocate(lines: DataFrame, orders: DataFrame, products: DataFrame,
     rejected = (cut_lineage(reduce(DataFrame.unionByName, rejects), "rejected") if rejects
                 else orders.select("order_no").limit(0))
     accepted = orders.join(rejected, "order_no", "left_anti")
-    taken = (base.join(rejected, "order_no", "left_anti").filter("take <> 0")
+    taken = (pairs.filter("take <> 0").join(rejected, "order_no", "left_anti")
              .select("order_no", "product_id", F.col("take").alias("quantity")))
     return Allocation(accepted, rejected, taken, slots)
 
