@@ -24,7 +24,7 @@ GIVES = "new_state = 'anulado' AND state = 'confirmado'"
 @query("p8_transitions", model_sql(f"""
 SELECT order_no, {TAKES} AS takes, {GIVES} AS gives FROM later WHERE state <> new_state"""))
 def p8(x):
-    changed = stock._between_states(x.m.orders, later_orders(x.m.orders))
+    changed = stock.changed_states(x.m.orders, later_orders(x.m.orders))
     return changed.select("order_no", stock.takes_stock().alias("takes"),
                           stock.gives_back().alias("gives"))
 
@@ -87,7 +87,7 @@ LEFT JOIN (SELECT product_id, sum(quantity) AS moved FROM m_lines JOIN later USI
 
 @query("s3_take_confirmed", _stock_sql("-", TAKES))
 def s3(x):
-    changed = stock._between_states(x.m.orders, later_orders(x.m.orders))
+    changed = stock.changed_states(x.m.orders, later_orders(x.m.orders))
     lines = x.m.lines.join(changed.filter(stock.takes_stock()).select("order_no"), "order_no",
                            "left_semi")
     return stock.apply_confirmed(x.m.products, lines).select("product_id", "stock")
@@ -95,7 +95,7 @@ def s3(x):
 
 @query("s4_restock_cancelled", _stock_sql("+", GIVES))
 def s4(x):
-    changed = stock._between_states(x.m.orders, later_orders(x.m.orders))
+    changed = stock.changed_states(x.m.orders, later_orders(x.m.orders))
     lines = x.m.lines.join(changed.filter(stock.gives_back()).select("order_no"), "order_no",
                            "left_semi")
     return stock.apply_cancelled(x.m.products, lines).select("product_id", "stock")

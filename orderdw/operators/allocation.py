@@ -10,7 +10,7 @@ Each round bounds the stock taken before an undecided order from above (all unde
 it are accepted) and from below (none is). Who fits under the upper bound is accepted for good, who
 does not fit under the lower bound is rejected for good. The first undecided order has equal
 bounds, so every round settles at least one, and in practice most. A round reads only the orders
-still open after the round before.
+still open after the round before. A remainder of known small size is settled in order by one task.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from collections.abc import Sequence
 from functools import reduce
 from typing import NamedTuple
 
+import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from orderdw.functions.ids import bin_to_uuid
@@ -38,9 +39,9 @@ class Allocation(NamedTuple):
 def _demand(lines: DataFrame, orders: DataFrame, sequence: Sequence[str], line_cols: Sequence[str],
             takes) -> DataFrame:
     """One row per (order, product): what it takes, and the stock it needs to get through."""
-    heads = orders.select("order_no", *[F.col(c).alias(f"_s{i}") for i, c in enumerate(sequence)],
-                          takes.alias("takes"))
     ranks = [f"_s{i}" for i in range(len(sequence))]
+    heads = orders.select("order_no", *[F.col(c).alias(r) for c, r in zip(sequence, ranks)],
+                          takes.alias("takes"))
     joined = lines.select("order_no", "product_id", "quantity").join(heads, "order_no")
     pairs = joined.groupBy("order_no", "product_id", "takes", *ranks).agg(
         F.sum("quantity").alias("_sum"), F.max("quantity").alias("_max"),
@@ -84,23 +85,41 @@ def _on_scarce_products(pairs: DataFrame, products: DataFrame) -> DataFrame:
             .drop("_product"))
 
 
+def _settle_in_order(opened: DataFrame, ranks: Sequence[str]) -> DataFrame:
+    """Rejected orders of a remainder that is known to be small, one order after the other."""
+    def settle(rows):
+        used, rejected = {}, []
+        rows = rows.sort_values(list(ranks), na_position="first")
+        for order_no, items in rows.groupby("order_no", sort=False):
+            asked = list(zip(items["product_id"], items["take"], items["need"],
+                             items["stock"] - items["taken"]))
+            if all(left - used.get(p, 0) >= need for p, _, need, left in asked):
+                for p, take, _, _ in asked:
+                    used[p] = used.get(p, 0) + take
+            else:
+                rejected.append(order_no)
+        return pd.DataFrame({"order_no": pd.Series(rejected, dtype="int64")})
+
+    return opened.groupBy().applyInPandas(settle, "order_no long")
+
+
 def allocate(lines: DataFrame, orders: DataFrame, products: DataFrame,
              sequence: Sequence[str] = (), line_cols: Sequence[str] = ("line_no", "line_id"),
-             takes=None) -> Allocation:
+             takes=None, last_rows: int = 50_000) -> Allocation:
     """Decide all orders of the batch, in the order of ``sequence`` and then ``order_no``.
 
-    ``takes`` tells which orders take stock (default: the confirmed ones).
+    ``takes`` tells which orders take stock (default: the confirmed ones). Once a round leaves no
+    more than ``last_rows`` (order, product) rows open, one task settles those in order.
     """
     takes = F.col("state") == CONFIRMED if takes is None else takes
-    sequence = [*[c for c in sequence if c != "order_no"], "order_no"]
-    ranks = [f"_s{i}" for i in range(len(sequence))]
+    sequence = [c for c in sequence if c != "order_no"]
+    ranks = [*[f"_s{i}" for i in range(len(sequence))], "order_no"]
 
     pairs = cut_lineage(_demand(lines, orders, sequence, line_cols, takes), "pairs")
     flaw = F.col("stock").isNull() | F.col("_no_quantity")
     slots, seen = slotted(_on_scarce_products(pairs, products), ["product_id", *ranks], "demand",
                           flaws=F.count(F.when(flaw, 1)),
                           negatives=F.count(F.when(F.col("take") < 0, 1)))
-    slots = Slots(slots.rows.drop(*ranks), slots.blocks)
     base = slots.rows.drop("takes")
     rejects = []
     if seen["flaws"]:
@@ -140,9 +159,11 @@ def allocate(lines: DataFrame, orders: DataFrame, products: DataFrame,
             bounds.drop("_stay", *lower).join(hopeless, "order_no", "left"), "judged",
             open=F.count(F.when(F.col("_rejected").isNull(), 1)))
         rejects.append(judged.filter("_rejected").select("order_no").distinct())
-        if not seen["open"]:
-            break
         opened = judged.filter("_rejected IS NULL").drop("_rejected")
+        if seen["open"] <= last_rows:
+            if seen["open"]:
+                rejects.append(_settle_in_order(opened, ranks))
+            break
 
     rejected = (cut_lineage(reduce(DataFrame.unionByName, rejects), "rejected") if rejects
                 else orders.select("order_no").limit(0))

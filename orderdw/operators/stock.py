@@ -23,7 +23,7 @@ def stamp_price(lines: DataFrame, products: DataFrame) -> DataFrame:
     return lines.drop("unit_price").join(prices, "product_id", "left")
 
 
-def _between_states(old: DataFrame, new: DataFrame, *extra: str) -> DataFrame:
+def changed_states(old: DataFrame, new: DataFrame, *extra: str) -> DataFrame:
     """Orders whose state changed, with both states; orders new to the table have no old state."""
     before = old.select("order_no", F.col("state").alias("old_state"))
     return (new.select("order_no", F.col("state").alias("new_state"), *extra)
@@ -67,7 +67,7 @@ def moves_of(changes: DataFrame, lines: DataFrame,
 def stock_moves(old: DataFrame, new: DataFrame, lines: DataFrame) -> DataFrame:
     """The ledger between two versions of the orders table, new confirmed orders included."""
     extra = [c for c in ["stock_taken", ORDER_RANGE] if c in new.columns]
-    return moves_of(_between_states(old, new, *extra), lines)
+    return moves_of(changed_states(old, new, *extra), lines)
 
 
 def apply_moves(products: DataFrame, moves: DataFrame) -> DataFrame:
@@ -97,7 +97,7 @@ def _when(as_of) -> Column:
 
 def cancel_audit(old: DataFrame, new: DataFrame, as_of=None) -> DataFrame:
     """One audit row per order that went from confirmed to cancelled."""
-    changed = _between_states(old, new, "order_id").filter(gives_back())
+    changed = changed_states(old, new, "order_id").filter(gives_back())
     return audit_rows(changed, as_of)
 
 
@@ -110,7 +110,7 @@ def audit_rows(changed: DataFrame, as_of=None) -> DataFrame:
 
 def cancel_log(old: DataFrame, new: DataFrame, as_of=None) -> DataFrame:
     """One log row per order that was in some other state and is now cancelled."""
-    return log_rows(_between_states(old, new).filter(becomes_cancelled()), as_of)
+    return log_rows(changed_states(old, new).filter(becomes_cancelled()), as_of)
 
 
 def log_rows(changed: DataFrame, as_of=None) -> DataFrame:

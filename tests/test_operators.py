@@ -48,9 +48,10 @@ def batch(rng, n, hot=False, negative=False):
     return {p: rng.randint(0, 60) for p in range(1, 7)}, orders
 
 
-@pytest.mark.parametrize("seed_no, hot, negative",
-                         [(1, False, False), (2, True, False), (3, True, True), (4, False, True)])
-def test_allocate_like_a_loop(spark, seed_no, hot, negative):
+@pytest.mark.parametrize("seed_no, hot, negative, last_rows", [
+    (1, False, False, 0), (2, True, False, 0), (3, True, True, 0), (4, False, True, 0),
+    (5, True, False, 40), (6, True, True, 1000)])
+def test_allocate_like_a_loop(spark, seed_no, hot, negative, last_rows):
     stock, orders = batch(random.Random(seed_no), 60, hot, negative)
     want, left = sequential(stock, orders)
     rows = [(no, i, p, q) for no, _, items in orders for i, (p, q) in enumerate(items)]
@@ -60,7 +61,7 @@ def test_allocate_like_a_loop(spark, seed_no, hot, negative):
                                    for no, t, _ in orders], "order_no long, state string")
     products = spark.createDataFrame([(key(p), f"product {p}", s) for p, s in stock.items()],
                                      "product_id binary, description string, stock int")
-    got = allocate(lines, heads, products, line_cols=["line_no"])
+    got = allocate(lines, heads, products, line_cols=["line_no"], last_rows=last_rows)
     assert {r.order_no for r in got.rejected.collect()} == set(want)
     assert {r.order_no for r in got.accepted.collect()} == {o[0] for o in orders} - set(want)
     taken = defaultdict(int)
