@@ -17,6 +17,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from itertools import groupby
+from operator import itemgetter
 from typing import NamedTuple
 
 import pandas as pd
@@ -90,11 +92,12 @@ def _settle_in_order(opened: DataFrame, ranks: Sequence[str]) -> DataFrame:
     def settle(rows):
         used, rejected = {}, []
         rows = rows.sort_values(list(ranks), na_position="first")
-        for order_no, items in rows.groupby("order_no", sort=False):
-            asked = list(zip(items["product_id"], items["take"], items["need"],
-                             items["stock"] - items["taken"]))
-            if all(left - used.get(p, 0) >= need for p, _, need, left in asked):
-                for p, take, _, _ in asked:
+        queue = zip(rows["order_no"], rows["product_id"], rows["take"], rows["need"],
+                    rows["stock"] - rows["taken"])
+        for order_no, items in groupby(queue, key=itemgetter(0)):
+            items = list(items)
+            if all(left - used.get(p, 0) >= need for _, p, _, need, left in items):
+                for _, p, take, _, _ in items:
                     used[p] = used.get(p, 0) + take
             else:
                 rejected.append(order_no)
