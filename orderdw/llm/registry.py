@@ -2,9 +2,11 @@
 
 from orderdw.llm.line_dedup import OP10_SQL, op10_line_dedup
 from orderdw.llm.simhash_pivots import op8_simhash_pivots
+from orderdw.llm.vector_search import OP2_SQL, op2_va_file
 
 QUERIES = {
+    "op2_va_file": op2_va_file,
     "op8_simhash_pivots": op8_simhash_pivots,
     "op10_line_dedup": op10_line_dedup,
 }
-ORACLE = {"op10_line_dedup": OP10_SQL}
+ORACLE = {"op2_va_file": OP2_SQL, "op10_line_dedup": OP10_SQL}
