@@ -1,13 +1,17 @@
 """The queries of this subpackage and the SQL of those that SQL can express."""
 
 from orderdw.llm.html_extract import op1_html_tag_paths
+from orderdw.llm.language_ppm import op3_language_ppm
 from orderdw.llm.line_dedup import OP10_SQL, op10_line_dedup
 from orderdw.llm.simhash_pivots import op8_simhash_pivots
+from orderdw.llm.url_filter import op7_url_words
 from orderdw.llm.vector_search import OP2_SQL, op2_va_file
 
 QUERIES = {
     "op1_html_tag_paths": op1_html_tag_paths,
     "op2_va_file": op2_va_file,
+    "op3_language_ppm": op3_language_ppm,
+    "op7_url_words": op7_url_words,
     "op8_simhash_pivots": op8_simhash_pivots,
     "op10_line_dedup": op10_line_dedup,
 }
