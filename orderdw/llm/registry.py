@@ -5,6 +5,7 @@ from orderdw.llm.html_extract import op1_html_tag_paths
 from orderdw.llm.language_ppm import op3_language_ppm
 from orderdw.llm.line_dedup import OP10_SQL, op10_line_dedup
 from orderdw.llm.quality import op5_quality_bayes
+from orderdw.llm.sentencepiece_lattice import op9_piece_lattice
 from orderdw.llm.simhash_pivots import op8_simhash_pivots
 from orderdw.llm.url_filter import op7_url_words
 from orderdw.llm.vector_search import OP2_SQL, op2_va_file
@@ -17,6 +18,7 @@ QUERIES = {
     "op6_spaced_seeds": op6_spaced_seeds,
     "op7_url_words": op7_url_words,
     "op8_simhash_pivots": op8_simhash_pivots,
+    "op9_piece_lattice": op9_piece_lattice,
     "op10_line_dedup": op10_line_dedup,
 }
 ORACLE = {"op2_va_file": OP2_SQL, "op6_spaced_seeds": OP6_SQL, "op10_line_dedup": OP10_SQL}
