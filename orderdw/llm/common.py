@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderdw.session import stage_path
+
 ASCII_SPACE = " \t\n\x0b\x0c\r"
 
 
@@ -28,3 +33,28 @@ def hash_pair(data: bytes) -> tuple[int, int]:
 def ascii_lower(column: Column) -> Column:
     """Lower-cases A-Z only."""
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def packed(parts: list[pa.RecordBatch]) -> bytes:
+    """Record batches of one schema as compressed bytes."""
+    out = pa.BufferOutputStream()
+    options = pa.ipc.IpcWriteOptions(compression="zstd")
+    with pa.ipc.new_stream(out, parts[0].schema, options=options) as writer:
+        for part in parts:
+            writer.write_batch(part)
+    return out.getvalue().to_pybytes()
+
+
+def unpacked(data: pa.Buffer) -> list[pa.RecordBatch]:
+    with pa.ipc.open_stream(data) as reader:
+        return list(reader)
+
+
+def bucketed(df: DataFrame, key: str, label: str) -> DataFrame:
+    """``df`` written to the shared folder in buckets of ``key``: joins on ``key`` then move only
+    the other side."""
+    spark = df.sparkSession
+    name = f"{label}_{uuid4().hex}"
+    (df.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), key)
+     .option("path", stage_path(spark, label)).format("parquet").saveAsTable(name))
+    return spark.table(name)

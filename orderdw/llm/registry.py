@@ -4,6 +4,7 @@ from orderdw.llm.decontaminate import OP6_SQL, op6_spaced_seeds
 from orderdw.llm.html_extract import op1_html_tag_paths
 from orderdw.llm.language_ppm import op3_language_ppm
 from orderdw.llm.line_dedup import OP10_SQL, op10_line_dedup
+from orderdw.llm.prefix_free import op4_prefix_free
 from orderdw.llm.quality import op5_quality_bayes
 from orderdw.llm.sentencepiece_lattice import op9_piece_lattice
 from orderdw.llm.simhash_pivots import op8_simhash_pivots
@@ -14,6 +15,7 @@ QUERIES = {
     "op1_html_tag_paths": op1_html_tag_paths,
     "op2_va_file": op2_va_file,
     "op3_language_ppm": op3_language_ppm,
+    "op4_prefix_free": op4_prefix_free,
     "op5_quality_bayes": op5_quality_bayes,
     "op6_spaced_seeds": op6_spaced_seeds,
     "op7_url_words": op7_url_words,

@@ -20,7 +20,6 @@ import heapq
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderdw.llm.common import table
-from orderdw.session import stage_path
+from orderdw.llm.common import bucketed, packed, table, unpacked
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
@@ -253,12 +251,7 @@ def _blocks(vocabulary, block_bytes: int):
         size = 0
 
         def block() -> pa.RecordBatch:
-            texts = pa.BufferOutputStream()
-            options = pa.ipc.IpcWriteOptions(compression="zstd")
-            with pa.ipc.new_stream(texts, held[0].schema, options=options) as writer:
-                for part in held:
-                    writer.write_batch(part)
-            data = texts.getvalue().to_pybytes()
+            data = packed(held)
             words = list(_numbered(vocabulary.value, units))
             number = xxhash.xxh64_intdigest(data)
             return pa.RecordBatch.from_arrays(
@@ -301,16 +294,15 @@ def _assemble(vocabulary):
                 yield from of_block(data, answers)
 
     def of_block(data, answers) -> Iterator[pa.RecordBatch]:
-        with pa.ipc.open_stream(data) as reader:
-            parts = list(reader)
-        packed: dict[int, bytes] = {}
+        parts = unpacked(data)
+        known: dict[int, bytes] = {}
         if answers is not None:
             lists = answers.field("ids")
             values = lists.values.to_numpy(zero_copy_only=False).astype("<i4").tobytes()
             cuts = (lists.offsets.to_numpy() * 4).tolist()
             for number, lo, hi in zip(answers.field("number").to_pylist(), cuts[:-1], cuts[1:],
                                       strict=True):
-                packed[number] = values[lo:hi]
+                known[number] = values[lo:hi]
         units: dict[str, None] = {}
         texts = [part.column(1).to_pylist() for part in parts]
         for group in texts:
@@ -318,7 +310,7 @@ def _assemble(vocabulary):
                 if text:
                     units.update(dict.fromkeys(units_of(text)))
         numbers = _numbered(vocabulary.value, units)
-        ids = {u: b"".join([packed[numbers[w]] for w in vocabulary.value.words(SPACE + u)])
+        ids = {u: b"".join([known[numbers[w]] for w in vocabulary.value.words(SPACE + u)])
                for u in units}
         for part, group in zip(parts, texts, strict=True):
             found = [b"".join([ids[u] for u in units_of(t)]) if t else b"" for t in group]
@@ -345,11 +337,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary | None = None,
     cut = docs.select("doc_id", "text").mapInArrow(
         _blocks(shared, block_bytes), "block long, words array<string>, texts binary")
     # Bucketed by block, so that the answers come to the texts and the texts stay where they are.
-    name = f"piece_blocks_{uuid4().hex}"
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (cut.write.bucketBy(parts, "block").option("path", stage_path(spark, "piece-blocks"))
-     .format("parquet").saveAsTable(name))
-    blocks = spark.table(name)
+    blocks = bucketed(cut, "block", "piece_blocks")
     salts = F.lit(1) + F.floor(blocks.select("block").count() / F.lit(ASKING_BLOCKS))
     asked = blocks.select("block", F.posexplode("words").alias("number", "word"))
     words = (asked.withColumn("salt", F.pmod("block", salts))
