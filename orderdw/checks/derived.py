@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from orderdw.functions.ids import bin_to_uuid, stable_key
 from orderdw.operators.running import assign_numbers, number_within, running_before, slotted
@@ -42,8 +42,31 @@ def requests(m: OrderModel) -> DataFrame:
     heads = m.orders.select("order_no", "order_date",
                             bin_to_uuid("customer_id").alias("customer_uuid"),
                             bin_to_uuid("seller_id").alias("seller_uuid"))
-    return assign_numbers(grouped.join(heads, "order_no"), ["order_date", "order_no", "chunk"],
-                          name="request_no")
+    return with_flaws(assign_numbers(grouped.join(heads, "order_no"),
+                                     ["order_date", "order_no", "chunk"], name="request_no"))
+
+
+NOBODY = "ffffffff-ffff-ffff-ffff-ffffffffffff"
+
+
+def with_flaws(asked: DataFrame) -> DataFrame:
+    """Some requests, told by their number, made malformed, unknown or incomplete."""
+    kind = F.col("request_no") % 40
+
+    def put(column: str, *cases: tuple[Column, object]) -> Column:
+        value = F.col(column)
+        for when, other in cases:
+            value = F.when(when, F.lit(other)).otherwise(value)
+        return value.alias(column)
+
+    second, third = F.col("product2_uuid").isNotNull(), F.col("product3_uuid").isNotNull()
+    changed = {
+        "customer_uuid": [(kind == 1, "x"), (kind == 7, NOBODY)],
+        "seller_uuid": [(kind == 2, ""), (kind == 8, NOBODY)],
+        "product1_uuid": [(kind == 3, "zz"), (kind == 9, NOBODY)],
+        "product2_uuid": [((kind == 6) & second, "bad"), ((kind == 10) & third, None)],
+        "quantity2": [(kind == 4, None)], "quantity3": [(kind == 5, None)]}
+    return asked.select(*[put(c, *changed.get(c, [])) for c in asked.columns])
 
 
 def asked_numbers(spark: SparkSession, folder: str) -> DataFrame:
@@ -91,6 +114,11 @@ def tax_model(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     billing = customer.filter("c_acctbal > 5000").select(
         person.alias("owner_id"), person.alias("address_id"),
         stable_key(F.lit("kind"), F.lit("de cobro")).alias("kind_id"))
+    # The rich have a second home, next door.
+    second = customer.filter("c_acctbal > 8000").select(
+        person.alias("owner_id"), int_key((F.col("c_custkey") + 1) % customer.select(
+            F.count("*")).scalar()).alias("address_id"),
+        stable_key(F.lit("kind"), F.lit("particular")).alias("kind_id"))
     return {
         "owners": customer.select(person.alias("id"), F.col("c_name").alias("surnames"),
                                   segment.alias("names")),
@@ -113,7 +141,7 @@ def tax_model(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         "zones": dim("zone", customer, "c_mktsegment"),
         "types": dim("type", part, "p_type"),
         "kinds": kinds,
-        "links": home.unionByName(billing),
+        "links": home.unionByName(billing).unionByName(second),
         "properties": customer.select(
             F.concat(F.lit("CAT-"), F.col("c_custkey")).alias("cadastral_no"),
             person.alias("owner_id"), person.alias("address_id"),

@@ -29,7 +29,8 @@ m_products AS (
   FROM part),
 m_orders AS (
   SELECT lpad(lower(to_hex(o_orderkey)), 32, '0') AS order_id, o_orderkey AS order_no,
-         lpad(lower(to_hex(o_custkey)), 32, '0') AS customer_id,
+         lpad(lower(to_hex(o_custkey % ((SELECT count(*) FROM customer) * 9 // 10))), 32, '0')
+           AS customer_id,
          lpad(lower(to_hex(o_orderkey % ((SELECT count(*) FROM supplier) * 9 // 10))), 32, '0')
            AS seller_id,
          CAST(o_orderdate AS DATE) AS order_date,

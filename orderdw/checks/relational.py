@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from orderdw.checks.derived import stored_model, tax_model
+from orderdw.checks.derived import later_orders, stored_model, tax_model
 from orderdw.checks.oracle import model_sql, uuid
 from orderdw.checks.registry import query
 from orderdw.functions.ids import bin_to_uuid, hex_text, is_uuid
@@ -175,30 +175,25 @@ def j3(x):
 
 
 @query("j4_left_outer", model_sql("""
-SELECT c.customer_id, o.order_no FROM m_customers c
-LEFT JOIN (SELECT * FROM m_orders WHERE order_date >= DATE '2001-01-01') o USING (customer_id)"""))
+SELECT c.customer_id, o.order_no FROM m_customers c LEFT JOIN m_orders o USING (customer_id)"""))
 def j4(x):
-    late = x.m.orders.filter(between_dates(x.m.orders, "order_date", "2001-01-01", "9999-12-30"))
-    return x.m.customers.join(late, "customer_id", "left").select("customer_id", "order_no")
+    return x.m.customers.join(x.m.orders, "customer_id", "left").select("customer_id", "order_no")
 
 
-LATE = "SELECT customer_id FROM m_orders WHERE order_date >= DATE '2001-07-01'"
-
-
-@query("j5_anti", model_sql(
-    f"SELECT customer_id, surname FROM m_customers WHERE customer_id NOT IN ({LATE})"))
+@query("j5_anti", model_sql("""
+SELECT customer_id, surname FROM m_customers
+WHERE customer_id NOT IN (SELECT customer_id FROM m_orders)"""))
 def j5(x):
-    late = x.m.orders.filter(between_dates(x.m.orders, "order_date", "2001-07-01", "9999-12-30"))
-    return x.m.customers.join(late.select("customer_id").distinct(), "customer_id", "left_anti") \
-        .select("customer_id", "surname")
+    return x.m.customers.join(x.m.orders.select("customer_id").distinct(), "customer_id",
+                              "left_anti").select("customer_id", "surname")
 
 
-@query("j6_semi", model_sql(
-    f"SELECT customer_id, surname FROM m_customers WHERE customer_id IN ({LATE})"))
+@query("j6_semi", model_sql("""
+SELECT customer_id, surname FROM m_customers
+WHERE customer_id IN (SELECT customer_id FROM m_orders)"""))
 def j6(x):
-    late = x.m.orders.filter(between_dates(x.m.orders, "order_date", "2001-07-01", "9999-12-30"))
-    return x.m.customers.join(late.select("customer_id").distinct(), "customer_id", "left_semi") \
-        .select("customer_id", "surname")
+    return x.m.customers.join(x.m.orders.select("customer_id").distinct(), "customer_id",
+                              "left_semi").select("customer_id", "surname")
 
 
 @query("j7_correlated_sum", model_sql("""
@@ -230,11 +225,13 @@ def j10(x):
 
 
 @query("j11_update_from_join", model_sql("""
-SELECT product_id, CAST(stock - coalesce((SELECT sum(quantity) FROM m_lines l
-  JOIN m_orders o USING (order_no) WHERE o.state = 'confirmado' AND l.product_id = p.product_id),
-  0) AS INTEGER) AS stock FROM m_products p"""))
+SELECT product_id, CAST(stock - coalesce((SELECT sum(CASE WHEN new_state = 'confirmado'
+    THEN quantity ELSE -quantity END) FROM m_lines l JOIN later o USING (order_no)
+  WHERE l.product_id = p.product_id AND (new_state = 'confirmado' AND state <> 'confirmado'
+    OR new_state = 'anulado' AND state = 'confirmado')), 0) AS INTEGER) AS stock
+FROM m_products p"""))
 def j11(x):
-    moves = stock_moves(x.m.orders.limit(0), x.m.orders, x.m.lines)
+    moves = stock_moves(x.m.orders, later_orders(x.m.orders), x.m.lines)
     return apply_moves(x.m.products, moves).select("product_id", "stock")
 
 
@@ -303,16 +300,20 @@ def g6(x):
 
 
 @query("g7_names_per_supplier", model_sql("""
-SELECT name, CAST(n // 10000 AS BIGINT) AS part,
-       string_agg(description, ', ' ORDER BY n) AS products
-FROM (SELECT s.name, s.supplier_id, p.description, row_number() OVER (
-        PARTITION BY p.supplier_id ORDER BY p.description, p.product_id) - 1 AS n
-      FROM m_products p JOIN m_suppliers s USING (supplier_id))
-GROUP BY name, supplier_id, n // 10000"""))
+SELECT s.name, row_number() OVER (PARTITION BY p.supplier_id
+         ORDER BY p.description, p.product_id) AS position, p.description
+FROM m_products p JOIN m_suppliers s USING (supplier_id)"""))
 def g7(x):
     return reports.names_per_supplier(x.m.suppliers, x.m.products)
 
 
+@query("g7_names_per_order", model_sql("""
+SELECT order_no, string_agg(description, ', ' ORDER BY line_no, line_id) AS products
+FROM m_lines JOIN m_products USING (product_id) GROUP BY order_no"""))
+def g7_orders(x):
+    return reports.names_per_order(x.m.lines, x.m.products)
+
+
 @query("t1_order_asc", model_sql("""
 SELECT description, unit_price, product_id FROM m_products WHERE origin = 'importado'
 ORDER BY description, product_id"""))
@@ -360,7 +361,7 @@ def _pick(table: str, key: str, label: str, extra: str = "") -> str:
 
 PICKS = model_sql("SELECT * FROM " + ", ".join(
     [_pick("m_customers", "customer_id", "customer"), _pick("m_sellers", "seller_id", "seller")]
-    + [_pick("(SELECT product_id, CAST(stock AS BIGINT) AS stock FROM m_products)", "product_id",
+    + [_pick("(SELECT product_id, CAST(stock AS INTEGER) AS stock FROM m_products)", "product_id",
              f"product{i}", "stock") for i in (1, 2, 3)]))
 
 
@@ -372,6 +373,13 @@ def t6(x):
                               "product1": product, "product2": product, "product3": product}, 7)
 
 
-@query("j9_one_row_relations", PICKS)
+@query("j9_one_row_relations", model_sql("""
+SELECT * FROM (SELECT count(*) AS customers FROM m_customers),
+              (SELECT count(*) AS orders, max(order_date) AS last_date FROM m_orders),
+              (SELECT CAST(sum(quantity) AS BIGINT) AS quantity FROM m_lines)"""))
 def j9(x):
-    return t6(x)
+    sold = x.m.lines.agg(F.sum("quantity").alias("quantity"))
+    return x.m.orders.agg(F.count("*").alias("orders"),
+                          F.max(F.to_date("order_date")).alias("last_date")).select(
+        x.m.customers.select(F.count("*")).scalar().alias("customers"), "orders", "last_date",
+        sold.scalar().alias("quantity"))

@@ -112,9 +112,11 @@ def s34(x):
 
 @query("s5_cancel_audit", model_sql(f"""
 SELECT md5('audit|' || order_id || '|2025-05-01 10:00:00') AS audit_id, order_id,
-       'Pedido ' || order_no || ' anulado.' AS note FROM later WHERE {GIVES}"""))
+       {AS_OF_SQL} AS cancelled_at, 'Pedido ' || order_no || ' anulado.' AS note
+FROM later WHERE {GIVES}"""))
 def s5(x):
-    return stock.cancel_audit(x.m.orders, later_orders(x.m.orders), AS_OF).drop("cancelled_at")
+    got = stock.cancel_audit(x.m.orders, later_orders(x.m.orders), AS_OF)
+    return got.withColumn("cancelled_at", F.col("cancelled_at").cast("timestamp_ntz"))
 
 
 LOG = f"""
@@ -122,9 +124,10 @@ SELECT md5('log|' || order_no || '|2025-05-01 10:00:00') AS log_id, order_no
 FROM later WHERE new_state = 'anulado' AND state <> 'anulado'"""
 
 
-@query("s6_cancel_log", model_sql(LOG))
+@query("s6_cancel_log", model_sql(f"SELECT *, {AS_OF_SQL} AS cancelled_at FROM ({LOG})"))
 def s6(x):
-    return stock.cancel_log(x.m.orders, later_orders(x.m.orders), AS_OF).drop("cancelled_at")
+    got = stock.cancel_log(x.m.orders, later_orders(x.m.orders), AS_OF)
+    return got.withColumn("cancelled_at", F.col("cancelled_at").cast("timestamp_ntz"))
 
 
 # Requests: the lines of each order in threes; order_no is the place in the queue.
@@ -133,13 +136,28 @@ placed AS (
   SELECT l.*, (row_number() OVER (PARTITION BY l.order_no ORDER BY line_no, line_id) - 1) AS n
   FROM m_lines l),
 queue AS (
-  SELECT order_no AS old_no, n // 3 AS chunk,
+  SELECT order_no AS old_no, n // 3 AS chunk, count(*) AS lines,
          row_number() OVER (ORDER BY order_date, order_no, n // 3) AS request_no
   FROM placed JOIN m_orders USING (order_no) GROUP BY order_no, n // 3, order_date),
+flawed AS (
+  SELECT request_no, CASE
+    WHEN kind = 1 THEN ['customer_format', 'UUID Cliente inválido: x']
+    WHEN kind = 2 THEN ['seller_format', 'UUID Vendedor inválido: ']
+    WHEN kind = 3 THEN ['product1_format', 'UUID Producto 1 inválido: zz']
+    WHEN kind = 4 AND lines > 1 THEN ['quantity2_missing', 'Debe indicar cantidad para producto 2']
+    WHEN kind = 5 AND lines > 2 THEN ['quantity3_missing', 'Debe indicarse cantidad para producto 3']
+    WHEN kind = 6 AND lines > 1 THEN ['product2_format', 'UUID Producto 2 inválido: bad']
+    WHEN kind = 7 THEN ['unknown_customer', 'no parent for ffffffff-ffff-ffff-ffff-ffffffffffff']
+    WHEN kind = 8 THEN ['unknown_seller', 'no parent for ffffffff-ffff-ffff-ffff-ffffffffffff']
+    WHEN kind = 9 THEN ['unknown_product',
+                        'Producto inexistente: ffffffff-ffff-ffff-ffff-ffffffffffff']
+    WHEN kind = 10 AND lines > 2 THEN ['product2_missing', 'Falta el producto 2'] END AS told
+  FROM (SELECT *, request_no % 40 AS kind FROM queue)),
 wanted AS (
   SELECT request_no AS order_no, CAST(n % 3 + 1 AS INTEGER) AS line_no, '' AS line_id, product_id,
          quantity
-  FROM placed JOIN queue ON old_no = order_no AND chunk = n // 3)"""
+  FROM placed JOIN queue ON old_no = order_no AND chunk = n // 3 JOIN flawed USING (request_no)
+  WHERE told IS NULL)"""
 REQUEST_DEMAND = """
 SELECT order_no, product_id, 0 AS seq, sum(quantity) AS take, sum(quantity) AS need, stock
 FROM wanted JOIN m_products USING (product_id) GROUP BY order_no, product_id, stock"""
@@ -158,8 +176,10 @@ def s7(x):
 
 
 @query("s7_register_rejects", model_sql(f"""
-SELECT order_no AS request_no, 'short_stock' AS rule, {SHORT_TEXT} AS message
-FROM failed JOIN m_products USING (product_id) WHERE n = 1""",
+SELECT order_no AS request_no, 'short_stock' AS rule, 'Stock insuficiente (prod '
+       || {uuid('product_id')} || '): dispo ' || CAST(available AS BIGINT) || ', solicitado '
+       || quantity AS message FROM failed WHERE n = 1
+UNION ALL SELECT request_no, told[1], told[2] FROM flawed WHERE told IS NOT NULL""",
     f"{REQUESTS.strip()},\n{rounds(REQUEST_DEMAND)},{SHORT.format(lines='wanted')}",
     recursive=True))
 def s7_rejects(x):
@@ -254,12 +274,12 @@ def d2(x):
 
 
 @query("d3_foreign_key", model_sql("""
-SELECT 'foreign_key' AS rule, product_id AS key, count(*) AS rows,
+SELECT 'foreign_key' AS rule, CAST(order_no AS VARCHAR) AS key, count(*) AS rows,
        'no parent for ' || count(*) || ' rows' AS message
-FROM m_lines WHERE product_id NOT IN (SELECT product_id FROM m_products WHERE stock > 200)
-GROUP BY product_id"""))
+FROM (SELECT event_id * 2 AS order_no FROM events UNION ALL SELECT user_id FROM events)
+WHERE order_no NOT IN (SELECT order_no FROM m_orders) GROUP BY order_no"""))
 def d3(x):
-    return quality.check_fk(x.m.lines, x.m.products.filter("stock > 200"), ["product_id"])
+    return quality.check_fk(asked_numbers(x.spark, x.folder), x.m.orders, ["order_no"])
 
 
 @query("d4_allowed_values", model_sql("""

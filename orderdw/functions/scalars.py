@@ -14,6 +14,13 @@ NOT_CONFIRMED = ('No se puede anular el pedido %d porque su estado actual es "%s
                  "Solo los pedidos en estado CONFIRMADO pueden anularse.")
 NO_SUCH_ORDER = "Pedido no encontrado: %d"
 NO_SUCH_PRODUCT = "Producto inexistente: %s"
+SHORT_STOCK_OF_REQUEST = "Stock insuficiente (prod %s): dispo %d, solicitado %d"
+BAD_CUSTOMER = "UUID Cliente inválido: "
+BAD_SELLER = "UUID Vendedor inválido: "
+BAD_PRODUCT = {1: "UUID Producto 1 inválido: ", 2: "UUID Producto 2 inválido: ",
+               3: "UUID Producto 3 inválido: "}
+NO_QUANTITY = {2: "Debe indicar cantidad para producto 2",
+               3: "Debe indicarse cantidad para producto 3"}
 
 
 def message(template: str, *cols: Column | str) -> Column:

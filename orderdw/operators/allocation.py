@@ -10,19 +10,16 @@ Each round bounds the stock taken before an undecided order from above (all unde
 it are accepted) and from below (none is). Who fits under the upper bound is accepted for good, who
 does not fit under the lower bound is rejected for good. The first undecided order has equal
 bounds, so every round settles at least one, and in practice most. A round reads only the orders
-still open after the round before. A remainder of known small size is settled in order by one task.
+still open after the round before.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from itertools import groupby
-from operator import itemgetter
 from typing import NamedTuple
 
-import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from orderdw.functions.ids import bin_to_uuid
 from orderdw.functions.scalars import NO_SUCH_PRODUCT, SHORT_STOCK, message
@@ -40,19 +37,21 @@ class Allocation(NamedTuple):
 
 def _demand(lines: DataFrame, orders: DataFrame, sequence: Sequence[str], line_cols: Sequence[str],
             takes) -> DataFrame:
-    """One row per (order, product): what it takes, and the stock it needs to get through."""
+    """One row per (order, product): what it takes, and the stock it needs to get through; stored."""
     ranks = [f"_s{i}" for i in range(len(sequence))]
     heads = orders.select("order_no", *[F.col(c).alias(r) for c, r in zip(sequence, ranks)],
                           takes.alias("takes"))
     joined = lines.select("order_no", "product_id", "quantity").join(heads, "order_no")
     pairs = joined.groupBy("order_no", "product_id", "takes", *ranks).agg(
         F.sum("quantity").alias("_sum"), F.max("quantity").alias("_max"),
-        F.max(F.col("quantity").isNull()).alias("_no_quantity"))
+        F.max(F.col("quantity").isNull()).alias("_no_quantity"),
+        F.coalesce(F.max(F.col("quantity") < 0), F.lit(False)).alias("_negative"))
+    pairs, seen = cut_and_measure(pairs, "sums", negatives=F.count(F.when(F.col("_negative"), 1)))
     need = F.when(F.col("takes"), F.col("_sum")).otherwise(F.col("_max").cast("long"))
-    if not lines.filter("quantity < 0").isEmpty():
+    if seen["negatives"]:
         # A negative line gives stock back to the later lines of its order: the need is then the
         # highest running total, not the sum.
-        mixed = lines.filter("quantity < 0").select("order_no", "product_id").distinct()
+        mixed = pairs.filter("_negative").select("order_no", "product_id")
         slots, _ = slotted(lines.select("order_no", "product_id", "quantity", *line_cols)
                            .join(mixed, ["order_no", "product_id"], "left_semi"),
                            ["order_no", "product_id", *line_cols], "mixed")
@@ -62,6 +61,8 @@ def _demand(lines: DataFrame, orders: DataFrame, sequence: Sequence[str], line_c
         pairs = pairs.join(peaks, ["order_no", "product_id"], "left")
         need = F.when(F.col("takes"), F.coalesce("_peak", "_sum")).otherwise(
             F.col("_max").cast("long"))
+        pairs = cut_lineage(pairs.withColumn("_need", need), "peaks")
+        need = F.col("_need")
     return pairs.select("order_no", "product_id", *ranks, "_no_quantity", "takes",
                         F.when(F.col("takes"), F.col("_sum")).otherwise(F.lit(0)).cast("long")
                         .alias("take"), need.alias("need"))
@@ -87,38 +88,18 @@ def _on_scarce_products(pairs: DataFrame, products: DataFrame) -> DataFrame:
             .drop("_product"))
 
 
-def _settle_in_order(opened: DataFrame, ranks: Sequence[str]) -> DataFrame:
-    """Rejected orders of a remainder that is known to be small, one order after the other."""
-    def settle(rows):
-        used, rejected = {}, []
-        rows = rows.sort_values(list(ranks), na_position="first")
-        queue = zip(rows["order_no"], rows["product_id"], rows["take"], rows["need"],
-                    rows["stock"] - rows["taken"])
-        for order_no, items in groupby(queue, key=itemgetter(0)):
-            items = list(items)
-            if all(left - used.get(p, 0) >= need for _, p, _, need, left in items):
-                for _, p, take, _, _ in items:
-                    used[p] = used.get(p, 0) + take
-            else:
-                rejected.append(order_no)
-        return pd.DataFrame({"order_no": pd.Series(rejected, dtype="int64")})
-
-    return opened.groupBy().applyInPandas(settle, "order_no long")
-
-
 def allocate(lines: DataFrame, orders: DataFrame, products: DataFrame,
              sequence: Sequence[str] = (), line_cols: Sequence[str] = ("line_no", "line_id"),
-             takes=None, last_rows: int = 50_000) -> Allocation:
+             takes=None) -> Allocation:
     """Decide all orders of the batch, in the order of ``sequence`` and then ``order_no``.
 
-    ``takes`` tells which orders take stock (default: the confirmed ones). Once a round leaves no
-    more than ``last_rows`` (order, product) rows open, one task settles those in order.
+    ``takes`` tells which orders take stock (default: the confirmed ones).
     """
     takes = F.col("state") == CONFIRMED if takes is None else takes
     sequence = [c for c in sequence if c != "order_no"]
     ranks = [*[f"_s{i}" for i in range(len(sequence))], "order_no"]
 
-    pairs = cut_lineage(_demand(lines, orders, sequence, line_cols, takes), "pairs")
+    pairs = _demand(lines, orders, sequence, line_cols, takes)
     flaw = F.col("stock").isNull() | F.col("_no_quantity")
     slots, seen = slotted(_on_scarce_products(pairs, products), ["product_id", *ranks], "demand",
                           flaws=F.count(F.when(flaw, 1)),
@@ -163,9 +144,7 @@ def allocate(lines: DataFrame, orders: DataFrame, products: DataFrame,
             open=F.count(F.when(F.col("_rejected").isNull(), 1)))
         rejects.append(judged.filter("_rejected").select("order_no").distinct())
         opened = judged.filter("_rejected IS NULL").drop("_rejected")
-        if seen["open"] <= last_rows:
-            if seen["open"]:
-                rejects.append(_settle_in_order(opened, ranks))
+        if not seen["open"]:
             break
 
     rejected = (cut_lineage(reduce(DataFrame.unionByName, rejects), "rejected") if rejects
@@ -177,10 +156,12 @@ def allocate(lines: DataFrame, orders: DataFrame, products: DataFrame,
 
 
 def explain_rejects(result: Allocation, lines: DataFrame, products: DataFrame,
-                    line_cols: Sequence[str] = ("line_no", "line_id")) -> DataFrame:
+                    line_cols: Sequence[str] = ("line_no", "line_id"),
+                    short_stock: Column | None = None) -> DataFrame:
     """For each rejected order the first line that failed and the message it fails with.
 
-    Gives ``(order_no, rule, product_id, available, required, message)``. What was taken before is
+    Gives ``(order_no, rule, product_id, available, required, message)``; ``short_stock`` is the
+    message for missing stock, over the same columns and the product's description. What was taken before is
     summed over the stored demand; only the lines of rejected orders are looked at.
     """
     out = result.rejected.withColumn("_out", F.lit(True))
@@ -212,6 +193,7 @@ def explain_rejects(result: Allocation, lines: DataFrame, products: DataFrame,
     text = (F.when(F.col("rule") == "unknown_product",
                    message(NO_SUCH_PRODUCT, bin_to_uuid("product_id")))
             .when(F.col("rule") == "no_quantity", F.lit("NULL in quantity"))
-            .otherwise(message(SHORT_STOCK, "description", "available", "required")))
+            .otherwise(message(SHORT_STOCK, "description", "available", "required")
+                       if short_stock is None else short_stock))
     return first.withColumn("message", text).select(
         "order_no", "rule", "product_id", "available", "required", "message")

@@ -10,8 +10,9 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, functions as F
 
 from orderdw.functions.ids import bin_to_uuid, hex_text, is_uuid, stable_key, uuid_to_bin
-from orderdw.functions.scalars import (NO_SUCH_ORDER, NOT_CONFIRMED, date_of, is_not_blank,
-                                       message)
+from orderdw.functions.scalars import (BAD_CUSTOMER, BAD_PRODUCT, BAD_SELLER, NO_QUANTITY,
+                                       NO_SUCH_ORDER, NOT_CONFIRMED, SHORT_STOCK_OF_REQUEST,
+                                       date_of, is_not_blank, message)
 from orderdw.operators.allocation import allocate, explain_rejects
 from orderdw.operators.running import assign_numbers
 from orderdw.operators.stock import apply_moves, audit_rows, log_rows, stamp_price
@@ -36,10 +37,7 @@ class Registration:
 
 
 def _first_flaw() -> Column:
-    """The first check that a request fails, as (rule, message); NULL if all pass.
-
-    Fixed values: the wording of the messages.
-    """
+    """The first check that a request fails, as (rule, message); NULL if all pass."""
     def bad(c: str) -> Column:
         return ~F.coalesce(is_uuid(c), F.lit(False))
 
@@ -48,20 +46,18 @@ def _first_flaw() -> Column:
                         F.concat(F.lit(text), F.coalesce(F.col(c), F.lit(""))).alias("message"))
 
     flaw = (F.when(bad("customer_uuid"),
-                   told("customer_format", "UUID Cliente inválido: ", "customer_uuid"))
+                   told("customer_format", BAD_CUSTOMER, "customer_uuid"))
             .when(bad("seller_uuid"),
-                  told("seller_format", "UUID Vendedor inválido: ", "seller_uuid"))
+                  told("seller_format", BAD_SELLER, "seller_uuid"))
             .when(bad("product1_uuid"),
-                  told("product1_format", "UUID Producto 1 inválido: ", "product1_uuid")))
+                  told("product1_format", BAD_PRODUCT[1], "product1_uuid")))
     for i in LINE_SLOTS[1:]:
         given = is_not_blank(F.col(f"product{i}_uuid"))
-        verb = "Debe indicar" if i == 2 else "Debe indicarse"
         flaw = (flaw.when(given & F.col(f"quantity{i}").isNull(),
                           F.struct(F.lit(f"quantity{i}_missing").alias("rule"),
-                                   F.lit(f"{verb} cantidad para producto {i}").alias("message")))
+                                   F.lit(NO_QUANTITY[i]).alias("message")))
                 .when(given & bad(f"product{i}_uuid"),
-                      told(f"product{i}_format", f"UUID Producto {i} inválido: ",
-                           f"product{i}_uuid")))
+                      told(f"product{i}_format", BAD_PRODUCT[i], f"product{i}_uuid")))
     # A third product without a second one leaves a gap in the lines: the request fails whole.
     gap = is_not_blank(F.col("product3_uuid")) & ~is_not_blank(F.col("product2_uuid"))
     return flaw.when(gap, F.struct(F.lit("product2_missing").alias("rule"),
@@ -122,7 +118,10 @@ def register_orders(requests: DataFrame, customers: DataFrame, sellers: DataFram
     taken = result.taken.select("product_id", (-F.col("quantity")).alias("delta"))
 
     def explain() -> DataFrame:
-        short = explain_rejects(result, wanted, products, line_cols=["line_no"])
+        short = explain_rejects(
+            result, wanted, products, line_cols=["line_no"],
+            short_stock=message(SHORT_STOCK_OF_REQUEST, bin_to_uuid("product_id"), "available",
+                                "required"))
         return malformed.unionByName(strays).unionByName(
             short.select(F.col("order_no").alias("request_no"), "rule", "message"))
 

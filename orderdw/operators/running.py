@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from orderdw.session import cut_and_measure
 
 SLOT = "_slot"
+ROWS_PER_BLOCK = 1_000_000
 _PARTITION_BITS = 33  # monotonically_increasing_id keeps the partition above this bit
 
 
@@ -30,11 +31,15 @@ def slotted(df: DataFrame, order_cols: Sequence[str], label: str = "slots",
             **metrics: Column) -> tuple[Slots, dict]:
     """Add ``_slot``, a number that grows along ``order_cols`` over the whole table.
 
-    ``order_cols`` must tell every two rows apart. The result is written out, because the range
-    limits come from a sample: worked out twice, they could differ. ``metrics`` are measured on
-    the way.
+    ``order_cols`` must tell every two rows apart. The rows are written first, since a range sort
+    reads them twice, and counted on the way: there are as many blocks as make ROWS_PER_BLOCK rows
+    each. That is sizing only; the result does not depend on it. The sorted rows are written too,
+    because the range limits come from a sample: worked out twice, they could differ. ``metrics``
+    are measured on the way.
     """
-    ranged = (df.repartitionByRange(*order_cols).sortWithinPartitions(*order_cols)
+    stored, size = cut_and_measure(df, label, rows=F.count("*"))
+    blocks = max(1, -(-size["rows"] // ROWS_PER_BLOCK))
+    ranged = (stored.repartitionByRange(blocks, *order_cols).sortWithinPartitions(*order_cols)
               .withColumn(SLOT, F.monotonically_increasing_id()))
     rows, seen = cut_and_measure(ranged, label, _blocks=F.max(_block()), **metrics)
     return Slots(rows, (seen.pop("_blocks") or 0) + 1), seen

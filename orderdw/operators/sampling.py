@@ -31,24 +31,17 @@ def pick_side_by_side(picks: Mapping[str, tuple[DataFrame, str, str | None]],
                       seed: int | str) -> DataFrame:
     """Independent random picks in one row.
 
-    ``picks`` maps a label to (table, id column, extra column or None). Each pick is one
-    aggregate row, and the rows are laid side by side by a second aggregate over those few rows.
+    ``picks`` maps a label to (table, id column, extra column or None). Each pick is the one value
+    of an aggregate, computed as a scalar subquery.
     """
-    rows = None
-    for label, (df, key, extra) in picks.items():
-        chosen = F.min_by(F.struct(hex_text(key).alias("id"),
-                                   (F.col(extra) if extra else F.lit(None)).cast("long")
-                                   .alias("extra")),
-                          F.struct(draw(f"{seed}/{label}", hex_text(key)), hex_text(key)))
-        one = df.agg(chosen.alias("p")).select(F.lit(label).alias("label"), "p.id", "p.extra")
-        rows = one if rows is None else rows.unionByName(one)
     shown = []
-    for label, (_, key, extra) in picks.items():
-        mine = F.col("label") == label
-        shown.append(F.max(F.when(mine, F.col("id"))).alias(f"{label}_id"))
+    for label, (df, key, extra) in picks.items():
+        best = F.struct(draw(f"{seed}/{label}", hex_text(key)), hex_text(key))
+        shown.append(df.select(F.min_by(hex_text(key), best)).scalar().alias(f"{label}_id"))
         if extra:
-            shown.append(F.max(F.when(mine, F.col("extra"))).alias(f"{label}_{extra}"))
-    return rows.agg(*shown)
+            shown.append(df.select(F.min_by(extra, best)).scalar().alias(f"{label}_{extra}"))
+    first = next(iter(picks.values()))[0]
+    return first.agg(F.count("*").alias("_rows")).select(*shown)
 
 
 def lookup_key(df: DataFrame, dim: DataFrame, text_col: str, key_col: str = "id",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from orderdw.functions.ids import hex_text
 from orderdw.functions.scalars import due_date
@@ -55,17 +55,25 @@ def addresses_by_kind(owners: DataFrame, links: DataFrame, addresses: DataFrame,
                                     F.col("description").alias("kind")), "kind_id")
     placed = typed.join(addresses.withColumnRenamed("id", "address_id"), "address_id")
     return placed.join(owners.withColumnRenamed("id", "owner_id"), "owner_id").select(
-        "owner_id", "surnames", "names", "kind", "street", "number", "floor", "unit", "town_id")
+        "owner_id", "surnames", "names", "kind", "address_id", "street", "number", "floor", "unit",
+        "town_id")
 
 
 def addresses_side_by_side(by_kind: DataFrame, kinds: Mapping[str, str]) -> DataFrame:
-    """One row per owner with one address column per kind; ``kinds`` maps column to kind.
+    """One address column per kind; ``kinds`` maps column to kind.
 
-    An owner with several addresses of a kind shows the first in text order.
+    The addresses of an owner and kind are numbered in text order, and there is one row per owner
+    and number (``position`` from 1), so that no address is left out.
     """
     text = F.concat_ws(" ", "street", F.col("number").cast("string"), "floor", "unit")
-    return by_kind.groupBy("owner_id", "surnames", "names").agg(
-        *[F.min(F.when(F.col("kind") == kind, text)).alias(name) for name, kind in kinds.items()])
+    who = ["owner_id", "surnames", "names"]
+    # The key of the link is owner, address and kind, so the list of one owner is short.
+    place = Window.partitionBy("owner_id", "kind").orderBy("_text", "address_id")
+    numbered = (by_kind.withColumn("_text", text)
+                .withColumn("position", F.row_number().over(place)))
+    return numbered.groupBy(*who, "position").agg(
+        *[F.max(F.when(F.col("kind") == kind, F.col("_text"))).alias(name)
+          for name, kind in kinds.items()])
 
 
 def with_place(addresses: DataFrame, towns: DataFrame, provinces: DataFrame,

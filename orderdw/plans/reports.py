@@ -97,19 +97,22 @@ def sales_by_origin(products: DataFrame, lines: DataFrame) -> DataFrame:
             .groupBy("origin").agg(F.sum("_sold").alias("quantity")))
 
 
-def names_per_supplier(suppliers: DataFrame, products: DataFrame, sep: str = ", ",
-                       names_per_row: int = 10_000) -> DataFrame:
-    """Product descriptions of each supplier, in order, joined to one text.
+def names_per_supplier(suppliers: DataFrame, products: DataFrame) -> DataFrame:
+    """The product descriptions of each supplier, one row per product with its position from 1.
 
-    A text holds up to ``names_per_row`` names; a supplier with more gets further rows
-    (``part`` 1, 2, ...), so that no task has to hold all names of a very large supplier.
+    A text of all names would be as large as the supplier; numbered rows have no limit.
     """
     numbered = number_within(products.select("supplier_id", "description", "product_id"),
                              ["supplier_id"], ["description", "product_id"], "_n")
-    part = F.floor(F.col("_n") / names_per_row).cast("long").alias("part")
-    # listagg's own ordering is by the text; pairs keep equal texts in product order.
-    texts = numbered.groupBy("supplier_id", part).agg(
-        F.array_sort(F.collect_list(F.struct("_n", "description"))).alias("_names"))
-    return (texts.join(suppliers.select("supplier_id", "name"), "supplier_id")
-            .select("name", "part",
-                    F.array_join(F.col("_names.description"), sep).alias("products")))
+    return (numbered.join(suppliers.select("supplier_id", "name"), "supplier_id")
+            .select("name", (F.col("_n") + 1).alias("position"), "description"))
+
+
+def names_per_order(lines: DataFrame, products: DataFrame, sep: str = ", ") -> DataFrame:
+    """The product descriptions of each order in the order of its lines, joined to one text."""
+    named = lines.select("order_no", "line_no", "line_id", "product_id").join(
+        products.select("product_id", "description"), "product_id")
+    texts = named.groupBy("order_no").agg(F.array_sort(F.collect_list(
+        F.struct("line_no", "line_id", "description"))).alias("_names"))
+    return texts.select("order_no", F.array_join(F.col("_names.description"), sep)
+                        .alias("products"))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -32,15 +31,14 @@ def build_session(app: str = "orderdw", master: str | None = None, **extra: str)
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by the cluster. Only a local session without one gets its own."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    own = tempfile.mkdtemp(prefix="orderdw-")
-    spark.sparkContext.setCheckpointDir(own)
-    return own
+    """The shared folder that the cluster names in spark.checkpoint.dir.
+
+    Where it is unset, as in a local session, the warehouse folder holds the intermediate tables:
+    all executors must reach that one as well.
+    """
+    named = (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+             or f"{spark.conf.get('spark.sql.warehouse.dir')}/_stages")
+    return named.rstrip("/")
 
 
 def stage_path(spark: SparkSession, label: str) -> str:
@@ -49,6 +47,14 @@ def stage_path(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_dir(spark)}/orderdw/{app}/{label}-{uuid4().hex}"
 
 
+def drop_stages(spark: SparkSession) -> None:
+    """Remove the intermediate tables of this application, once its results are written."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(
+        f"{checkpoint_dir(spark)}/orderdw/{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut_lineage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 

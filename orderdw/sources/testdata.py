@@ -35,8 +35,12 @@ def order_model(spark: SparkSession, folder: str) -> OrderModel:
     part = load_test_table(spark, folder, "part")
     orders = load_test_table(spark, folder, "orders")
     lineitem = load_test_table(spark, folder, "lineitem")
-    # One value, computed once by Spark as a scalar subquery.
+    # Each is one value, computed once by Spark as a scalar subquery.
     n_suppliers = supplier.select(F.count("*")).scalar()
+    n_customers = customer.select(F.count("*")).scalar()
+
+    def most(n: Column) -> Column:  # so that a tenth of them never had an order
+        return F.floor(n * F.lit(9) / F.lit(10))
 
     def mail(name: str) -> Column:
         return F.concat(F.lower(name), F.lit("@example.com"))
@@ -69,9 +73,8 @@ def order_model(spark: SparkSession, folder: str) -> OrderModel:
             .otherwise(IMPORTED).alias("origin")),
         orders=orders.select(
             int_key(F.col("o_orderkey")).alias("order_id"), F.col("o_orderkey").alias("order_no"),
-            int_key(F.col("o_custkey")).alias("customer_id"),
-            int_key(F.col("o_orderkey") % F.floor(n_suppliers * F.lit(9) / F.lit(10)))
-            .alias("seller_id"),
+            int_key(F.col("o_custkey") % most(n_customers)).alias("customer_id"),
+            int_key(F.col("o_orderkey") % most(n_suppliers)).alias("seller_id"),
             F.col("o_orderdate").alias("order_date"),
             F.when(F.col("o_orderstatus") == "F", CONFIRMED)
             .when(F.col("o_orderstatus") == "O", PENDING).otherwise(CANCELLED).alias("state")),

@@ -17,9 +17,14 @@ CHANGE = T.StructType([
     T.StructField("order_no", T.LongType()), T.StructField("order_id", T.BinaryType()),
     T.StructField("old_state", T.StringType()), T.StructField("new_state", T.StringType())])
 
+# Outputs lie in folders by the day of the change, so a change and its repeats meet in one day.
 LEDGER = T.StructType([
     T.StructField("event_id", T.LongType()), T.StructField("order_no", T.LongType()),
-    T.StructField("product_id", T.BinaryType()), T.StructField("delta", T.LongType())])
+    T.StructField("product_id", T.BinaryType()), T.StructField("delta", T.LongType()),
+    T.StructField("day", T.DateType()), T.StructField("batch", T.LongType())])
+DAILY = T.StructType([
+    T.StructField("product_id", T.BinaryType()), T.StructField("delta", T.LongType()),
+    T.StructField("day", T.DateType())])
 
 
 def read_changes(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
@@ -28,37 +33,43 @@ def read_changes(spark: SparkSession, folder: str, files_per_batch: int = 1000)
 
 
 def stream_state_changes(changes: DataFrame, lines: DataFrame, target: str,
-                         delay: str | None = None,
                          orders_per_range: int | None = None) -> StreamingQuery:
     """Follow a stream of state changes until the files at hand are read.
 
-    Each micro-batch replaces its own ``batch=<id>`` folders, so a batch that is run again after a
-    failure leaves one copy of its rows. Every row is keyed by its change, and the readers below
-    keep one row per key: a change that was sent twice counts once, however late the second copy
-    comes, and no change is too late to count.
+    Rows go to ``<output>/batch=<id>/day=<day of the change>``. A micro-batch replaces its own
+    folders, so one that is run again after a failure leaves one copy of its rows. Every row is
+    keyed by its change, and repeats are removed within their day, however late they come; no change
+    is too late to count. After each batch the stock moves of the days that it touched are summed
+    anew from the ledger of those days alone (``daily``), so the stock of now needs one small row
+    per day and product.
 
     Lines stored by order range (``orders_per_range``) are read only in the folders of the orders
     that a batch changes.
-
-    ``delay`` also drops repeats inside the stream, which keeps the files smaller. Only give it if
-    no change is ever later than that: later ones would be lost.
     """
-    if delay is not None:
-        changes = changes.withWatermark("ts", delay).dropDuplicatesWithinWatermark(["event_id"])
+    spark = changes.sparkSession
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.dropDuplicates(["event_id"])
+        rows = batch.dropDuplicates(["event_id"]).withColumn("day", F.to_date("ts"))
         if orders_per_range is not None:
             rows = by_order_range(rows, orders_per_range)
         rows = rows.persist()
         try:
             outputs = {
-                "ledger": moves_of(rows, lines, keys=["event_id", "order_no"]),
+                "ledger": moves_of(rows, lines, keys=["event_id", "order_no", "day"]),
                 "audit": audit_rows(rows.filter(gives_back()), F.col("ts")),
                 "log": log_rows(rows.filter(becomes_cancelled()), F.col("ts")),
             }
             for name, df in outputs.items():
-                write_table(df, f"{target}/{name}/batch={batch_id}", mode="overwrite")
+                if "day" not in df.columns:
+                    df = df.withColumn("day", F.to_date("cancelled_at"))
+                write_table(df, f"{target}/{name}/batch={batch_id}", mode="overwrite",
+                            partition_by=["day"])
+            # A batch touches few days; their list is what prunes the ledger's folders.
+            days = [r.day for r in rows.select("day").distinct().collect()]
+            rebuilt = (read_ledger(spark, target).filter(F.col("day").isin(days))
+                       .groupBy("day", "product_id").agg(F.sum("delta").alias("delta")))
+            (rebuilt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("day").parquet(f"{target}/daily"))
         finally:
             rows.unpersist()
 
@@ -67,21 +78,29 @@ def stream_state_changes(changes: DataFrame, lines: DataFrame, target: str,
             .trigger(availableNow=True).start())
 
 
+def _read(spark: SparkSession, folder: str, schema: T.StructType, keys: list[str]) -> DataFrame:
+    return spark.read.schema(schema).parquet(folder).dropDuplicates(["day", *keys])
+
+
 def read_ledger(spark: SparkSession, target: str) -> DataFrame:
-    return (spark.read.schema(LEDGER).parquet(f"{target}/ledger/batch=*")
-            .dropDuplicates(["event_id", "product_id"]))
+    return _read(spark, f"{target}/ledger", LEDGER, ["event_id", "product_id"])
+
+
+def read_daily_moves(spark: SparkSession, target: str) -> DataFrame:
+    """(day, product_id, delta): the ledger summed per day."""
+    return spark.read.schema(DAILY).parquet(f"{target}/daily")
 
 
 def read_audit(spark: SparkSession, target: str) -> DataFrame:
-    return (spark.read.schema(ORDERS_MODEL["cancel_audit"]).parquet(f"{target}/audit/batch=*")
-            .dropDuplicates(["audit_id"]))
+    layout = T.StructType([*ORDERS_MODEL["cancel_audit"], T.StructField("day", T.DateType())])
+    return _read(spark, f"{target}/audit", layout, ["audit_id"]).drop("day")
 
 
 def read_log(spark: SparkSession, target: str) -> DataFrame:
-    return (spark.read.schema(ORDERS_MODEL["cancel_log"]).parquet(f"{target}/log/batch=*")
-            .dropDuplicates(["log_id"]))
+    layout = T.StructType([*ORDERS_MODEL["cancel_log"], T.StructField("day", T.DateType())])
+    return _read(spark, f"{target}/log", layout, ["log_id"]).drop("day")
 
 
 def stock_now(products: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Products with all ledger entries of all batches applied."""
+    """Products with all moves applied: of the ledger, or of its daily sums."""
     return apply_moves(products, ledger)

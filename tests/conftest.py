@@ -10,8 +10,11 @@ from orderdw.session import build_session
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    shared = tmp_path_factory.mktemp("shared")
     session = build_session("tests", master="local[4]", spark__sql__shuffle__partitions="4",
+                            spark__checkpoint__dir=f"file://{shared}/stages",
+                            spark__sql__warehouse__dir=f"file://{shared}/warehouse",
                             spark__ui__enabled="false", spark__driver__memory="4g")
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from orderdw.functions import ids, scalars
+from orderdw.operators import running
 from orderdw.operators.allocation import allocate, explain_rejects
 from orderdw.operators.running import assign_numbers, number_within, running_before, slotted
 from orderdw.operators.sampling import lookup_key, pick_side_by_side, pick_within, random_pick
@@ -48,11 +49,13 @@ def batch(rng, n, hot=False, negative=False):
     return {p: rng.randint(0, 60) for p in range(1, 7)}, orders
 
 
-@pytest.mark.parametrize("seed_no, hot, negative, last_rows", [
-    (1, False, False, 0), (2, True, False, 0), (3, True, True, 0), (4, False, True, 0),
-    (5, True, False, 40), (6, True, True, 1000)])
-def test_allocate_like_a_loop(spark, seed_no, hot, negative, last_rows):
-    stock, orders = batch(random.Random(seed_no), 60, hot, negative)
+@pytest.mark.parametrize("seed_no, hot, negative, block_rows", [
+    (1, False, False, 1_000_000), (2, True, False, 40), (3, True, True, 7), (4, False, True, 40),
+    (5, True, False, 3), (6, True, True, 1_000_000)])
+def test_allocate_like_a_loop(spark, monkeypatch, seed_no, hot, negative, block_rows):
+    """One block of rows, a few, or about fifty give the same result."""
+    monkeypatch.setattr(running, "ROWS_PER_BLOCK", block_rows)
+    stock, orders = batch(random.Random(seed_no), 150, hot, negative)
     want, left = sequential(stock, orders)
     rows = [(no, i, p, q) for no, _, items in orders for i, (p, q) in enumerate(items)]
     lines = spark.createDataFrame(rows, "order_no long, line_no int, product_id long, quantity int")
@@ -61,7 +64,7 @@ def test_allocate_like_a_loop(spark, seed_no, hot, negative, last_rows):
                                    for no, t, _ in orders], "order_no long, state string")
     products = spark.createDataFrame([(key(p), f"product {p}", s) for p, s in stock.items()],
                                      "product_id binary, description string, stock int")
-    got = allocate(lines, heads, products, line_cols=["line_no"], last_rows=last_rows)
+    got = allocate(lines, heads, products, line_cols=["line_no"])
     assert {r.order_no for r in got.rejected.collect()} == set(want)
     assert {r.order_no for r in got.accepted.collect()} == {o[0] for o in orders} - set(want)
     taken = defaultdict(int)
@@ -77,16 +80,13 @@ def test_allocate_like_a_loop(spark, seed_no, hot, negative, last_rows):
             assert number(r.product_id) == 99
 
 
-def test_running_before_with_a_hot_key(spark):
+def test_running_before_with_a_hot_key(spark, monkeypatch):
     rng = random.Random(5)
     rows = [(1 if rng.random() < 0.5 else rng.randint(2, 40), i, rng.randint(0, 9), f"s{i}")
             for i in range(4000)]
     df = spark.createDataFrame(rows, "k int, i int, v int, s string").repartition(8)
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # keep many blocks
-    try:
-        slots, _ = slotted(df, ["k", "i"])
-    finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    monkeypatch.setattr(running, "ROWS_PER_BLOCK", 80)  # fifty blocks
+    slots, _ = slotted(df, ["k", "i"])
     assert slots.blocks > 1
     per_block = slots.rows.groupBy(F.shiftright("_slot", 33), "k").count()
     assert per_block.filter("k = 1").count() > 1  # the hot key is spread
@@ -99,7 +99,9 @@ def test_running_before_with_a_hot_key(spark):
         previous[k] = s
 
 
-def test_numbering(spark):
+@pytest.mark.parametrize("block_rows", [1_000_000, 334, 20])
+def test_numbering(spark, monkeypatch, block_rows):
+    monkeypatch.setattr(running, "ROWS_PER_BLOCK", block_rows)
     df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("x")).repartition(7)
     got = assign_numbers(df, ["x"], start=11, name="n").collect()
     assert sorted((r.x, r.n) for r in got) == [(x, x + 11) for x in range(1000)]
@@ -151,6 +153,13 @@ def test_picks(spark):
     assert len(side) == 1 and side[0].product1_stock > 0 and side[0].customer_id is not None
 
 
+def test_picks_keep_their_types(spark):
+    prices = spark.createDataFrame([(bytearray(key(i)), D(f"{i}.25"), f"n{i}") for i in range(3)],
+                                   "id binary, price decimal(10,2), label string")
+    row = pick_side_by_side({"a": (prices, "id", "price"), "b": (prices, "id", "label")}, 7).first()
+    assert row.a_price % 1 == D("0.25") and row.b_label.startswith("n")
+
+
 def test_lookup_and_pick_within(spark):
     dim = spark.createDataFrame([(3, "a"), (1, "a"), (2, "b")], "id int, description string")
     rows = spark.createDataFrame([("a",), ("b",), ("c",)], "zone string")
@@ -166,7 +175,6 @@ def test_lookup_and_pick_within(spark):
 
 
 def test_checkpoint_folder_comes_from_the_session(spark):
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     folder = checkpoint_dir(spark)
-    assert folder == (named.rstrip("/") if named else spark.sparkContext.getCheckpointDir())
+    assert folder == spark.conf.get("spark.checkpoint.dir").rstrip("/")
     assert stage_path(spark, "x").startswith(folder)

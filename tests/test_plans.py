@@ -114,8 +114,13 @@ def test_addresses_by_kind(town_model):
     by_kind = tax.addresses_by_kind(t["owners"], t["links"], t["addresses"], t["kinds"])
     assert by_kind.count() == 6
     wide = tax.addresses_side_by_side(by_kind, {"home": "particular", "billing": "de cobro"})
-    got = {r.surnames: (r.home, r.billing) for r in wide.collect()}
-    assert got["O1"] == ("street 1 1", None) and got["O3"] == ("street 3 3", "street 7 7")
+    got = {(r.surnames, r.position): (r.home, r.billing) for r in wide.collect()}
+    assert got["O1", 1] == ("street 1 1", None) and got["O3", 1] == ("street 3 3", "street 7 7")
+    home = by_kind.filter("surnames = 'O1'").withColumn("street", F.lit("second")).withColumn(
+        "address_id", F.unhex(F.lit("ff")))
+    wide = tax.addresses_side_by_side(by_kind.unionByName(home), {"home": "particular"})
+    assert {(r.position, r.home) for r in wide.filter("surnames = 'O1'").collect()} == {
+        (1, "second 1"), (2, "street 1 1")}
 
 
 def change(event, hour, no, old, new):

@@ -92,13 +92,12 @@ def test_sales_by_origin(m):
     assert {r.origin: r.quantity for r in got} == {"nacional": 1721, "importado": 416}
 
 
-def test_names_per_supplier_in_parts(m):
-    whole = reports.names_per_supplier(m.suppliers, m.products).collect()
-    assert {r["name"]: r.products for r in whole}["S3"] == "product 1, product 5"
-    parts = reports.names_per_supplier(m.suppliers, m.products, names_per_row=3).collect()
-    joined = ", ".join(r.products for r in sorted((r for r in parts if r["name"] == "S2"),
-                                                  key=lambda r: r.part))
-    assert joined == {r["name"]: r.products for r in whole}["S2"]
+def test_names(m):
+    rows = reports.names_per_supplier(m.suppliers, m.products).collect()
+    assert sorted((r.position, r.description) for r in rows if r["name"] == "S3") == [
+        (1, "product 1"), (2, "product 5")]
+    texts = {r.order_no: r.products for r in reports.names_per_order(m.lines, m.products).collect()}
+    assert texts[1] == "product 1, product 2, product 3" and len(texts) == 10
 
 
 def test_stock_after_seed(sold):
