@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from orderdw.functions.ids import bin_to_uuid, stable_key
 from orderdw.operators.running import assign_numbers, number_within, running_before, slotted
 from orderdw.schemas import CANCELLED, CONFIRMED, PENDING
 from orderdw.session import stage_path
-from orderdw.sources.tables import write_table
+from orderdw.sources.tables import write_bucketed, write_table
 from orderdw.sources.testdata import OrderModel, int_key, load_test_table
 
 AS_OF = "2025-05-01 10:00:00"
@@ -151,11 +153,15 @@ def tax_model(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     }
 
 
-def stored_model(spark: SparkSession, m: OrderModel) -> str:
-    """The order model written as its own tables; gives their folder."""
+def stored_model(spark: SparkSession, m: OrderModel) -> tuple[str, dict[str, str]]:
+    """The order model written as its own tables; gives their folder, and the names of those that
+    lie in buckets of the order."""
     folder = stage_path(spark, "oltp")
     orders = m.orders.withColumn("order_date", F.col("order_date").cast("date"))
-    for name, df in {"customers": m.customers, "suppliers": m.suppliers, "products": m.products,
-                     "orders": orders, "lines": m.lines}.items():
+    for name, df in {"customers": m.customers, "suppliers": m.suppliers,
+                     "products": m.products}.items():
         write_table(df, f"{folder}/{name}")
-    return folder
+    names = {name: f"{name}_{uuid4().hex}" for name in ("orders", "lines")}
+    for name, df in {"orders": orders, "lines": m.lines}.items():
+        write_bucketed(df, names[name], f"{folder}/{name}", "order_no", 8)
+    return folder, names

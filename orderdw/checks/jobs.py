@@ -162,7 +162,8 @@ FROM facts f JOIN dates d USING (date_key) JOIN customers c USING (customer_key)
 GROUP BY d.year, d.month, c.name""",
     f"facts AS ({FACTS}), dates AS ({DATES}), customers AS ({CUSTOMERS})"))
 def w5(x):
-    w = warehouse.run_etl(x.spark, stored_model(x.spark, x.m), stage_path(x.spark, "dw"))
+    folder, names = stored_model(x.spark, x.m)
+    w = warehouse.run_etl(x.spark, folder, stage_path(x.spark, "dw"), names)
     return (w["fact_orders"].join(w["dim_dates"], "date_key")
             .join(w["dim_customers"], "customer_key").groupBy("year", "month", "name")
             .agg(F.sum("quantity").alias("quantity"), F.sum("total").alias("total"),

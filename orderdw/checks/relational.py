@@ -55,7 +55,8 @@ def a5(x):
 SELECT surname, count(*) AS order_count FROM m_orders JOIN m_customers USING (customer_id)
 WHERE state = 'confirmado' GROUP BY surname"""))
 def a6(x):
-    register_views(x.spark, stored_model(x.spark, x.m), ["customers", "orders"])
+    folder, names = stored_model(x.spark, x.m)
+    register_views(x.spark, folder, ["customers", "orders"], names)
     return x.spark.sql(
         "SELECT surname, count(*) AS order_count FROM orders JOIN customers USING (customer_id) "
         "WHERE state = :state GROUP BY surname", args={"state": CONFIRMED})

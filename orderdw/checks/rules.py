@@ -6,15 +6,16 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from orderdw.checks.derived import AS_OF, asked_numbers, later_orders, requests
+from orderdw.checks.derived import AS_OF, asked_numbers, later_orders, requests, tax_model
 from orderdw.checks.oracle import AS_OF as AS_OF_SQL, model_sql, rounds, uuid
 from orderdw.checks.registry import query
-from orderdw.functions.ids import bin_to_uuid, hex_text
+from orderdw.functions.ids import bin_to_uuid, hex_text, stable_key
 from orderdw.operators import quality, stock
 from orderdw.operators.allocation import allocate, explain_rejects
 from orderdw.operators.orders import cancel_orders, log_list, order_list, register_orders
 from orderdw.operators.pricing import price_change_report, reprice
 from orderdw.operators.running import assign_numbers
+from orderdw.plans import property_tax as tax, warehouse
 from orderdw.schemas import ORIGINS
 
 TAKES = "new_state = 'confirmado' AND state <> 'confirmado'"
@@ -282,6 +283,73 @@ def d3(x):
     return quality.check_fk(asked_numbers(x.spark, x.folder), x.m.orders, ["order_no"])
 
 
+ROWS = "count(*) || ' rows with this key' AS message"
+ORPHANS = "'no parent for ' || count(*) || ' rows' AS message"
+
+
+@query("d_keys_orders", model_sql(f"""
+SELECT 'lines' AS table_name, 'line_id' AS columns, 'unique' AS rule, line_id AS key,
+       count(*) AS rows, {ROWS} FROM m_lines GROUP BY line_id HAVING count(*) > 1
+UNION ALL
+SELECT 'lines', 'order_no, line_no', 'unique', order_no || '|' || line_no, count(*), {ROWS}
+FROM m_lines GROUP BY order_no, line_no HAVING count(*) > 1
+UNION ALL
+SELECT 'cancel_log', 'order_no', 'foreign_key', CAST(order_no AS VARCHAR), count(*), {ORPHANS}
+FROM (SELECT event_id * 2 AS order_no FROM events UNION ALL SELECT user_id FROM events)
+WHERE order_no NOT IN (SELECT order_no FROM m_orders) GROUP BY order_no"""))
+def keys_orders(x):
+    """The order model, with a log of all orders that someone wanted cancelled."""
+    events = x.table("events")
+    log = events.select(stable_key(F.lit("a"), "event_id").alias("log_id"),
+                        (F.col("event_id") * 2).alias("order_no")).unionByName(
+        events.select(stable_key(F.lit("b"), "event_id").alias("log_id"),
+                      F.col("user_id").alias("order_no"))).withColumn(
+        "cancelled_at", F.lit(AS_OF).cast("timestamp"))
+    m = x.m
+    tables = {"customers": m.customers, "suppliers": m.suppliers, "sellers": m.sellers,
+              "products": m.products, "orders": m.orders, "lines": m.lines}
+    return quality.check_model({**tables, "cancel_log": log})
+
+
+@query("d_keys_warehouse", model_sql(f"""
+SELECT 'fact_orders' AS table_name, 'date_key' AS columns, 'foreign_key' AS rule,
+       md5('date|' || order_date) AS key, count(*) AS rows, {ORPHANS}
+FROM m_lines JOIN m_orders USING (order_no) WHERE order_date NOT IN (
+  SELECT CAST(l_shipdate AS DATE) FROM lineitem) GROUP BY order_date"""))
+def keys_warehouse(x):
+    """Facts against a date dimension of the days on which something was shipped."""
+    m = x.m
+    shipped = x.table("lineitem").select(F.to_date("l_shipdate").alias("order_date"))
+    customers = warehouse.dim_customers(m.customers)
+    products = warehouse.dim_products(m.products, m.suppliers)
+    facts = warehouse.fact_orders(m.lines, m.orders, warehouse.dim_dates(m.orders), customers,
+                                  products)
+    return quality.check_model({"dim_dates": warehouse.dim_dates(shipped),
+                                "dim_customers": customers, "dim_products": products,
+                                "fact_orders": facts})
+
+
+@query("d_keys_tax", model_sql("""
+SELECT 'instalments' AS table_name, 'cadastral_no, year, instalment_no' AS columns,
+       'unique' AS rule, cadastral_no || '|2025|' || m AS key, CAST(2 AS BIGINT) AS rows,
+       '2 rows with this key' AS message
+FROM t_addresses, range(1, 13) r(m) WHERE c_acctbal > 8000
+UNION ALL
+SELECT 'properties', 'type_id', 'foreign_key', md5('zone|' || names), count(*),
+       'no parent for ' || count(*) || ' rows' FROM t_addresses GROUP BY names"""))
+def keys_tax(x):
+    """Instalments that were generated again for the rich, and zones given as property types."""
+    t = tax_model(x.spark, x.folder)
+    properties = t["properties"].withColumn("type_id", F.col("zone_id"))
+    due = tax.generate_instalments(properties, 2025, "1000.00")
+    again = tax.generate_instalments(properties.filter("c_acctbal > 8000"), 2025, "1000.00")
+    return quality.check_model({
+        "owners": t["owners"], "addresses": t["addresses"], "address_kinds": t["kinds"],
+        "property_types": t["types"], "zones": t["zones"], "countries": t["countries"],
+        "provinces": t["provinces"], "towns": t["towns"], "owner_addresses": t["links"],
+        "properties": properties, "instalments": due.unionByName(again)})
+
+
 @query("d4_allowed_values", model_sql("""
 SELECT 'allowed_values' AS rule, product_id AS key, CAST(1 AS BIGINT) AS rows,
        'origin is ' || CASE WHEN stock > 500 THEN 'otro' ELSE origin END AS message

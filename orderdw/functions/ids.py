@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# Start and length of each hex group in the text form and in the bare hex form.
+# Start and length of each hex group in the text form and in the bare hex form, and
+# the pattern of the text form.
 TEXT_GROUPS = [(1, 8), (10, 4), (15, 4), (20, 4), (25, 12)]
 HEX_GROUPS = [(1, 8), (9, 4), (13, 4), (17, 4), (21, 12)]
 UUID_PATTERN = "^[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}$"

@@ -5,13 +5,16 @@ Each check gives rows ``(rule, key, rows, message)``; an empty result means the
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from orderdw.functions.ids import is_uuid
 from orderdw.functions.scalars import STOCK_BOUNDS, message
+from orderdw.schemas import KEYS, TABLES, Keys
 
 
 class BrokenRule(ValueError):
@@ -86,6 +89,34 @@ def check_uuid(df: DataFrame, col: str, keys: Sequence[str]) -> DataFrame:
                                 F.coalesce(F.col(col), F.lit("NULL"))))
 
 
+def check_model(tables: Mapping[str, DataFrame], keys: Mapping[str, Keys] = KEYS,
+                layouts: Mapping[str, StructType] = TABLES) -> DataFrame:
+    """All declared rules of a model at once: required columns, primary, unique and foreign keys.
+
+    ``tables`` are the model's tables by name; a foreign key to a table that is not given is left
+    out. Gives the rows of the single checks with the ``table_name`` and the ``columns`` they are
+    about.
+    """
+    found = []
+
+    def add(name: str, columns: Sequence[str], rows: DataFrame) -> None:
+        found.append(rows.select(F.lit(name).alias("table_name"),
+                                 F.lit(", ".join(columns)).alias("columns"), "*"))
+
+    for name, df in tables.items():
+        own = keys[name]
+        required = [f.name for f in layouts[name].fields if not f.nullable and f.name in df.columns]
+        if required:
+            add(name, required, check_not_null(df, required, own.primary or required))
+        for columns in [own.primary, *own.unique]:
+            if columns:
+                add(name, columns, check_unique(df, columns))
+        for columns, parent, targets in own.foreign:
+            if parent in tables:
+                add(name, columns, check_fk(df, tables[parent], columns, targets))
+    return reduce(DataFrame.unionByName, found)
+
+
 class Deletion(NamedTuple):
     parent: DataFrame
     child: DataFrame

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from orderdw.functions.ids import hex_text
-from orderdw.operators.running import number_within
+from orderdw.operators.running import assign_numbers, number_within
 
 
 def draw(seed: int | str, *cols: Column | str) -> Column:
@@ -60,14 +60,17 @@ def pick_within(df: DataFrame, pool: DataFrame, on: Sequence[str], pool_key: str
     """For each row, a random ``pool_key`` among the pool rows that share ``on``.
 
     The pool is numbered within ``on``; a row draws a number and joins on it, so no list of
-    candidates is ever built. With ``on`` empty the whole pool is eligible.
+    candidates is ever built. With ``on`` empty the whole pool is eligible; its size is then one
+    value, computed as a scalar subquery.
     """
-    if not on:
-        df, pool = df.withColumn("_all", F.lit(1)), pool.withColumn("_all", F.lit(1))
-        on = ["_all"]
-    numbered = (number_within(pool.select(*on, pool_key).dropna(subset=list(on)), on, [pool_key],
-                              "_n").withColumnRenamed(pool_key, name))
-    sizes = numbered.groupBy(*on).agg(F.count("*").alias("_size"))
-    drawn = (df.join(sizes, list(on), "left")
-             .withColumn("_n", draw_below(F.col("_size"), seed, row_key)))
-    return drawn.join(numbered, [*on, "_n"], "left").drop("_n", "_size", "_all")
+    if on:
+        numbered = number_within(pool.select(*on, pool_key).dropna(subset=list(on)), on, [pool_key],
+                                 "_n")
+        sizes = numbered.groupBy(*on).agg(F.count("*").alias("_size"))
+        drawn = df.join(sizes, list(on), "left").withColumn(
+            "_n", draw_below(F.col("_size"), seed, row_key)).drop("_size")
+    else:
+        numbered = assign_numbers(pool.select(pool_key), [pool_key], start=0, name="_n")
+        size = numbered.select(F.count("*")).scalar()
+        drawn = df.withColumn("_n", draw_below(size, seed, row_key))
+    return drawn.join(numbered.withColumnRenamed(pool_key, name), [*on, "_n"], "left").drop("_n")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from orderdw.functions.ids import hex_text, stable_key
@@ -9,6 +11,8 @@ from orderdw.functions.scalars import concat_skip_null, date_of
 from orderdw.operators.stock import with_line_total
 from orderdw.sources.tables import load, write_table
 
+YEAR = "order_year"
+
 
 def dim_dates(orders: DataFrame) -> DataFrame:
     """One row per day with an order, whatever the time of day."""
@@ -34,30 +38,37 @@ def dim_products(products: DataFrame, suppliers: DataFrame) -> DataFrame:
 
 
 def fact_orders(lines: DataFrame, orders: DataFrame, dates: DataFrame, customers: DataFrame,
-                products: DataFrame) -> DataFrame:
+                products: DataFrame, with_year: bool = False) -> DataFrame:
     """One row per order line whose order, day, customer and product are all known.
 
     Day and customer are looked up once per order, so the lines are joined on the order and on the
-    product only.
+    product only. Lines in buckets of the order stay where they are for the first of these.
+    ``with_year`` adds the order's year, to store the facts in one folder per year.
     """
     heads = (orders.select("order_no", "customer_id",
                            date_of(F.col("order_date")).alias("date"))
              .join(dates.select("date", "date_key"), "date")
              .join(customers.select("customer_id", "customer_key"), "customer_id")
-             .select("order_no", "date_key", "customer_key"))
+             .select("order_no", "date_key", "customer_key",
+                     *([F.year("date").alias(YEAR)] if with_year else [])))
     return (with_line_total(lines).select("order_no", "product_id", "quantity", "total")
             .join(heads, "order_no")
             .join(products.select("product_id", "product_key"), "product_id")
-            .select("customer_key", "product_key", "date_key", "quantity", "total"))
+            .select("customer_key", "product_key", "date_key", "quantity", "total",
+                    *([YEAR] if with_year else [])))
 
 
-def run_etl(spark: SparkSession, source: str, target: str) -> dict[str, DataFrame]:
-    """Full refresh of the warehouse. Keys depend on the data only, so it can be run again."""
+def run_etl(spark: SparkSession, source: str, target: str,
+            stored_as: Mapping[str, str] | None = None) -> dict[str, DataFrame]:
+    """Full refresh of the warehouse. Keys depend on the data only, so it can be run again.
+
+    ``stored_as`` names source tables in buckets. The facts lie in a folder per year (``order_year``).
+    """
     def stored(name: str) -> DataFrame:
-        return load(spark, source, name)
+        return load(spark, source, name, stored_as)
 
-    def refresh(name: str, df: DataFrame) -> DataFrame:
-        write_table(df, f"{target}/{name}", mode="overwrite")
+    def refresh(name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
+        write_table(df, f"{target}/{name}", mode="overwrite", partition_by=partition_by)
         return load(spark, target, name)
 
     orders = stored("orders")
@@ -66,5 +77,6 @@ def run_etl(spark: SparkSession, source: str, target: str) -> dict[str, DataFram
             "dim_products": refresh("dim_products",
                                     dim_products(stored("products"), stored("suppliers")))}
     done["fact_orders"] = refresh("fact_orders", fact_orders(
-        stored("lines"), orders, done["dim_dates"], done["dim_customers"], done["dim_products"]))
+        stored("lines"), orders, done["dim_dates"], done["dim_customers"], done["dim_products"],
+        with_year=True), [YEAR])
     return done

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import types as T
 
 ID = T.BinaryType()
@@ -70,6 +72,60 @@ PROPERTY_TAX = {
 
 TABLES = {**ORDERS_MODEL, **WAREHOUSE, **PROPERTY_TAX}
 
+
+class Keys(NamedTuple):
+    """Declared keys of a table: primary, further unique ones, and (columns, parent, its columns)."""
+    primary: tuple[str, ...] = ()
+    unique: tuple[tuple[str, ...], ...] = ()
+    foreign: tuple[tuple[tuple[str, ...], str, tuple[str, ...]], ...] = ()
+
+
+def _to(parent: str, *columns: str, key: str = "id"):
+    return columns, parent, (key,) if len(columns) == 1 else columns
+
+
+ORDERS_KEYS = {
+    "customers": Keys(("customer_id",)),
+    "suppliers": Keys(("supplier_id",)),
+    "sellers": Keys(("seller_id",)),
+    "products": Keys(("product_id",), (), (_to("suppliers", "supplier_id", key="supplier_id"),)),
+    "orders": Keys(("order_id",), (("order_no",),),
+                   (_to("customers", "customer_id", key="customer_id"),
+                    _to("sellers", "seller_id", key="seller_id"))),
+    "lines": Keys(("line_id",), (("order_no", "line_no"),),
+                  (_to("orders", "order_no", key="order_no"),
+                   _to("products", "product_id", key="product_id"))),
+    "cancel_audit": Keys(("audit_id",), (), (_to("orders", "order_id", key="order_id"),)),
+    "cancel_log": Keys(("log_id",), (), (_to("orders", "order_no", key="order_no"),)),
+}
+WAREHOUSE_KEYS = {
+    "dim_dates": Keys(("date_key",)),
+    "dim_products": Keys(("product_key",)),
+    "dim_customers": Keys(("customer_key",)),
+    "fact_orders": Keys((), (), (_to("dim_customers", "customer_key", key="customer_key"),
+                                 _to("dim_products", "product_key", key="product_key"),
+                                 _to("dim_dates", "date_key", key="date_key"))),
+}
+TAX_KEYS = {
+    "owners": Keys(("id",)),
+    "addresses": Keys(("id",), (), (_to("towns", "town_id"),)),
+    "address_kinds": Keys(("id",)),
+    "property_types": Keys(("id",)),
+    "zones": Keys(("id",)),
+    "countries": Keys(("id",)),
+    "provinces": Keys(("id",), (), (_to("countries", "country_id"),)),
+    "towns": Keys(("id",), (), (_to("provinces", "province_id"),)),
+    "owner_addresses": Keys(("owner_id", "address_id", "kind_id"), (),
+                            (_to("owners", "owner_id"), _to("addresses", "address_id"),
+                             _to("address_kinds", "kind_id"))),
+    "properties": Keys(("cadastral_no",), (),
+                       (_to("owners", "owner_id"), _to("addresses", "address_id"),
+                        _to("zones", "zone_id"), _to("property_types", "type_id"))),
+    "instalments": Keys(("cadastral_no", "year", "instalment_no"), (),
+                        (_to("properties", "cadastral_no", key="cadastral_no"),)),
+}
+KEYS = {**ORDERS_KEYS, **WAREHOUSE_KEYS, **TAX_KEYS}
+
 # Layout of the Parquet test tables that the adapter reads.
 NTZ = T.TimestampNTZType()
 REAL = T.DoubleType()

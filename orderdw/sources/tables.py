@@ -11,8 +11,14 @@ from orderdw.schemas import TABLES
 ORDER_RANGE = "order_range"
 
 
-def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A table with its declared layout; nothing is inferred from the files."""
+def load(spark: SparkSession, folder: str, name: str,
+         stored_as: Mapping[str, str] | None = None) -> DataFrame:
+    """A table with its declared layout; nothing is inferred from the files.
+
+    ``stored_as`` names the tables that :func:`write_bucketed` stored; those come with their buckets.
+    """
+    if stored_as and name in stored_as:
+        return spark.table(stored_as[name])
     return spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}")
 
 
@@ -48,11 +54,12 @@ def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int)
      .saveAsTable(table))
 
 
-def register_views(spark: SparkSession, folder: str, names: Iterable[str]) -> list[str]:
+def register_views(spark: SparkSession, folder: str, names: Iterable[str],
+                   stored_as: Mapping[str, str] | None = None) -> list[str]:
     """Local names for tables of another folder, to be used from SQL text."""
     names = list(names)
     for name in names:
-        load(spark, folder, name).createOrReplaceTempView(name)
+        load(spark, folder, name, stored_as).createOrReplaceTempView(name)
     return names
 
 

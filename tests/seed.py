@@ -12,6 +12,7 @@ from orderdw.sources.testdata import OrderModel
 
 D = Decimal
 N, I = "nacional", "importado"
+# The quantities, prices and dates that the expected answers were worked out for.
 PRODUCTS = [  # id, price, stock, max, min, supplier, origin
     (1, "20865.00", 1518, 5000, 500, 3, N), (2, "18999.00", 12497, 15000, 0, 2, N),
     (3, "1487.50", 1213, 12000, 1050, 1, N), (4, "11999.40", 870, 1942, 200, 2, N),

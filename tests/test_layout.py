@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from orderdw.operators.orders import cancel_orders
 from orderdw.operators.stock import apply_moves, stock_moves
-from orderdw.plans import reports
+from orderdw.plans import reports, warehouse
 from orderdw.schemas import ORDERS_MODEL
 from orderdw.session import stage_path
 from orderdw.sources.tables import by_order_range, write_bucketed, write_table
@@ -102,3 +102,66 @@ def test_bucketed_tables_join_unshuffled(spark, skewed):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         for name in ("orders", "lines"):
             spark.sql(f"DROP TABLE IF EXISTS bucketed_{name}")
+
+
+def test_warehouse_load_in_buckets(spark, skewed, monkeypatch):
+    """Bucketed lines are not shuffled for their orders, and a hot product is split."""
+    s, m = skewed, skewed["m"]
+    folder = stage_path(spark, "bucketed")
+    names = {n: f"warehouse_{n}" for n in ("orders", "lines")}
+    for n, name in names.items():
+        write_bucketed(s[n], name, f"{folder}/{n}", "order_no", 4)
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        dims = (warehouse.dim_dates(s["orders"]), warehouse.dim_customers(m.customers),
+                warehouse.dim_products(m.products, m.suppliers))
+        facts = warehouse.fact_orders(spark.table(names["lines"]), spark.table(names["orders"]),
+                                      *dims)
+        plan = facts._jdf.queryExecution().executedPlan().toString()
+        above = plan[:plan.index("warehouse_lines")].splitlines()
+        join = max(i for i, line in enumerate(above) if "SortMergeJoin [order_no" in line)
+        depth = above[join].index("SortMergeJoin")
+        mine = [line for line in above[join + 1:] if len(line) > depth]
+        assert not any("Exchange" in line for line in mine), plan
+        plain = warehouse.fact_orders(s["lines"], s["orders"], *dims)
+        assert sorted(map(tuple, facts.collect()), key=str) == sorted(map(tuple, plain.collect()),
+                                                                      key=str)
+    finally:
+        for k in settings:
+            spark.conf.unset(k)
+
+
+def test_hot_product_is_split_in_the_fact(spark):
+    """Above the limit for skew, the partition of a hot product is read by several tasks."""
+    n = 200_000
+    lines = spark.range(n).select(
+        F.col("id").alias("order_no"), F.lit(1).alias("quantity"), F.lit(1.0).alias("unit_price"),
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 997).alias("product_id"))
+    products = spark.range(997).select(F.col("id").alias("product_id"), F.md5(
+        F.col("id").cast("string")).alias("product_key"))
+    orders = spark.range(n).select(F.col("id").alias("order_no"), F.lit(1).alias("customer_id"),
+                                   F.lit("2025-01-01").alias("order_date"))
+    dates = spark.range(1).select(F.lit(date(2025, 1, 1)).alias("date"), F.lit("d").alias("date_key"))
+    customers = spark.range(1).select(F.lit(1).alias("customer_id"), F.lit("c").alias("customer_key"))
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16",
+                "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k"}
+    kept = {k: spark.conf.get(k) for k in settings if spark.conf.get(k, None) is not None}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        facts = warehouse.fact_orders(lines, orders, dates, customers, products)
+        assert facts.count() == n
+        facts.write.format("noop").mode("overwrite").save()
+        facts.collect()
+        assert "skew=true" in facts._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k in settings:
+            spark.conf.unset(k)
+        for k, v in kept.items():
+            spark.conf.set(k, v)
