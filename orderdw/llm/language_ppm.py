@@ -42,11 +42,13 @@ def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def gram_counts(labelled: DataFrame, train_docs: int = TRAIN_DOCS) -> DataFrame:
     """Counts of four-byte runs per language over a sample of ``labelled`` (doc_id, lang, text):
     the documents whose hash lies in a share that leaves about ``train_docs`` for each language."""
-    sizes = labelled.groupBy("lang").agg(F.count("*").alias("docs"))
-    share = F.least(F.lit(1.0), F.lit(float(train_docs)) / F.col("docs"))
-    picked = (labelled.join(sizes, "lang")
-              .filter(F.pmod(F.xxhash64(F.col("doc_id"), F.lit(7)), F.lit(HASH_STEPS))
-                      < share * HASH_STEPS).select("lang", "text"))
+    sizes = labelled.groupBy("lang").count().collect()  # one row for each language to learn
+    shares = {r["lang"]: min(1.0, train_docs / r["count"]) for r in sizes}
+    if not shares:
+        return labelled.sparkSession.createDataFrame([], "lang string, gram long, n long")
+    share = F.create_map(*[F.lit(x) for pair in shares.items() for x in pair])[F.col("lang")]
+    picked = labelled.filter(F.pmod(F.xxhash64(F.col("doc_id"), F.lit(7)), F.lit(HASH_STEPS))
+                             < share * HASH_STEPS).select("lang", "text")
     return (picked.mapInArrow(_grams, "lang string, gram long, n long")
             .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
 
