@@ -8,7 +8,7 @@ phrase, at one distance from it. Phrases that occur once rule their strings out;
 occur in the same context are repeated as a whole; only for the phrases in between are contexts
 brought together, each different context once, and their suffixes sorted by prefix doubling up to
 LENGTH bytes, where equal neighbours are the repeats. Strings without a whole phrase (texts with few
-triggers, such as runs of one letter) stand for themselves.
+triggers, such as runs of one word) stand for themselves.
 
 Documents travel in compressed blocks, which stay where they were written; hashes, contexts and the
 runs to remove move. No group is larger than the different contexts of a phrase around one string.
@@ -30,8 +30,8 @@ from orderdw.session import cut_lineage
 
 LENGTH, WINDOW, DENSITY = 200, 16, 20  # a trigger at every DENSITY-th byte on average
 GRID = 50  # contexts meet by stretches of so many starting positions
-BLOCK_BYTES, CHUNK_BYTES, SORT_BYTES = 8 << 20, 2 << 20, 4 << 20
-SPOTS = "key long, ihash long, block long, at int, rel int, n int"
+BLOCK_BYTES, CHUNK_BYTES, SORT_BYTES = 4 << 20, 1 << 20, 2 << 20
+SPOTS = "key long, ihash long, block long, at int, rel int, n int, copies int"
 _RANDOM = np.random.Generator(np.random.PCG64(7))
 TABLE = _RANDOM.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 BASE = 0x9E3779B97F4A7C15 | 5
@@ -78,6 +78,7 @@ def spots(data: np.ndarray, ends: np.ndarray, length: int = LENGTH, density: int
 
     ``data`` holds texts that end at ``ends``. A stretch begins at ``at``, ``rel`` bytes from its
     phrase, and has ``n`` positions; ``ihash`` is the hash of all the bytes its strings cover.
+    Positions without a whole phrase are stretches of their own.
     """
     starts = np.concatenate(([0], ends[:-1]))
     none = tuple(np.zeros(0, k) for k in (np.uint64, np.uint64, np.int64, np.int64, np.int64))
@@ -96,8 +97,9 @@ def spots(data: np.ndarray, ends: np.ndarray, length: int = LENGTH, density: int
     phrase = slices(first, last)
     # Positions where the phrases inside a string change: beginnings of texts and of what follows
     # the start of a phrase, and where a phrase comes wholly into view.
-    begins = np.unique(np.concatenate((starts[fits], first + 1, last - length)))
-    begins = begins[begins >= 0]
+    begins = np.sort(np.concatenate((starts[fits], first + 1, last - length)), kind="stable")
+    begins = begins[np.searchsorted(begins, 0):]
+    begins = begins[np.concatenate(([True], begins[1:] != begins[:-1]))]
     text = np.searchsorted(ends, begins, "right")
     begins, text = begins[text < len(ends)], text[text < len(ends)]
     good = begins + length <= ends[text]
@@ -127,21 +129,34 @@ def spots(data: np.ndarray, ends: np.ndarray, length: int = LENGTH, density: int
     out = [key, ihash, at[has], rel, n]
     if not has.all():
         alone = np.concatenate([np.arange(a, b) for a, b in zip(at[~has], end[~has], strict=True)])
-        own = slices(alone, alone + length)
-        fresh = np.ones(len(alone), bool)  # equal neighbours, as in runs of one letter, are one
-        fresh[1:] = (own[1:] != own[:-1]) | (alone[1:] != alone[:-1] + 1)
-        lead = np.flatnonzero(fresh)
-        size = np.diff(np.concatenate((lead, [len(alone)])))
-        key = _mix(own[lead] ^ C2)
-        # A run of equal strings repeats itself, which a stretch of its own cannot tell: one more.
-        twice = np.flatnonzero(size > 1)
-        lead = np.concatenate((lead, lead[twice]))
-        extra = (np.concatenate((key, key[twice])), np.zeros(len(lead), np.uint64), alone[lead],
-                 np.zeros(len(lead), np.int64), np.concatenate((size, size[twice])))
+        zeros = np.zeros(len(alone), np.int64)
+        extra = (_mix(slices(alone, alone + length) ^ C2), zeros.view(np.uint64), alone, zeros,
+                 zeros + 1)
         out = [np.concatenate(pair) for pair in zip(out, extra, strict=True)]
     return tuple(out)
 
 
+def _told_apart(spots_: tuple[np.ndarray, ...]) -> tuple[tuple[np.ndarray, ...], np.ndarray,
+                                                         np.ndarray, np.ndarray]:
+    """Each different stretch once, how often it is there (2: or more), and the runs (at, n) of the
+    positions whose stretch is there more than once."""
+    key, ihash, at, rel, n = spots_
+    one = _mix(key ^ _mix(ihash + C3))
+    order = np.argsort(one, kind="stable")
+    new = np.ones(len(one), bool)
+    new[1:] = one[order[1:]] != one[order[:-1]]
+    lead = np.flatnonzero(new)
+    size = np.diff(np.concatenate((lead, [len(one)])))
+    known = np.sort(order[np.repeat(size > 1, size)])
+    known = known[np.argsort(at[known], kind="stable")]
+    lo, count = at[known], n[known]
+    fresh = np.ones(len(lo), bool)
+    fresh[1:] = lo[1:] != lo[:-1] + count[:-1]
+    head = np.flatnonzero(fresh)
+    runs = np.add.reduceat(count, head) if len(head) else count
+    return (tuple(x[order[lead]] for x in spots_), np.minimum(size, 2), lo[head], runs)
+
+
 def _block_texts(data: pa.Buffer) -> tuple[np.ndarray, np.ndarray, list[pa.RecordBatch]]:
     """The bytes of all texts of a block one after the other, and where each ends."""
     parts = unpacked(data)
@@ -182,20 +197,28 @@ def _spot_rows(length: int, density: int):
                 while done < len(ends):  # whole texts, about CHUNK_BYTES at a time
                     upto = max(done + 1, int(np.searchsorted(ends, lo + CHUNK_BYTES, "right")))
                     part = data[lo:ends[upto - 1]]
-                    key, ihash, at, rel, n = spots(part, ends[done:upto] - lo, length, density)
+                    (key, ihash, at, rel, n), copies, begin, run = _told_apart(
+                        spots(part, ends[done:upto] - lo, length, density))
+                    names = ["key", "ihash", "block", "at", "rel", "n", "copies"]
+                    block = batch.column(0)[row].as_py()
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(key.view(np.int64)), pa.array(ihash.view(np.int64)),
-                         pa.array(np.full(len(key), batch.column(0)[row].as_py(), np.int64)),
-                         pa.array((at + lo).astype(np.int32)), pa.array(rel.astype(np.int32)),
-                         pa.array(n.astype(np.int32))],
-                        ["key", "ihash", "block", "at", "rel", "n"])
+                         pa.array(np.full(len(key), block, np.int64)),
+                         *[pa.array(x.astype(np.int32)) for x in (at + lo, rel, n, copies)]], names)
+                    none = len(begin)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.nulls(none, pa.int64()), pa.nulls(none, pa.int64()),
+                         pa.array(np.full(none, block, np.int64)),
+                         pa.array((begin + lo).astype(np.int32)), pa.nulls(none, pa.int32()),
+                         pa.array(run.astype(np.int32)), pa.nulls(none, pa.int32())], names)
                     lo, done = int(ends[upto - 1]), upto
     return rows
 
 
-def _contexts(length: int, grid: int):
-    """Contexts of a block's open stretches, cut where ``rel`` passes a multiple of ``grid``. All
-    strings of a cut share the bytes between them; their hash joins the key."""
+def _cores(length: int, grid: int):
+    """A block's open stretches, cut where ``rel`` passes a multiple of ``grid``, as (core, block,
+    at, n). All strings of a cut share the bytes between them; core is the hash of these and of the
+    phrase, so only cuts with one core can hold equal strings."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
@@ -214,16 +237,29 @@ def _contexts(length: int, grid: int):
                     keys.append(key[on])
                     anchors.append(phrase[on] + cut[on] * grid)
                 first, stop, key, anchor = map(np.concatenate, (firsts, stops, keys, anchors))
-                slices = _Slices(data)
-                core = slices(anchor + grid - 1, anchor + length)
-                core = _mix(core ^ key.view(np.uint64))
-                texts = [data[a:b + length - 1].tobytes()
-                         for a, b in zip(first.tolist(), stop.tolist(), strict=True)]
+                core = _mix(_Slices(data)(anchor + grid - 1, anchor + length) ^ key.view(np.uint64))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(core.view(np.int64)),
                      pa.array(np.full(len(core), batch.column(2)[row].as_py(), np.int64)),
-                     pa.array(first.astype(np.int32)), pa.array((first - anchor).astype(np.int32)),
-                     pa.array(texts, pa.binary())], ["core", "block", "at", "rel", "context"])
+                     pa.array(first.astype(np.int32)), pa.array((stop - first).astype(np.int32))],
+                    ["core", "block", "at", "n"])
+    return rows
+
+
+def _contexts(length: int):
+    """The bytes that the strings of the asked cuts cover."""
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                data, _, _ = _block_texts(batch.column(0)[row].as_buffer())
+                asked = batch.column(1)[row].values
+                at, n = asked.field("at").to_pylist(), asked.field("n").to_pylist()
+                texts = [data[a:a + k + length - 1].tobytes() for a, k in zip(at, n, strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [asked.field("core"),
+                     pa.array(np.full(len(at), batch.column(2)[row].as_py(), np.int64)),
+                     asked.field("at"), pa.array(texts, pa.binary())],
+                    ["core", "block", "at", "context"])
     return rows
 
 
@@ -248,11 +284,11 @@ def suffix_ranks(data: np.ndarray, length: int) -> np.ndarray:
 def _repeats(length: int):
     """Of contexts sorted by core: the runs of starting positions whose strings are equal to one of
     another context."""
-    def resolve(rows: list[tuple[int, int, int, int, bytes]]) -> pa.RecordBatch:
+    def resolve(rows: list[tuple[int, int, int, bytes]]) -> pa.RecordBatch:
         """Cores, one after the other; positions count only within a core."""
         out: tuple[list[int], list[int], list[int]] = ([], [], [])
-        data = np.frombuffer(b"".join(r[4] for r in rows), np.uint8)
-        sizes = np.array([len(r[4]) for r in rows])
+        data = np.frombuffer(b"".join(r[3] for r in rows), np.uint8)
+        sizes = np.array([len(r[3]) for r in rows])
         begin = np.cumsum(sizes) - sizes
         many = sizes - length + 1
         ranks = suffix_ranks(data, length)
@@ -281,12 +317,12 @@ def _repeats(length: int):
         held: list[tuple] = []
         size = 0
         for batch in batches:
-            for row in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
+            for row in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
                 if size >= SORT_BYTES and row[0] != held[-1][0]:
                     yield resolve(held)
                     held, size = [], 0
                 held.append(row)
-                size += len(row[4])
+                size += len(row[3])
         if held:
             yield resolve(held)
     return rows
@@ -344,26 +380,32 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, density: int = DENSIT
         _make_blocks(block_bytes), "block long, texts binary"), "block", "text_blocks")
     found = cut_lineage(blocks.select("block", "texts").mapInArrow(
         _spot_rows(length, density), SPOTS), "spots")
+    once = found.filter("key is not null")
     # Once: no repeat. Several times with one context: repeats as a whole. Else: open.
-    keys = found.groupBy("key").agg(F.count("*").alias("spots"), F.min("ihash").alias("lo"),
-                                    F.max("ihash").alias("hi")).filter("spots > 1")
-    met = cut_lineage(found.join(keys.select("key", (F.col("lo") < F.col("hi")).alias("open")),
-                                 "key"), "spots-met")
+    keys = once.groupBy("key").agg(F.sum("copies").alias("copies"), F.min("ihash").alias("lo"),
+                                   F.max("ihash").alias("hi")).filter("copies > 1")
+    met = cut_lineage(once.join(keys.select("key", (F.col("lo") < F.col("hi")).alias("open")),
+                                "key"), "spots-met")
     same = met.filter("open").groupBy("key", "ihash").agg(
-        F.count("*").alias("spots"), F.min(F.struct("block", "at", "rel", "n")).alias("spot"))
+        F.sum("copies").alias("copies"), F.min(F.struct("block", "at", "rel", "n")).alias("spot"))
     same = cut_lineage(same, "spots-open")
     whole = met.filter("not open").select("block", "at", "n")
-    known = (met.filter("open").join(same.filter("spots > 1").select("key", "ihash"),
+    known = (met.filter("open").join(same.filter("copies > 1").select("key", "ihash"),
                                      ["key", "ihash"], "left_semi").select("block", "at", "n"))
     asked = same.groupBy(F.col("spot.block").alias("block")).agg(
         F.collect_list(F.struct("key", "spot.at", "spot.rel", "spot.n")).alias("asked"))
-    contexts = (blocks.join(asked, "block").select("texts", "asked", "block")
-                .mapInArrow(_contexts(length, grid),
-                            "core long, block long, at int, rel int, context binary"))
+    cores = cut_lineage(blocks.join(asked, "block").select("texts", "asked", "block").mapInArrow(
+        _cores(length, grid), "core long, block long, at int, n int"), "cores")
+    shared = cores.groupBy("core").count().filter("count > 1")
+    asked = cores.join(shared, "core", "left_semi").groupBy("block").agg(
+        F.collect_list(F.struct("core", "at", "n")).alias("asked"))
+    contexts = blocks.join(asked, "block").select("texts", "asked", "block").mapInArrow(
+        _contexts(length), "core long, block long, at int, context binary")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     partly = (contexts.repartition(parts, "core").sortWithinPartitions("core")
               .mapInArrow(_repeats(length), "block long, at int, n int"))
-    runs = (whole.unionByName(known).unionByName(partly).groupBy("block")
+    local = found.filter("key is null").select("block", "at", "n")
+    runs = (whole.unionByName(known).unionByName(partly).unionByName(local).groupBy("block")
             .agg(F.collect_list(F.struct("at", "n")).alias("runs")))
     return (blocks.join(runs, "block", "left").select("texts", "runs").mapInArrow(
         _remove(length, with_text), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, "
