@@ -37,10 +37,11 @@ OTHER_PARTS = frozenset(
     "adv advert advertisement adsense sponsor sponsored promo promotion banner cookie cookies "
     "consent gdpr notice alert popup modal overlay newsletter subscribe subscription signup login "
     "search share sharing social related recommended recommendations trending pagination pager "
-    "toolbar skip hidden".split())
+    "toolbar skip hidden disclaimer copyright legal teaser teasers".split())
 COMMENTS = frozenset("comment comments commentlist respond replies disqus discussion".split())
 HEADERS = frozenset(["header", "topbar"])
 CONTENT = frozenset("article content post entry story main".split())
+STATES = frozenset("has with without no is".split())  # a class such as has-sidebar names no part
 ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu "
                   "menubar alertdialog".split())
 LARGE = frozenset(["html", "body", "main", "article"])
@@ -75,25 +76,33 @@ class _Page(HTMLParser):
             return True
         if tag == "header" and not inside:
             return True
-        if tag in LARGE:
-            return False
-        named: set[str] = set()
         for key, value in attrs:
             value = (value or "").lower()
             if key in ("class", "id"):
-                named.update(WORD.findall(value))
-            elif key == "role" and value in ROLES:
-                return True
-            elif (key == "hidden" or key == "aria-hidden" and value == "true"
+                if any(self._other_part(tag, name, inside) for name in value.split()):
+                    return True
+            elif tag in LARGE:
+                continue
+            elif (key == "role" and value in ROLES or key == "hidden"
+                  or key == "aria-hidden" and value == "true"
                   or key == "style" and "display:none" in value.replace(" ", "")):
                 return True
-        if not named:
+        return False
+
+    @staticmethod
+    def _other_part(tag: str, name: str, inside: bool) -> bool:
+        """Whether a class or id names something else than the article: its last word does, or any
+        of its words if none speaks of content."""
+        words = WORD.findall(name)
+        if not words or words[0] in STATES:
             return False
-        if named & COMMENTS:
+        if tag in LARGE:  # of these only an article can be a comment
+            return tag == "article" and not COMMENTS.isdisjoint(words)
+        if not COMMENTS.isdisjoint(words) or words[-1] in OTHER_PARTS:
             return True
-        if named & CONTENT:
+        if not CONTENT.isdisjoint(words):
             return False
-        return bool(named & OTHER_PARTS) or bool(named & HEADERS) and not inside
+        return not OTHER_PARTS.isdisjoint(words) or not inside and not HEADERS.isdisjoint(words)
 
     def _close_to(self, depth: int) -> None:
         for at in self.stack[depth:]:

@@ -15,6 +15,12 @@ LONG = "A sentence that goes on, with commas, for long enough to be the text of
     ("<article><div class='cookie-notice'>ok?</div><form>name<input></form><p>x</p></article>", "x"),
     ("<p>unclosed <b>bold <i>both</p><p>next", "unclosed bold both\n\nnext"),
     ("<ul><li>a<li>b</ul>", "a\n\nb"),
+    ("<body class='single comments-open'><div class='wrap has-sidebar'><div class='post-content'>"
+     "<p>x</p><div class='article-footer'>y</div></div><div id=main-sidebar>z</div>", "x"),
+    ("<article><p>x</p><article class=comment><p>c</p></article></article>", "x"),
+    ("<div class=post><div class=entry-header><h1>T</h1></div><p>x</p></div>"
+     "<div class=site-header>s</div>", "T\n\nx"),
+    ("<article><p>x<p hidden>h<p>y<div role=alert>a</div><p class='ad'>ad</p></article>", "x\n\ny"),
     ("<article><header><h1>T</h1></header><p>x</p></article>", "T\n\nx"),
 ])
 def test_small_pages(html, want):
