@@ -11,7 +11,7 @@ import decimal
 import sys
 import time
 
-from orderdw.session import build_session
+from orderdw.session import build_session, drop_stages
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
@@ -80,6 +80,7 @@ def main(folder: str, only: list[str]) -> int:
             ok, told = False, f"{type(e).__name__}: {str(e)[:600]}"
         bad += not ok
         print(f"{'ok  ' if ok else 'BAD '} {name} {time.time() - started:.1f}s {told}", flush=True)
+    drop_stages(spark)
     print(f"{bad} bad")
     return bad
 

@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 from orderdw.operators.allocation import allocate, explain_rejects
 from orderdw.operators.orders import cancel_orders, order_list, register_orders
 from orderdw.operators.pricing import price_change_report, price_listing, reprice
-from orderdw.operators.quality import (BrokenRule, check_fk, check_not_null, check_stock_bounds,
-                                       check_unique, check_uuid, check_values,
-                                       delete_with_children, enforce)
+from orderdw.operators.quality import (BrokenRule, check_fk, check_model, check_not_null,
+                                       check_stock_bounds, check_unique, check_uuid,
+                                       check_values, delete_with_children, enforce)
 from orderdw.operators.stock import (apply_moves, cancel_audit, cancel_log, stamp_price,
                                      stock_moves, with_line_total)
 from orderdw.plans import reports
+from orderdw.schemas import Keys
 from seed import ORDERS, key, number, seed, uuid_text
 
 AFTER = {1: 1368, 2: 12465, 3: 980, 4: 818, 5: 1752, 6: 33, 7: 175, 8: 1, 9: 856, 10: 838}
@@ -243,3 +244,27 @@ def test_register(spark, m, sold):
     # Confirming what was registered moves nothing more.
     confirmed = got.orders.withColumn("state", F.lit("confirmado"))
     assert stock_moves(got.orders, confirmed, got.lines).count() == 0
+
+
+def test_declared_keys(spark, m):
+    tables = {"customers": m.customers, "suppliers": m.suppliers, "sellers": m.sellers,
+              "products": m.products, "orders": m.orders, "lines": m.lines}
+    assert check_model(tables).count() == 0
+    tables["lines"] = m.lines.unionByName(m.lines.filter("order_no = 2"))
+    tables["sellers"] = m.sellers.filter(F.col("seller_id") != F.lit(bytes(key(1))))
+    tables["orders"] = m.orders.withColumn("state", F.when(F.col("order_no") != 3, F.col("state")))
+    found = {(r.table_name, r.columns, r.rule) for r in check_model(tables).collect()}
+    assert ("lines", "line_id", "unique") in found
+    assert ("lines", "order_no, line_no", "unique") in found
+    assert ("orders", "seller_id", "foreign_key") in found
+    assert any(t == "orders" and rule == "not_null" for t, _, rule in found)
+
+
+def test_compound_foreign_key(spark):
+    keys = {"parent": Keys(("a", "b")), "child": Keys((), (), ((("a", "b"), "parent", ("a", "b")),))}
+    layout = "a int, b int"
+    parent = spark.createDataFrame([(1, 1), (1, 2)], layout)
+    child = spark.createDataFrame([(1, 1), (2, 1), (2, 1), (None, 1)], layout)
+    got = check_model({"parent": parent, "child": child}, keys,
+                      {"parent": parent.schema, "child": child.schema}).collect()
+    assert [(r.table_name, r.key, r.rows) for r in got] == [("child", "2|1", 2)]
