@@ -11,13 +11,14 @@ them into the word's ids:
 
 Documents travel in compressed blocks of bounded size. A block asks for each of its words once, and
 the answers come back to the block, so no task holds the whole dictionary and frequent words are
-asked for once per block, not once per occurrence.
+asked for once per block, not once per occurrence. Requests and answers are packed by word bucket.
 """
 
 from __future__ import annotations
 
 import heapq
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -31,10 +32,13 @@ from orderdw.llm.common import bucketed, packed, table, unpacked
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-BLOCK_BYTES = 32 << 20
-LONG_WORD = 60  # longer words are folded by a plain function, for a bit mask holds no more
+BLOCK_BYTES = 12 << 20
+BETWEEN = "\x01"  # stands between the words of a request; words that hold it are encoded as long ones
+HASHED_GROUPS, WORDS_HASHED = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold", 100_000
+LONG_WORD = 60  # longer words are encoded beside their texts, for a bit mask holds no more
 ASKING_BLOCKS = 4096  # a word is answered for so many blocks at once
 UNKNOWN_PENALTY = 10.0
+NO_PIECE = (1 << 20) - 1  # the rank and id of a character without a piece
 UNITS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 PARTS = re.compile(f"{SPACE}*(?:[^\\W\\d_]+|(?:[^\\w{SPACE}]|[\\d_])+)|{SPACE}+")
 
@@ -54,6 +58,8 @@ class Vocabulary:
         whole = [p for p, _, _ in self.pieces]
         if any(re.search(f"[^{SPACE}]{SPACE}", p) for p in whole):
             raise ValueError("a piece spans the end of a word")
+        if any(i >= NO_PIECE for _, i, _ in self.pieces):
+            raise ValueError("an edge has room for ids below a million")
         self.fine = all(len(PARTS.findall(p)) == 1 for p in whole)
         self.longest = max(map(len, whole), default=1)
         order = {s: n for n, s in enumerate(sorted({-s for _, _, s in self.pieces}))}
@@ -64,8 +70,25 @@ class Vocabulary:
         return PARTS.findall(unit) if self.fine else [unit]
 
     def frame(self, spark: SparkSession) -> DataFrame:
-        rows = [(p, i, self.ranks[p][0], float(s)) for p, i, s in self.pieces]
-        return spark.createDataFrame(rows, "piece string, id int, rank int, score double")
+        rows = [(p, i, self.ranks[p][0], float(s), self.late(p)) for p, i, s in self.pieces]
+        return spark.createDataFrame(
+            rows, "piece string, id int, rank int, score double, late boolean")
+
+    def reaches(self, slots: int = 1 << 16) -> list[int]:
+        """For each hash of three first characters, the length of the longest piece with them."""
+        out = [min(2, self.longest)] * slots
+        for piece, _, _ in self.pieces:
+            slot = zlib.crc32(piece[:3].encode("utf-8", "surrogatepass")) % slots
+            out[slot] = max(out[slot], len(piece))
+        return out
+
+    def late(self, piece: str) -> bool:
+        """Whether parts of the piece may be merged after its own turn."""
+        mine = self.ranks[piece][0]
+        return any(len(part) > 1 and self.ranks[part][0] >= mine
+                   for k in range(1, len(piece))
+                   if piece[:k] in self.ranks and piece[k:] in self.ranks
+                   for part in (piece[:k], piece[k:]))
 
 
 def load_vocabulary(path: str = MODEL, kind: str = "bpe") -> Vocabulary:
@@ -157,21 +180,48 @@ def _bit(position: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("long"), position)
 
 
+def _start(code: Column) -> Column:
+    return F.shiftright(code, 26).bitwiseAND(F.lit(63).cast("long")).cast("int")
+
+
+def _end(code: Column) -> Column:
+    return F.shiftright(code, 20).bitwiseAND(F.lit(63).cast("long")).cast("int")
+
+
+def _ends(code: Column) -> Column:
+    return _bit(_start(code)).bitwiseOR(_bit(_end(code)))
+
+
+def _inner(code: Column) -> Column:
+    return _bit(_end(code)) - _bit(_start(code) + 1)
+
+
 def _merged(edges: Column, n: Column) -> Column:
     """Boundaries (bits) that are left when the best available edge is merged until none is.
 
     Edges are in order of rank and start; one is available when it begins and ends at a boundary and
-    has exactly one boundary inside."""
+    has exactly one boundary inside. One pass in this order merges the same edges, unless an edge
+    comes up too early, with more boundaries inside, whose parts may be merged after its turn. The
+    pass marks words where that could be; those are merged step by step.
+    """
     every = _bit(n) + _bit(n) - 1
+    too_early = F.lit(1 << 62).cast("long")
+
+    def take(mask: Column, code: Column) -> Column:
+        inside = F.bit_count(mask.bitwiseAND(_inner(code)))
+        at_ends = mask.bitwiseAND(_ends(code)) == _ends(code)
+        return F.when((inside == 1) & at_ends, mask.bitwiseAND(F.bitwise_not(_inner(code)))).when(
+            (inside > 1) & (code < 0) & at_ends, mask.bitwiseOR(too_early)).otherwise(mask)
 
     def step(mask: Column, _: Column) -> Column:
-        ready = F.filter(edges, lambda e: (
-            (mask.bitwiseAND(e["ends"]) == e["ends"])
-            & (F.bit_count(mask.bitwiseAND(e["inner"])) == 1)))
-        return mask.bitwiseAND(F.bitwise_not(F.coalesce(F.get(ready, F.lit(0))["inner"],
-                                                        F.lit(0).cast("long"))))
+        ready = F.get(F.filter(edges, lambda c: (
+            F.bit_count(mask.bitwiseAND(_inner(c))) == 1)
+            & (mask.bitwiseAND(_ends(c)) == _ends(c))), F.lit(0))
+        return F.when(ready.isNull(), mask).otherwise(
+            mask.bitwiseAND(F.bitwise_not(_inner(ready))))
 
-    return F.aggregate(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), every, step)
+    return F.aggregate(edges, every, take, lambda once: F.when(once < too_early, once).otherwise(
+        F.aggregate(F.sequence(F.lit(1), n), every, step)))
 
 
 def _best_path(edges: Column, n: Column) -> Column:
@@ -190,130 +240,215 @@ def _best_path(edges: Column, n: Column) -> Column:
     return F.element_at(states, -1)["mask"]
 
 
+def _of_single(vocabulary: Vocabulary, char: Column) -> Column:
+    """The id of a one-character piece, or NO_PIECE: a place in an array, by code point."""
+    low, high = [NO_PIECE] * (1 << 16), {}
+    for piece, i, _ in vocabulary.pieces:
+        if len(piece) == 1:
+            if ord(piece) < len(low):
+                low[ord(piece)] = i
+            else:
+                high[ord(piece)] = i
+    point = F.ascii(char)
+    found = F.get(F.split(F.lit(",".join(map(str, low))), ",").cast("array<int>"), point)
+    if high:
+        others = F.create_map(*[F.lit(x) for pair in high.items() for x in pair])
+        found = F.when(point >= len(low), F.get(F.array(others[point]), F.lit(0))).otherwise(found)
+    return F.coalesce(found, F.lit(NO_PIECE))
+
+
+def _substrings(words: DataFrame, reaches: list[int], shortest: int) -> DataFrame:
+    """The substrings (piece) of words that can be pieces of ``shortest`` characters or more, with
+    start and end; and for each word one row with its first character, which alone carries its asks."""
+    n = F.length("word")
+    # How long a piece with these first three characters can be, by their hash; two if none has them.
+    reach = F.get(F.split(F.lit(",".join(map(str, reaches))), ",").cast("array<int>"), F.pmod(
+        F.crc32(F.expr("substring(word, start + 1, 3)").cast("binary")), F.lit(len(reaches)))
+        .cast("int"))
+    return (words.withColumn("start", F.explode(F.sequence(F.lit(0), n - 1)))
+            .withColumn("end", F.explode(F.sequence(
+                F.col("start") + 1, F.least(n, F.col("start") + reach))))
+            .filter((F.col("end") >= F.col("start") + shortest) | (F.col("end") == 1))
+            .withColumn("asks", F.when(F.col("end") == 1, F.col("asks")))
+            .withColumn("piece", F.expr("substring(word, start + 1, end - start)")))
+
+
+def _ids(vocabulary: Vocabulary, starts_and_ids: Column) -> Column:
+    """Ids of (start << 20 | id) in order, with the bytes of characters that have no piece."""
+    def plain(x: Column) -> Column:
+        return x.bitwiseAND(F.lit(NO_PIECE).cast("long")).cast("int")
+
+    def unknown(x: Column) -> Column:
+        if vocabulary.first_byte is None:
+            return F.array(F.lit(vocabulary.unknown))
+        byte = F.hex(F.substring("word", F.shiftright(x, 20).cast("int") + 1, F.lit(1)))
+        return F.transform(F.sequence(F.lit(1), F.length(byte), F.lit(2)), lambda i: (
+            F.conv(F.substring(byte, i, F.lit(2)), 16, 10).cast("int") + vocabulary.first_byte))
+
+    strange = F.exists(starts_and_ids, lambda x: plain(x) == NO_PIECE)
+    return F.when(~strange, F.transform(starts_and_ids, plain)).otherwise(
+        F.flatten(F.transform(starts_and_ids, lambda x: F.when(
+            plain(x) == NO_PIECE, unknown(x)).otherwise(F.array(plain(x))))))
+
+
 def encode_words(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """``words`` (distinct rows of word, salt, asks) with the ids of each word.
+    """``words`` (distinct rows of bucket, word, asks; no word above LONG_WORD) with ``ids``.
 
-    The rows should lie together by (word, salt); the substrings then stay where their word is.
+    The rows should be partitioned by bucket: substrings and edges then stay where their word is.
+    An edge of a merge model is one number: rank, start, end and id. Once edges are in order, a
+    negative sign marks pieces that could be merged after their turn.
     """
-    spark = words.sparkSession
-    pieces = F.broadcast(vocabulary.frame(spark))  # as large as the vocabulary
-    short = words.filter(F.length("word") <= LONG_WORD)
+    pieces = F.broadcast(vocabulary.frame(words.sparkSession))  # as large as the vocabulary
+    return (_encode_merges if vocabulary.kind == "bpe" else _encode_best)(words, pieces, vocabulary)
+
+
+def _encode_merges(words: DataFrame, pieces: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     n = F.length("word")
-    tried = (short.withColumn("start", F.explode(F.sequence(F.lit(0), n - 1)))
-             .withColumn("end", F.explode(F.sequence(
-                 F.col("start") + 1, F.least(n, F.col("start") + vocabulary.longest))))
-             .withColumn("piece", F.expr("substring(word, start + 1, end - start)")))
-    met = (tried.join(pieces, "piece", "left")
-           .filter("id is not null or end = start + 1")
-           .withColumn("score", F.coalesce("score", F.lit(vocabulary.lowest - UNKNOWN_PENALTY))))
-    ends = _bit(F.col("start")).bitwiseOR(_bit(F.col("end")))
-    inner = _bit(F.col("end")) - _bit(F.col("start") + 1)
-    edge = F.struct("rank", "start", "end", "id", "score", ends.alias("ends"),
-                    inner.alias("inner"))
-    lattices = met.groupBy("word", "salt").agg(F.first("asks").alias("asks"), F.sort_array(
-        F.collect_list(edge)).alias("edges"))
-    fold = _merged if vocabulary.kind == "bpe" else _best_path
-    cut = lattices.withColumn("mask", fold(F.col("edges"), n))
-    used = F.filter("edges", lambda e: (
-        (F.col("mask").bitwiseAND(e["ends"]) == e["ends"])
-        & (F.col("mask").bitwiseAND(e["inner"]) == 0)))
-    used = F.array_sort(F.transform(used, lambda e: F.struct(e["start"], e["id"])))
-    if vocabulary.first_byte is None:
-        unknown = lambda _: F.array(F.lit(vocabulary.unknown))
-    else:
-        def unknown(start: Column) -> Column:
-            code = F.hex(F.substring("word", start + 1, F.lit(1)))
-            return F.transform(F.sequence(F.lit(1), F.length(code), F.lit(2)), lambda i: (
-                F.conv(F.substring(code, i, F.lit(2)), 16, 10).cast("int")
-                + vocabulary.first_byte))
-    ids = F.flatten(F.transform(used, lambda e: F.when(
-        e["id"].isNull(), unknown(e["start"])).otherwise(F.array(e["id"]))))
-    folded = cut.select("word", "asks", ids.alias("ids"))
-    shared = spark.sparkContext.broadcast(vocabulary)
+    met = (_substrings(words, vocabulary.reaches(), 2).join(pieces, "piece", "left")
+           .filter("id is not null and end > start + 1 or end = 1"))
+    code = F.col("rank").cast("long")
+    for name, bits in (("start", 6), ("end", 6), ("id", 20)):
+        code = F.shiftleft(code, bits).bitwiseOR(F.col(name).cast("long"))
+    lattices = met.groupBy("bucket", "word").agg(
+        F.first("asks", ignorenulls=True).alias("asks"), F.sort_array(F.collect_list(
+            F.when(F.col("end") > F.col("start") + 1, F.struct(
+                code.alias("code"), F.col("late"))))).alias("edges"))
+    # The order is by code; the mark goes into its sign afterwards.
+    lattices = lattices.withColumn("edges", F.transform("edges", lambda e: F.when(
+        e["late"], e["code"].bitwiseOR(F.lit(-(1 << 63)).cast("long"))).otherwise(e["code"])))
+    cut = lattices.withColumn("mask", _merged(F.col("edges"), n))
+    mask = F.col("mask")
+
+    def named(start: Column, piece: Column) -> Column:
+        return F.shiftleft(start.cast("long"), 20).bitwiseOR(piece.cast("long"))
+
+    used = F.transform(
+        F.filter("edges", lambda c: (mask.bitwiseAND(_ends(c)) == _ends(c))
+                 & (mask.bitwiseAND(_inner(c)) == 0)),
+        lambda c: named(_start(c), c.bitwiseAND(F.lit(NO_PIECE).cast("long"))))
+    alone = F.transform(
+        F.filter(F.sequence(F.lit(0), n - 1), lambda i: F.bit_count(
+            mask.bitwiseAND(_bit(i) + _bit(i + 1))) == 2),
+        lambda i: named(i, _of_single(vocabulary, F.substring("word", i + 1, F.lit(1)))))
+    return cut.select("bucket", "word", "asks",
+                      F.sort_array(F.concat(used, alone)).alias("used")).select(
+        "bucket", "word", "asks", _ids(vocabulary, F.col("used")).alias("ids"))
+
+
+def _encode_best(words: DataFrame, pieces: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    n = F.length("word")
+    met = (_substrings(words, vocabulary.reaches(), 1).join(pieces, "piece", "left")
+           .filter("id is not null or end = start + 1"))
+    edge = F.struct("start", "end", F.coalesce("id", F.lit(NO_PIECE)).alias("id"), F.coalesce(
+        "score", F.lit(vocabulary.lowest - UNKNOWN_PENALTY)).alias("score"))
+    cut = met.groupBy("bucket", "word").agg(
+        F.first("asks", ignorenulls=True).alias("asks"), F.collect_list(edge).alias("edges")
+    ).withColumn("mask", _best_path(F.col("edges"), n))
 
-    def long_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [encode_long(shared.value, w) for w in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int32()))],
-                ["word", "asks", "ids"])
+    def on_path(e: Column) -> Column:
+        return F.col("mask").bitwiseAND(_bit(e["end"] + 1) - _bit(e["start"])) == (
+            _bit(e["start"]).bitwiseOR(_bit(e["end"])))
 
-    rest = words.filter(F.length("word") > LONG_WORD).select("word", "asks").mapInArrow(
-        long_words, "word string, asks array<struct<block: bigint, number: int>>, ids array<int>")
-    return folded.unionByName(rest)
+    used = F.sort_array(F.transform(F.filter("edges", on_path), lambda e: F.shiftleft(
+        e["start"].cast("long"), 20).bitwiseOR(e["id"].cast("long"))))
+    return cut.select("bucket", "word", "asks", _ids(vocabulary, used).alias("ids"))
 
 
-def _blocks(vocabulary, block_bytes: int):
-    """Blocks (block, words, texts) of the rows of a partition."""
+def _blocks(block_bytes: int):
+    """The rows of a partition as blocks (block, texts) of bounded size."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        units: dict[str, None] = {}
-        size = 0
+        held, size = [], 0
 
         def block() -> pa.RecordBatch:
             data = packed(held)
-            words = list(_numbered(vocabulary.value, units))
-            number = xxhash.xxh64_intdigest(data)
             return pa.RecordBatch.from_arrays(
-                [pa.array([number - (1 << 63)], pa.int64()),
-                 pa.array([words], pa.list_(pa.string())), pa.array([data], pa.binary())],
-                ["block", "words", "texts"])
+                [pa.array([xxhash.xxh64_intdigest(data) - (1 << 63)], pa.int64()),
+                 pa.array([data], pa.binary())], ["block", "texts"])
 
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
-                for text in part.column(1).to_pylist():
-                    if text:
-                        units.update(dict.fromkeys(units_of(text)))
-                        size += len(text)
-                held.append(part)
+                held.append(batch.slice(lo, 256))
+                size += held[-1].column(1).nbytes
                 if size >= block_bytes:
                     yield block()
-                    held, units, size = [], {}, 0
+                    held, size = [], 0
         if held:
             yield block()
     return rows
 
 
-def _numbered(vocabulary: Vocabulary, units: dict[str, None]) -> dict[str, int]:
-    """The words of the units, numbered in the order in which they come up."""
-    words: dict[str, int] = {}
-    for unit in units:
-        for word in vocabulary.words(SPACE + unit):
-            words.setdefault(word, len(words))
-    return words
+class _Block:
+    """The texts of a block, their units, and the words to ask for, sorted within each bucket."""
+
+    def __init__(self, data: pa.Buffer, block: int, vocabulary: Vocabulary, buckets: int,
+                 salts: int) -> None:
+        self.parts = unpacked(data)
+        self.texts = [p.column(1).to_pylist() for p in self.parts]
+        self.units: dict[str, None] = {}
+        for group in self.texts:
+            for text in group:
+                if text:
+                    self.units.update(dict.fromkeys(units_of(text)))
+        self.plain = vocabulary.fine
+        words: dict[str, None] = {}
+        for unit in self.units:
+            if self.plain and unit.isalpha():
+                words[SPACE + unit] = None
+            else:
+                words.update(dict.fromkeys(vocabulary.words(SPACE + unit)))
+        self.own = [w for w in words if len(w) > LONG_WORD or BETWEEN in w]
+        self.asked: dict[int, list[str]] = {}
+        shift, digest = buckets * (block % salts), xxhash.xxh32_intdigest
+        for word in sorted(words):
+            if len(word) <= LONG_WORD and BETWEEN not in word:
+                at = shift + digest(word.encode("utf-8", "surrogatepass")) % buckets
+                self.asked.setdefault(at, []).append(word)
+
+    def encoded(self, vocabulary: Vocabulary, known: dict[str, bytes]) -> dict[str, bytes]:
+        """The ids of each unit, from those of its words."""
+        return {u: known[SPACE + u] if self.plain and u.isalpha() else
+                b"".join([known[w] for w in vocabulary.words(SPACE + u)]) for u in self.units}
+
+
+def _requests(vocabulary, buckets: int, salts: int):
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                block = batch.column(0)[row].as_py()
+                asked = _Block(batch.column(1)[row].as_buffer(), block, vocabulary.value, buckets,
+                               salts).asked
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(list(asked), pa.int64()),
+                     pa.array([block] * len(asked), pa.int64()),
+                     pa.array(map(BETWEEN.join, asked.values()), pa.string())],
+                    ["bucket", "block", "words"])
+    return rows
 
 
-def _assemble(vocabulary):
+def _assemble(vocabulary, buckets: int, salts: int):
     """Blocks with their answers as rows (doc_id, ids)."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                answers = batch.column(1)[row].values
-                data = batch.column(0)[row].as_buffer()
-                yield from of_block(data, answers)
-
-    def of_block(data, answers) -> Iterator[pa.RecordBatch]:
-        parts = unpacked(data)
-        known: dict[int, bytes] = {}
-        if answers is not None:
-            lists = answers.field("ids")
-            values = lists.values.to_numpy(zero_copy_only=False).astype("<i4").tobytes()
-            cuts = (lists.offsets.to_numpy() * 4).tolist()
-            for number, lo, hi in zip(answers.field("number").to_pylist(), cuts[:-1], cuts[1:],
-                                      strict=True):
-                known[number] = values[lo:hi]
-        units: dict[str, None] = {}
-        texts = [part.column(1).to_pylist() for part in parts]
-        for group in texts:
-            for text in group:
-                if text:
-                    units.update(dict.fromkeys(units_of(text)))
-        numbers = _numbered(vocabulary.value, units)
-        ids = {u: b"".join([known[numbers[w]] for w in vocabulary.value.words(SPACE + u)])
-               for u in units}
-        for part, group in zip(parts, texts, strict=True):
-            found = [b"".join([ids[u] for u in units_of(t)]) if t else b"" for t in group]
+                block = _Block(batch.column(1)[row].as_buffer(), batch.column(0)[row].as_py(),
+                               vocabulary.value, buckets, salts)
+                yield from of_block(block, batch.column(2)[row].values)
+
+    def of_block(block: _Block, answers) -> Iterator[pa.RecordBatch]:
+        known: dict[str, bytes] = {
+            w: np.array(encode_long(vocabulary.value, w), "<i4").tobytes() for w in block.own}
+        for answer in range(len(answers) if answers is not None else 0):
+            ids, sizes = (answers.field(c)[answer].values.to_numpy(zero_copy_only=False)
+                          for c in ("ids", "sizes"))
+            data = ids.astype("<i4").tobytes()
+            sizes = sizes.astype(np.int64) + 128  # at most four ids for each of LONG_WORD characters
+            cuts = np.concatenate(([0], np.cumsum(sizes) * 4)).tolist()
+            words = block.asked[answers.field("bucket")[answer].as_py()]
+            for word, lo, hi in zip(words, cuts[:-1], cuts[1:], strict=True):
+                known[word] = data[lo:hi]
+        of_unit = block.encoded(vocabulary.value, known)
+        for part, group in zip(block.parts, block.texts, strict=True):
+            found = [b"".join([of_unit[u] for u in units_of(t)]) if t else b"" for t in group]
             offsets = np.concatenate(([0], np.cumsum([len(f) // 4 for f in found])))
             whole = pa.ListArray.from_arrays(
                 pa.array(offsets, pa.int32()),
@@ -334,21 +469,34 @@ def encode(docs: DataFrame, vocabulary: Vocabulary | None = None,
     spark = docs.sparkSession
     vocabulary = vocabulary or load_vocabulary()
     shared = spark.sparkContext.broadcast(vocabulary)
-    cut = docs.select("doc_id", "text").mapInArrow(
-        _blocks(shared, block_bytes), "block long, words array<string>, texts binary")
     # Bucketed by block, so that the answers come to the texts and the texts stay where they are.
-    blocks = bucketed(cut, "block", "piece_blocks")
-    salts = F.lit(1) + F.floor(blocks.select("block").count() / F.lit(ASKING_BLOCKS))
-    asked = blocks.select("block", F.posexplode("words").alias("number", "word"))
-    words = (asked.withColumn("salt", F.pmod("block", salts))
-             .groupBy("word", "salt")
-             .agg(F.collect_list(F.struct("block", "number")).alias("asks")))
+    blocks = bucketed(docs.select("doc_id", "text").mapInArrow(
+        _blocks(block_bytes), "block long, texts binary"), "block", "piece_blocks")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    small = "smallint" if len(vocabulary.texts) <= 1 << 15 else "int"
+    # Edges of a word come one after the other; beyond 128 words, the default, all would be sorted.
+    if int(spark.conf.get(HASHED_GROUPS)) < WORDS_HASHED:
+        spark.conf.set(HASHED_GROUPS, str(WORDS_HASHED))
+    buckets, salts = 8 * parts, 1 + blocks.select("block").count() // ASKING_BLOCKS
+    asked = (blocks.select("block", "texts")
+             .mapInArrow(_requests(shared, buckets, salts),
+                         "bucket long, block long, words string")
+             .repartition(parts, "bucket")  # all that follows up to the answers stays in its bucket
+             .select("bucket", "block", F.posexplode(F.split("words", BETWEEN))
+                     .alias("number", "word")))
+    words = asked.groupBy("bucket", "word").agg(
+        F.collect_list(F.struct("block", "number")).alias("asks"))
     answers = (encode_words(words, vocabulary)
-               .select(F.explode("asks").alias("ask"), "ids")
-               .groupBy(F.col("ask.block").alias("block"))
-               .agg(F.collect_list(F.struct("ask.number", "ids")).alias("answers")))
-    return (blocks.select("block", "texts").join(answers, "block", "left")
-            .select("texts", "answers").mapInArrow(_assemble(shared), "doc_id long, ids array<int>"))
+               .select("bucket", F.explode("asks").alias("ask"), "ids")
+               .groupBy("bucket", F.col("ask.block").alias("block"))
+               .agg(F.array_sort(F.collect_list(F.struct("ask.number", "ids"))).alias("found"))
+               .select("block", F.struct(
+                   "bucket", F.flatten("found.ids").cast(f"array<{small}>").alias("ids"),
+                   F.transform("found", lambda x: (F.size(x["ids"]) - 128).cast("tinyint"))
+                   .alias("sizes")).alias("answer"))
+               .groupBy("block").agg(F.collect_list("answer").alias("answers")))
+    return (blocks.join(answers, "block", "left").select("block", "texts", "answers")
+            .mapInArrow(_assemble(shared, buckets, salts), "doc_id long, ids array<int>"))
 
 
 def decoded(ids: Column, vocabulary: Vocabulary) -> Column:

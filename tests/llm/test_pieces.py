@@ -73,3 +73,20 @@ def test_documents_like_the_library(spark):
     got = S.encode(docs).join(docs, "doc_id").collect()
     assert len(got) == docs.count()
     assert all(r.ids == p.encode(r.text) for r in got)
+
+
+def test_words_like_the_library(spark):
+    """Words made of pieces, so that parts of a piece often form after the piece's own turn."""
+    from pyspark.sql import functions as F
+    rng = random.Random(3)
+    vocabulary = S.load_vocabulary()
+    letters = [p for p, _, _ in vocabulary.pieces if p.isalpha() and len(p) < 9]
+    words = sorted({S.SPACE + "".join(rng.choice(letters) for _ in range(rng.randint(1, 4)))
+                    for _ in range(4000)})
+    words = [w for w in words if len(w) <= S.LONG_WORD]
+    frame = spark.createDataFrame([(w,) for w in words], "word string").select(
+        F.lit(1).cast("long").alias("bucket"), "word",
+        F.array(F.struct(F.lit(1).cast("long").alias("block"), F.lit(1).alias("number"))).alias("asks"))
+    got = {r.word: r.ids for r in S.encode_words(frame, vocabulary).collect()}
+    p = library(S.MODEL)
+    assert got == {w: p.encode(w[1:]) for w in words}
