@@ -18,12 +18,15 @@ from __future__ import annotations
 
 import heapq
 import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,7 +35,7 @@ from orderdw.llm.common import bucketed, packed, table, unpacked
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 8 << 20
 BETWEEN = "\x01"  # stands between the words of a request; words that hold it are encoded as long ones
 HASHED_GROUPS, WORDS_HASHED = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold", 100_000
 LONG_WORD = 60  # longer words are encoded beside their texts, for a bit mask holds no more
@@ -40,7 +43,32 @@ ASKING_BLOCKS = 4096  # a word is answered for so many blocks at once
 UNKNOWN_PENALTY = 10.0
 NO_PIECE = (1 << 20) - 1  # the rank and id of a character without a piece
 UNITS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
-PARTS = re.compile(f"{SPACE}*(?:[^\\W\\d_]+|(?:[^\\w{SPACE}]|[\\d_])+)|{SPACE}+")
+
+
+# What ASCII has besides letters; and words of units whose other characters are letters.
+_ASCII_OTHERS = {c: None for c in range(128) if not chr(c).isalpha()}
+_PLAIN = re.compile("[A-Za-z\x80-\U0010ffff]+|[\x00-@\\[-`{-\x7f]+")
+
+
+@cache
+def _parts() -> re.Pattern:
+    """A word is letters with the marks that combine with them, or anything else, numbers too."""
+    def all_of(*kinds: str) -> str:
+        planes = (*range(0x80, 0x20000), *range(0xE0000, 0xE0200))  # no marks or numbers elsewhere
+        return re.escape("".join(c for c in map(chr, planes) if unicodedata.category(c) in kinds))
+
+    marks, numbers = all_of("Mn", "Mc", "Me"), all_of("No", "Nl")
+    return re.compile(f"{SPACE}*(?:(?:[^\\W\\d_{numbers}]+|[{marks}]+)+"
+                      f"|(?:[^\\w{SPACE}{marks}]|[\\d_{numbers}])+)|{SPACE}+")
+
+
+def words_of(unit: str) -> list[str]:
+    """The words of a unit that stands behind a space sign; the sign belongs to the first."""
+    letters = unit.translate(_ASCII_OTHERS)
+    if unit and (not letters or letters.isalpha()):
+        first, *rest = _PLAIN.findall(unit)
+        return [SPACE + first, *rest]
+    return _parts().findall(SPACE + unit)
 
 
 @dataclass
@@ -60,14 +88,14 @@ class Vocabulary:
             raise ValueError("a piece spans the end of a word")
         if any(i >= NO_PIECE for _, i, _ in self.pieces):
             raise ValueError("an edge has room for ids below a million")
-        self.fine = all(len(PARTS.findall(p)) == 1 for p in whole)
+        self.fine = all(len(words_of(p.lstrip(SPACE))) == 1 for p in whole)
         self.longest = max(map(len, whole), default=1)
         order = {s: n for n, s in enumerate(sorted({-s for _, _, s in self.pieces}))}
         self.ranks = {p: (order[-s], i) for p, i, s in self.pieces}
         self.lowest = min((s for _, _, s in self.pieces), default=0.0)
 
     def words(self, unit: str) -> list[str]:
-        return PARTS.findall(unit) if self.fine else [unit]
+        return words_of(unit) if self.fine else [SPACE + unit]
 
     def frame(self, spark: SparkSession) -> DataFrame:
         rows = [(p, i, self.ranks[p][0], float(s), self.late(p)) for p, i, s in self.pieces]
@@ -196,6 +224,10 @@ def _inner(code: Column) -> Column:
     return _bit(_end(code)) - _bit(_start(code) + 1)
 
 
+def _span(code: Column) -> Column:
+    return _bit(_end(code) + 1) - _bit(_start(code))
+
+
 def _merged(edges: Column, n: Column) -> Column:
     """Boundaries (bits) that are left when the best available edge is merged until none is.
 
@@ -208,14 +240,14 @@ def _merged(edges: Column, n: Column) -> Column:
     too_early = F.lit(1 << 62).cast("long")
 
     def take(mask: Column, code: Column) -> Column:
-        inside = F.bit_count(mask.bitwiseAND(_inner(code)))
+        met = F.bit_count(mask.bitwiseAND(_span(code)))  # three: both ends and one inside
         at_ends = mask.bitwiseAND(_ends(code)) == _ends(code)
-        return F.when((inside == 1) & at_ends, mask.bitwiseAND(F.bitwise_not(_inner(code)))).when(
-            (inside > 1) & (code < 0) & at_ends, mask.bitwiseOR(too_early)).otherwise(mask)
+        return F.when((met == 3) & at_ends, mask.bitwiseAND(F.bitwise_not(_inner(code)))).when(
+            (code < 0) & (met > 3) & at_ends, mask.bitwiseOR(too_early)).otherwise(mask)
 
     def step(mask: Column, _: Column) -> Column:
         ready = F.get(F.filter(edges, lambda c: (
-            F.bit_count(mask.bitwiseAND(_inner(c))) == 1)
+            F.bit_count(mask.bitwiseAND(_span(c))) == 3)
             & (mask.bitwiseAND(_ends(c)) == _ends(c))), F.lit(0))
         return F.when(ready.isNull(), mask).otherwise(
             mask.bitwiseAND(F.bitwise_not(_inner(ready))))
@@ -323,8 +355,7 @@ def _encode_merges(words: DataFrame, pieces: DataFrame, vocabulary: Vocabulary)
         return F.shiftleft(start.cast("long"), 20).bitwiseOR(piece.cast("long"))
 
     used = F.transform(
-        F.filter("edges", lambda c: (mask.bitwiseAND(_ends(c)) == _ends(c))
-                 & (mask.bitwiseAND(_inner(c)) == 0)),
+        F.filter("edges", lambda c: mask.bitwiseAND(_span(c)) == _ends(c)),
         lambda c: named(_start(c), c.bitwiseAND(F.lit(NO_PIECE).cast("long"))))
     alone = F.transform(
         F.filter(F.sequence(F.lit(0), n - 1), lambda i: F.bit_count(
@@ -383,19 +414,34 @@ class _Block:
     def __init__(self, data: pa.Buffer, block: int, vocabulary: Vocabulary, buckets: int,
                  salts: int) -> None:
         self.parts = unpacked(data)
-        self.texts = [p.column(1).to_pylist() for p in self.parts]
-        self.units: dict[str, None] = {}
-        for group in self.texts:
-            for text in group:
-                if text:
-                    self.units.update(dict.fromkeys(units_of(text)))
+        texts = pa.concat_arrays([p.column(1) for p in self.parts])
+        self.null = texts.is_null()
+        # Texts with single spaces only are cut by Arrow, the others one by one.
+        odd = pc.fill_null(pc.or_(pc.or_(pc.starts_with(texts, " "), pc.match_substring(texts, "  ")),
+                                  pc.match_substring(texts, SPACE)), False)
+        skip = pc.or_(odd, pc.fill_null(pc.equal(texts, ""), True))
+        lists = pc.split_pattern(pc.if_else(skip, pa.scalar(None, pa.string()), texts), " ")
+        coded = lists.flatten().dictionary_encode()
+        self.units = coded.dictionary.to_pylist()
+        places = {}
+        pieces, self.sizes, at = [], np.diff(lists.offsets.to_numpy()), 0
+        numbers, cuts = coded.indices.to_numpy(), lists.offsets.to_numpy()
+        for row in np.flatnonzero(odd.to_numpy(zero_copy_only=False)).tolist():
+            if not places:
+                places = {u: n for n, u in enumerate(self.units)}
+            own = [places.setdefault(u, len(places)) for u in units_of(texts[row].as_py())]
+            pieces += [numbers[at:cuts[row]], np.array(own, np.int32)]
+            at, self.sizes[row] = cuts[row], len(own)
+        self.numbers = np.concatenate([*pieces, numbers[at:]])
+        if places:
+            self.units = list(places)
         self.plain = vocabulary.fine
-        words: dict[str, None] = {}
+        words: set[str] = set()
         for unit in self.units:
             if self.plain and unit.isalpha():
-                words[SPACE + unit] = None
+                words.add(SPACE + unit)
             else:
-                words.update(dict.fromkeys(vocabulary.words(SPACE + unit)))
+                words.update(vocabulary.words(unit))
         self.own = [w for w in words if len(w) > LONG_WORD or BETWEEN in w]
         self.asked: dict[int, list[str]] = {}
         shift, digest = buckets * (block % salts), xxhash.xxh32_intdigest
@@ -404,10 +450,25 @@ class _Block:
                 at = shift + digest(word.encode("utf-8", "surrogatepass")) % buckets
                 self.asked.setdefault(at, []).append(word)
 
-    def encoded(self, vocabulary: Vocabulary, known: dict[str, bytes]) -> dict[str, bytes]:
-        """The ids of each unit, from those of its words."""
-        return {u: known[SPACE + u] if self.plain and u.isalpha() else
-                b"".join([known[w] for w in vocabulary.words(SPACE + u)]) for u in self.units}
+    def encoded(self, vocabulary: Vocabulary, known: dict[str, bytes]) -> Iterator[pa.ListArray]:
+        """The ids of the texts of each part, from those of their words."""
+        of_unit = [known[SPACE + u] if self.plain and u.isalpha() else
+                   b"".join([known[w] for w in vocabulary.words(u)]) for u in self.units]
+        lengths = np.fromiter(map(len, of_unit), np.int64, len(of_unit)) // 4
+        ids = np.frombuffer(b"".join(of_unit), "<i4")
+        begin = np.cumsum(lengths) - lengths
+        tokens = np.concatenate(([0], np.cumsum(self.sizes)))
+        at = 0
+        for part in self.parts:
+            cuts = tokens[at:at + part.num_rows + 1]
+            numbers = self.numbers[cuts[0]:cuts[-1]]
+            many = lengths[numbers]
+            ends = np.concatenate(([0], np.cumsum(many)))
+            flat = ids[np.repeat(begin[numbers] - ends[:-1], many) + np.arange(ends[-1])]
+            yield pa.ListArray.from_arrays(
+                pa.array(ends[cuts - cuts[0]], pa.int32()), pa.array(flat, pa.int32()),
+                mask=pa.concat_arrays([self.null.slice(at, part.num_rows)]))
+            at += part.num_rows
 
 
 def _requests(vocabulary, buckets: int, salts: int):
@@ -446,15 +507,9 @@ def _assemble(vocabulary, buckets: int, salts: int):
             words = block.asked[answers.field("bucket")[answer].as_py()]
             for word, lo, hi in zip(words, cuts[:-1], cuts[1:], strict=True):
                 known[word] = data[lo:hi]
-        of_unit = block.encoded(vocabulary.value, known)
-        for part, group in zip(block.parts, block.texts, strict=True):
-            found = [b"".join([of_unit[u] for u in units_of(t)]) if t else b"" for t in group]
-            offsets = np.concatenate(([0], np.cumsum([len(f) // 4 for f in found])))
-            whole = pa.ListArray.from_arrays(
-                pa.array(offsets, pa.int32()),
-                pa.array(np.frombuffer(b"".join(found), "<i4"), pa.int32()),
-                mask=pa.array([t is None for t in group], pa.bool_()))
-            yield pa.RecordBatch.from_arrays([part.column(0), whole], ["doc_id", "ids"])
+        for part, ids in zip(block.parts, block.encoded(vocabulary.value, known), strict=True):
+            yield pa.RecordBatch.from_arrays([part.column(0), ids], ["doc_id", "ids"])
+
     return rows
 
 

@@ -36,10 +36,19 @@ def library(path):
     return sentencepiece.SentencePieceProcessor(model_file=path)
 
 
+def test_words_are_cut_the_same_way_by_both_patterns():
+    rng = random.Random(9)
+    assert S.load_vocabulary().fine
+    for _ in range(3000):
+        unit = "".join(rng.choice("abé12._,\n日²½\u0301\u0930\u093f\U0001F600") for _ in range(8))
+        cut = S.words_of(unit)
+        assert "".join(cut) == S.SPACE + unit and cut == S._parts().findall(S.SPACE + unit)
+
+
 def test_long_words_like_the_library():
     vocabulary, p = S.load_vocabulary(), library(S.MODEL)
     for text in SHORT + random_texts(300):
-        got = [i for u in S.units_of(text) for w in vocabulary.words(S.SPACE + u)
+        got = [i for u in S.units_of(text) for w in vocabulary.words(u)
                for i in S.encode_long(vocabulary, w)]
         assert got == p.encode(text), text
 
