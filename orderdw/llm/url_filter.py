@@ -139,25 +139,42 @@ def word_ratios(words: DataFrame, block_words: Sequence[str] = BLOCK_WORDS) -> D
                        .otherwise(ratio).alias("ratio"))
 
 
-def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES) -> DataFrame:
+def _label_count(name: Column) -> Column:
+    return F.size(F.split(name, "\\."))
+
+
+def _left_out(suffixes: Sequence[str]) -> Column:
+    """How many last labels of a host are no words: its public suffix (the last label, or the longest
+    of ``suffixes`` that fits), and what the rule that decided the url names."""
+    public = [F.when(F.endswith("host", F.lit(f".{s}")), s.count(".") + 1).otherwise(1)
+              for s in suffixes]
+    named = F.coalesce(_label_count(F.substring_index("rule", "/", 1)), F.lit(1))
+    return F.greatest(F.lit(1), named, *public)
+
+
+def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES,
+          suffixes: Sequence[str] = ()) -> DataFrame:
     """(page_id, host, path, rule, verdict) of every row of ``pages`` (page_id, url, html).
 
     The longest fitting rule decides, ties to the smaller text. Without one the words decide: block
     if their summed log ratio is above zero, else allow, so a url without words or a table without
-    decided urls is allowed. The two last labels of a host are no words: the rules are made of
-    them. Null urls have an empty host and path. Repeated rows repeat; other columns are left out.
+    decided urls is allowed. All labels of a host are words but its public suffix (the last label, or
+    one of ``suffixes``, such as ``co.uk``) and, in training, what the deciding rule names. Null urls have an empty host and path. Repeated rows repeat; other columns are left out.
     """
     spark = pages.sparkSession
     located = with_host_and_path(pages.select("page_id", "url")).select("page_id", "host", "path")
     urls = cut_lineage(match_rules(located.groupBy("host", "path").count(),
                                    rule_table(spark, rules)), "urls")
-    parts = F.split("host", "\\.")
-    sub = F.array_join(F.slice(parts, 1, F.greatest(F.size(parts) - 2, F.lit(0))), ".")
+    placed = urls.withColumn("left_out", _left_out(suffixes))
+    sub = F.array_join(F.slice(F.split("host", "\\."), F.lit(1), F.greatest(
+        _label_count(F.col("host")) - F.col("left_out"), F.lit(0))), ".")
     names = F.regexp_extract_all(sub, F.lit(f"({NAME})"), F.lit(1))
-    hosts = urls.select("host").distinct().withColumn("name", F.explode(names))
+    hosts = placed.select("host", "left_out").distinct().withColumn("name", F.explode(names))
     cut = segmented(hosts.select("name").distinct(), pages)
-    host_words = hosts.join(cut, "name").select("host", F.explode("words").alias("word"))
-    by_host = urls.select("host", "path", "count", "rule_verdict").join(host_words, "host")
+    host_words = hosts.join(cut, "name").select("host", "left_out",
+                                                F.explode("words").alias("word"))
+    by_host = placed.select("host", "left_out", "path", "count", "rule_verdict").join(
+        host_words, ["host", "left_out"])
     by_path = urls.select("host", "path", "count", "rule_verdict",
                           F.explode(_path_words()).alias("word"))
     words = cut_lineage(by_host.select(by_path.columns).unionByName(by_path), "url-tokens")

@@ -60,3 +60,26 @@ def test_words_decide(spark):
     got = {r.page_id: r.verdict for r in
            U.judge(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert got[200] == "block" and got[201] == "allow"
+
+
+def test_registered_names_are_words(spark):
+    text = "<p>cheap casino bonus garden tea house</p>" * 50
+    rows = [(i, f"http://s{i}.x.net/spin/{i}", text) for i in range(30)]
+    rows += [(100 + i, f"http://s{i}.x.org/fr/tea/{i}", text) for i in range(30)]
+    rows += [(200 + i, f"http://gardenhouse{'' if i % 2 else i}.org/fr/{i}", text) for i in range(30)]
+    rows += [(300, "http://cheapcasinobonus.com", text), (301, "http://gardenhouse.com/", text),
+             (302, "http://cheapcasinobonus.co.uk/", text), (303, "http://casino/", text)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for suffixes in ((), ("co.uk", "uk")):
+        got = {r.page_id: r.verdict for r in U.judge(pages, suffixes=suffixes).collect()}
+        assert [got[300 + i] for i in range(4)] == ["block", "allow", "block", "allow"]
+
+
+def test_labels_that_the_rule_names_are_no_words(spark):
+    rows = [(i, f"http://s{i}.tea.org/fr/{i}", None) for i in range(20)]
+    rows += [(100 + i, f"http://s{i}.tea.org/de/{i}", None) for i in range(10)]
+    rows += [(200, "http://tea.com/", None)]
+    rules = [("block", "tea.org/fr/"), ("allow", "org/de/")]
+    got = {r.page_id: r.verdict for r in U.judge(spark.createDataFrame(
+        rows, "page_id long, url string, html string"), rules).collect()}
+    assert got[200] == "allow"
