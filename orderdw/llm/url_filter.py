@@ -22,11 +22,11 @@ from orderdw.session import cut_lineage
 
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"),
          ("allow", "org/fr/"))
-# Words that stand for unwanted sites whatever the rules have shown so far, and how much more often
-# at least such a word is taken to occur in blocked urls than in allowed ones.
+# Words taken to stand for unwanted sites until urls show otherwise, and in how many blocked urls each
+# of them counts as seen beforehand.
 BLOCK_WORDS = ("adult", "bet", "bets", "casino", "farm", "pills", "poker", "porn", "sex", "spam",
                "viagra", "warez", "win", "xxx")
-BLOCK_RATIO = 1e6
+BLOCK_SEEN = 10
 MAX_WORD = 24
 NAME = "[a-z]{2,}"
 
@@ -125,18 +125,26 @@ def _path_words() -> Column:
 
 
 def word_ratios(words: DataFrame, block_words: Sequence[str] = BLOCK_WORDS) -> DataFrame:
-    """Log of P(word | block) / P(word | allow), by add-one counts over words of decided urls."""
+    """Log of P(word | block) / P(word | allow), by add-one counts over words of decided urls;
+    ``block_words`` count as seen in BLOCK_SEEN more blocked urls."""
     seen = words.groupBy("word").agg(
         *[F.sum(F.when(F.col("rule_verdict") == v, F.col("count")).otherwise(0)).alias(v)
           for v in ("block", "allow")])
+    seen = seen.withColumn("block", F.col("block") + F.when(
+        F.col("word").isin(*block_words), BLOCK_SEEN).otherwise(0))
     sums = seen.agg(F.coalesce(F.sum("block"), F.lit(0)).alias("all_block"),
                     F.coalesce(F.sum("allow"), F.lit(0)).alias("all_allow"),
                     F.count("*").alias("kinds")).first()
     ratio = (F.log((F.col("block") + 1) / (sums["all_block"] + sums["kinds"] + 1))
              - F.log((F.col("allow") + 1) / (sums["all_allow"] + sums["kinds"] + 1)))
-    return seen.select("word", F.when(F.col("word").isin(*block_words),
-                                      F.greatest(ratio, F.lit(math.log(BLOCK_RATIO))))
-                       .otherwise(ratio).alias("ratio"))
+    return seen.select("word", ratio.alias("ratio"))
+
+
+def class_ratio(urls: DataFrame) -> float:
+    """Log of P(block) / P(allow), by add-one counts of decided urls."""
+    n = urls.agg(*[F.coalesce(F.sum(F.when(F.col("rule_verdict") == v, F.col("count"))), F.lit(0))
+                   .alias(v) for v in ("block", "allow")]).first()
+    return math.log((n["block"] + 1) / (n["allow"] + 1))
 
 
 def _label_count(name: Column) -> Column:
@@ -157,8 +165,8 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES,
     """(page_id, host, path, rule, verdict) of every row of ``pages`` (page_id, url, html).
 
     The longest fitting rule decides, ties to the smaller text. Without one the words decide: block
-    if their summed log ratio is above zero, else allow, so a url without words or a table without
-    decided urls is allowed. All labels of a host are words but its public suffix (the last label, or
+    if their summed log ratio and that of the classes are above zero, else allow; a url without words
+    is allowed. All labels of a host are words but its public suffix (the last label, or
     one of ``suffixes``, such as ``co.uk``) and, in training, what the deciding rule names. Null urls have an empty host and path. Repeated rows repeat; other columns are left out.
     """
     spark = pages.sparkSession
@@ -181,7 +189,7 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES,
     ratios = word_ratios(words.filter("rule_verdict is not null").unionByName(
         words.filter("rule_verdict is null").withColumn("count", F.lit(0).cast("long"))))
     scores = (words.filter("rule_verdict is null").join(ratios, "word")
-              .groupBy("host", "path").agg(F.sum("ratio").alias("score")))
+              .groupBy("host", "path").agg((F.sum("ratio") + class_ratio(urls)).alias("score")))
     judged = urls.join(scores, ["host", "path"], "left").select(
         "host", "path", "rule", F.coalesce(
             "rule_verdict", F.when(F.col("score") > 0, "block").otherwise("allow"))

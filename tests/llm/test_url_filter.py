@@ -83,3 +83,28 @@ def test_labels_that_the_rule_names_are_no_words(spark):
     got = {r.page_id: r.verdict for r in U.judge(spark.createDataFrame(
         rows, "page_id long, url string, html string"), rules).collect()}
     assert got[200] == "allow"
+
+
+def test_evidence_outweighs_listed_words(spark):
+    text = "<p>family farm casino win free</p>" * 50
+    rows = [(i, f"http://family-farm{i}.x.org/fr/{i}", text) for i in range(60)]
+    rows += [(100 + i, f"http://s{i}.x.net/spin/{i}", text) for i in range(60)]
+    rows += [(200, "http://family-farm.x.com/", text), (201, "http://familyfarm.x.com/", text),
+             (202, "http://farm.x.com/", text), (203, "http://casino-win.x.com/", text)]
+    got = {r.page_id: r.verdict for r in
+           U.judge(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert [got[i] for i in (200, 201, 202, 203)] == ["allow", "allow", "allow", "block"]
+
+
+def test_classes_count(spark):
+    rows = [(i, f"http://a{i}.x.org/fr/tea", None) for i in range(10)]
+    rows += [(100 + i, f"http://a{i}.x.net/tea", None) for i in range(40)]
+    rows += [(200, "http://q.x.com/unseen", None)]
+    frame = "page_id long, url string, html string"
+    got = {r.page_id: r.verdict for r in U.judge(spark.createDataFrame(rows, frame)).collect()}
+    # Twice as many words a url under fr/: an unseen word speaks for block, as the classes do.
+    assert got[200] == "block"
+    urls = spark.createDataFrame([("block", 40), ("allow", 10), (None, 7)],
+                                 "rule_verdict string, count long")
+    assert U.class_ratio(urls) == pytest.approx(U.math.log(41 / 11))
+    assert U.class_ratio(urls.limit(0)) == 0
