@@ -15,6 +15,8 @@ from orderdw.operators.stock import apply_moves, stock_moves, with_line_total
 from orderdw.plans import property_tax as tax, reports, warehouse
 from orderdw.schemas import CONFIRMED
 from orderdw.session import stage_path
+from orderdw.sources.parts import PartTable
+from orderdw.sources.publish import refresh
 from orderdw.sources.tables import register_views, with_defaults, write_table
 
 
@@ -35,20 +37,31 @@ def a3(x):
 
 @query("a4_full_refresh", PRICES)
 def a4(x):
-    path = stage_path(x.spark, "refresh")
+    target = stage_path(x.spark, "refresh")
     rows = x.m.products.select("product_id", "description", "unit_price")
-    write_table(rows.withColumn("unit_price", F.lit(0).cast("decimal(10,2)")), path)
-    write_table(rows, path, mode="overwrite")
-    return x.spark.read.parquet(path)
+    refresh(rows.withColumn("unit_price", F.lit(0).cast("decimal(10,2)")), target, "prices")
+    return refresh(rows, target, "prices")
 
 
 @query("a5_append_log", model_sql("SELECT order_no, state FROM m_orders WHERE state <> 'pendiente'"))
 def a5(x):
-    path = stage_path(x.spark, "append")
-    for state in ("confirmado", "anulado"):
-        write_table(x.m.orders.filter(F.col("state") == state).select("order_no", "state"), path,
-                    mode="append")
-    return x.spark.read.parquet(path)
+    rows = x.m.orders.select("order_no", "state")
+    log = PartTable(x.spark, stage_path(x.spark, "append"), rows.schema)
+    for state in ("confirmado", "anulado", "confirmado"):  # one of the jobs is run twice
+        log.append(rows.filter(F.col("state") == state), state)
+    return log.read()
+
+
+@query("a5_append_compacted", model_sql("""
+SELECT order_no, state, year(order_date) AS year FROM m_orders"""))
+def a5_compacted(x):
+    rows = x.m.orders.select("order_no", "state", F.year("order_date").cast("long").alias("year"))
+    log = PartTable(x.spark, stage_path(x.spark, "append"), rows.schema, group="year")
+    for state in ("confirmado", "anulado", "pendiente"):
+        log.append(rows.filter(F.col("state") == state), state)
+    log.compact_full(log.groups(), most=1)
+    log.append(rows.filter("state = 'anulado'"), "anulado")  # again, after compaction
+    return log.read()
 
 
 @query("a6_views", model_sql("""

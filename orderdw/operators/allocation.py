@@ -5,27 +5,42 @@ it left over; otherwise the whole order is rejected and takes nothing. Orders in
 checked the same way but take nothing.
 
 Products with enough stock for all that is asked of them are set aside first; the rest is decided
-in rounds. One order's fate hangs on all earlier ones, across products, so a single pass cannot decide it.
-Each round bounds the stock taken before an undecided order from above (all undecided orders before
-it are accepted) and from below (none is). Who fits under the upper bound is accepted for good, who
-does not fit under the lower bound is rejected for good. The first undecided order has equal
-bounds, so every round settles at least one, and in practice most. A round reads only the orders
-still open after the round before.
+in rounds. One order's fate hangs on all earlier ones, across products, so a single pass cannot
+decide it. The stock taken before an open order lies between two bounds: none of the open orders
+before it is accepted, or all are. A line that fits under the upper bound fits for good, one that
+does not fit under the lower bound fails for good. An order is accepted when all its lines fit, and
+rejected when one fails. The first open order has equal bounds, so every round settles one at least,
+and in practice most.
+
+After the first round, a round looks only at what the last one changed. The queues of the products
+lie in folders along (product, place in the queue), the open orders in folders by their number; both
+are replaced folder by folder. A round reads the queues of the products whose orders were settled in
+the round before, and then the orders whose lines have come to fit or to fail there. Long chains, in
+which each order hangs on the one before, take many rounds, but each reads a few folders only.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
 from orderdw.functions.ids import bin_to_uuid
 from orderdw.functions.scalars import NO_SUCH_PRODUCT, SHORT_STOCK, message
-from orderdw.operators.running import Slots, running_before, slotted
+from orderdw.operators.running import BLOCK, SLOT, Slots, running_before, slotted
 from orderdw.schemas import CONFIRMED
-from orderdw.session import cut_and_measure, cut_lineage
+from orderdw.session import cut_and_measure, cut_lineage, stage_path
+from orderdw.sources.files import folders
+
+
+ROWS_PER_FOLDER, LEAST_FOLDERS = 100_000, 64
+
+
+class Round(NamedTuple):
+    queued: int  # rows of queues that were read
+    lines: int   # rows of orders that were read
+    settled: int  # of the latter, rows of orders settled
 
 
 class Allocation(NamedTuple):
@@ -33,6 +48,7 @@ class Allocation(NamedTuple):
     rejected: DataFrame  # order_no
     taken: DataFrame     # order_no, product_id, quantity: what accepted orders take from stock
     demand: Slots        # (order, product) of scarce products in queue order
+    rounds: list[Round]
 
 
 def _demand(lines: DataFrame, orders: DataFrame, sequence: Sequence[str], line_cols: Sequence[str],
@@ -102,57 +118,160 @@ def allocate(lines: DataFrame, orders: DataFrame, products: DataFrame,
     pairs = _demand(lines, orders, sequence, line_cols, takes)
     flaw = F.col("stock").isNull() | F.col("_no_quantity")
     slots, seen = slotted(_on_scarce_products(pairs, products), ["product_id", *ranks], "demand",
+                          rows_per_block=ROWS_PER_FOLDER, least=LEAST_FOLDERS,
                           flaws=F.count(F.when(flaw, 1)),
                           negatives=F.count(F.when(F.col("take") < 0, 1)))
     base = slots.rows.drop("takes")
-    rejects = []
+    flawed = base.filter(flaw).select("order_no").distinct()
     if seen["flaws"]:
         # A line that could never be stored rejects its order before any stock is looked at.
-        flawed = base.filter(flaw).select("order_no").distinct()
-        rejects.append(flawed)
         base = base.join(flawed, "order_no", "left_anti")
-    base = base.drop("_no_quantity")
-
-    # Bounds on what open orders take: normally from 0 to all of it. Lines that give stock back
-    # (negative) need sums of their own.
-    plain = not seen["negatives"]
-    upper = {} if plain else {"_most": F.greatest("take", F.lit(0))}
-    lower = {} if plain else {"_least": F.least("take", F.lit(0))}
-    most, least = F.col("_all" if plain else "_most"), F.lit(0) if plain else F.col("_least")
-
-    opened = base.withColumn("taken", F.lit(0).cast("long"))
-    while True:
-        # Accept. The orders that stay keep in ``taken`` what all open orders before them take ...
-        bounds = running_before(Slots(opened, slots.blocks), ["product_id"],
-                                sums={"_all": F.col("take"), **upper})
-        doubtful = (bounds.filter(F.col("stock") - F.col("taken") - most < F.col("need"))
-                    .select("order_no").distinct())
-        left, seen = cut_and_measure(
-            bounds.join(doubtful, "order_no", "left_semi")
-            .withColumn("taken", F.col("taken") + F.col("_all")).drop("_all", *upper),
-            "doubtful", rows=F.count("*"))
-        if not seen["rows"]:
-            break
-        # ... less what belongs to orders that stay: the accepted ones are then accounted for.
-        bounds = running_before(Slots(left, slots.blocks), ["product_id"],
-                                sums={"_stay": F.col("take"), **lower}) \
-            .withColumn("taken", F.col("taken") - F.col("_stay"))
-        hopeless = (bounds.filter(F.col("stock") - F.col("taken") - least < F.col("need"))
-                    .select("order_no").distinct().withColumn("_rejected", F.lit(True)))
-        judged, seen = cut_and_measure(
-            bounds.drop("_stay", *lower).join(hopeless, "order_no", "left"), "judged",
-            open=F.count(F.when(F.col("_rejected").isNull(), 1)))
-        rejects.append(judged.filter("_rejected").select("order_no").distinct())
-        opened = judged.filter("_rejected IS NULL").drop("_rejected")
-        if not seen["open"]:
-            break
-
-    rejected = (cut_lineage(reduce(DataFrame.unionByName, rejects), "rejected") if rejects
-                else orders.select("order_no").limit(0))
+    queues = _Queues(base, slots, plain=not seen["negatives"])
+    queues.settle()
+
+    rejected = queues.rejected()
+    if seen["flaws"]:
+        rejected = rejected.unionByName(flawed)
+    rejected = cut_lineage(rejected, "rejected")
     accepted = orders.join(rejected, "order_no", "left_anti")
     taken = (pairs.filter("take <> 0").join(rejected, "order_no", "left_anti")
              .select("order_no", "product_id", F.col("take").alias("quantity")))
-    return Allocation(accepted, rejected, taken, slots)
+    return Allocation(accepted, rejected, taken, slots, queues.rounds)
+
+
+class _Queues:
+    """The open rows of scarce products, and the open orders, in folders that rounds replace."""
+
+    def __init__(self, base: DataFrame, slots: Slots, plain: bool) -> None:
+        self.spark, self.plain = base.sparkSession, plain
+        self.blocks = slots.blocks
+        # One row per block: between which products it lies.
+        ends = {r[BLOCK]: (r.first, r.last) for r in base.groupBy(BLOCK).agg(
+            F.min("product_id").alias("first"), F.max("product_id").alias("last")).collect()}
+        order = sorted(ends)
+        self.after = {a: b for a, b in zip(order, order[1:]) if ends[a][1] == ends[b][0]}
+        self.before = {b: a for a, b in self.after.items()}
+        runs = [(b, ends[b][0] if b in self.before else None,
+                 ends[b][1] if b in self.after else None) for b in order]
+        kind = T.StructType([T.StructField(BLOCK, T.IntegerType()),
+                             T.StructField("_first", T.BinaryType()),
+                             T.StructField("_last", T.BinaryType())])
+        product = F.col("product_id")
+        # Whether a row's product goes on in the block before and in the block after.
+        self.base = (base.select("order_no", "product_id", SLOT, BLOCK, "take", "need", "stock")
+                     .join(F.broadcast(self.spark.createDataFrame(runs, kind)), BLOCK)
+                     .withColumn("_head", product.eqNullSafe(F.col("_first")))
+                     .withColumn("_tail", product.eqNullSafe(F.col("_last")))
+                     .drop("_first", "_last"))
+        self.root = stage_path(self.spark, "rounds")
+        self.queue_at: dict[str, str] = {}   # block: where its open rows lie now
+        self.orders_at: dict[str, str] = {}  # bucket: where its open orders lie now
+        self.settled_at: list[str] = []
+        self.rounds: list[Round] = []
+
+    def _read(self, table: str, paths: list[str]) -> DataFrame:
+        return (self.spark.read.option("basePath", f"{self.root}/{table}").parquet(*paths)
+                .drop("_round", "_folder", "_done", "_bucket"))
+
+    def settle(self) -> None:
+        """Rounds until no order is open."""
+        rows = self.base.withColumns({"taken": F.lit(0).cast("long"), "fits": F.lit(False),
+                                      "accepted": F.lit(None).cast("boolean"),
+                                      "_changed": F.lit(True)})
+        while rows is not None:
+            queued, stored = self._bounds(rows)
+            lines, settled = self._judge(stored)
+            self.rounds.append(Round(queued, lines, settled.count() if settled else 0))
+            rows = self._queues_after(settled) if settled else None
+
+    def _bounds(self, rows: DataFrame) -> tuple[int, DataFrame]:
+        """New bounds of the rows of changed products. Stores what is open, and says what is new
+        about it: a row fits from now on (1), or fails (2)."""
+        open_ = F.col("accepted").isNull()
+        sums = {"_taken": F.when(F.col("accepted"), F.col("take")),
+                "_most": F.when(open_, F.greatest("take", F.lit(0)))}
+        if not self.plain:  # rows that give stock back have a lower bound of their own
+            sums["_least"] = F.when(open_, F.least("take", F.lit(0)))
+        found = running_before(Slots(rows, self.blocks), ["product_id"], sums=sums)
+        taken = F.col("taken") + F.when(F.col("_changed"), F.col("_taken")).otherwise(0)
+        left = F.col("stock") - F.col("taken")
+        fits = F.col("_changed") & (left - F.col("_most") >= F.col("need"))
+        fails = F.col("_changed") & (
+            left - (F.lit(0) if self.plain else F.col("_least")) < F.col("need"))
+        found = (found.withColumn("taken", taken)
+                 .withColumn("news", F.when(fits & ~F.col("fits"), 1).when(fails, 2))
+                 .withColumn("fits", F.col("fits") | fits))
+        seen = Observation()
+        path = f"{self.root}/queues/_round={len(self.rounds)}"
+        (found.observe(seen, F.count("*").alias("rows")).filter(open_)
+         .drop("accepted", "_changed", "_taken", "_most", "_least")
+         .withColumn("_folder", F.col(BLOCK)).write.partitionBy("_folder").parquet(path))
+        # What was read is replaced; folders without open rows are gone.
+        written = folders(self.spark, path, "_folder")
+        self.queue_at |= written
+        return seen.get["rows"], self._read("queues", [path]) if written else None
+
+    def _judge(self, stored: DataFrame | None) -> tuple[int, DataFrame | None]:
+        """Settles the orders that the news decide, and stores what else they say."""
+        if stored is None:
+            return 0, None
+        bucket = F.pmod(F.xxhash64("order_no"), F.lit(max(LEAST_FOLDERS, self.blocks))).cast("int")
+        line = ["order_no", SLOT, "product_id", BLOCK, "_head", "_tail"]
+        if not self.rounds:
+            lines = stored.select(*line, "fits", "news")
+        else:
+            news = stored.filter("news IS NOT NULL").select(SLOT, "order_no", "news")
+            # The numbers of the folders to read, as many as there are folders at most.
+            asked = [str(r[0]) for r in news.select(bucket).distinct().collect()]
+            paths = [self.orders_at.pop(b) for b in asked if b in self.orders_at]
+            if not paths:
+                return 0, None
+            lines = (self._read("orders", paths).drop("accepted").join(news.drop("order_no"), SLOT, "left")
+                     .withColumn("fits", F.col("fits") | F.coalesce(F.col("news") == 1,
+                                                                    F.lit(False))))
+        fate = lines.groupBy("order_no").agg(
+            F.bool_and("fits").alias("_all"),
+            F.coalesce(F.bool_or(F.col("news") == 2), F.lit(False)).alias("_fails"))
+        seen = Observation()
+        path = f"{self.root}/orders/_round={len(self.rounds)}"
+        done = (F.col("_all") | F.col("_fails"))
+        (lines.observe(seen, F.count("*").alias("rows")).join(fate, "order_no")
+         .select(*line, "fits", (F.col("_all") & ~F.col("_fails")).alias("accepted"),
+                 done.cast("int").alias("_done"), bucket.alias("_bucket"))
+         .repartition("_done", "_bucket")
+         .write.partitionBy("_done", "_bucket").parquet(path))
+        self.orders_at |= folders(self.spark, f"{path}/_done=0", "_bucket")
+        if not folders(self.spark, f"{path}/_done=1"):
+            return seen.get["rows"], None
+        self.settled_at.append(f"{path}/_done=1")
+        return seen.get["rows"], self._read("orders", self.settled_at[-1:])
+
+    def _queues_after(self, settled: DataFrame) -> DataFrame | None:
+        """The queues of the products of settled rows, with what became of those rows."""
+        # A few facts for each block at most.
+        touched = set()
+        for block, head, tail in settled.select(BLOCK, "_head", "_tail").distinct().collect():
+            touched.add(block)
+            for goes_on, next_ in ((head, self.before), (tail, self.after)):
+                at = block
+                while goes_on and at in next_:
+                    at = next_[at]
+                    touched.add(at)
+        paths = [self.queue_at.pop(str(b)) for b in sorted(touched) if str(b) in self.queue_at]
+        if not paths:
+            return None
+        changed = settled.select("product_id").distinct().withColumn("_changed", F.lit(True))
+        return (self._read("queues", paths).drop("news")
+                .join(settled.select(SLOT, "accepted"), SLOT, "left")
+                .join(changed, "product_id", "left")
+                .withColumn("_changed", F.coalesce("_changed", F.lit(False)))
+                .repartition(BLOCK))
+
+    def rejected(self) -> DataFrame:
+        if not self.settled_at:
+            return self.base.select("order_no").limit(0)
+        return (self._read("orders", self.settled_at).filter("NOT accepted")
+                .select("order_no").distinct())
 
 
 def explain_rejects(result: Allocation, lines: DataFrame, products: DataFrame,

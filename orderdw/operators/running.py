@@ -1,9 +1,9 @@
 """Running totals, last values and numbering that no single hot key can block.
 
 A window over ``partitionBy(key)`` puts all rows of one key into one task. Here the rows are first
-range-sorted on (key, order) and cut into the blocks that the range sort made. Windows run inside a
-block; the part that earlier blocks contribute is worked out on one row per (block, key) and joined
-back. A key with a third of all rows is then spread over a third of the blocks.
+cut into blocks along (key, order), at limits that are fixed beforehand. Windows run inside a block;
+the part that earlier blocks contribute is worked out on one row per (block, key) and joined back. A
+key with a third of all rows is then spread over a third of the blocks.
 """
 
 from __future__ import annotations
@@ -13,40 +13,71 @@ from functools import reduce
 from operator import add
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from orderdw.session import cut_and_measure
 
-SLOT = "_slot"
+SLOT, BLOCK = "_slot", "_block"
 ROWS_PER_BLOCK = 1_000_000
-_PARTITION_BITS = 33  # monotonically_increasing_id keeps the partition above this bit
+SAMPLED_PER_BLOCK = 40
+_PLACE_BITS = 33  # a slot is its block above this bit, and the place within the block
+_STEPS = 1 << 40
 
 
 class Slots(NamedTuple):
-    rows: DataFrame  # the input with ``_slot``
-    blocks: int      # how many blocks the range sort made
+    rows: DataFrame  # the input with ``_block`` and ``_slot``
+    blocks: int
 
 
-def slotted(df: DataFrame, order_cols: Sequence[str], label: str = "slots",
-            **metrics: Column) -> tuple[Slots, dict]:
-    """Add ``_slot``, a number that grows along ``order_cols`` over the whole table.
+def range_limits(df: DataFrame, order_cols: Sequence[str], rows: int, blocks: int) -> list:
+    """Rows of ``order_cols`` that cut ``df`` into about ``blocks`` equal parts.
 
-    ``order_cols`` must tell every two rows apart. The rows are written first, since a range sort
-    reads them twice, and counted on the way: there are as many blocks as make ROWS_PER_BLOCK rows
-    each. That is sizing only; the result does not depend on it. The sorted rows are written too,
-    because the range limits come from a sample: worked out twice, they could differ. ``metrics``
-    are measured on the way.
+    They are quantiles of a sample that a hash of the columns picks, so they are the same whenever
+    they are worked out. The sample that comes to the driver is as large as Spark's own range sort
+    would take: some rows for each block.
     """
-    stored, size = cut_and_measure(df, label, rows=F.count("*"))
-    blocks = max(1, -(-size["rows"] // ROWS_PER_BLOCK))
-    ranged = (stored.repartitionByRange(blocks, *order_cols).sortWithinPartitions(*order_cols)
-              .withColumn(SLOT, F.monotonically_increasing_id()))
-    rows, seen = cut_and_measure(ranged, label, _blocks=F.max(_block()), **metrics)
-    return Slots(rows, (seen.pop("_blocks") or 0) + 1), seen
+    share = min(1.0, SAMPLED_PER_BLOCK * blocks / max(1, rows))
+    picked = df.select(*order_cols).filter(
+        F.pmod(F.xxhash64(*order_cols), F.lit(_STEPS)) < F.lit(int(share * _STEPS)))
+    sample = picked.sort(*order_cols).collect() if blocks > 1 else []
+    cuts = [sample[i * len(sample) // blocks] for i in range(1, blocks)] if sample else []
+    return list(dict.fromkeys(cuts))
+
+
+def _with_block(df: DataFrame, order_cols: Sequence[str], limits: list) -> DataFrame:
+    """``_block``: how many of the limits are not above the row, by binary search in a constant."""
+    if not limits:
+        return df.withColumn(BLOCK, F.lit(0))
+    kind = T.StructType([df.schema[c] for c in order_cols])
+    known = df.sparkSession.createDataFrame(
+        [([tuple(x) for x in limits],)], T.StructType([T.StructField("limits", T.ArrayType(kind))]))
+    steps = [F.lit(1 << i) for i in reversed(range(len(limits).bit_length()))]
+    found = F.aggregate(F.array(*steps), F.lit(0), lambda at, step: F.when(
+        (at + step <= len(limits)) & (F.get("_limits", at + step - 1) <= F.struct(*order_cols)),
+        at + step).otherwise(at))
+    return df.withColumn("_limits", known.scalar()).withColumn(BLOCK, found).drop("_limits")
+
 
+def slotted(df: DataFrame, order_cols: Sequence[str], label: str = "slots",
+            rows_per_block: int | None = None, least: int = 1,
+            **metrics: Column) -> tuple[Slots, dict]:
+    """Add ``_slot``, a number that grows along ``order_cols`` over the whole table, and ``_block``.
 
-def _block() -> Column:
-    return F.shiftright(F.col(SLOT), _PARTITION_BITS)
+    ``order_cols`` must tell every two rows apart. The rows are written once and counted on the way:
+    there are as many blocks as make ``rows_per_block`` rows each (ROWS_PER_BLOCK), but ``least`` at
+    the least. That is sizing only; the result does not depend on it. The limits between blocks are
+    taken from the stored rows and fixed, so the sort inside the blocks may be done again wherever
+    the rows are used, and gives the same slots. ``metrics`` are measured on the way.
+    """
+    stored, seen = cut_and_measure(df, label, _rows=F.count("*"), **metrics)
+    rows = seen.pop("_rows")
+    blocks = max(least, -(-rows // (rows_per_block or ROWS_PER_BLOCK)))
+    limits = range_limits(stored, order_cols, rows, blocks)
+    inside = Window.partitionBy(BLOCK).orderBy(*order_cols)
+    place = F.row_number().over(inside).cast("long") - 1
+    cut = _with_block(stored, order_cols, limits).withColumn(
+        SLOT, F.shiftleft(F.col(BLOCK).cast("long"), _PLACE_BITS) + place)
+    return Slots(cut, len(limits) + 1), seen
 
 
 def running_before(slots: Slots, keys: Sequence[str], sums: Mapping[str, Column] | None = None,
@@ -65,22 +96,21 @@ def running_before(slots: Slots, keys: Sequence[str], sums: Mapping[str, Column]
     merge = {**{n: F.sum for n in sums}, **{n: F.max for n in last}}
     values = {**sums, **last}
 
-    tagged = df.withColumn("_block", _block())
-    in_block = (Window.partitionBy("_block", *keys).orderBy(SLOT)
+    in_block = (Window.partitionBy(BLOCK, *keys).orderBy(SLOT)
                 .rowsBetween(Window.unboundedPreceding, -1))
-    found = tagged.select("*", *[merge[n](c).over(in_block).alias(f"_w_{n}")
+    found = df.select("*", *[merge[n](c).over(in_block).alias(f"_w_{n}")
                                  for n, c in values.items()])
     if slots.blocks > 1:
-        totals = tagged.groupBy("_block", *keys).agg(
+        totals = df.groupBy(BLOCK, *keys).agg(
             *[merge[n](c).alias(f"_t_{n}") for n, c in values.items()])
-        before = (Window.partitionBy(*keys).orderBy("_block")
+        before = (Window.partitionBy(*keys).orderBy(BLOCK)
                   .rowsBetween(Window.unboundedPreceding, -1))
         # Only the first key of a block has rows in earlier blocks: one row per block is left.
         carried = (totals
-                   .select("_block", *keys, F.count("*").over(before).alias("_earlier"),
+                   .select(BLOCK, *keys, F.count("*").over(before).alias("_earlier"),
                            *[merge[n](f"_t_{n}").over(before).alias(f"_c_{n}") for n in values])
                    .filter("_earlier > 0").drop("_earlier"))
-        found = found.join(carried, ["_block", *keys], "left")
+        found = found.join(carried, [BLOCK, *keys], "left")
 
     def both(n: str) -> list[Column]:
         return [F.col(f"_w_{n}"), *([F.col(f"_c_{n}")] if slots.blocks > 1 else [])]
@@ -97,19 +127,19 @@ def number_within(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str],
                   name: str = "n") -> DataFrame:
     """Number the rows of each key from 0 along ``order_cols``."""
     slots, _ = slotted(df, [*keys, *order_cols], "within")
-    return running_before(slots, keys, sums={name: F.lit(1)}).drop(SLOT)
+    return running_before(slots, keys, sums={name: F.lit(1)}).drop(SLOT, BLOCK)
 
 
 def assign_numbers(df: DataFrame, order_cols: Sequence[str], start: int = 1,
                    name: str = "order_no") -> DataFrame:
     """Gapless numbers over the whole table, counted per block and shifted by the blocks before."""
-    rows = slotted(df, order_cols, "numbers")[0].rows.withColumn("_block", _block())
-    first = F.lit(1 << _PARTITION_BITS).cast("long")
-    # One row per block of the range sort, whatever the table holds.
-    counts = rows.groupBy("_block").agg(F.count("*").alias("_rows"))
-    before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = counts.select("_block", F.coalesce(F.sum("_rows").over(before), F.lit(0))
+    rows = slotted(df, order_cols, "numbers")[0].rows
+    first = F.lit(1 << _PLACE_BITS).cast("long")
+    # One row per block, whatever the table holds.
+    counts = rows.groupBy(BLOCK).agg(F.count("*").alias("_rows"))
+    before = Window.orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    shifts = counts.select(BLOCK, F.coalesce(F.sum("_rows").over(before), F.lit(0))
                            .alias("_shift"))
-    return (rows.join(F.broadcast(shifts), "_block")
+    return (rows.join(F.broadcast(shifts), BLOCK)
             .withColumn(name, F.col(SLOT) % first + F.col("_shift") + F.lit(start))
             .select(*df.columns, name))

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from orderdw.functions.ids import hex_text, stable_key
 from orderdw.functions.scalars import concat_skip_null, date_of
 from orderdw.operators.stock import with_line_total
-from orderdw.sources.tables import load, write_table
+from orderdw.sources.publish import Release, load_published
+from orderdw.sources.tables import load
 
 YEAR = "order_year"
 
@@ -62,21 +63,20 @@ def run_etl(spark: SparkSession, source: str, target: str,
             stored_as: Mapping[str, str] | None = None) -> dict[str, DataFrame]:
     """Full refresh of the warehouse. Keys depend on the data only, so it can be run again.
 
-    ``stored_as`` names source tables in buckets. The facts lie in a folder per year (``order_year``).
+    The four tables come into force together, once the last is written; until then, and after a load
+    that fails, readers find the release before (:func:`orderdw.sources.publish.load_published`).
+    ``stored_as`` names source tables in buckets. The facts lie in a folder per year
+    (``order_year``).
     """
     def stored(name: str) -> DataFrame:
         return load(spark, source, name, stored_as)
 
-    def refresh(name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
-        write_table(df, f"{target}/{name}", mode="overwrite", partition_by=partition_by)
-        return load(spark, target, name)
-
-    orders = stored("orders")
-    done = {"dim_dates": refresh("dim_dates", dim_dates(orders)),
-            "dim_customers": refresh("dim_customers", dim_customers(stored("customers"))),
-            "dim_products": refresh("dim_products",
-                                    dim_products(stored("products"), stored("suppliers")))}
-    done["fact_orders"] = refresh("fact_orders", fact_orders(
-        stored("lines"), orders, done["dim_dates"], done["dim_customers"], done["dim_products"],
-        with_year=True), [YEAR])
-    return done
+    with Release(spark, target) as release:
+        orders = stored("orders")
+        dates = release.write("dim_dates", dim_dates(orders))
+        customers = release.write("dim_customers", dim_customers(stored("customers")))
+        products = release.write("dim_products",
+                                 dim_products(stored("products"), stored("suppliers")))
+        release.write("fact_orders", fact_orders(stored("lines"), orders, dates, customers, products,
+                                                 with_year=True), [YEAR])
+    return {name: load_published(spark, target, name) for name in release.tables}

@@ -6,6 +6,8 @@ from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
+from orderdw.sources.files import remove
+
 # Joins are left to the optimizer: a side is broadcast only when its size, estimated or measured at
 # run time, is under spark.sql.autoBroadcastJoinThreshold. Skewed join partitions are split at run
 # time, also where that costs another shuffle.
@@ -49,10 +51,7 @@ def stage_path(spark: SparkSession, label: str) -> str:
 
 def drop_stages(spark: SparkSession) -> None:
     """Remove the intermediate tables of this application, once its results are written."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(
-        f"{checkpoint_dir(spark)}/orderdw/{spark.sparkContext.applicationId}")
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    remove(spark, f"{checkpoint_dir(spark)}/orderdw/{spark.sparkContext.applicationId}")
 
 
 def cut_lineage(df: DataFrame, label: str = "stage") -> DataFrame:

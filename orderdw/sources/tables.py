@@ -7,19 +7,25 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from orderdw.schemas import TABLES
+from orderdw.sources.manifest import latest
 
 ORDER_RANGE = "order_range"
+# Where published tables lie in their folder, and which of them are in force.
+RELEASES, MANIFEST = "releases", "manifest"
 
 
 def load(spark: SparkSession, folder: str, name: str,
          stored_as: Mapping[str, str] | None = None) -> DataFrame:
     """A table with its declared layout; nothing is inferred from the files.
 
+    Where ``folder`` holds published releases, the table is that of the release in force.
     ``stored_as`` names the tables that :func:`write_bucketed` stored; those come with their buckets.
     """
     if stored_as and name in stored_as:
         return spark.table(stored_as[name])
-    return spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}")
+    published = (latest(spark, f"{folder}/{MANIFEST}")[1] or {}).get(name)
+    path = f"{folder}/{RELEASES}/{published['release']}/{name}" if published else f"{folder}/{name}"
+    return spark.read.schema(TABLES[name]).parquet(path)
 
 
 def write_table(df: DataFrame, path: str, mode: str = "errorifexists",

@@ -16,6 +16,8 @@ from orderdw.operators.sampling import lookup_key, pick_side_by_side, pick_withi
 from orderdw.session import checkpoint_dir, stage_path
 from seed import key, number, seed, uuid_text
 
+real = running.cut_and_measure
+
 
 def sequential(stock, orders):
     """orders: (no, takes, [(product, quantity)]) in order; gives rejected {no: (p, avail, q)}."""
@@ -80,6 +82,46 @@ def test_allocate_like_a_loop(spark, monkeypatch, seed_no, hot, negative, block_
             assert number(r.product_id) == 99
 
 
+def test_rounds_read_what_the_last_one_changed(spark):
+    """Each order hangs on the one before it: it needs the product that one may have taken."""
+    n = 24
+
+    def product(c):
+        return F.unhex(F.lpad(F.hex(c), 32, "0")).alias("product_id")
+
+    pairs = spark.range(1, n + 1).select(
+        F.col("id").alias("order_no"),
+        F.explode(F.array(F.col("id"), F.col("id") + 1)).alias("p"))
+    lines = pairs.select("order_no", F.lit(1).alias("line_no"), product(F.col("p")),
+                         F.lit(1).alias("quantity"))
+    orders = spark.range(1, n + 1).select(F.col("id").alias("order_no"),
+                                          F.lit("confirmado").alias("state"))
+    products = spark.range(1, n + 2).select(product(F.col("id")), F.lit("p").alias("description"),
+                                            F.lit(1).alias("stock"))
+    got = allocate(lines, orders, products, line_cols=["line_no"])
+    assert sorted(r.order_no for r in got.rejected.collect()) == list(range(2, n + 1, 2))
+    assert len(got.rounds) > n // 2  # nothing but one order after the other
+    assert all(r.queued <= 8 and r.lines <= 8 for r in got.rounds[1:])
+
+
+@pytest.mark.parametrize("blocks", [1, 3, 50])
+def test_slots_are_the_same_each_time(spark, monkeypatch, blocks):
+    """Limits are fixed: rows that are sorted again get the slots they had, and one copy is stored."""
+    rows = [(i * 7919 % 1000 // 3, f"s{i}" if i % 5 else None, i) for i in range(1000)]
+    df = spark.createDataFrame(rows, "k int, s string, i int").repartition(6)
+    monkeypatch.setattr(running, "ROWS_PER_BLOCK", -(-1000 // blocks))
+    stored = []
+    monkeypatch.setattr(running, "cut_and_measure",
+                        lambda *a, **m: stored.append(real(*a, **m)) or stored[-1])
+    slots, _ = slotted(df, ["k", "s", "i"])
+    assert len(stored) == 1 and (slots.blocks == blocks or blocks == 50 and slots.blocks > 30)
+    once = [(r._slot, r.i) for r in slots.rows.collect()]
+    again = [(r._slot, r.i) for r in slots.rows.repartition(3, "i").collect()]
+    assert sorted(once) == sorted(again)
+    want = sorted(rows, key=lambda r: (r[0], r[1] is not None, r[1] or "", r[2]))
+    assert [i for _, i in sorted(once)] == [r[2] for r in want]
+
+
 def test_running_before_with_a_hot_key(spark, monkeypatch):
     rng = random.Random(5)
     rows = [(1 if rng.random() < 0.5 else rng.randint(2, 40), i, rng.randint(0, 9), f"s{i}")
