@@ -34,7 +34,7 @@ from orderdw.session import cut_and_measure, cut_lineage, stage_path
 from orderdw.sources.files import folders
 
 
-ROWS_PER_FOLDER, LEAST_FOLDERS = 100_000, 64
+ROWS_PER_FOLDER, LEAST_FOLDERS = 100_000, 16
 
 
 class Round(NamedTuple):
@@ -179,14 +179,18 @@ class _Queues:
                                       "accepted": F.lit(None).cast("boolean"),
                                       "_changed": F.lit(True)})
         while rows is not None:
-            queued, stored = self._bounds(rows)
-            lines, settled = self._judge(stored)
-            self.rounds.append(Round(queued, lines, settled.count() if settled else 0))
-            rows = self._queues_after(settled) if settled else None
-
-    def _bounds(self, rows: DataFrame) -> tuple[int, DataFrame]:
-        """New bounds of the rows of changed products. Stores what is open, and says what is new
-        about it: a row fits from now on (1), or fails (2)."""
+            queued, stored, asked = self._bounds(rows)
+            lines, done, touched = self._judge(stored, asked) if asked else (0, 0, [])
+            self.rounds.append(Round(queued, lines, done))
+            rows = self._queues_after(touched) if done else None
+
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64("order_no"), F.lit(max(LEAST_FOLDERS, self.blocks))).cast("int")
+
+    def _bounds(self, rows: DataFrame) -> tuple[int, DataFrame, list[int]]:
+        """New bounds of the rows of changed products. Stores what is open, and what is new about
+        it: a row fits from now on (1), or fails (2). Gives the rows read, the rows stored, and the
+        folders of the orders that have news (as many as there are folders at most)."""
         open_ = F.col("accepted").isNull()
         sums = {"_taken": F.when(F.col("accepted"), F.col("take")),
                 "_most": F.when(open_, F.greatest("take", F.lit(0)))}
@@ -203,30 +207,27 @@ class _Queues:
                  .withColumn("fits", F.col("fits") | fits))
         seen = Observation()
         path = f"{self.root}/queues/_round={len(self.rounds)}"
-        (found.observe(seen, F.count("*").alias("rows")).filter(open_)
+        (found.observe(seen, F.count("*").alias("rows"), F.collect_set(
+            F.when(open_ & F.col("news").isNotNull(), self._bucket())).alias("asked"))
+         .filter(open_)
          .drop("accepted", "_changed", "_taken", "_most", "_least")
          .withColumn("_folder", F.col(BLOCK)).write.partitionBy("_folder").parquet(path))
         # What was read is replaced; folders without open rows are gone.
         written = folders(self.spark, path, "_folder")
         self.queue_at |= written
-        return seen.get["rows"], self._read("queues", [path]) if written else None
+        return (seen.get["rows"], self._read("queues", [path]) if written else None,
+                seen.get["asked"])
 
-    def _judge(self, stored: DataFrame | None) -> tuple[int, DataFrame | None]:
-        """Settles the orders that the news decide, and stores what else they say."""
-        if stored is None:
-            return 0, None
-        bucket = F.pmod(F.xxhash64("order_no"), F.lit(max(LEAST_FOLDERS, self.blocks))).cast("int")
+    def _judge(self, stored: DataFrame, asked: list[int]) -> tuple[int, int, list]:
+        """Settles the orders that the news decide, and stores what else they say. Gives the rows
+        read, the rows settled, and where those lie (a few facts for each block)."""
         line = ["order_no", SLOT, "product_id", BLOCK, "_head", "_tail"]
         if not self.rounds:
             lines = stored.select(*line, "fits", "news")
         else:
-            news = stored.filter("news IS NOT NULL").select(SLOT, "order_no", "news")
-            # The numbers of the folders to read, as many as there are folders at most.
-            asked = [str(r[0]) for r in news.select(bucket).distinct().collect()]
-            paths = [self.orders_at.pop(b) for b in asked if b in self.orders_at]
-            if not paths:
-                return 0, None
-            lines = (self._read("orders", paths).drop("accepted").join(news.drop("order_no"), SLOT, "left")
+            news = stored.filter("news IS NOT NULL").select(SLOT, "news")
+            paths = [self.orders_at.pop(str(b)) for b in asked if str(b) in self.orders_at]
+            lines = (self._read("orders", paths).drop("accepted").join(news, SLOT, "left")
                      .withColumn("fits", F.col("fits") | F.coalesce(F.col("news") == 1,
                                                                     F.lit(False))))
         fate = lines.groupBy("order_no").agg(
@@ -234,29 +235,30 @@ class _Queues:
             F.coalesce(F.bool_or(F.col("news") == 2), F.lit(False)).alias("_fails"))
         seen = Observation()
         path = f"{self.root}/orders/_round={len(self.rounds)}"
-        done = (F.col("_all") | F.col("_fails"))
-        (lines.observe(seen, F.count("*").alias("rows")).join(fate, "order_no")
-         .select(*line, "fits", (F.col("_all") & ~F.col("_fails")).alias("accepted"),
-                 done.cast("int").alias("_done"), bucket.alias("_bucket"))
+        done = F.col("_all") | F.col("_fails")
+        judged = lines.join(fate, "order_no").observe(
+            seen, F.count("*").alias("rows"), F.count(F.when(done, 1)).alias("done"),
+            F.collect_set(F.when(done, F.struct(BLOCK, "_head", "_tail"))).alias("touched"))
+        (judged.select(*line, "fits", (F.col("_all") & ~F.col("_fails")).alias("accepted"),
+                       done.cast("int").alias("_done"), self._bucket().alias("_bucket"))
          .repartition("_done", "_bucket")
          .write.partitionBy("_done", "_bucket").parquet(path))
         self.orders_at |= folders(self.spark, f"{path}/_done=0", "_bucket")
-        if not folders(self.spark, f"{path}/_done=1"):
-            return seen.get["rows"], None
-        self.settled_at.append(f"{path}/_done=1")
-        return seen.get["rows"], self._read("orders", self.settled_at[-1:])
-
-    def _queues_after(self, settled: DataFrame) -> DataFrame | None:
-        """The queues of the products of settled rows, with what became of those rows."""
-        # A few facts for each block at most.
+        if seen.get["done"]:
+            self.settled_at.append(f"{path}/_done=1")
+        return seen.get["rows"], seen.get["done"], seen.get["touched"]
+
+    def _queues_after(self, places: list) -> DataFrame | None:
+        """The queues of the products of the rows settled last, with what became of those rows."""
         touched = set()
-        for block, head, tail in settled.select(BLOCK, "_head", "_tail").distinct().collect():
+        for block, head, tail in places:
             touched.add(block)
             for goes_on, next_ in ((head, self.before), (tail, self.after)):
                 at = block
                 while goes_on and at in next_:
                     at = next_[at]
                     touched.add(at)
+        settled = self._read("orders", self.settled_at[-1:])
         paths = [self.queue_at.pop(str(b)) for b in sorted(touched) if str(b) in self.queue_at]
         if not paths:
             return None
