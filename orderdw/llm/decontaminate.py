@@ -50,6 +50,15 @@ def overlaps(docs: DataFrame, items: DataFrame) -> DataFrame:
     (ties: the smallest shift). Items of fewer words than a mask are not looked for. Rows without an
     id, and null or empty texts, take no part; repeated rows give one result.
     """
+    found = F.struct("shift", "n_words",
+                     F.size(F.filter("same", lambda x: x)).alias("n_same"), "score")
+    best = _scored(docs, items).groupBy("doc_id", "item_id").agg(F.max_by(
+        found, F.struct("score", -F.col("shift"), "n_words")).alias("best"))
+    return best.select("doc_id", "item_id", "best.*")
+
+
+def _scored(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """The diagonals that count, with their score."""
     listed = (items.filter("item_id is not null").select("item_id", words_of().alias("words"))
               .withColumn("words", F.filter("words", lambda w: w != "")).distinct())
     listed = listed.withColumn("item", F.xxhash64("item_id", "words"))
@@ -75,20 +84,17 @@ def overlaps(docs: DataFrame, items: DataFrame) -> DataFrame:
             F.greatest(F.lit(0), a["now"] + F.when(hit, MATCH).otherwise(MISMATCH)).alias("now"),
             F.greatest(a["best"], a["now"] + F.when(hit, MATCH).otherwise(MISMATCH)).alias("best")),
         lambda a: a["best"])
-    scored = (lined.withColumn("same", same).withColumn("score", run)
-              .withColumn("n_words", F.size("words"))
-              .filter(F.col("score") >= F.least(F.lit(SCORE), F.ceil(SHARE * F.col("n_words")))))
-    found = F.struct("shift", "n_words",
-                     F.size(F.filter("same", lambda x: x)).alias("n_same"), "score")
-    best = scored.groupBy("doc_id", "item_id").agg(F.max_by(
-        found, F.struct("score", -F.col("shift"), "n_words")).alias("best"))
-    return best.select("doc_id", "item_id", "best.*")
+    return (lined.withColumn("same", same).withColumn("score", run)
+            .withColumn("n_words", F.size("words"))
+            .filter(F.col("score") >= F.least(F.lit(SCORE), F.ceil(SHARE * F.col("n_words")))))
 
 
 def without_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """``docs`` without the documents that hold an item. Rows without a doc_id stay."""
-    leaked = overlaps(docs, items).select("doc_id").distinct()
-    return docs.join(leaked, "doc_id", "left_anti").select(docs.columns)
+    """``docs`` without the texts that hold an item. Rows without a doc_id stay, and so does a clean
+    text whose doc_id another text has too."""
+    leaked = _scored(docs, items).select("doc_id", F.col("tid").alias("_tid")).distinct()
+    return (docs.withColumn("_tid", F.xxhash64("text"))
+            .join(leaked, ["doc_id", "_tid"], "left_anti").select(docs.columns))
 
 
 def op6_spaced_seeds(spark: SparkSession, folder: str) -> DataFrame:

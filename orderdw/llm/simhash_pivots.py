@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderdw.llm.common import table
+from orderdw.llm.common import table, text_key
 from orderdw.llm.components import smallest_reachable
 from orderdw.session import cut_lineage
 
@@ -61,15 +61,17 @@ def _fingerprints(words: int):
         for batch in batches:
             prints = np.array([fingerprint(t, words) for t in batch.column(1).to_pylist()],
                               np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints, pa.int64())],
-                                             ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(prints, pa.int64()), batch.column(2)],
+                ["doc_id", "fp", "text_key"])
     return rows
 
 
 def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """(doc_id, fp) of every row. Null, empty and word-free texts have fingerprint zero; texts with
+    """(doc_id, fp, text_key) of every row. Null, empty and word-free texts have fingerprint zero; texts with
     fewer words than a shingle are one shingle."""
-    return docs.select("doc_id", "text").mapInArrow(_fingerprints(words), "doc_id long, fp long")
+    return docs.select("doc_id", "text", text_key().alias("text_key")).mapInArrow(
+        _fingerprints(words), "doc_id long, fp long, text_key long")
 
 
 def _block_keys() -> Column:
@@ -173,22 +175,32 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RADIUS) -
     bits, and component_id is the smallest doc_id reachable. Equal fingerprints are linked, zero
     like any other. Repeated rows repeat in the result; rows without a doc_id are linked but never
     name a component."""
+    return _components(docs, words, radius).select("doc_id", "fp", "component_id")
+
+
+def _components(docs: DataFrame, words: int, radius: int) -> DataFrame:
+    """:func:`near_duplicates` with the columns that :func:`fingerprints` gives."""
     prints = cut_lineage(fingerprints(docs, words), "simhash")
     nodes = cut_lineage(prints.groupBy("fp").agg(F.min("doc_id").alias("doc_id"))
                         .filter("doc_id is not null"), "simhash-nodes")
     reach = smallest_reachable(cut_lineage(links(nodes, radius), "simhash-links"))
     named = nodes.select("fp", F.col("doc_id").alias("node")).join(reach, "node", "left").select(
         "fp", F.coalesce("smallest", "node").alias("component_id"))
-    return prints.join(named, "fp", "left").select("doc_id", "fp", "component_id")
-
-
-def one_of_each(docs: DataFrame, **options: int) -> DataFrame:
-    """``docs`` with one row for each component: the one its smallest doc_id names. Rows without a
-    doc_id stay."""
-    found = near_duplicates(docs, **options)
-    gone = found.filter("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
-    return kept
+    return prints.join(named, "fp", "left")
+
+
+def one_of_each(docs: DataFrame, words: int = WORDS, radius: int = RADIUS) -> DataFrame:
+    """``docs`` with one document of each component: that of its smallest doc_id. Of several texts
+    with that id one stays, the one of the smallest hash. Repeated rows are one document and stay,
+    or go, together; rows without a doc_id stay."""
+    found = _components(docs, words, radius).filter("doc_id is not null")
+    first = found.groupBy("component_id").agg(
+        F.min(F.struct("doc_id", "text_key")).alias("_first"))
+    gone = (found.join(first, "component_id")
+            .filter(F.struct("doc_id", "text_key") != F.col("_first"))
+            .select("doc_id", F.col("text_key").alias("_text_key")).distinct())
+    return (docs.withColumn("_text_key", text_key())
+            .join(gone, ["doc_id", "_text_key"], "left_anti").select(docs.columns))
 
 
 def op8_simhash_pivots(spark: SparkSession, folder: str) -> DataFrame:

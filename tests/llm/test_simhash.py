@@ -89,3 +89,18 @@ def test_components(spark, docs_frame):
     assert kept.columns == docs.columns
     assert {r.doc_id for r in kept.collect()} == set(lowest.values()) | {None}
     assert S.near_duplicates(docs_frame([])).count() == 0
+
+
+def test_one_of_each_tells_texts_of_one_id_apart(spark, docs_frame):
+    rng = random.Random(9)
+
+    def text():
+        return " ".join(f"w{rng.randrange(5000)}" for _ in range(120))
+
+    a, b, c, d = text(), text(), text(), text()
+    docs = docs_frame([(1, a), (2, a), (2, b), (3, c), (3, c), (4, c), (None, a), (5, d), (5, d + " x")])
+    kept = sorted(((r.doc_id, r.text) for r in S.one_of_each(docs).collect()), key=str)
+    five = [k for k in kept if k[0] == 5]
+    assert len(five) == 1 and five[0][1] in (d, d + " x")
+    assert [k for k in kept if k[0] != 5] == sorted(
+        [(1, a), (2, b), (3, c), (3, c), (None, a)], key=str)
