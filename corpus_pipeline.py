@@ -11,9 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from orderdw.llm.common import table
 from orderdw.llm.decontaminate import without_leaks
 from orderdw.llm.line_dedup import without_repeats
-from orderdw.llm.near_copies import without_near_copies
 from orderdw.llm.quality import good_ones
 from orderdw.llm.sentencepiece_lattice import encode
+from orderdw.llm.simhash_pivots import RADIUS, WORDS, one_of_each
 from orderdw.session import cut_lineage
 
 
@@ -28,8 +28,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (4/5 of the five-word shingles) stays."""
-    return without_near_copies(docs)
+    """One document of each group whose SimHash fingerprints link stays."""
+    return one_of_each(docs, words=WORDS, radius=RADIUS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
