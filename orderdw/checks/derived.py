@@ -10,7 +10,7 @@ from orderdw.functions.ids import bin_to_uuid, stable_key
 from orderdw.operators.running import assign_numbers, number_within, running_before, slotted
 from orderdw.schemas import CANCELLED, CONFIRMED, PENDING
 from orderdw.session import stage_path
-from orderdw.sources.tables import write_bucketed, write_table
+from orderdw.sources.tables import write_bucketed, write_clustered, write_table
 from orderdw.sources.testdata import OrderModel, int_key, load_test_table
 
 AS_OF = "2025-05-01 10:00:00"
@@ -165,3 +165,11 @@ def stored_model(spark: SparkSession, m: OrderModel) -> tuple[str, dict[str, str
     for name, df in {"orders": orders, "lines": m.lines}.items():
         write_bucketed(df, names[name], f"{folder}/{name}", "order_no", 8)
     return folder, names
+
+
+def clustered_orders(spark: SparkSession, m: OrderModel) -> DataFrame:
+    """The orders stored by date, with Bloom filters on number and identifier."""
+    path = stage_path(spark, "orders")
+    write_clustered(m.orders.withColumn("order_date", F.col("order_date").cast("date")), path,
+                    "order_date", ["order_no", "order_id"], files=8)
+    return spark.read.parquet(path)

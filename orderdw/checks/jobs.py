@@ -6,9 +6,9 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from orderdw.checks.derived import state_changes, stored_model, tax_model
+from orderdw.checks.derived import clustered_orders, state_changes, stored_model, tax_model
 from orderdw.checks.oracle import draw, model_sql
-from orderdw.checks.registry import query
+from orderdw.checks.registry import ORACLE, query
 from orderdw.plans import property_tax as tax, reports, warehouse
 from orderdw.session import stage_path
 from orderdw.streaming.state_changes import (read_changes, read_daily_moves, read_ledger,
@@ -25,6 +25,12 @@ def r1(x):
     return reports.customers_between(x.m.customers, x.m.orders, LO, HI)
 
 
+@query("r1_customers_between_clustered", ORACLE["r1_customers_between"])
+def r1_clustered(x):
+    """The same, where the orders lie by date."""
+    return reports.customers_between(x.m.customers, clustered_orders(x.spark, x.m), LO, HI)
+
+
 @query("r2_orders_per_seller", model_sql("""
 SELECT surname, names, dni, email, count(order_id) AS order_count
 FROM m_sellers LEFT JOIN m_orders USING (seller_id)

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from decimal import Decimal
+from functools import reduce
 
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from orderdw.checks.derived import AS_OF, asked_numbers, later_orders, requests, tax_model
 from orderdw.checks.oracle import AS_OF as AS_OF_SQL, model_sql, rounds, uuid
@@ -12,11 +13,12 @@ from orderdw.checks.registry import query
 from orderdw.functions.ids import bin_to_uuid, hex_text, stable_key
 from orderdw.operators import quality, stock
 from orderdw.operators.allocation import allocate, explain_rejects
+from orderdw.operators.deletes import delete_along_keys
 from orderdw.operators.orders import cancel_orders, log_list, order_list, register_orders
 from orderdw.operators.pricing import price_change_report, reprice
 from orderdw.operators.running import assign_numbers
 from orderdw.plans import property_tax as tax, warehouse
-from orderdw.schemas import ORIGINS
+from orderdw.schemas import KEYS, ORIGINS
 
 TAKES = "new_state = 'confirmado' AND state <> 'confirmado'"
 GIVES = "new_state = 'anulado' AND state = 'confirmado'"
@@ -389,6 +391,52 @@ def d6_restrict(x):
         "seller_id", F.coalesce("blocked", F.lit("false")).alias("blocked"))
 
 
+GRAPH = """
+doomed AS (SELECT customer_id FROM m_customers WHERE names = 'BUILDING'),
+held AS (SELECT customer_id, count(*) AS rows FROM m_orders
+         WHERE state = 'anulado' AND customer_id IN (SELECT customer_id FROM doomed)
+         GROUP BY customer_id),
+going AS (SELECT customer_id FROM doomed WHERE customer_id NOT IN (SELECT customer_id FROM held))"""
+
+
+@query("d6_delete_graph", model_sql("""
+SELECT 'customers' AS table_name, customer_id AS key, CAST(NULL AS VARCHAR) AS by_table,
+       CAST(NULL AS BIGINT) AS rows FROM going
+UNION ALL SELECT 'orders', order_id, NULL, NULL FROM m_orders JOIN going USING (customer_id)
+UNION ALL SELECT DISTINCT 'lines', line_id, NULL, NULL FROM m_lines JOIN m_orders USING (order_no)
+  JOIN going USING (customer_id)
+UNION ALL SELECT 'customers', customer_id, 'cancel_log', rows FROM held""", GRAPH.strip()))
+def d6_graph(x):
+    """Customers go with their orders and the lines of these, unless the log names one of the
+    orders."""
+    m = x.m
+    log = stock.log_rows(m.orders.filter("state = 'anulado'"), AS_OF)
+    got = delete_along_keys(
+        {"customers": m.customers, "sellers": m.sellers, "orders": m.orders, "lines": m.lines,
+         "cancel_log": log}, {"customers": m.customers.filter("names = 'BUILDING'")},
+        {"orders": {"customers"}, "lines": {"orders"}})
+    keys = {"customers": "customer_id", "orders": "order_id", "lines": "line_id"}
+    gone = [rows.select(F.lit(name).alias("table_name"), hex_text(keys[name]).alias("key"),
+                        F.lit(None).cast("string").alias("by_table"),
+                        F.lit(None).cast("long").alias("rows"))
+            for name, rows in got.gone.items()]
+    return reduce(DataFrame.unionByName, [*gone, got.blocked])
+
+
+@query("d6_delete_graph_left", model_sql("""
+SELECT line_id, quantity FROM m_lines JOIN m_orders USING (order_no)
+WHERE customer_id NOT IN (SELECT customer_id FROM m_customers WHERE names = 'BUILDING')""",
+    ""))
+def d6_graph_left(x):
+    """The lines that are left when nothing holds the customers."""
+    m = x.m
+    got = delete_along_keys({"customers": m.customers, "orders": m.orders, "lines": m.lines},
+                            {"customers": m.customers.filter("names = 'BUILDING'")},
+                            {"orders": {"customers"}, "lines": {"orders"}},
+                            {**KEYS, "lines": KEYS["lines"]._replace(primary=("order_no", "line_no"))})
+    return got.tables["lines"].select("line_id", "quantity")
+
+
 @query("d7_uuid_format", model_sql("""
 SELECT 'uuid_format' AS rule, CAST(order_no AS VARCHAR) AS key, CAST(1 AS BIGINT) AS rows,
        'u is not a UUID: ' || order_id AS message FROM m_orders WHERE state = 'anulado'"""))

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -165,6 +165,14 @@ def cancel_orders(numbers: DataFrame, orders: DataFrame, lines: DataFrame, produ
                         log_rows(hit, as_of), rejects)
 
 
+def find_orders(orders: DataFrame, numbers: Iterable[int]) -> DataFrame:
+    """The orders of a few numbers. Each is an equality that reaches the Parquet scan, where Bloom
+    filters (:func:`orderdw.sources.tables.write_clustered`) tell which row groups may hold it; for
+    many numbers, join them instead."""
+    wanted = [F.col("order_no") == int(n) for n in numbers]
+    return orders.filter(reduce(Column.__or__, wanted) if wanted else F.lit(False))
+
+
 def order_list(orders: DataFrame) -> DataFrame:
     return (orders.select("order_no", "state", date_of(F.col("order_date")).alias("order_date"),
                           bin_to_uuid("seller_id").alias("seller_uuid"))

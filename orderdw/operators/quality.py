@@ -9,12 +9,13 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 from pyspark.sql.types import StructType
 
 from orderdw.functions.ids import is_uuid
 from orderdw.functions.scalars import STOCK_BOUNDS, message
 from orderdw.schemas import KEYS, TABLES, Keys
+from orderdw.session import cut_lineage
 
 
 class BrokenRule(ValueError):
@@ -96,6 +97,11 @@ def check_model(tables: Mapping[str, DataFrame], keys: Mapping[str, Keys] = KEYS
     ``tables`` are the model's tables by name; a foreign key to a table that is not given is left
     out. Gives the rows of the single checks with the ``table_name`` and the ``columns`` they are
     about.
+
+    Each table is read once: its rows are counted by all its keys together (grouping sets), and its
+    missing values on the way. Of the counts, those are stored that break a rule by themselves, or
+    that a foreign key compares; both sides of that comparison are then at hand. A table is read
+    again only to list rows with missing values, where there are any.
     """
     found = []
 
@@ -103,20 +109,66 @@ def check_model(tables: Mapping[str, DataFrame], keys: Mapping[str, Keys] = KEYS
         found.append(rows.select(F.lit(name).alias("table_name"),
                                  F.lit(", ".join(columns)).alias("columns"), "*"))
 
+    foreign = {name: [fk for fk in keys[name].foreign if fk[1] in tables] for name in tables}
+    compared = {(parent, targets) for fks in foreign.values() for _, parent, targets in fks}
+    compared |= {(name, columns) for name, fks in foreign.items() for columns, _, _ in fks}
+    counted = {name: _key_counts(df, name, keys[name], layouts[name], compared)
+               for name, df in tables.items()}
+
     for name, df in tables.items():
-        own = keys[name]
-        required = [f.name for f in layouts[name].fields if not f.nullable and f.name in df.columns]
-        if required:
+        own, (counts, missing) = keys[name], counted[name]
+        if any(missing.values()):
+            required = list(missing)
             add(name, required, check_not_null(df, required, own.primary or required))
         for columns in [own.primary, *own.unique]:
             if columns:
-                add(name, columns, check_unique(df, columns))
-        for columns, parent, targets in own.foreign:
-            if parent in tables:
-                add(name, columns, check_fk(df, tables[parent], columns, targets))
+                repeated = counts[columns].filter("_rows > 1")
+                add(name, columns, _violations(
+                    repeated, "unique", columns, message("%d rows with this key", "_rows"),
+                    F.col("_rows")))
+        for columns, parent, targets in foreign[name]:
+            used = counts[columns].dropna(subset=list(columns))
+            known = counted[parent][0][targets].select(
+                *[F.col(t).alias(c) for t, c in zip(targets, columns)])
+            add(name, columns, _violations(
+                used.join(known, list(columns), "left_anti"), "foreign_key", columns,
+                message("no parent for %d rows", "_rows"), F.col("_rows")))
+    if not found:
+        spark = next(iter(tables.values())).sparkSession
+        return spark.createDataFrame([], "table_name string, columns string, rule string,"
+                                         " key string, rows long, message string")
     return reduce(DataFrame.unionByName, found)
 
 
+def _key_counts(df: DataFrame, name: str, own: Keys, layout: StructType, compared: set
+                ) -> tuple[dict[tuple[str, ...], DataFrame], dict[str, int]]:
+    """Rows by each key of a table (``_rows``), and how many values its required columns miss."""
+    required = [f.name for f in layout.fields if not f.nullable and f.name in df.columns]
+    sets = list(dict.fromkeys(
+        [k for k in (own.primary, *own.unique) if k] + [c for c, _, _ in own.foreign
+                                                        if (name, c) in compared]
+        + sorted(t for n, t in compared if n == name)))
+    nulls = {c: F.count(F.when(F.col(c).isNull(), 1)) for c in required}
+    seen = Observation()
+    watched = df.observe(seen, F.count("*"), *[c.alias(n) for n, c in nulls.items()])
+    columns = list(dict.fromkeys(c for k in sets for c in k))
+    if not columns:
+        missing = df.agg(*[c.alias(n) for n, c in nulls.items()]).first().asDict() if nulls else {}
+        return {}, missing
+
+    def number(key: tuple[str, ...]) -> int:
+        """What Spark calls a grouping set: a bit for each column that it leaves out."""
+        return sum(1 << i for i, c in enumerate(reversed(columns)) if c not in key)
+
+    grouped = watched.select(*columns, *[c for c in required if c not in columns]).groupingSets(
+        sets, *columns).agg(F.grouping_id(*columns).alias("_set"), F.count("*").alias("_rows"))
+    kept = (F.col("_rows") > 1) | F.col("_set").isin([number(k) for k in sets
+                                                      if (name, k) in compared])
+    stored = cut_lineage(grouped.filter(kept), "keys")
+    counts = {k: stored.filter(F.col("_set") == number(k)).select(*k, "_rows") for k in sets}
+    return counts, {n: seen.get[n] for n in required}
+
+
 class Deletion(NamedTuple):
     parent: DataFrame
     child: DataFrame

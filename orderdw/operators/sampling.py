@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from orderdw.functions.ids import hex_text
+from orderdw.functions.scalars import loose_text
 from orderdw.operators.running import assign_numbers, number_within
 
 
@@ -31,28 +32,46 @@ def pick_side_by_side(picks: Mapping[str, tuple[DataFrame, str, str | None]],
                       seed: int | str) -> DataFrame:
     """Independent random picks in one row.
 
-    ``picks`` maps a label to (table, id column, extra column or None). Each pick is the one value
-    of an aggregate, computed as a scalar subquery.
+    ``picks`` maps a label to (table, id column, extra column or None). All picks of a table are one
+    aggregate that keeps the best row of each pick's own order, so a table is read once. The tables'
+    values stand side by side as scalar subqueries of one row each.
     """
-    shown = []
-    for label, (df, key, extra) in picks.items():
-        best = F.struct(draw(f"{seed}/{label}", hex_text(key)), hex_text(key))
-        shown.append(df.select(F.min_by(hex_text(key), best)).scalar().alias(f"{label}_id"))
-        if extra:
-            shown.append(df.select(F.min_by(extra, best)).scalar().alias(f"{label}_{extra}"))
-    first = next(iter(picks.values()))[0]
-    return first.agg(F.count("*").alias("_rows")).select(*shown)
+    by_table: dict[int, list[str]] = {}
+    for label, (df, _, _) in picks.items():
+        by_table.setdefault(id(df), []).append(label)
+    rows = []
+    for labels in by_table.values():
+        best = []
+        for label in labels:
+            _, key, extra = picks[label]
+            shown = [hex_text(key).alias("id"), *([F.col(extra).alias("extra")] if extra else [])]
+            order = F.struct(draw(f"{seed}/{label}", hex_text(key)), hex_text(key))
+            best.append(F.min_by(F.struct(*shown), order).alias(label))
+        rows.append(picks[labels[0]][0].agg(*best))
+    first, *others = rows
+    for n, (row, labels) in enumerate(zip(others, list(by_table.values())[1:])):
+        whole = row.select(F.struct(*labels)).scalar()
+        first = first.withColumn(f"_t{n}", whole).select("*", f"_t{n}.*").drop(f"_t{n}")
+    return first.select(*[c for label, (_, _, extra) in picks.items() for c in (
+        F.col(f"{label}.id").alias(f"{label}_id"),
+        *([F.col(f"{label}.extra").alias(f"{label}_{extra}")] if extra else []))])
 
 
 def lookup_key(df: DataFrame, dim: DataFrame, text_col: str, key_col: str = "id",
-               dim_text: str = "description", name: str | None = None) -> DataFrame:
+               dim_text: str = "description", name: str | None = None,
+               loose: bool = False) -> DataFrame:
     """Replace a description by the key of the dimension row that has it (smallest key if several).
 
-    Unknown descriptions give NULL.
+    ``loose`` compares as the database does, without regard to case and accents: the text is joined
+    under a collation, which Spark hashes by its collation key. Unknown descriptions give NULL.
     """
     name = name or f"{text_col}_id"
-    keys = (dim.groupBy(F.col(dim_text).alias(text_col)).agg(F.min(key_col).alias(name)))
-    return df.join(keys, text_col, "left")
+
+    def text(column: str) -> Column:
+        return loose_text(F.col(column)) if loose else F.col(column)
+
+    keys = dim.groupBy(text(dim_text).alias("_text")).agg(F.min(key_col).alias(name))
+    return df.join(keys, text(text_col) == F.col("_text"), "left").drop("_text")
 
 
 def pick_within(df: DataFrame, pool: DataFrame, on: Sequence[str], pool_key: str,

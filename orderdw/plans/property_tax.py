@@ -25,11 +25,12 @@ def generate_instalments(properties: DataFrame, year: int, value: Decimal | str)
 
 def assign_town(addresses: DataFrame, towns: DataFrame, provinces: DataFrame,
                 seed: int | str) -> DataFrame:
-    """Give each address a random town of the province it names in its ``province`` column.
+    """Give each address a random town of the province it names in its ``province`` column,
+    whatever its case and accents.
 
     An address with a NULL or unknown province gets no town.
     """
-    keyed = lookup_key(addresses, provinces, "province", name="_province_id")
+    keyed = lookup_key(addresses, provinces, "province", name="_province_id", loose=True)
     pool = towns.select(F.col("province_id").alias("_province_id"), "id")
     return (pick_within(keyed.drop("town_id"), pool, ["_province_id"], "id", seed, hex_text("id"),
                         "town_id")
@@ -38,11 +39,11 @@ def assign_town(addresses: DataFrame, towns: DataFrame, provinces: DataFrame,
 
 def assign_dim(df: DataFrame, dim: DataFrame, seed: int | str, name: str, row_key: Column,
                fixed: str | None = None) -> DataFrame:
-    """Add the key of a zone or type: the named one where ``fixed`` holds a description, a random
-    one elsewhere."""
+    """Add the key of a zone or type: the named one where ``fixed`` holds a description (whatever
+    its case and accents), a random one elsewhere."""
     if fixed is None:
         return pick_within(df, dim.select("id"), [], "id", seed, row_key, name)
-    named = lookup_key(df, dim, fixed, name="_named")
+    named = lookup_key(df, dim, fixed, name="_named", loose=True)
     picked = pick_within(named, dim.select("id"), [], "id", seed, row_key, "_picked")
     chosen = F.when(F.col(fixed).isNull(), F.col("_picked")).otherwise(F.col("_named"))
     return picked.withColumn(name, chosen).drop("_named", "_picked")

@@ -60,6 +60,44 @@ def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int)
      .saveAsTable(table))
 
 
+def write_clustered(df: DataFrame, path: str, by: str, found_by: Iterable[str], files: int,
+                    rows_per_group: int = 100_000) -> None:
+    """Store a table for readers that want few of its rows.
+
+    Files follow one another along ``by`` (a date or a number: other timestamps are not compared by
+    the scan) and are sorted by it, so a range of it lies in few row groups and the others are
+    skipped by their limits. Each of ``found_by`` gets a Bloom filter per
+    row group: a lookup of single values skips the groups that cannot hold them, wherever those
+    values lie. Row groups are closed after about ``rows_per_group`` rows.
+    """
+    writer = (df.repartitionByRange(files, by).sortWithinPartitions(by).write
+              .option("parquet.block.row.count.limit", str(rows_per_group)))
+    for column in found_by:
+        writer = (writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+                  .option(f"parquet.bloom.filter.expected.ndv#{column}", str(rows_per_group)))
+    writer.parquet(path)
+
+
+def rows_scanned(df: DataFrame) -> int:
+    """Run ``df`` and tell how many rows its Parquet scans gave out: those of the row groups that
+    limits and Bloom filters did not exclude."""
+    plan = df.select("*")._jdf.queryExecution().executedPlan()  # counts of its own
+    plan.executeCollect()
+    if plan.nodeName() == "AdaptiveSparkPlan":
+        plan = plan.finalPhysicalPlan()
+    total, open_ = 0, [plan]
+    while open_:
+        node = open_.pop()
+        if "QueryStage" in node.nodeName():
+            open_.append(node.plan())
+            continue
+        if node.nodeName().startswith("Scan parquet"):
+            total += node.metrics().apply("numOutputRows").value()
+        children = node.children()
+        open_ += [children.apply(i) for i in range(children.size())]
+    return total
+
+
 def register_views(spark: SparkSession, folder: str, names: Iterable[str],
                    stored_as: Mapping[str, str] | None = None) -> list[str]:
     """Local names for tables of another folder, to be used from SQL text."""

@@ -165,3 +165,36 @@ def test_hot_product_is_split_in_the_fact(spark):
             spark.conf.unset(k)
         for k, v in kept.items():
             spark.conf.set(k, v)
+
+
+def test_few_row_groups_for_a_day_and_for_a_number(spark):
+    from orderdw.operators.orders import find_orders
+    from orderdw.plans.reports import customers_between
+    from orderdw.sources.tables import rows_scanned, write_clustered
+    n = 20_000
+    orders = spark.range(n).select(
+        (F.col("id") * 7919 % n).alias("order_no"),
+        F.unhex(F.md5(F.col("id").cast("string"))).alias("order_id"),
+        (F.col("id") % 50).cast("string").alias("customer_id"),
+        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 365).cast("int"))
+        .alias("order_date"))
+    plain, path = stage_path(spark, "plain"), stage_path(spark, "clustered")
+    write_table(orders, plain)
+    write_clustered(orders, path, "order_date", ["order_no", "order_id"], 4, rows_per_group=1000)
+    plain, stored = spark.read.parquet(plain), spark.read.parquet(path)
+    customers = spark.range(50).select(F.col("id").cast("string").alias("customer_id"), *[
+        F.lit("x").alias(c) for c in ("surname", "names", "dni", "email")])
+
+    def april(df):
+        return customers_between(customers, df, "2024-04-01", "2024-04-10").select("dni")
+
+    days = [df.filter("order_date between date'2024-04-01' and date'2024-04-10'")
+            for df in (plain, stored)]
+    assert rows_scanned(days[0]) == n and rows_scanned(days[1]) <= 3000
+    assert april(plain).collect() == april(stored).collect()
+    found = [find_orders(df, [17, 4711]) for df in (plain, stored)]
+    assert sorted(found[0].collect()) == sorted(found[1].collect()) and found[1].count() == 2
+    assert rows_scanned(found[0]) == n and rows_scanned(found[1]) <= 4000
+    key = bytes(found[0].first().order_id)
+    assert rows_scanned(stored.filter(F.col("order_id") == F.lit(key))) <= 3000
+    assert find_orders(stored, []).count() == 0
