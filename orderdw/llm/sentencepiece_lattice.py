@@ -9,13 +9,15 @@ them into the word's ids:
 * a merge model (BPE) joins, again and again, the two neighbours that form the best piece. Its
   encoder is not a best path by score, so Viterbi would give other ids than the model means.
 
-Documents travel in compressed blocks of bounded size. A block asks for each of its words once, and
-the answers come back to the block, so no task holds the whole dictionary and frequent words are
-asked for once per block, not once per occurrence. Requests and answers are packed by word bucket.
+Documents travel in compressed blocks of bounded size, cut into units once and kept as numbers of
+units. A block asks for each of its words once, and the answers come back to the block, so no task
+holds the whole dictionary and frequent words are asked for once per block, not once per occurrence.
+Requests and answers are packed by word bucket. Decoding puts the bytes of the ids side by side.
 """
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import re
 import unicodedata
@@ -28,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -385,16 +388,51 @@ def _encode_best(words: DataFrame, pieces: DataFrame, vocabulary: Vocabulary) ->
     return cut.select("bucket", "word", "asks", _ids(vocabulary, used).alias("ids"))
 
 
+def _parsed(texts: pa.StringArray) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The distinct units of texts, the number of each unit in turn, and how many a text has."""
+    # Texts with single spaces only are cut by Arrow, the others one by one.
+    odd = pc.fill_null(pc.or_(pc.or_(pc.starts_with(texts, " "), pc.match_substring(texts, "  ")),
+                              pc.match_substring(texts, SPACE)), False)
+    skip = pc.or_(odd, pc.fill_null(pc.equal(texts, ""), True))
+    lists = pc.split_pattern(pc.if_else(skip, pa.scalar(None, pa.string()), texts), " ")
+    coded = lists.flatten().dictionary_encode()
+    units = coded.dictionary.to_pylist()
+    numbers, cuts = coded.indices.to_numpy(), lists.offsets.to_numpy()
+    places: dict[str, int] = {}
+    pieces, sizes, at = [], np.diff(cuts), 0
+    for row in np.flatnonzero(odd.to_numpy(zero_copy_only=False)).tolist():
+        places = places or {u: n for n, u in enumerate(units)}
+        own = [places.setdefault(u, len(places)) for u in units_of(texts[row].as_py())]
+        pieces += [numbers[at:cuts[row]], np.array(own, np.int32)]
+        at, sizes[row] = cuts[row], len(own)
+    return list(places) or units, np.concatenate([*pieces, numbers[at:]]), sizes
+
+
+def _shown(text: str | None) -> str:
+    """What decoding gives back: a space sign in a text cannot be told from a space."""
+    return (text or "").replace(SPACE, " ")
+
+
 def _blocks(block_bytes: int):
-    """The rows of a partition as blocks (block, texts) of bounded size."""
+    """The rows of a partition as blocks of bounded size: their distinct units, and the rows as
+    numbers of units with a digest of each text."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
+        first, made = TaskContext.get().partitionId() << 32, 0
 
         def block() -> pa.RecordBatch:
-            data = packed(held)
+            texts = pa.concat_arrays([p.column(1) for p in held])
+            units, numbers, sizes = _parsed(texts)
+            cuts = pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32())
+            digests = [hashlib.sha256(_shown(t).encode()).digest() for t in texts.to_pylist()]
+            whole = pa.RecordBatch.from_arrays(
+                [pa.concat_arrays([p.column(0) for p in held]), pa.ListArray.from_arrays(
+                    cuts, pa.array(numbers, pa.int32()), mask=texts.is_null()),
+                 pa.array(digests, pa.binary())], ["doc_id", "numbers", "digest"])
+            listed = pa.RecordBatch.from_arrays([pa.array(units, pa.string())], ["unit"])
             return pa.RecordBatch.from_arrays(
-                [pa.array([xxhash.xxh64_intdigest(data) - (1 << 63)], pa.int64()),
-                 pa.array([data], pa.binary())], ["block", "texts"])
+                [pa.array([first + made], pa.int64()), pa.array([packed([listed])], pa.binary()),
+                 pa.array([packed([whole])], pa.binary())], ["block", "units", "rows"])
 
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
@@ -402,39 +440,18 @@ def _blocks(block_bytes: int):
                 size += held[-1].column(1).nbytes
                 if size >= block_bytes:
                     yield block()
-                    held, size = [], 0
+                    held, size, made = [], 0, made + 1
         if held:
             yield block()
     return rows
 
 
 class _Block:
-    """The texts of a block, their units, and the words to ask for, sorted within each bucket."""
+    """The units of a block, and the words to ask for, sorted within each bucket."""
 
     def __init__(self, data: pa.Buffer, block: int, vocabulary: Vocabulary, buckets: int,
                  salts: int) -> None:
-        self.parts = unpacked(data)
-        texts = pa.concat_arrays([p.column(1) for p in self.parts])
-        self.null = texts.is_null()
-        # Texts with single spaces only are cut by Arrow, the others one by one.
-        odd = pc.fill_null(pc.or_(pc.or_(pc.starts_with(texts, " "), pc.match_substring(texts, "  ")),
-                                  pc.match_substring(texts, SPACE)), False)
-        skip = pc.or_(odd, pc.fill_null(pc.equal(texts, ""), True))
-        lists = pc.split_pattern(pc.if_else(skip, pa.scalar(None, pa.string()), texts), " ")
-        coded = lists.flatten().dictionary_encode()
-        self.units = coded.dictionary.to_pylist()
-        places = {}
-        pieces, self.sizes, at = [], np.diff(lists.offsets.to_numpy()), 0
-        numbers, cuts = coded.indices.to_numpy(), lists.offsets.to_numpy()
-        for row in np.flatnonzero(odd.to_numpy(zero_copy_only=False)).tolist():
-            if not places:
-                places = {u: n for n, u in enumerate(self.units)}
-            own = [places.setdefault(u, len(places)) for u in units_of(texts[row].as_py())]
-            pieces += [numbers[at:cuts[row]], np.array(own, np.int32)]
-            at, self.sizes[row] = cuts[row], len(own)
-        self.numbers = np.concatenate([*pieces, numbers[at:]])
-        if places:
-            self.units = list(places)
+        self.units = unpacked(data)[0].column(0).to_pylist()
         self.plain = vocabulary.fine
         words: set[str] = set()
         for unit in self.units:
@@ -450,25 +467,27 @@ class _Block:
                 at = shift + digest(word.encode("utf-8", "surrogatepass")) % buckets
                 self.asked.setdefault(at, []).append(word)
 
-    def encoded(self, vocabulary: Vocabulary, known: dict[str, bytes]) -> Iterator[pa.ListArray]:
-        """The ids of the texts of each part, from those of their words."""
+    def encoded(self, rows: pa.RecordBatch, vocabulary: Vocabulary, known: dict[str, bytes]
+                ) -> Iterator[pa.RecordBatch]:
+        """Rows with their ids, from those of their words; few rows at a time."""
         of_unit = [known[SPACE + u] if self.plain and u.isalpha() else
                    b"".join([known[w] for w in vocabulary.words(u)]) for u in self.units]
         lengths = np.fromiter(map(len, of_unit), np.int64, len(of_unit)) // 4
         ids = np.frombuffer(b"".join(of_unit), "<i4")
         begin = np.cumsum(lengths) - lengths
-        tokens = np.concatenate(([0], np.cumsum(self.sizes)))
-        at = 0
-        for part in self.parts:
-            cuts = tokens[at:at + part.num_rows + 1]
-            numbers = self.numbers[cuts[0]:cuts[-1]]
+        for lo in range(0, rows.num_rows, 256):
+            part = rows.slice(lo, 256)
+            lists = part.column(1)
+            numbers = lists.flatten().to_numpy()
+            sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
             many = lengths[numbers]
             ends = np.concatenate(([0], np.cumsum(many)))
             flat = ids[np.repeat(begin[numbers] - ends[:-1], many) + np.arange(ends[-1])]
-            yield pa.ListArray.from_arrays(
-                pa.array(ends[cuts - cuts[0]], pa.int32()), pa.array(flat, pa.int32()),
-                mask=pa.concat_arrays([self.null.slice(at, part.num_rows)]))
-            at += part.num_rows
+            cuts = ends[np.concatenate(([0], np.cumsum(sizes)))]
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), pa.ListArray.from_arrays(
+                    pa.array(cuts, pa.int32()), pa.array(flat, pa.int32()), mask=lists.is_null()),
+                 part.column(2)], ["doc_id", "ids", "digest"])
 
 
 def _requests(vocabulary, buckets: int, salts: int):
@@ -486,16 +505,20 @@ def _requests(vocabulary, buckets: int, salts: int):
     return rows
 
 
-def _assemble(vocabulary, buckets: int, salts: int):
-    """Blocks with their answers as rows (doc_id, ids)."""
+def _assemble(vocabulary, buckets: int, salts: int, verify: bool):
+    """Blocks with their answers as rows (doc_id, ids), or with what the ids decode to."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = piece_bytes(vocabulary.value)
         for batch in batches:
             for row in range(batch.num_rows):
                 block = _Block(batch.column(1)[row].as_buffer(), batch.column(0)[row].as_py(),
                                vocabulary.value, buckets, salts)
-                yield from of_block(block, batch.column(2)[row].values)
+                held = unpacked(batch.column(2)[row].as_buffer())[0]
+                known = answered(block, batch.column(3)[row].values)
+                for part in block.encoded(held, vocabulary.value, known):
+                    yield checked(part, pieces) if verify else part.select(["doc_id", "ids"])
 
-    def of_block(block: _Block, answers) -> Iterator[pa.RecordBatch]:
+    def answered(block: _Block, answers) -> dict[str, bytes]:
         known: dict[str, bytes] = {
             w: np.array(encode_long(vocabulary.value, w), "<i4").tobytes() for w in block.own}
         for answer in range(len(answers) if answers is not None else 0):
@@ -507,16 +530,67 @@ def _assemble(vocabulary, buckets: int, salts: int):
             words = block.asked[answers.field("bucket")[answer].as_py()]
             for word, lo, hi in zip(words, cuts[:-1], cuts[1:], strict=True):
                 known[word] = data[lo:hi]
-        for part, ids in zip(block.parts, block.encoded(vocabulary.value, known), strict=True):
-            yield pa.RecordBatch.from_arrays([part.column(0), ids], ["doc_id", "ids"])
+        return known
+
+    def checked(part: pa.RecordBatch, pieces: pa.Array) -> pa.RecordBatch:
+        back = [hashlib.sha256(t).digest() for t in decoded_bytes(part.column(1), pieces)]
+        null = part.column(1).is_null()
+        same = [a == b for a, b in zip(back, part.column(2).to_pylist(), strict=True)]
+        return pa.RecordBatch.from_arrays(
+            [part.column(0), part.column(1),
+             pc.if_else(null, None, pa.array([b.hex() for b in back], pa.string())),
+             pc.if_else(null, None, pa.array(same))],
+            ["doc_id", "ids", "decoded_sha256", "round_trip"])
 
     return rows
 
 
+def piece_bytes(vocabulary: Vocabulary) -> pa.LargeBinaryArray:
+    """The bytes of each id: byte pieces as bytes, spaces for space signs."""
+    first = vocabulary.first_byte
+    return pa.array([bytes([i - first]) if first is not None and first <= i < first + 256 else
+                     text.replace(SPACE, " ").encode() for i, text in enumerate(vocabulary.texts)],
+                    pa.large_binary())
+
+
+def decoded_bytes(ids: pa.ListArray, pieces: pa.LargeBinaryArray) -> list[bytes]:
+    """The bytes of each list of ids side by side, without the space that encoding puts first."""
+    flat = ids.flatten()
+    taken = pieces.take(flat)
+    ends = np.frombuffer(taken.buffers()[1], np.int64)[:len(flat) + 1] if len(flat) else np.zeros(1, int)
+    data = taken.buffers()[2].to_pybytes() if len(flat) else b""
+    sizes = pc.fill_null(pc.list_value_length(ids), 0).to_numpy()
+    cuts = ends[np.concatenate(([0], np.cumsum(sizes)))].tolist()
+    return [data[lo + data.startswith(b" ", lo, hi):hi]
+            for lo, hi in zip(cuts[:-1], cuts[1:], strict=True)]
+
+
+def _decode(vocabulary):
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = piece_bytes(vocabulary.value)
+        for batch in batches:
+            ids = batch.column("ids")
+            texts = [t.decode("utf-8", "replace") for t in decoded_bytes(ids, pieces)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"),
+                 pc.if_else(ids.is_null(), None, pa.array(texts, pa.string()))], ["doc_id", "text"])
+    return rows
+
+
+def decode(encoded: DataFrame, vocabulary: Vocabulary | None = None) -> DataFrame:
+    """(doc_id, text) of every row of ``encoded`` (doc_id, ids). Null ids give a null text, no ids an
+    empty one; bytes that are no UTF-8 become replacement characters."""
+    shared = encoded.sparkSession.sparkContext.broadcast(vocabulary or load_vocabulary())
+    return encoded.select("doc_id", "ids").mapInArrow(_decode(shared), "doc_id long, text string")
+
+
 def encode(docs: DataFrame, vocabulary: Vocabulary | None = None,
-           block_bytes: int = BLOCK_BYTES) -> DataFrame:
+           block_bytes: int = BLOCK_BYTES, verify: bool = False) -> DataFrame:
     """(doc_id, ids) of every row of ``docs`` (doc_id, text): the ids the model's own encoder gives.
 
+    ``verify`` decodes the ids again and adds decoded_sha256 (lowercase hex of the decoded text) and
+    round_trip (whether that is the text, space signs read as spaces); both null for null texts.
+
     A null text has null ids, an empty one none. Characters outside the vocabulary become their
     UTF-8 bytes' pieces (or the unknown id in a model without them). Repeated rows repeat; rows
     without a doc_id are encoded like others; other columns are left out.
@@ -526,14 +600,14 @@ def encode(docs: DataFrame, vocabulary: Vocabulary | None = None,
     shared = spark.sparkContext.broadcast(vocabulary)
     # Bucketed by block, so that the answers come to the texts and the texts stay where they are.
     blocks = bucketed(docs.select("doc_id", "text").mapInArrow(
-        _blocks(block_bytes), "block long, texts binary"), "block", "piece_blocks")
+        _blocks(block_bytes), "block long, units binary, rows binary"), "block", "piece_blocks")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     small = "smallint" if len(vocabulary.texts) <= 1 << 15 else "int"
     # Edges of a word come one after the other; beyond 128 words, the default, all would be sorted.
     if int(spark.conf.get(HASHED_GROUPS)) < WORDS_HASHED:
         spark.conf.set(HASHED_GROUPS, str(WORDS_HASHED))
     buckets, salts = 8 * parts, 1 + blocks.select("block").count() // ASKING_BLOCKS
-    asked = (blocks.select("block", "texts")
+    asked = (blocks.select("block", "units")
              .mapInArrow(_requests(shared, buckets, salts),
                          "bucket long, block long, words string")
              .repartition(parts, "bucket")  # all that follows up to the answers stays in its bucket
@@ -550,8 +624,10 @@ def encode(docs: DataFrame, vocabulary: Vocabulary | None = None,
                    F.transform("found", lambda x: (F.size(x["ids"]) - 128).cast("tinyint"))
                    .alias("sizes")).alias("answer"))
                .groupBy("block").agg(F.collect_list("answer").alias("answers")))
-    return (blocks.join(answers, "block", "left").select("block", "texts", "answers")
-            .mapInArrow(_assemble(shared, buckets, salts), "doc_id long, ids array<int>"))
+    more = ", decoded_sha256 string, round_trip boolean" if verify else ""
+    return (blocks.join(answers, "block", "left").select("block", "units", "rows", "answers")
+            .mapInArrow(_assemble(shared, buckets, salts, verify),
+                        "doc_id long, ids array<int>" + more))
 
 
 def decoded(ids: Column, vocabulary: Vocabulary) -> Column:
@@ -569,5 +645,5 @@ def decoded(ids: Column, vocabulary: Vocabulary) -> Column:
 
 
 def op9_piece_lattice(spark: SparkSession, folder: str) -> DataFrame:
-    """The ids of every document."""
-    return encode(table(spark, folder, "documents"))
+    """The ids of every document, and whether they give its text back."""
+    return encode(table(spark, folder, "documents"), verify=True)

@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import pytest
@@ -66,7 +67,27 @@ def test_merges_like_the_library(spark, docs_frame):
             text = {None: "no id", 5000: None}.get(r.doc_id, texts[(r.doc_id or 0) % 5000 % len(texts)])
             assert (r.ids, r.back) == ((p.encode(text), text.replace("▁", " ")) if text is not None
                                        else (None, None)), text
-    assert S.encode(docs.limit(0), vocabulary).count() == 0
+        checked = S.encode(docs, vocabulary, block_bytes, verify=True)
+        back = sorted(((r.doc_id, r.text) for r in S.decode(checked, vocabulary).collect()), key=str)
+        assert back == sorted(((r.doc_id, r.back) for r in got), key=str)
+        for r in checked.collect():
+            text = dict(rows).get(r.doc_id)
+            if text is None:
+                assert (r.decoded_sha256, r.round_trip) == (None, None)
+            else:
+                shown = hashlib.sha256(text.replace("▁", " ").encode()).hexdigest()
+                assert (r.decoded_sha256, r.round_trip) == (shown, True), text
+    assert S.encode(docs.limit(0), vocabulary, verify=True).count() == 0
+    bad = spark.createDataFrame([(1, [vocabulary.first_byte + 0xC3]), (2, []), (3, None)],
+                                "doc_id long, ids array<int>")
+    assert sorted(map(tuple, S.decode(bad, vocabulary).collect())) == [(1, "\ufffd"), (2, ""), (3, None)]
+
+
+def test_blocks_of_equal_content_are_told_apart(spark, docs_frame):
+    rows = [(1, "the cat sat")] * 40
+    got = S.encode(docs_frame(rows).repartition(8), verify=True).collect()
+    want = library(S.MODEL).encode("the cat sat")
+    assert len(got) == 40 and all(r.ids == want and r.round_trip for r in got)
 
 
 def test_unigram_like_the_library(spark, docs_frame, unigram_model):
