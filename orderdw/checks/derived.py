@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from uuid import uuid4
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from orderdw.functions.ids import bin_to_uuid, stable_key
 from orderdw.operators.running import assign_numbers, number_within, running_before, slotted
 from orderdw.schemas import CANCELLED, CONFIRMED, PENDING
-from orderdw.session import stage_path
+from orderdw.session import stage_path, stage_table
 from orderdw.sources.tables import write_bucketed, write_clustered, write_table
 from orderdw.sources.testdata import OrderModel, int_key, load_test_table
 
@@ -161,7 +159,7 @@ def stored_model(spark: SparkSession, m: OrderModel) -> tuple[str, dict[str, str
     for name, df in {"customers": m.customers, "suppliers": m.suppliers,
                      "products": m.products}.items():
         write_table(df, f"{folder}/{name}")
-    names = {name: f"{name}_{uuid4().hex}" for name in ("orders", "lines")}
+    names = {name: stage_table(spark, name) for name in ("orders", "lines")}
     for name, df in {"orders": orders, "lines": m.lines}.items():
         write_bucketed(df, names[name], f"{folder}/{name}", "order_no", 8)
     return folder, names

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -35,14 +36,26 @@ def build_session(app: str = "orderdw", master: str | None = None, **extra: str)
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder that the cluster names in spark.checkpoint.dir.
 
-    Where it is unset, as in a local session, the warehouse folder holds the intermediate tables:
-    all executors must reach that one as well.
+    Where it is unset, a local session keeps the intermediate tables in its warehouse folder; on a
+    cluster that might lie on one machine, so it is an error there.
     """
-    named = (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-             or f"{spark.conf.get('spark.sql.warehouse.dir')}/_stages")
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        named = f"{spark.conf.get('spark.sql.warehouse.dir')}/_stages"
     return named.rstrip("/")
 
 
+def stage_table(spark: SparkSession, label: str) -> str:
+    """An unused name for an intermediate table that is kept in the catalog."""
+    return f"{_tables_of(spark)}{label}_{uuid4().hex}"
+
+
+def _tables_of(spark: SparkSession) -> str:
+    return "stage_" + re.sub(r"\W", "_", spark.sparkContext.applicationId).lower() + "_"
+
+
 def stage_path(spark: SparkSession, label: str) -> str:
     """A new, unused folder for an intermediate table of this application."""
     app = spark.sparkContext.applicationId
@@ -51,6 +64,8 @@ def stage_path(spark: SparkSession, label: str) -> str:
 
 def drop_stages(spark: SparkSession) -> None:
     """Remove the intermediate tables of this application, once its results are written."""
+    for found in spark.catalog.listTables(pattern=f"{_tables_of(spark)}*"):
+        spark.sql(f"DROP TABLE IF EXISTS `{found.name}`")
     remove(spark, f"{checkpoint_dir(spark)}/orderdw/{spark.sparkContext.applicationId}")
 
 
