@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from uuid import uuid4
-
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderdw.session import stage_path
+from orderdw.session import stage_path, stage_table
 
 ASCII_SPACE = " \t\n\x0b\x0c\r"
 
@@ -54,7 +52,7 @@ def bucketed(df: DataFrame, key: str, label: str) -> DataFrame:
     """``df`` written to the shared folder in buckets of ``key``: joins on ``key`` then move only
     the other side."""
     spark = df.sparkSession
-    name = f"{label}_{uuid4().hex}"
+    name = stage_table(spark, label)
     (df.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), key)
      .option("path", stage_path(spark, label)).format("parquet").saveAsTable(name))
     return spark.table(name)

@@ -4,7 +4,9 @@ A page is read as blocks: runs of text between block-level tags. Every root-to-l
 with their classes) gets two ratios over its blocks: characters per node and punctuation per node.
 The ratios are smoothed along the page, fused by their geometric mean, and paths above a share of
 the page's mean are content paths. The element that holds most of the text on content paths is the
-article; its blocks, short ones and headings included, are the result. Parts that are marked as
+article. On pages that do not say so themselves (article, main) its blocks are chosen by the ratios:
+those on content paths, and what stands among them as headings, lists, tables and the like; boxes
+beside them without any content path go. Parts that are marked as
 something else (menus, headers, footers, sidebars, notices, adverts, forms, comments of readers,
 scripts) never count. Pages are independent of each other, so nothing is shuffled.
 """
@@ -13,6 +15,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -44,6 +47,8 @@ CONTENT = frozenset("article content post entry story main".split())
 STATES = frozenset("has with without no is".split())  # a class such as has-sidebar names no part
 ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu "
                   "menubar alertdialog".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+BOXES = frozenset("div section center td".split())
 LARGE = frozenset(["html", "body", "main", "article"])
 WORD = re.compile(r"[a-z0-9]+")
 SPACE = re.compile(r"\s+")
@@ -60,6 +65,7 @@ class _Page(HTMLParser):
         self.inside = [False]  # of an article or main element
         self.names: dict[tuple[int, str], int] = {}
         self.stack = [0]
+        self.open = Counter()  # how many elements of each name the stack holds
         self.blocks: list[tuple[int, str, int]] = []
         self.text: list[str] = []
         self.at, self.links, self.linked = 0, 0, 0
@@ -106,13 +112,14 @@ class _Page(HTMLParser):
 
     def _close_to(self, depth: int) -> None:
         for at in self.stack[depth:]:
+            self.open[self.tags[at]] -= 1
             if self.tags[at] == "a":
                 self.links -= 1
         del self.stack[depth:]
 
     def _implied(self, tag: str) -> None:
         wanted = {"p"} if tag in CLOSES_P else SIBLINGS.get(tag)
-        if wanted:
+        if wanted and any(self.open[name] for name in wanted):
             for depth in range(len(self.stack) - 1, 0, -1):
                 name = self.tags[self.stack[depth]]
                 if name in wanted:
@@ -139,6 +146,7 @@ class _Page(HTMLParser):
         self.inside.append(self.inside[up] or tag in ("article", "main"))
         self.out.append(self.out[up] or self._excluded(tag, attrs, self.inside[here]))
         self.stack.append(here)
+        self.open[tag] += 1
         if tag == "a":
             self.links += 1
 
@@ -150,6 +158,8 @@ class _Page(HTMLParser):
     def handle_endtag(self, tag: str) -> None:
         if tag not in INLINE:
             self.flush()
+        if not self.open[tag]:  # a stray end tag
+            return
         for depth in range(len(self.stack) - 1, 0, -1):
             name = self.tags[self.stack[depth]]
             if name == tag:
@@ -201,7 +211,9 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     page = _Page()
-    page.feed(html)
+    # No tag ends behind the last bracket: what begins there is text, and is not tried as a tag.
+    end = html.rfind(">") + 1
+    page.feed(html[:end] + html[end:].replace("<", "&lt;"))
     page.close()
     page.flush()
     menus = _menus(page)
@@ -224,9 +236,32 @@ def main_text(html: str | None) -> str:
     held[top] = True
     for at in range(1, len(page.tags)):
         held[at] = held[at] or held[page.parents[at]]
+    if page.tags[top] not in ("article", "main"):
+        chosen = {at for at, _ in blocks if held[at] and page.paths[at] in wanted}
+        held = _among(page, top, {at for at, _ in blocks}, chosen, held)
     return "\n\n".join(text for at, text in blocks if held[at])
 
 
+def _among(page: _Page, top: int, texts: set[int], chosen: set[int], held: list[bool]
+           ) -> list[bool]:
+    """The elements in ``top`` that are chosen, or stand among chosen ones: an element goes with what
+    it holds if it is a mere box of other things than headings, nothing in it is chosen, and
+    something beside it is. Headings go with what they head."""
+    def holding(blocks: set[int]) -> list[bool]:
+        some = [at in blocks and tag not in HEADINGS for at, tag in enumerate(page.tags)]
+        for at in range(len(page.tags) - 1, 0, -1):
+            some[page.parents[at]] = some[page.parents[at]] or some[at]
+        return some
+
+    some, any_ = holding(chosen), holding(texts)
+    kept = [False] * len(page.tags)
+    kept[top] = True
+    for at in range(top + 1, len(page.tags)):
+        kept[at] = held[at] and kept[page.parents[at]] and (
+            some[at] or not any_[at] or page.tags[at] not in BOXES or not some[page.parents[at]])
+    return kept
+
+
 def _container(page: _Page, weight: list[int], depth: list[int]) -> int:
     for tag in ("article", "main"):
         found = [i for i, t in enumerate(page.tags) if t == tag and not page.out[i]]

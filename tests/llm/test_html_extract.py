@@ -37,6 +37,62 @@ def test_without_article_element():
     assert main_text(page) == f"Short title\n\n{text}\n\nYes.\n\n{text}"
 
 
+LONGER = LONG * 4
+NEUTRAL = (f"<body><div id=a1><div class='c2'><h2>Short title</h2><p>{LONGER}</p><p>Yes.</p>"
+           f"<ul><li>one<li>two</ul><p>{LONGER}</p><div class='k1'><h3>More</h3>"
+           + "".join(f"<div><a href={i}>Story {i}</a> read</div>" for i in range(6))
+           + f"</div><p>{LONGER}</p></div>"
+           f"<div class='z9'><div>Kiosk 12</div><div>Map</div></div></div>")
+
+
+def test_ratios_choose_the_blocks_where_no_name_tells_them(monkeypatch):
+    from orderdw.llm import html_extract
+    text = LONGER.strip()
+    want = f"Short title\n\n{text}\n\nYes.\n\none\n\ntwo\n\n{text}\n\n{text}"
+    assert main_text(NEUTRAL) == want
+    monkeypatch.setattr(html_extract, "content_paths", lambda blocks: {p for p, _ in blocks})
+    assert main_text(NEUTRAL) != want
+
+
+def plain_ratios(blocks):
+    """The content paths by the definition, with nothing shared between blocks."""
+    def ratio(path, of):
+        mine = [t for p, t in blocks if p == path]
+        return sum(map(of, mine)) / len(mine)
+
+    marks = set(".,;:!?…。，、；：！？।؟،")
+    raw = [[ratio(p, of) for p, _ in blocks] for of in (len, lambda t: sum(c in marks for c in t))]
+    smooth = [[0.25 * r[max(0, i - 1)] + 0.5 * r[i] + 0.25 * r[min(len(r) - 1, i + 1)]
+               for i in range(len(r))] for r in raw]
+    fused = [(c * (1 + m)) ** 0.5 for c, m in zip(*smooth)]
+    mean = sum(fused) / len(fused)
+    paths = {p for p, _ in blocks}
+    return {p for p in paths if sum(f for f, (q, _) in zip(fused, blocks) if q == p)
+            / sum(q == p for q, _ in blocks) >= 0.4 * mean - 1e-12}
+
+
+def test_ratios_like_their_definition():
+    import random
+
+    from orderdw.llm.html_extract import content_paths
+    rng = random.Random(2)
+    for _ in range(200):
+        blocks = [(rng.randrange(6), "".join(rng.choice("abc .,;!") for _ in range(rng.choice(
+            [1, 5, 80])))) for _ in range(rng.randint(1, 25))]
+        assert content_paths(blocks) == plain_ratios(blocks)
+
+
+@pytest.mark.parametrize("html", [
+    "<a " * 350_000, "<p>x</p>" + "<!-- " * 200_000, "<div>" * 8000 + "</b>" * 8000 + "x",
+    "<center>" * 8000 + "x", "<div>" * 8000 + "</span></i>" * 8000, "&" * 500_000, "<" * 500_000,
+    "<p" * 300_000 + ">x"])
+def test_broken_markup_takes_no_longer_than_its_length(html):
+    import time
+    began = time.process_time()
+    main_text(html)
+    assert time.process_time() - began < 5
+
+
 def test_frame(spark):
     deep = "<div>" * 3000 + "deep" + "</div>" * 3000
     rows = [(1, "u", "<p>a", 9), (1, "u", "<p>a", 9), (2, None, None, 9), (None, "v", deep, 9),
