@@ -9,10 +9,10 @@ them into the word's ids:
 * a merge model (BPE) joins, again and again, the two neighbours that form the best piece. Its
   encoder is not a best path by score, so Viterbi would give other ids than the model means.
 
-Documents travel in compressed blocks of bounded size, cut into units once and kept as numbers of
-units. A block asks for each of its words once, and the answers come back to the block, so no task
-holds the whole dictionary and frequent words are asked for once per block, not once per occurrence.
-Requests and answers are packed by word bucket. Decoding puts the bytes of the ids side by side.
+Documents travel in compressed blocks of bounded size. A block asks for each of its words once, and
+the answers come back to the block, so no task holds the whole dictionary and frequent words are
+asked for once per block, not once per occurrence. Requests and answers are packed by word bucket.
+Decoding puts the bytes of the ids side by side.
 """
 
 from __future__ import annotations
@@ -408,31 +408,16 @@ def _parsed(texts: pa.StringArray) -> tuple[list[str], np.ndarray, np.ndarray]:
     return list(places) or units, np.concatenate([*pieces, numbers[at:]]), sizes
 
 
-def _shown(text: str | None) -> str:
-    """What decoding gives back: a space sign in a text cannot be told from a space."""
-    return (text or "").replace(SPACE, " ")
-
-
 def _blocks(block_bytes: int):
-    """The rows of a partition as blocks of bounded size: their distinct units, and the rows as
-    numbers of units with a digest of each text."""
+    """The rows of a partition as blocks (block, texts) of bounded size."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         first, made = TaskContext.get().partitionId() << 32, 0
 
         def block() -> pa.RecordBatch:
-            texts = pa.concat_arrays([p.column(1) for p in held])
-            units, numbers, sizes = _parsed(texts)
-            cuts = pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32())
-            digests = [hashlib.sha256(_shown(t).encode()).digest() for t in texts.to_pylist()]
-            whole = pa.RecordBatch.from_arrays(
-                [pa.concat_arrays([p.column(0) for p in held]), pa.ListArray.from_arrays(
-                    cuts, pa.array(numbers, pa.int32()), mask=texts.is_null()),
-                 pa.array(digests, pa.binary())], ["doc_id", "numbers", "digest"])
-            listed = pa.RecordBatch.from_arrays([pa.array(units, pa.string())], ["unit"])
             return pa.RecordBatch.from_arrays(
-                [pa.array([first + made], pa.int64()), pa.array([packed([listed])], pa.binary()),
-                 pa.array([packed([whole])], pa.binary())], ["block", "units", "rows"])
+                [pa.array([first + made], pa.int64()), pa.array([packed(held)], pa.binary())],
+                ["block", "texts"])
 
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
@@ -447,11 +432,13 @@ def _blocks(block_bytes: int):
 
 
 class _Block:
-    """The units of a block, and the words to ask for, sorted within each bucket."""
+    """The texts of a block, their units, and the words to ask for, sorted within each bucket."""
 
     def __init__(self, data: pa.Buffer, block: int, vocabulary: Vocabulary, buckets: int,
                  salts: int) -> None:
-        self.units = unpacked(data)[0].column(0).to_pylist()
+        self.parts = unpacked(data)
+        self.units, self.numbers, self.sizes = _parsed(
+            pa.concat_arrays([p.column(1) for p in self.parts]))
         self.plain = vocabulary.fine
         words: set[str] = set()
         for unit in self.units:
@@ -467,27 +454,26 @@ class _Block:
                 at = shift + digest(word.encode("utf-8", "surrogatepass")) % buckets
                 self.asked.setdefault(at, []).append(word)
 
-    def encoded(self, rows: pa.RecordBatch, vocabulary: Vocabulary, known: dict[str, bytes]
-                ) -> Iterator[pa.RecordBatch]:
-        """Rows with their ids, from those of their words; few rows at a time."""
+    def encoded(self, vocabulary: Vocabulary, known: dict[str, bytes]
+                ) -> Iterator[tuple[pa.RecordBatch, pa.ListArray]]:
+        """The parts with the ids of their texts, from those of their words."""
         of_unit = [known[SPACE + u] if self.plain and u.isalpha() else
                    b"".join([known[w] for w in vocabulary.words(u)]) for u in self.units]
         lengths = np.fromiter(map(len, of_unit), np.int64, len(of_unit)) // 4
         ids = np.frombuffer(b"".join(of_unit), "<i4")
         begin = np.cumsum(lengths) - lengths
-        for lo in range(0, rows.num_rows, 256):
-            part = rows.slice(lo, 256)
-            lists = part.column(1)
-            numbers = lists.flatten().to_numpy()
-            sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
+        tokens = np.concatenate(([0], np.cumsum(self.sizes)))
+        at = 0
+        for part in self.parts:
+            cuts = tokens[at:at + part.num_rows + 1]
+            numbers = self.numbers[cuts[0]:cuts[-1]]
             many = lengths[numbers]
             ends = np.concatenate(([0], np.cumsum(many)))
             flat = ids[np.repeat(begin[numbers] - ends[:-1], many) + np.arange(ends[-1])]
-            cuts = ends[np.concatenate(([0], np.cumsum(sizes)))]
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.ListArray.from_arrays(
-                    pa.array(cuts, pa.int32()), pa.array(flat, pa.int32()), mask=lists.is_null()),
-                 part.column(2)], ["doc_id", "ids", "digest"])
+            yield part, pa.ListArray.from_arrays(
+                pa.array(ends[cuts - cuts[0]], pa.int32()), pa.array(flat, pa.int32()),
+                mask=part.column(1).is_null())
+            at += part.num_rows
 
 
 def _requests(vocabulary, buckets: int, salts: int):
@@ -513,10 +499,10 @@ def _assemble(vocabulary, buckets: int, salts: int, verify: bool):
             for row in range(batch.num_rows):
                 block = _Block(batch.column(1)[row].as_buffer(), batch.column(0)[row].as_py(),
                                vocabulary.value, buckets, salts)
-                held = unpacked(batch.column(2)[row].as_buffer())[0]
-                known = answered(block, batch.column(3)[row].values)
-                for part in block.encoded(held, vocabulary.value, known):
-                    yield checked(part, pieces) if verify else part.select(["doc_id", "ids"])
+                known = answered(block, batch.column(2)[row].values)
+                for part, ids in block.encoded(vocabulary.value, known):
+                    yield checked(part, ids, pieces) if verify else pa.RecordBatch.from_arrays(
+                        [part.column(0), ids], ["doc_id", "ids"])
 
     def answered(block: _Block, answers) -> dict[str, bytes]:
         known: dict[str, bytes] = {
@@ -532,14 +518,14 @@ def _assemble(vocabulary, buckets: int, salts: int, verify: bool):
                 known[word] = data[lo:hi]
         return known
 
-    def checked(part: pa.RecordBatch, pieces: pa.Array) -> pa.RecordBatch:
-        back = [hashlib.sha256(t).digest() for t in decoded_bytes(part.column(1), pieces)]
-        null = part.column(1).is_null()
-        same = [a == b for a, b in zip(back, part.column(2).to_pylist(), strict=True)]
+    def checked(part: pa.RecordBatch, ids: pa.ListArray, pieces: pa.Array) -> pa.RecordBatch:
+        back = decoded_bytes(ids, pieces)
+        shown = pc.replace_substring(part.column(1), SPACE, " ").to_pylist()
+        same = [None if t is None else t.encode() == b for t, b in zip(shown, back, strict=True)]
+        digests = [None if t is None else hashlib.sha256(b).hexdigest()
+                   for t, b in zip(shown, back, strict=True)]
         return pa.RecordBatch.from_arrays(
-            [part.column(0), part.column(1),
-             pc.if_else(null, None, pa.array([b.hex() for b in back], pa.string())),
-             pc.if_else(null, None, pa.array(same))],
+            [part.column(0), ids, pa.array(digests, pa.string()), pa.array(same, pa.bool_())],
             ["doc_id", "ids", "decoded_sha256", "round_trip"])
 
     return rows
@@ -600,14 +586,14 @@ def encode(docs: DataFrame, vocabulary: Vocabulary | None = None,
     shared = spark.sparkContext.broadcast(vocabulary)
     # Bucketed by block, so that the answers come to the texts and the texts stay where they are.
     blocks = bucketed(docs.select("doc_id", "text").mapInArrow(
-        _blocks(block_bytes), "block long, units binary, rows binary"), "block", "piece_blocks")
+        _blocks(block_bytes), "block long, texts binary"), "block", "piece_blocks")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     small = "smallint" if len(vocabulary.texts) <= 1 << 15 else "int"
     # Edges of a word come one after the other; beyond 128 words, the default, all would be sorted.
     if int(spark.conf.get(HASHED_GROUPS)) < WORDS_HASHED:
         spark.conf.set(HASHED_GROUPS, str(WORDS_HASHED))
     buckets, salts = 8 * parts, 1 + blocks.select("block").count() // ASKING_BLOCKS
-    asked = (blocks.select("block", "units")
+    asked = (blocks.select("block", "texts")
              .mapInArrow(_requests(shared, buckets, salts),
                          "bucket long, block long, words string")
              .repartition(parts, "bucket")  # all that follows up to the answers stays in its bucket
@@ -625,7 +611,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary | None = None,
                    .alias("sizes")).alias("answer"))
                .groupBy("block").agg(F.collect_list("answer").alias("answers")))
     more = ", decoded_sha256 string, round_trip boolean" if verify else ""
-    return (blocks.join(answers, "block", "left").select("block", "units", "rows", "answers")
+    return (blocks.join(answers, "block", "left").select("block", "texts", "answers")
             .mapInArrow(_assemble(shared, buckets, salts, verify),
                         "doc_id long, ids array<int>" + more))
 
