@@ -40,6 +40,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 BLOCK_BYTES = 8 << 20
 BETWEEN = "\x01"  # stands between the words of a request; words that hold it are encoded as long ones
+WORD_TASKS = 4  # lattices take room: their stage has so many times the usual number of tasks
 HASHED_GROUPS, WORDS_HASHED = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold", 100_000
 LONG_WORD = 60  # longer words are encoded beside their texts, for a bit mask holds no more
 ASKING_BLOCKS = 4096  # a word is answered for so many blocks at once
@@ -592,11 +593,11 @@ def encode(docs: DataFrame, vocabulary: Vocabulary | None = None,
     # Edges of a word come one after the other; beyond 128 words, the default, all would be sorted.
     if int(spark.conf.get(HASHED_GROUPS)) < WORDS_HASHED:
         spark.conf.set(HASHED_GROUPS, str(WORDS_HASHED))
-    buckets, salts = 8 * parts, 1 + blocks.select("block").count() // ASKING_BLOCKS
+    buckets, salts = 4 * WORD_TASKS * parts, 1 + blocks.select("block").count() // ASKING_BLOCKS
     asked = (blocks.select("block", "texts")
              .mapInArrow(_requests(shared, buckets, salts),
                          "bucket long, block long, words string")
-             .repartition(parts, "bucket")  # all that follows up to the answers stays in its bucket
+             .repartition(WORD_TASKS * parts, "bucket")  # all that follows up to the answers stays in its bucket
              .select("bucket", "block", F.posexplode(F.split("words", BETWEEN))
                      .alias("number", "word")))
     words = asked.groupBy("bucket", "word").agg(
