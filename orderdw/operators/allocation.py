@@ -151,6 +151,7 @@ class _Queues:
         order = sorted(ends)
         self.after = {a: b for a, b in zip(order, order[1:]) if ends[a][1] == ends[b][0]}
         self.before = {b: a for a, b in self.after.items()}
+        self.spanning = bool(self.after)  # whether a product in hand lies in more than one block
         runs = [(b, ends[b][0] if b in self.before else None,
                  ends[b][1] if b in self.after else None) for b in order]
         kind = T.StructType([T.StructField(BLOCK, T.IntegerType()),
@@ -196,7 +197,8 @@ class _Queues:
                 "_most": F.when(open_, F.greatest("take", F.lit(0)))}
         if not self.plain:  # rows that give stock back have a lower bound of their own
             sums["_least"] = F.when(open_, F.least("take", F.lit(0)))
-        found = running_before(Slots(rows, self.blocks), ["product_id"], sums=sums)
+        found = running_before(Slots(rows, self.blocks if self.spanning else 1), ["product_id"],
+                               sums=sums)
         taken = F.col("taken") + F.when(F.col("_changed"), F.col("_taken")).otherwise(0)
         left = F.col("stock") - F.col("taken")
         fits = F.col("_changed") & (left - F.col("_most") >= F.col("need"))
@@ -258,6 +260,7 @@ class _Queues:
                 while goes_on and at in next_:
                     at = next_[at]
                     touched.add(at)
+        self.spanning = any(self.after.get(b) in touched for b in touched)
         settled = self._read("orders", self.settled_at[-1:])
         paths = [self.queue_at.pop(str(b)) for b in sorted(touched) if str(b) in self.queue_at]
         if not paths:
