@@ -11,6 +11,8 @@ code sees a row.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,19 +42,23 @@ def least_words(n: Column) -> Column:
     return F.greatest(*[F.when(n >= least, F.lit(least)).otherwise(0) for least in kinds])
 
 
-def seeds(worded: DataFrame, kinds: Column | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
-    """``worded`` (with an array column words) repeated for each position (at) and mask: the hash of
-    the masked words in column seed. ``kinds`` is the number of words of the masks to take, an array
-    of those numbers, or all; of the other columns, ``keep`` stay."""
+def seeds(worded: DataFrame, kinds: Sequence[int], keep: Sequence[str],
+          own: Column | None = None) -> DataFrame:
+    """``worded`` (with an array column words) repeated for each position (at) and each mask for one
+    of ``kinds`` numbers of words, or for the row's ``own`` only: the hash of the masked words in
+    column seed. Of the other columns, ``keep`` stay."""
     hashes = []
     for number, (least, mask) in enumerate(MASKS):
-        under = [F.get("words", F.col("at") + i) for i, bit in enumerate(mask) if bit == "1"]
-        fits = F.col("at") + len(mask) <= F.size("words")
-        if kinds is not None:
-            fits = fits & F.array_contains(kinds, least)
-        hashes.append(F.when(fits, F.xxhash64(F.lit(number), *under)))
-    placed = worded.withColumn("at", F.explode(F.sequence(F.lit(0), F.size("words") - 1)))
-    return placed.select(*keep, "at", F.stack(F.lit(len(MASKS)), *hashes).alias("seed")).filter(
+        if least in kinds:
+            under = [F.get("words", F.col("at") + i) for i, bit in enumerate(mask) if bit == "1"]
+            fits = F.col("at") + len(mask) <= F.size("words")
+            fits = fits if own is None else fits & (own == least)
+            hashes.append(F.when(fits, F.xxhash64(F.lit(number), *under)))
+    if not hashes:
+        return worded.select(*keep, F.lit(0).alias("at"), F.lit(0).cast("long").alias("seed")).limit(0)
+    last = F.greatest(F.size("words") - 1, F.lit(0))
+    placed = worded.withColumn("at", F.explode(F.sequence(F.lit(0), last)))
+    return placed.select(*keep, "at", F.stack(F.lit(len(hashes)), *hashes).alias("seed")).filter(
         "seed IS NOT NULL")
 
 
@@ -78,28 +84,27 @@ def _scored(docs: DataFrame, items: DataFrame) -> DataFrame:
               .filter(F.size("words") > 0).distinct()
               .withColumn("item", F.xxhash64("item_id", "words"))
               .withColumn("kind", least_words(F.size("words"))))
-    wanted = cut_lineage(seeds(listed, F.array("kind"), ("item", "kind")).select(
+    every = sorted({least for least, _ in MASKS})
+    wanted = cut_lineage(seeds(listed, every, ("item", "kind"), F.col("kind")).select(
         "seed", "item", "kind", F.col("at").alias("item_at")), "item-seeds")
     # Documents get the seeds that some item can have.
     kinds = [r.kind for r in wanted.select("kind").distinct().collect()]
     wanted = wanted.drop("kind")
     if wanted.count() <= BROADCAST_ROWS:
         wanted = F.broadcast(wanted)
-    worded = (docs.filter("doc_id is not null")
-              .select("doc_id", F.xxhash64("text").alias("tid"), words_of().alias("words"))
-              .filter(F.size("words") > 0))
-    asked = F.array(*[F.lit(k) for k in kinds]) if kinds else F.array().cast("array<int>")
-    hits = (seeds(worded, asked, ("doc_id", "tid")).join(wanted, "seed")
+    worded = docs.filter("doc_id is not null").select(
+        "doc_id", F.xxhash64("text").alias("tid"), words_of().alias("words"))
+    hits = (seeds(worded, kinds, ("doc_id", "tid")).join(wanted, "seed")
             .select("doc_id", "tid", "item", (F.col("at") - F.col("item_at")).alias("shift"))
             .distinct())
     hits = cut_lineage(hits, "seed-hits")
+    lines = hits.join(listed.select("item", F.size("words").alias("n_words")), "item")
     if hits.count() <= BROADCAST_ROWS:
-        hits = F.broadcast(hits)
+        lines = F.broadcast(lines)
     # Each diagonal takes the words that it needs out of its document where the two meet.
     low = F.greatest(F.col("shift"), F.lit(0))
     high = F.least(F.size("words"), F.col("shift") + F.col("n_words"))
-    lined = (worded.join(hits.join(listed.select("item", F.size("words").alias("n_words")), "item"),
-                         ["doc_id", "tid"])
+    lined = (worded.join(lines, ["doc_id", "tid"])
              .select("doc_id", "tid", "item", "shift", "n_words",
                      F.slice("words", low + 1, high - low).alias("part")).join(listed, "item"))
     start = F.greatest(-F.col("shift"), F.lit(0))
