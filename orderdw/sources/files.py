@@ -15,10 +15,13 @@ def file_system(spark: SparkSession, path: str):
 def listed(spark: SparkSession, path: str) -> dict[str, tuple[str, bool]]:
     """What lies in ``path``: name, whole path, whether it is a folder. Nothing for no path."""
     system, at = file_system(spark, path)
-    if not system.exists(at):
-        return {}
-    return {f.getPath().getName(): (f.getPath().toString(), f.isDirectory())
-            for f in system.listStatus(at)}
+    try:
+        found = system.listStatus(at)
+    except Py4JJavaError as failed:
+        if "FileNotFound" in failed.java_exception.getClass().getName():
+            return {}
+        raise
+    return {f.getPath().getName(): (f.getPath().toString(), f.isDirectory()) for f in found}
 
 
 def folders(spark: SparkSession, path: str, column: str | None = None) -> dict[str, str]:

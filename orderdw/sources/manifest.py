@@ -27,21 +27,26 @@ def _numbers(spark: SparkSession, folder: str) -> list[int]:
 def latest(spark: SparkSession, folder: str) -> tuple[int, Any]:
     """Number and content of the manifest in force; (0, None) where there is none."""
     numbers = _numbers(spark, folder)
+    return max(numbers, default=0), _content(spark, folder, numbers)
+
+
+def _content(spark: SparkSession, folder: str, numbers: list[int]) -> Any:
     for number in reversed(numbers):
         text = read_text(spark, f"{folder}/{number:012d}")
         if text.endswith(END):
-            return max(numbers), json.loads(text)
-    return max(numbers, default=0), None
+            return json.loads(text)
+    return None
 
 
 def change(spark: SparkSession, folder: str, to: Callable[[Any], Any]) -> Any:
     """Put ``to(content in force)`` in force and return it. ``to`` is asked again if another writer
     comes first."""
     while True:
-        number, content = latest(spark, folder)
-        new = to(content)
-        if create_text(spark, f"{folder}/{number + 1:012d}", json.dumps(new, sort_keys=True) + END):
-            for old in _numbers(spark, folder):
-                if old <= number + 1 - KEPT:
+        numbers = _numbers(spark, folder)
+        next_ = max(numbers, default=0) + 1
+        new = to(_content(spark, folder, numbers))
+        if create_text(spark, f"{folder}/{next_:012d}", json.dumps(new, sort_keys=True) + END):
+            for old in numbers:
+                if old <= next_ - KEPT:
                     remove(spark, f"{folder}/{old:012d}")
             return new
