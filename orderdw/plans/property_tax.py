@@ -12,10 +12,20 @@ from orderdw.functions.scalars import due_date
 from orderdw.operators.sampling import lookup_key, pick_within
 
 
+PROPERTIES_PER_TASK = 100_000
+
+
 def generate_instalments(properties: DataFrame, year: int, value: Decimal | str) -> DataFrame:
-    """One unpaid instalment per property and month of ``year``, due on the 15th."""
-    months = properties.select("cadastral_no", F.explode(F.sequence(F.lit(1), F.lit(12)))
-                               .alias("instalment_no"))
+    """One unpaid instalment per property and month of ``year``, due on the 15th.
+
+    The properties are counted and dealt out first: twelve rows come of each, and a task that reads
+    a whole file of properties would hand on, or count by key, twelve times that file.
+    """
+    named = properties.select("cadastral_no")
+    tasks = -(-named.count() // PROPERTIES_PER_TASK)
+    dealt = named.repartition(tasks) if tasks > 1 else named
+    months = dealt.select("cadastral_no", F.explode(F.sequence(F.lit(1), F.lit(12)))
+                          .alias("instalment_no"))
     return months.select(
         "cadastral_no", F.lit(year).alias("year"), "instalment_no",
         F.lit(Decimal(value)).cast("decimal(12,2)").alias("value"),
