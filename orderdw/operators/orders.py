@@ -73,7 +73,8 @@ def register_orders(requests: DataFrame, customers: DataFrame, sellers: DataFram
     Stock is taken at once, so confirming such an order later moves nothing (``stock_taken``).
     """
     as_of = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
-    checked = requests.withColumn("_flaw", _first_flaw())
+    # Stored, because sound requests and, if asked for, the malformed ones are read from it.
+    checked = cut_lineage(requests.withColumn("_flaw", _first_flaw()), "checked")
     malformed = checked.filter("_flaw IS NOT NULL").select(
         "request_no", F.col("_flaw.rule").alias("rule"), F.col("_flaw.message").alias("message"))
 
