@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,6 +14,7 @@ from pyspark.sql import functions as F
 from orderdw.session import stage_path, stage_table
 
 ASCII_SPACE = " \t\n\x0b\x0c\r"
+BATCH_ROWS, ROWS_PER_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch", 512
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -48,11 +53,30 @@ def unpacked(data: pa.Buffer) -> list[pa.RecordBatch]:
         return list(reader)
 
 
+def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The indices start, start + 1 ... of ranges, side by side."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = ROWS_PER_BATCH) -> Iterator[None]:
+    """Python functions that run in here get at most so many rows at once: with rows of texts or
+    lists, a batch of the usual size takes as much memory as the function itself, on both sides."""
+    before = spark.conf.get(BATCH_ROWS)
+    spark.conf.set(BATCH_ROWS, str(rows if int(before) <= 0 else min(rows, int(before))))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_ROWS, before)
+
+
 def bucketed(df: DataFrame, key: str, label: str) -> DataFrame:
     """``df`` written to the shared folder in buckets of ``key``: joins on ``key`` then move only
     the other side."""
     spark = df.sparkSession
     name = stage_table(spark, label)
-    (df.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), key)
-     .option("path", stage_path(spark, label)).format("parquet").saveAsTable(name))
+    with small_batches(spark):
+        (df.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), key)
+         .option("path", stage_path(spark, label)).format("parquet").saveAsTable(name))
     return spark.table(name)

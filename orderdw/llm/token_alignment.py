@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from orderdw.llm.common import bucketed, packed, table, unpacked
+from orderdw.llm.common import bucketed, packed, spread, table, unpacked
 from orderdw.session import cut_lineage
 
 BYTE_MODEL = "/opt/tokenizers/byte_bpe_50k.json"
@@ -146,12 +146,6 @@ def gallop(wanted: np.ndarray, among: np.ndarray, start: np.ndarray) -> np.ndarr
     return low
 
 
-def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The indices start, start + 1 ... of ranges, side by side."""
-    ends = np.cumsum(sizes)
-    return np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
-
-
 def common_ends(a_ends: np.ndarray, a_cuts: np.ndarray, b_ends: np.ndarray, b_cuts: np.ndarray
                 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, index in a_ends, index in b_ends) of all offsets that both lists of a row hold.
@@ -168,7 +162,7 @@ def common_ends(a_ends: np.ndarray, a_cuts: np.ndarray, b_ends: np.ndarray, b_cu
         if not len(rows):
             continue
         (s_ends, s_cuts, s_n), (l_ends, l_cuts, l_n) = short, long_
-        s_at, l_at = _spread(s_cuts[rows], s_n[rows]), _spread(l_cuts[rows], l_n[rows])
+        s_at, l_at = spread(s_cuts[rows], s_n[rows]), spread(l_cuts[rows], l_n[rows])
         row = np.repeat(rows, s_n[rows])
         # One ascending list: each row's offsets lie above all of the row before it.
         top = np.maximum.reduceat(np.concatenate((s_ends[s_at], [0])), np.concatenate((

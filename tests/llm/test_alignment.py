@@ -116,3 +116,21 @@ def test_query_on_test_data(spark):
     want = dict(zip((d.doc_id for d in docs), _brute([d.text for d in docs])))
     got = {r.doc_id: tuple(r)[1:] for r in A.op12_gallop_align(spark, folder).collect()}
     assert got == want
+
+
+def test_functions_before_a_bucketed_write_get_small_batches(spark):
+    """Rows of lists are large: a batch of the usual 10,000 takes more room than the function."""
+    import pyarrow as pa
+
+    from orderdw.llm import common
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(
+                [batch.num_rows] * batch.num_rows, pa.int64())], ["block", "n"])
+
+    before = spark.conf.get(common.BATCH_ROWS)
+    rows = spark.range(0, 3000, 1, 1)
+    got = common.bucketed(rows.mapInArrow(sizes, "block long, n long"), "block", "sizes")
+    assert got.count() == 3000 and got.agg({"n": "max"}).first()[0] <= common.ROWS_PER_BATCH
+    assert spark.conf.get(common.BATCH_ROWS) == before
