@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderdw.llm.common import bucketed, packed, table, unpacked
+from orderdw.llm.common import bucketed, packed, spread, table, unpacked
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
@@ -68,8 +68,8 @@ def _parts() -> re.Pattern:
 
 def words_of(unit: str) -> list[str]:
     """The words of a unit that stands behind a space sign; the sign belongs to the first."""
-    letters = unit.translate(_ASCII_OTHERS)
-    if unit and (not letters or letters.isalpha()):
+    if unit and (unit.isascii() or not (letters := unit.translate(_ASCII_OTHERS))
+                 or letters.isalpha()):
         first, *rest = _PLAIN.findall(unit)
         return [SPACE + first, *rest]
     return _parts().findall(SPACE + unit)
@@ -389,24 +389,25 @@ def _encode_best(words: DataFrame, pieces: DataFrame, vocabulary: Vocabulary) ->
     return cut.select("bucket", "word", "asks", _ids(vocabulary, used).alias("ids"))
 
 
-def _parsed(texts: pa.StringArray) -> tuple[list[str], np.ndarray, np.ndarray]:
+def _parsed(texts: pa.StringArray) -> tuple[pa.StringArray, np.ndarray, np.ndarray]:
     """The distinct units of texts, the number of each unit in turn, and how many a text has."""
     # Texts with single spaces only are cut by Arrow, the others one by one.
     odd = pc.fill_null(pc.or_(pc.or_(pc.starts_with(texts, " "), pc.match_substring(texts, "  ")),
                               pc.match_substring(texts, SPACE)), False)
     skip = pc.or_(odd, pc.fill_null(pc.equal(texts, ""), True))
     lists = pc.split_pattern(pc.if_else(skip, pa.scalar(None, pa.string()), texts), " ")
-    coded = lists.flatten().dictionary_encode()
-    units = coded.dictionary.to_pylist()
-    numbers, cuts = coded.indices.to_numpy(), lists.offsets.to_numpy()
-    places: dict[str, int] = {}
-    pieces, sizes, at = [], np.diff(cuts), 0
-    for row in np.flatnonzero(odd.to_numpy(zero_copy_only=False)).tolist():
-        places = places or {u: n for n, u in enumerate(units)}
-        own = [places.setdefault(u, len(places)) for u in units_of(texts[row].as_py())]
-        pieces += [numbers[at:cuts[row]], np.array(own, np.int32)]
-        at, sizes[row] = cuts[row], len(own)
-    return list(places) or units, np.concatenate([*pieces, numbers[at:]]), sizes
+    rows = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
+    plain, own = lists.flatten(), [units_of(texts[row].as_py()) for row in rows.tolist()]
+    coded = _coded(plain, [u for units in own for u in units])
+    cuts = lists.offsets.to_numpy().astype(np.int64)
+    begin, sizes = cuts[:-1].copy(), np.diff(cuts)
+    sizes[rows] = [len(units) for units in own]
+    begin[rows] = len(plain) + np.cumsum(sizes[rows]) - sizes[rows]
+    return coded.dictionary, coded.indices.to_numpy()[spread(begin, sizes)], sizes
+
+
+def _coded(first: pa.StringArray, then: list[str]) -> pa.DictionaryArray:
+    return pa.concat_arrays([first, pa.array(then, pa.string())]).dictionary_encode()
 
 
 def _blocks(block_bytes: int):
@@ -433,46 +434,73 @@ def _blocks(block_bytes: int):
 
 
 class _Block:
-    """The texts of a block, their units, and the words to ask for, sorted within each bucket."""
+    """The texts of a block, their units as words, and the words to ask for, by bucket."""
 
     def __init__(self, data: pa.Buffer, block: int, vocabulary: Vocabulary, buckets: int,
                  salts: int) -> None:
         self.parts = unpacked(data)
-        self.units, self.numbers, self.sizes = _parsed(
+        units, self.numbers, self.sizes = _parsed(
             pa.concat_arrays([p.column(1) for p in self.parts]))
-        self.plain = vocabulary.fine
-        words: set[str] = set()
-        for unit in self.units:
-            if self.plain and unit.isalpha():
-                words.add(SPACE + unit)
-            else:
-                words.update(vocabulary.words(unit))
-        self.own = [w for w in words if len(w) > LONG_WORD or BETWEEN in w]
-        self.asked: dict[int, list[str]] = {}
-        shift, digest = buckets * (block % salts), xxhash.xxh32_intdigest
-        for word in sorted(words):
-            if len(word) <= LONG_WORD and BETWEEN not in word:
-                at = shift + digest(word.encode("utf-8", "surrogatepass")) % buckets
-                self.asked.setdefault(at, []).append(word)
-
-    def encoded(self, vocabulary: Vocabulary, known: dict[str, bytes]
+        # A unit of letters is one word, the others are cut. Not to cut is right for any unit.
+        whole = (pc.utf8_is_alpha(units).to_numpy(zero_copy_only=False) if vocabulary.fine
+                 else np.ones(len(units), bool))
+        cut, many = [], []
+        for unit in units.filter(pa.array(~whole)).to_pylist():
+            own = vocabulary.words(unit)
+            cut += own
+            many.append(len(own))
+        alone = pc.binary_join_element_wise(SPACE, units.filter(pa.array(whole)), "")
+        coded = _coded(alone, cut)
+        words, numbers = coded.dictionary, coded.indices.to_numpy()
+        # The words of unit u: many[u] of them from first[u] on.
+        self.many, self.first = np.ones(len(units), np.int64), np.empty(len(units), np.int64)
+        self.many[~whole] = many
+        self.first[whole] = np.arange(len(alone))
+        self.first[~whole] = len(alone) + np.cumsum(self.many[~whole]) - self.many[~whole]
+        self.word_at, self.words = numbers, words
+        own = pc.or_(pc.greater(pc.utf8_length(words), LONG_WORD),
+                     pc.match_substring(words, BETWEEN)).to_numpy(zero_copy_only=False)
+        self.own, asked = np.flatnonzero(own), np.flatnonzero(~own)
+        digests = map(xxhash.xxh32_intdigest, words.take(asked).cast(pa.binary()).to_pylist())
+        bucket = np.fromiter(digests, np.int64, len(asked)) % buckets
+        order = np.argsort(bucket, kind="stable")
+        self.asked, bucket = asked[order], bucket[order] + buckets * (block % salts)
+        self.buckets, self.starts = np.unique(bucket, return_index=True)
+
+    def requests(self) -> pa.StringArray:
+        """For each bucket the words to ask for, put together."""
+        cuts = pa.array(np.append(self.starts, len(self.asked)), pa.int32())
+        return pc.binary_join(pa.ListArray.from_arrays(cuts, self.words.take(self.asked)), BETWEEN)
+
+    def encoded(self, vocabulary: Vocabulary, answers: pa.StructArray | None
                 ) -> Iterator[tuple[pa.RecordBatch, pa.ListArray]]:
-        """The parts with the ids of their texts, from those of their words."""
-        of_unit = [known[SPACE + u] if self.plain and u.isalpha() else
-                   b"".join([known[w] for w in vocabulary.words(u)]) for u in self.units]
-        lengths = np.fromiter(map(len, of_unit), np.int64, len(of_unit)) // 4
-        ids = np.frombuffer(b"".join(of_unit), "<i4")
-        begin = np.cumsum(lengths) - lengths
+        """The parts with the ids of their texts, from the answers for their words."""
+        lengths, ids = np.zeros(len(self.words), np.int64), []
+        if answers is not None and len(answers):
+            turn = pa.array(np.argsort(answers.field("bucket").to_numpy(zero_copy_only=False)))
+            found, sizes = (answers.field(c).take(turn).flatten().to_numpy(zero_copy_only=False)
+                            for c in ("ids", "sizes"))
+            # At most four ids for each of LONG_WORD characters, so 128 were taken from sizes.
+            lengths[self.asked] = sizes.astype(np.int64) + 128
+            ids.append(found.astype(np.int32))
+        for word in self.own.tolist():
+            ids.append(np.array(encode_long(vocabulary, self.words[word].as_py()), np.int32))
+            lengths[word] = len(ids[-1])
+        ids = np.concatenate([np.empty(0, np.int32), *ids])
+        begin, turn = np.empty(len(self.words), np.int64), np.concatenate((self.asked, self.own))
+        begin[turn] = np.cumsum(lengths[turn]) - lengths[turn]
         tokens = np.concatenate(([0], np.cumsum(self.sizes)))
         at = 0
         for part in self.parts:
             cuts = tokens[at:at + part.num_rows + 1]
-            numbers = self.numbers[cuts[0]:cuts[-1]]
-            many = lengths[numbers]
-            ends = np.concatenate(([0], np.cumsum(many)))
-            flat = ids[np.repeat(begin[numbers] - ends[:-1], many) + np.arange(ends[-1])]
+            units = self.numbers[cuts[0]:cuts[-1]]
+            many = self.many[units]
+            words = self.word_at[spread(self.first[units], many)]
+            flat = ids[spread(begin[words], lengths[words])]
+            of_words = np.concatenate(([0], np.cumsum(lengths[words])))
+            ends = of_words[np.concatenate(([0], np.cumsum(many)))[cuts - cuts[0]]]
             yield part, pa.ListArray.from_arrays(
-                pa.array(ends[cuts - cuts[0]], pa.int32()), pa.array(flat, pa.int32()),
+                pa.array(ends, pa.int32()), pa.array(flat, pa.int32()),
                 mask=part.column(1).is_null())
             at += part.num_rows
 
@@ -481,13 +509,12 @@ def _requests(vocabulary, buckets: int, salts: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                block = batch.column(0)[row].as_py()
-                asked = _Block(batch.column(1)[row].as_buffer(), block, vocabulary.value, buckets,
-                               salts).asked
+                number = batch.column(0)[row].as_py()
+                block = _Block(batch.column(1)[row].as_buffer(), number, vocabulary.value, buckets,
+                               salts)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(asked), pa.int64()),
-                     pa.array([block] * len(asked), pa.int64()),
-                     pa.array(map(BETWEEN.join, asked.values()), pa.string())],
+                    [pa.array(block.buckets, pa.int64()),
+                     pa.array(np.full(len(block.buckets), number), pa.int64()), block.requests()],
                     ["bucket", "block", "words"])
     return rows
 
@@ -500,25 +527,10 @@ def _assemble(vocabulary, buckets: int, salts: int, verify: bool):
             for row in range(batch.num_rows):
                 block = _Block(batch.column(1)[row].as_buffer(), batch.column(0)[row].as_py(),
                                vocabulary.value, buckets, salts)
-                known = answered(block, batch.column(2)[row].values)
-                for part, ids in block.encoded(vocabulary.value, known):
+                for part, ids in block.encoded(vocabulary.value, batch.column(2)[row].values):
                     yield checked(part, ids, pieces) if verify else pa.RecordBatch.from_arrays(
                         [part.column(0), ids], ["doc_id", "ids"])
 
-    def answered(block: _Block, answers) -> dict[str, bytes]:
-        known: dict[str, bytes] = {
-            w: np.array(encode_long(vocabulary.value, w), "<i4").tobytes() for w in block.own}
-        for answer in range(len(answers) if answers is not None else 0):
-            ids, sizes = (answers.field(c)[answer].values.to_numpy(zero_copy_only=False)
-                          for c in ("ids", "sizes"))
-            data = ids.astype("<i4").tobytes()
-            sizes = sizes.astype(np.int64) + 128  # at most four ids for each of LONG_WORD characters
-            cuts = np.concatenate(([0], np.cumsum(sizes) * 4)).tolist()
-            words = block.asked[answers.field("bucket")[answer].as_py()]
-            for word, lo, hi in zip(words, cuts[:-1], cuts[1:], strict=True):
-                known[word] = data[lo:hi]
-        return known
-
     def checked(part: pa.RecordBatch, ids: pa.ListArray, pieces: pa.Array) -> pa.RecordBatch:
         back = decoded_bytes(ids, pieces)
         shown = pc.replace_substring(part.column(1), SPACE, " ").to_pylist()

@@ -120,3 +120,28 @@ def test_words_like_the_library(spark):
     got = {r.word: r.ids for r in S.encode_words(frame, vocabulary).collect()}
     p = library(S.MODEL)
     assert got == {w: p.encode(w[1:]) for w in words}
+
+
+def test_a_block_holds_its_words_as_arrays():
+    """A block of many words keeps no Python object for each of them, and asks for each once."""
+    import pyarrow as pa
+
+    from orderdw.llm.common import packed
+    vocabulary = S.load_vocabulary()
+    texts = [f"word{n} and word{n}, " + SHORT[n % len(SHORT)] for n in range(600)] + [None]
+    rows = pa.RecordBatch.from_arrays([pa.array(range(601), pa.int64()), pa.array(texts)],
+                                      ["doc_id", "text"])
+    block = S._Block(pa.py_buffer(packed([rows.slice(0, 300), rows.slice(300)])), 7, vocabulary, 5, 2)
+    assert isinstance(block.words, pa.StringArray)
+    asked = [t.split(S.BETWEEN) for t in block.requests().to_pylist()]
+    assert block.buckets.tolist() == [5, 6, 7, 8, 9]
+    every = [w for words in asked for w in words]
+    known = {w for t in texts if t for u in S.units_of(t) for w in vocabulary.words(u)}
+    assert len(every) == len(set(every))
+    assert {w for w in known if len(w) <= S.LONG_WORD} == set(every)
+    found = [[S.encode_long(vocabulary, w) for w in words] for words in asked]
+    answers = pa.array([{"bucket": b, "ids": sum(x, []), "sizes": [len(i) - 128 for i in x]}
+                        for b, x in zip(block.buckets.tolist(), found)][::-1])
+    got = [ids for _, part in block.encoded(vocabulary, answers) for ids in part.to_pylist()]
+    p = library(S.MODEL)
+    assert got == [None if t is None else p.encode(t) for t in texts]
