@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Observation, functions as F, types as
 
 from orderdw.functions.ids import bin_to_uuid
 from orderdw.functions.scalars import NO_SUCH_PRODUCT, SHORT_STOCK, message
-from orderdw.operators.running import BLOCK, SLOT, Slots, running_before, slotted
+from orderdw.operators.running import BLOCK, SLOT, Slots, goes_on, running_before, slotted
 from orderdw.schemas import CONFIRMED
 from orderdw.session import cut_and_measure, cut_lineage, stage_path
 from orderdw.sources.files import folders
@@ -70,7 +70,7 @@ def _demand(lines: DataFrame, orders: DataFrame, sequence: Sequence[str], line_c
         mixed = pairs.filter("_negative").select("order_no", "product_id")
         slots, _ = slotted(lines.select("order_no", "product_id", "quantity", *line_cols)
                            .join(mixed, ["order_no", "product_id"], "left_semi"),
-                           ["order_no", "product_id", *line_cols], "mixed")
+                           ["order_no", "product_id", *line_cols], "mixed", keys=2)
         peaks = (running_before(slots, ["order_no", "product_id"], sums={"_own": F.col("quantity")})
                  .groupBy("order_no", "product_id")
                  .agg(F.max(F.col("_own") + F.col("quantity")).alias("_peak")))
@@ -118,7 +118,7 @@ def allocate(lines: DataFrame, orders: DataFrame, products: DataFrame,
     pairs = _demand(lines, orders, sequence, line_cols, takes)
     flaw = F.col("stock").isNull() | F.col("_no_quantity")
     slots, seen = slotted(_on_scarce_products(pairs, products), ["product_id", *ranks], "demand",
-                          rows_per_block=ROWS_PER_FOLDER, least=LEAST_FOLDERS,
+                          rows_per_block=ROWS_PER_FOLDER, least=LEAST_FOLDERS, keys=1,
                           flaws=F.count(F.when(flaw, 1)),
                           negatives=F.count(F.when(F.col("take") < 0, 1)))
     base = slots.rows.drop("takes")
@@ -145,15 +145,13 @@ class _Queues:
     def __init__(self, base: DataFrame, slots: Slots, plain: bool) -> None:
         self.spark, self.plain = base.sparkSession, plain
         self.blocks = slots.blocks
-        # One row per block: between which products it lies.
-        ends = {r[BLOCK]: (r.first, r.last) for r in base.groupBy(BLOCK).agg(
-            F.min("product_id").alias("first"), F.max("product_id").alias("last")).collect()}
-        order = sorted(ends)
-        self.after = {a: b for a, b in zip(order, order[1:]) if ends[a][1] == ends[b][0]}
+        # Only a product with more rows than a block goes on in the next one.
+        first = [None, *[x[0] for x in slots.limits]]
+        self.after = {b: b + 1 for b, on in enumerate(goes_on(slots.limits, 1)) if on}
         self.before = {b: a for a, b in self.after.items()}
         self.spanning = bool(self.after)  # whether a product in hand lies in more than one block
-        runs = [(b, ends[b][0] if b in self.before else None,
-                 ends[b][1] if b in self.after else None) for b in order]
+        runs = [(b, first[b] if b in self.before else None,
+                 first[b + 1] if b in self.after else None) for b in range(self.blocks)]
         kind = T.StructType([T.StructField(BLOCK, T.IntegerType()),
                              T.StructField("_first", T.BinaryType()),
                              T.StructField("_last", T.BinaryType())])
@@ -291,7 +289,7 @@ def explain_rejects(result: Allocation, lines: DataFrame, products: DataFrame,
     out = result.rejected.withColumn("_out", F.lit(True))
     demand = result.demand.rows.join(out, "order_no", "left").withColumn(
         "_kept", F.when(F.col("_out").isNull(), F.col("take")).otherwise(F.lit(0)))
-    before = (running_before(Slots(demand, result.demand.blocks), ["product_id"],
+    before = (running_before(result.demand._replace(rows=demand), ["product_id"],
                              sums={"_taken": F.col("_kept")})
               .filter("_out").select("order_no", "product_id", "takes", "stock", "_taken"))
     order_cols = list(line_cols)
@@ -300,7 +298,7 @@ def explain_rejects(result: Allocation, lines: DataFrame, products: DataFrame,
     same = ((wanted["order_no"] == before["order_no"])
             & wanted["product_id"].eqNullSafe(before["product_id"]))
     slots, _ = slotted(wanted.join(before, same).drop(before["order_no"], before["product_id"]),
-                       ["order_no", "product_id", *order_cols], "explain")
+                       ["order_no", "product_id", *order_cols], "explain", keys=2)
     own = F.when(F.col("takes"), F.coalesce("quantity", F.lit(0))).otherwise(F.lit(0))
     rule = (F.when(F.col("stock").isNull(), "unknown_product")
             .when(F.col("quantity").isNull(), "no_quantity").otherwise("short_stock"))

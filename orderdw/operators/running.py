@@ -3,7 +3,8 @@
 A window over ``partitionBy(key)`` puts all rows of one key into one task. Here the rows are first
 cut into blocks along (key, order), at limits that are fixed beforehand. Windows run inside a block;
 the part that earlier blocks contribute is worked out on one row per (block, key) and joined back. A
-key with a third of all rows is then spread over a third of the blocks.
+key with a third of all rows is then spread over a third of the blocks. Where limits are moved to the
+start of keys and no key is larger than a block, nothing is carried from block to block.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ _STEPS = 1 << 40
 class Slots(NamedTuple):
     rows: DataFrame  # the input with ``_block`` and ``_slot``
     blocks: int
+    limits: Sequence[tuple] = ()  # where the blocks after the first begin
+    spans: bool = True  # whether a key may lie in several blocks
 
 
 def range_limits(df: DataFrame, order_cols: Sequence[str], rows: int, blocks: int) -> list:
@@ -44,11 +47,23 @@ def range_limits(df: DataFrame, order_cols: Sequence[str], rows: int, blocks: in
     return list(dict.fromkeys(cuts))
 
 
+def goes_on(limits: Sequence[tuple], keys: int) -> list[bool]:
+    """For each limit whether its key (the first ``keys`` columns) begins in the block before."""
+    return [i > 0 and tuple(limits[i - 1][:keys]) == tuple(x[:keys]) for i, x in enumerate(limits)]
+
+
+def _at_keys(limits: list, keys: int) -> list[tuple]:
+    """The limits moved to the start of their key, where no value is below NULL; a key with several
+    limits is larger than a block, and keeps the others."""
+    return [tuple(x) if on else (*x[:keys], *[None] * (len(x) - keys))
+            for x, on in zip(limits, goes_on(limits, keys))]
+
+
 def _with_block(df: DataFrame, order_cols: Sequence[str], limits: list) -> DataFrame:
     """``_block``: how many of the limits are not above the row, by binary search in a constant."""
     if not limits:
         return df.withColumn(BLOCK, F.lit(0))
-    kind = T.StructType([df.schema[c] for c in order_cols])
+    kind = T.StructType([T.StructField(c, df.schema[c].dataType) for c in order_cols])
     known = df.sparkSession.createDataFrame(
         [([tuple(x) for x in limits],)], T.StructType([T.StructField("limits", T.ArrayType(kind))]))
     steps = [F.lit(1 << i) for i in reversed(range(len(limits).bit_length()))]
@@ -59,7 +74,7 @@ def _with_block(df: DataFrame, order_cols: Sequence[str], limits: list) -> DataF
 
 
 def slotted(df: DataFrame, order_cols: Sequence[str], label: str = "slots",
-            rows_per_block: int | None = None, least: int = 1,
+            rows_per_block: int | None = None, least: int = 1, keys: int = 0,
             **metrics: Column) -> tuple[Slots, dict]:
     """Add ``_slot``, a number that grows along ``order_cols`` over the whole table, and ``_block``.
 
@@ -68,16 +83,20 @@ def slotted(df: DataFrame, order_cols: Sequence[str], label: str = "slots",
     the least. That is sizing only; the result does not depend on it. The limits between blocks are
     taken from the stored rows and fixed, so the sort inside the blocks may be done again wherever
     the rows are used, and gives the same slots. ``metrics`` are measured on the way.
+
+    With ``keys``, the first so many columns are a key: only keys larger than a block are cut.
     """
     stored, seen = cut_and_measure(df, label, _rows=F.count("*"), **metrics)
     rows = seen.pop("_rows")
     blocks = max(least, -(-rows // (rows_per_block or ROWS_PER_BLOCK)))
     limits = range_limits(stored, order_cols, rows, blocks)
+    if keys:
+        limits = _at_keys(limits, keys)
     inside = Window.partitionBy(BLOCK).orderBy(*order_cols)
     place = F.row_number().over(inside).cast("long") - 1
     cut = _with_block(stored, order_cols, limits).withColumn(
         SLOT, F.shiftleft(F.col(BLOCK).cast("long"), _PLACE_BITS) + place)
-    return Slots(cut, len(limits) + 1), seen
+    return Slots(cut, len(limits) + 1, limits, not keys or any(goes_on(limits, keys))), seen
 
 
 def running_before(slots: Slots, keys: Sequence[str], sums: Mapping[str, Column] | None = None,
@@ -100,7 +119,8 @@ def running_before(slots: Slots, keys: Sequence[str], sums: Mapping[str, Column]
                 .rowsBetween(Window.unboundedPreceding, -1))
     found = df.select("*", *[merge[n](c).over(in_block).alias(f"_w_{n}")
                                  for n, c in values.items()])
-    if slots.blocks > 1:
+    carries = slots.blocks > 1 and slots.spans
+    if carries:
         totals = df.groupBy(BLOCK, *keys).agg(
             *[merge[n](c).alias(f"_t_{n}") for n, c in values.items()])
         before = (Window.partitionBy(*keys).orderBy(BLOCK)
@@ -113,7 +133,7 @@ def running_before(slots: Slots, keys: Sequence[str], sums: Mapping[str, Column]
         found = found.join(carried, [BLOCK, *keys], "left")
 
     def both(n: str) -> list[Column]:
-        return [F.col(f"_w_{n}"), *([F.col(f"_c_{n}")] if slots.blocks > 1 else [])]
+        return [F.col(f"_w_{n}"), *([F.col(f"_c_{n}")] if carries else [])]
 
     def total(n: str) -> Column:
         return reduce(add, [F.coalesce(c, F.lit(0).cast("long")) for c in both(n)])
@@ -126,7 +146,7 @@ def running_before(slots: Slots, keys: Sequence[str], sums: Mapping[str, Column]
 def number_within(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str],
                   name: str = "n") -> DataFrame:
     """Number the rows of each key from 0 along ``order_cols``."""
-    slots, _ = slotted(df, [*keys, *order_cols], "within")
+    slots, _ = slotted(df, [*keys, *order_cols], "within", keys=len(keys))
     return running_before(slots, keys, sums={name: F.lit(1)}).drop(SLOT, BLOCK)
 
 

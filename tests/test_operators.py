@@ -82,6 +82,20 @@ def test_allocate_like_a_loop(spark, monkeypatch, seed_no, hot, negative, block_
             assert number(r.product_id) == 99
 
 
+@pytest.mark.parametrize("hot", [False, True])
+def test_only_keys_larger_than_a_block_are_cut(spark, hot):
+    rows = [(k, i, (7 * k + i) % 5) for k in range(60) for i in range(900 if hot and k == 30 else 10)]
+    slots, _ = slotted(spark.createDataFrame(rows, "k int, i int, v int"), ["k", "i"], least=12, keys=1)
+    at = slots.rows.groupBy("k").agg(F.countDistinct("_block").alias("n")).collect()
+    assert slots.blocks > 4 and {r.k for r in at if r.n > 1} == ({30} if hot else set())
+    assert slots.spans == hot
+    got = running_before(slots, ["k"], sums={"before": F.col("v")}).collect()
+    for r in got:
+        assert r.before == sum((7 * r.k + i) % 5 for i in range(r.i))
+    slots = [r._slot for r in sorted(got, key=lambda r: (r.k, r.i))]
+    assert len(got) == len(rows) and slots == sorted(set(slots))
+
+
 def test_rounds_read_what_the_last_one_changed(spark):
     """Each order hangs on the one before it: it needs the product that one may have taken."""
     n = 24
