@@ -102,9 +102,14 @@ class Vocabulary:
         return words_of(unit) if self.fine else [SPACE + unit]
 
     def frame(self, spark: SparkSession) -> DataFrame:
+        """(piece, id, rank, score, late), as an Arrow table: rows would start Python workers that
+        only unpickle them, and stay."""
+        kinds = {"piece": pa.string(), "id": pa.int32(), "rank": pa.int32(), "score": pa.float64(),
+                 "late": pa.bool_()}
         rows = [(p, i, self.ranks[p][0], float(s), self.late(p)) for p, i, s in self.pieces]
-        return spark.createDataFrame(
-            rows, "piece string, id int, rank int, score double, late boolean")
+        columns = zip(*rows, strict=True) if rows else ((),) * len(kinds)
+        return spark.createDataFrame(pa.table(
+            [pa.array(c, t) for c, t in zip(columns, kinds.values(), strict=True)], list(kinds)))
 
     def reaches(self, slots: int = 1 << 16) -> list[int]:
         """For each hash of three first characters, the length of the longest piece with them."""
@@ -331,8 +336,9 @@ def encode_words(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """``words`` (distinct rows of bucket, word, asks; no word above LONG_WORD) with ``ids``.
 
     The rows should be partitioned by bucket: substrings and edges then stay where their word is.
-    An edge of a merge model is one number: rank, start, end and id. Once edges are in order, a
-    negative sign marks pieces that could be merged after their turn.
+    An edge of a merge model is one number: rank, start, end and id, and while edges are put in
+    order a last bit, which marks pieces that could be merged after their turn. A row for each edge
+    would take several times the room. Afterwards a negative sign is the mark.
     """
     pieces = F.broadcast(vocabulary.frame(words.sparkSession))  # as large as the vocabulary
     return (_encode_merges if vocabulary.kind == "bpe" else _encode_best)(words, pieces, vocabulary)
@@ -345,13 +351,13 @@ def _encode_merges(words: DataFrame, pieces: DataFrame, vocabulary: Vocabulary)
     code = F.col("rank").cast("long")
     for name, bits in (("start", 6), ("end", 6), ("id", 20)):
         code = F.shiftleft(code, bits).bitwiseOR(F.col(name).cast("long"))
+    code = F.shiftleft(code, 1).bitwiseOR(F.col("late").cast("long"))
     lattices = met.groupBy("bucket", "word").agg(
         F.first("asks", ignorenulls=True).alias("asks"), F.sort_array(F.collect_list(
-            F.when(F.col("end") > F.col("start") + 1, F.struct(
-                code.alias("code"), F.col("late"))))).alias("edges"))
-    # The order is by code; the mark goes into its sign afterwards.
-    lattices = lattices.withColumn("edges", F.transform("edges", lambda e: F.when(
-        e["late"], e["code"].bitwiseOR(F.lit(-(1 << 63)).cast("long"))).otherwise(e["code"])))
+            F.when(F.col("end") > F.col("start") + 1, code))).alias("edges"))
+    # The order is by code; the mark goes into its sign afterwards: the last bit becomes the first.
+    lattices = lattices.withColumn("edges", F.transform("edges", lambda e: F.shiftright(
+        e, 1).bitwiseOR(F.shiftleft(e, 63))))
     cut = lattices.withColumn("mask", _merged(F.col("edges"), n))
     mask = F.col("mask")
 
@@ -389,8 +395,18 @@ def _encode_best(words: DataFrame, pieces: DataFrame, vocabulary: Vocabulary) ->
     return cut.select("bucket", "word", "asks", _ids(vocabulary, used).alias("ids"))
 
 
-def _parsed(texts: pa.StringArray) -> tuple[pa.StringArray, np.ndarray, np.ndarray]:
-    """The distinct units of texts, the number of each unit in turn, and how many a text has."""
+def _parsed(parts: list[pa.StringArray]) -> tuple[pa.StringArray, np.ndarray, np.ndarray]:
+    """The distinct units of texts, the number of each unit in turn, and how many a text has. Texts
+    are cut part by part: all units of a block take many times its room, its distinct ones little."""
+    units, numbers, sizes = zip(*map(_parsed_part, parts), strict=True)
+    coded = pa.concat_arrays(units).dictionary_encode()
+    starts = np.cumsum([0, *map(len, units)])
+    places = coded.indices.to_numpy()
+    return (coded.dictionary, np.concatenate([places[lo:][own] for lo, own in zip(
+        starts[:-1], numbers, strict=True)]), np.concatenate(sizes))
+
+
+def _parsed_part(texts: pa.StringArray) -> tuple[pa.StringArray, np.ndarray, np.ndarray]:
     # Texts with single spaces only are cut by Arrow, the others one by one.
     odd = pc.fill_null(pc.or_(pc.or_(pc.starts_with(texts, " "), pc.match_substring(texts, "  ")),
                               pc.match_substring(texts, SPACE)), False)
@@ -439,8 +455,7 @@ class _Block:
     def __init__(self, data: pa.Buffer, block: int, vocabulary: Vocabulary, buckets: int,
                  salts: int) -> None:
         self.parts = unpacked(data)
-        units, self.numbers, self.sizes = _parsed(
-            pa.concat_arrays([p.column(1) for p in self.parts]))
+        units, self.numbers, self.sizes = _parsed([p.column(1) for p in self.parts])
         # A unit of letters is one word, the others are cut. Not to cut is right for any unit.
         whole = (pc.utf8_is_alpha(units).to_numpy(zero_copy_only=False) if vocabulary.fine
                  else np.ones(len(units), bool))
@@ -466,6 +481,8 @@ class _Block:
         order = np.argsort(bucket, kind="stable")
         self.asked, bucket = asked[order], bucket[order] + buckets * (block % salts)
         self.buckets, self.starts = np.unique(bucket, return_index=True)
+        del units, alone, cut, coded, order
+        pa.default_memory_pool().release_unused()  # else it is held beside the answers
 
     def requests(self) -> pa.StringArray:
         """For each bucket the words to ask for, put together."""
@@ -516,6 +533,8 @@ def _requests(vocabulary, buckets: int, salts: int):
                     [pa.array(block.buckets, pa.int64()),
                      pa.array(np.full(len(block.buckets), number), pa.int64()), block.requests()],
                     ["bucket", "block", "words"])
+                del block
+                pa.default_memory_pool().release_unused()  # a worker waits with it otherwise
     return rows
 
 
@@ -530,6 +549,8 @@ def _assemble(vocabulary, buckets: int, salts: int, verify: bool):
                 for part, ids in block.encoded(vocabulary.value, batch.column(2)[row].values):
                     yield checked(part, ids, pieces) if verify else pa.RecordBatch.from_arrays(
                         [part.column(0), ids], ["doc_id", "ids"])
+                del block, part, ids
+                pa.default_memory_pool().release_unused()
 
     def checked(part: pa.RecordBatch, ids: pa.ListArray, pieces: pa.Array) -> pa.RecordBatch:
         back = decoded_bytes(ids, pieces)

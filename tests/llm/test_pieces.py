@@ -1,5 +1,8 @@
 import hashlib
+import os
 import random
+import subprocess
+import sys
 
 import pytest
 
@@ -145,3 +148,71 @@ def test_a_block_holds_its_words_as_arrays():
     got = [ids for _, part in block.encoded(vocabulary, answers) for ids in part.to_pylist()]
     p = library(S.MODEL)
     assert got == [None if t is None else p.encode(t) for t in texts]
+
+
+def test_the_piece_table_starts_no_python_worker(spark):
+    """Rows of Python objects would be unpickled by workers that then wait beside those of the texts."""
+    vocabulary = S.load_vocabulary()
+    frame = vocabulary.frame(spark)
+    assert "Python" not in frame._jdf.queryExecution().toRdd().toDebugString()
+    assert frame.dtypes == [("piece", "string"), ("id", "int"), ("rank", "int"), ("score", "double"),
+                            ("late", "boolean")]
+    rows = frame.collect()
+    assert [(r.piece, r.id, r.score) for r in rows] == vocabulary.pieces
+    assert all((r.rank, r.id) == vocabulary.ranks[r.piece] for r in rows)
+    some = rows[::500]
+    assert [r.late for r in some] == [vocabulary.late(r.piece) for r in some]
+    nothing = S.Vocabulary("bpe", [], 0, 0, [])
+    assert nothing.frame(spark).collect() == [] and nothing.frame(spark).dtypes == frame.dtypes
+
+
+def test_edges_are_collected_as_numbers(spark):
+    """A row for each edge of a word would take several times the room of a number."""
+    from pyspark.sql import functions as F
+    words = spark.range(1).select(F.col("id").alias("bucket"), F.lit("▁the").alias("word"), F.array(
+        F.struct(F.col("id").alias("block"), F.lit(1).alias("number"))).alias("asks"))
+    encoded = S.encode_words(words, S.load_vocabulary())
+    plan = encoded._jdf.queryExecution().optimizedPlan().toString()
+    lattice = next(x for x in plan.splitlines() if "collect_list" in x)
+    assert "struct" not in lattice
+    assert encoded.first().ids == library(S.MODEL).encode("the")
+
+
+ONE_WORKER = """
+import random, re
+from types import SimpleNamespace
+import pyarrow as pa
+from orderdw.llm import sentencepiece_lattice as S
+from orderdw.llm.common import packed
+
+def held():
+    with open("/proc/self/smaps_rollup") as f:
+        return int(re.search(r"Anonymous:\\s+(\\d+)", f.read())[1]) / 1024
+
+rng = random.Random(4)
+texts = [" ".join(f"{rng.choice('abcdef')}{rng.randrange(200000)}" for _ in range(500))
+         for _ in range(2000)]
+parts = [pa.RecordBatch.from_arrays([pa.array(range(200), pa.int64()), pa.array(texts[i:i + 200])],
+                                    ["doc_id", "text"]) for i in range(0, 2000, 200)]
+rows = pa.RecordBatch.from_arrays([pa.array([0], pa.int64()), pa.array([packed(parts)], pa.binary())],
+                                  ["block", "texts"])
+vocabulary = SimpleNamespace(value=S.load_vocabulary())
+asks = S._requests(vocabulary, 64, 1)
+first = pa.RecordBatch.from_arrays([pa.array([0], pa.int64()), pa.array([packed([parts[0].slice(0, 2)])],
+                                   pa.binary())], ["block", "texts"])
+list(asks(iter([first])))
+pa.default_memory_pool().release_unused()
+before = held()
+for _ in asks(iter([rows] * 3)):
+    pass
+print(held() - before)
+"""
+
+
+def test_a_worker_gives_back_what_a_block_took():
+    """Workers wait between blocks, stages and queries; what a block took is not held meanwhile."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(S.__file__)))
+    done = subprocess.run([sys.executable, "-c", ONE_WORKER], capture_output=True, text=True,
+                          cwd=root, timeout=120)
+    assert done.returncode == 0, done.stderr
+    assert float(done.stdout) < 40
