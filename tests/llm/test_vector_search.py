@@ -1,6 +1,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 
 from orderdw.llm import vector_search as V
@@ -40,3 +41,28 @@ def test_few_and_none(spark):
     assert sorted(map(tuple, V.top_k(df, df).collect())) == [(1, 1, 2, 2048 * 1024),
                                                              (2, 1, 1, 2048 * 1024)]
     assert V.top_k(df.limit(0), df.limit(0)).count() == 0
+
+
+def test_queries_are_not_repeated_for_every_slice_on_the_driver(spark, monkeypatch):
+    monkeypatch.setattr(V, "BLOCK_ROWS", 10)
+    rng = random.Random(5)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(4)]) for i in range(200)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = V.top_k(df, df.filter("vec_id < 50"), k=3)
+    assert len(got.collect()) == 150
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan
+
+
+@pytest.mark.parametrize("size", [1.0, 30.0, 1e6, 1e14])
+def test_bounds_hold_whatever_the_components(size):
+    rng = np.random.default_rng(3)
+    values = (rng.normal(0, 1, (400, 5)) * 1024 * size).astype(np.int64)
+    values[200:220] = values[7]
+    block = V.approximated(np.arange(400), values, 10, V.CELLS)
+    queries = values[::40]
+    middles, slack = V._middles(queries, block)
+    exact = queries.astype(object) @ block.values.astype(object).T
+    assert (np.abs(exact.astype(float) - middles) <= slack[:, None]).all()
+    assert sum(block.copies) == len(block.ids) == 379 + 11
+    assert (V._vectors(V._bytes(values), 5, 400) == values).all()
