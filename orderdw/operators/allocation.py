@@ -24,14 +24,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F, types as T
 
 from orderdw.functions.ids import bin_to_uuid
 from orderdw.functions.scalars import NO_SUCH_PRODUCT, SHORT_STOCK, message
 from orderdw.operators.running import BLOCK, SLOT, Slots, goes_on, running_before, slotted
 from orderdw.schemas import CONFIRMED
 from orderdw.session import cut_and_measure, cut_lineage, stage_path
-from orderdw.sources.files import folders
+from orderdw.sources.files import folders, remove
 
 
 ROWS_PER_FOLDER, LEAST_FOLDERS = 100_000, 16
@@ -52,12 +52,16 @@ class Allocation(NamedTuple):
 
 
 def _demand(lines: DataFrame, orders: DataFrame, sequence: Sequence[str], line_cols: Sequence[str],
-            takes) -> DataFrame:
+            takes, whole: bool) -> DataFrame:
     """One row per (order, product): what it takes, and the stock it needs to get through; stored."""
     ranks = [f"_s{i}" for i in range(len(sequence))]
-    heads = orders.select("order_no", *[F.col(c).alias(r) for c, r in zip(sequence, ranks)],
-                          takes.alias("takes"))
-    joined = lines.select("order_no", "product_id", "quantity").join(heads, "order_no")
+    joined = lines.select("order_no", "product_id", "quantity")
+    if whole:
+        joined = joined.withColumn("takes", takes)
+    else:
+        heads = orders.select("order_no", *[F.col(c).alias(r) for c, r in zip(sequence, ranks)],
+                              takes.alias("takes"))
+        joined = joined.join(heads, "order_no")
     pairs = joined.groupBy("order_no", "product_id", "takes", *ranks).agg(
         F.sum("quantity").alias("_sum"), F.max("quantity").alias("_max"),
         F.max(F.col("quantity").isNull()).alias("_no_quantity"),
@@ -70,7 +74,7 @@ def _demand(lines: DataFrame, orders: DataFrame, sequence: Sequence[str], line_c
         mixed = pairs.filter("_negative").select("order_no", "product_id")
         slots, _ = slotted(lines.select("order_no", "product_id", "quantity", *line_cols)
                            .join(mixed, ["order_no", "product_id"], "left_semi"),
-                           ["order_no", "product_id", *line_cols], "mixed", keys=2)
+                           ["order_no", "product_id", *line_cols], "mixed", keys=2, apart=True)
         peaks = (running_before(slots, ["order_no", "product_id"], sums={"_own": F.col("quantity")})
                  .groupBy("order_no", "product_id")
                  .agg(F.max(F.col("_own") + F.col("quantity")).alias("_peak")))
@@ -106,19 +110,21 @@ def _on_scarce_products(pairs: DataFrame, products: DataFrame) -> DataFrame:
 
 def allocate(lines: DataFrame, orders: DataFrame, products: DataFrame,
              sequence: Sequence[str] = (), line_cols: Sequence[str] = ("line_no", "line_id"),
-             takes=None) -> Allocation:
+             takes=None, whole: bool = False) -> Allocation:
     """Decide all orders of the batch, in the order of ``sequence`` and then ``order_no``.
 
-    ``takes`` tells which orders take stock (default: the confirmed ones).
+    ``takes`` tells which orders take stock (default: the confirmed ones). With ``whole``, the lines
+    are those of these orders and no others, ``takes`` reads no order and there is no ``sequence``:
+    the lines then need not meet their orders.
     """
     takes = F.col("state") == CONFIRMED if takes is None else takes
     sequence = [c for c in sequence if c != "order_no"]
     ranks = [*[f"_s{i}" for i in range(len(sequence))], "order_no"]
 
-    pairs = _demand(lines, orders, sequence, line_cols, takes)
+    pairs = _demand(lines, orders, sequence, line_cols, takes, whole)
     flaw = F.col("stock").isNull() | F.col("_no_quantity")
     slots, seen = slotted(_on_scarce_products(pairs, products), ["product_id", *ranks], "demand",
-                          rows_per_block=ROWS_PER_FOLDER, least=LEAST_FOLDERS, keys=1,
+                          rows_per_block=ROWS_PER_FOLDER, least=LEAST_FOLDERS, keys=1, apart=True,
                           flaws=F.count(F.when(flaw, 1)),
                           negatives=F.count(F.when(F.col("take") < 0, 1)))
     base = slots.rows.drop("takes")
@@ -150,28 +156,36 @@ class _Queues:
         self.after = {b: b + 1 for b, on in enumerate(goes_on(slots.limits, 1)) if on}
         self.before = {b: a for a, b in self.after.items()}
         self.spanning = bool(self.after)  # whether a product in hand lies in more than one block
-        runs = [(b, first[b] if b in self.before else None,
-                 first[b + 1] if b in self.after else None) for b in range(self.blocks)]
-        kind = T.StructType([T.StructField(BLOCK, T.IntegerType()),
-                             T.StructField("_first", T.BinaryType()),
-                             T.StructField("_last", T.BinaryType())])
-        product = F.col("product_id")
+        self.base = base.select("order_no", "product_id", SLOT, BLOCK, "take", "need", "stock")
+        if self.after:
+            runs = [(b, first[b] if b in self.before else None,
+                     first[b + 1] if b in self.after else None) for b in range(self.blocks)]
+            kind = T.StructType([T.StructField(BLOCK, T.IntegerType()),
+                                 T.StructField("_first", T.BinaryType()),
+                                 T.StructField("_last", T.BinaryType())])
+            self.base = self.base.join(
+                F.broadcast(self.spark.createDataFrame(runs, kind)), BLOCK)
         # Whether a row's product goes on in the block before and in the block after.
-        self.base = (base.select("order_no", "product_id", SLOT, BLOCK, "take", "need", "stock")
-                     .join(F.broadcast(self.spark.createDataFrame(runs, kind)), BLOCK)
-                     .withColumn("_head", product.eqNullSafe(F.col("_first")))
-                     .withColumn("_tail", product.eqNullSafe(F.col("_last")))
-                     .drop("_first", "_last"))
+        product = F.col("product_id")
+        self.base = self.base.withColumns(
+            {"_head": product.eqNullSafe(F.col("_first")), "_tail": product.eqNullSafe(F.col("_last"))}
+            if self.after else {"_head": F.lit(False), "_tail": F.lit(False)}).drop("_first", "_last")
         self.root = stage_path(self.spark, "rounds")
         self.queue_at: dict[str, str] = {}   # block: where its open rows lie now
         self.orders_at: dict[str, str] = {}  # bucket: where its open orders lie now
         self.settled_at: list[str] = []
+        self.spent: list[str] = []  # queues that the round in hand replaces
         self.rounds: list[Round] = []
 
     def _read(self, table: str, paths: list[str]) -> DataFrame:
         return (self.spark.read.option("basePath", f"{self.root}/{table}").parquet(*paths)
                 .drop("_round", "_folder", "_done", "_bucket"))
 
+    def _remove(self, paths: list[str]) -> None:
+        """Folders that others have replaced are read no more."""
+        for path in paths:
+            remove(self.spark, path)
+
     def settle(self) -> None:
         """Rounds until no order is open."""
         rows = self.base.withColumns({"taken": F.lit(0).cast("long"), "fits": F.lit(False),
@@ -215,6 +229,7 @@ class _Queues:
         # What was read is replaced; folders without open rows are gone.
         written = folders(self.spark, path, "_folder")
         self.queue_at |= written
+        self._remove(self.spent)
         return (seen.get["rows"], self._read("queues", [path]) if written else None,
                 seen.get["asked"])
 
@@ -222,28 +237,36 @@ class _Queues:
         """Settles the orders that the news decide, and stores what else they say. Gives the rows
         read, the rows settled, and where those lie (a few facts for each block)."""
         line = ["order_no", SLOT, "product_id", BLOCK, "_head", "_tail"]
+        fits, bucket = F.col("fits"), self._bucket()
         if not self.rounds:
-            lines = stored.select(*line, "fits", "news")
+            lines = stored.select(*line, "fits", "news", bucket.alias("_bucket")).repartition("_bucket")
+            paths = []
         else:
-            news = stored.filter("news IS NOT NULL").select(SLOT, "news")
+            # News come as rows of their own and meet the lines where these meet each other.
+            news = stored.filter("news IS NOT NULL").select("order_no", SLOT, "news")
             paths = [self.orders_at.pop(str(b)) for b in asked if str(b) in self.orders_at]
-            lines = (self._read("orders", paths).drop("accepted").join(news, SLOT, "left")
-                     .withColumn("fits", F.col("fits") | F.coalesce(F.col("news") == 1,
-                                                                    F.lit(False))))
-        fate = lines.groupBy("order_no").agg(
-            F.bool_and("fits").alias("_all"),
-            F.coalesce(F.bool_or(F.col("news") == 2), F.lit(False)).alias("_fails"))
+            lines = (self._read("orders", paths).drop("accepted").withColumn("_line", F.lit(True))
+                     .unionByName(news, allowMissingColumns=True)
+                     .withColumn("_bucket", bucket).repartition("_bucket")
+                     .withColumn("news", F.max("news").over(
+                         Window.partitionBy("_bucket", "order_no", SLOT)))
+                     .filter("_line")
+                     .withColumn("fits", fits | F.coalesce(F.col("news") == 1, F.lit(False))))
+        of_order = Window.partitionBy("_bucket", "order_no")
+        judged = lines.withColumns({
+            "_all": F.bool_and("fits").over(of_order),
+            "_fails": F.coalesce(F.bool_or(F.col("news") == 2).over(of_order), F.lit(False))})
         seen = Observation()
         path = f"{self.root}/orders/_round={len(self.rounds)}"
         done = F.col("_all") | F.col("_fails")
-        judged = lines.join(fate, "order_no").observe(
-            seen, F.count("*").alias("rows"), F.count(F.when(done, 1)).alias("done"),
-            F.collect_set(F.when(done, F.struct(BLOCK, "_head", "_tail"))).alias("touched"))
         (judged.select(*line, "fits", (F.col("_all") & ~F.col("_fails")).alias("accepted"),
-                       done.cast("int").alias("_done"), self._bucket().alias("_bucket"))
-         .repartition("_done", "_bucket")
+                       done.cast("int").alias("_done"), "_bucket")
+         .observe(seen, F.count("*").alias("rows"), F.coalesce(F.sum("_done"), F.lit(0)).alias("done"),
+                  F.collect_set(F.when(F.col("_done") == 1, F.struct(BLOCK, "_head", "_tail")))
+                  .alias("touched"))
          .write.partitionBy("_done", "_bucket").parquet(path))
         self.orders_at |= folders(self.spark, f"{path}/_done=0", "_bucket")
+        self._remove(paths)
         if seen.get["done"]:
             self.settled_at.append(f"{path}/_done=1")
         return seen.get["rows"], seen.get["done"], seen.get["touched"]
@@ -261,14 +284,23 @@ class _Queues:
         self.spanning = any(self.after.get(b) in touched for b in touched)
         settled = self._read("orders", self.settled_at[-1:])
         paths = [self.queue_at.pop(str(b)) for b in sorted(touched) if str(b) in self.queue_at]
+        self.spent = paths
         if not paths:
             return None
-        changed = settled.select("product_id").distinct().withColumn("_changed", F.lit(True))
-        return (self._read("queues", paths).drop("news")
-                .join(settled.select(SLOT, "accepted"), SLOT, "left")
-                .join(changed, "product_id", "left")
-                .withColumn("_changed", F.coalesce("_changed", F.lit(False)))
-                .repartition(BLOCK))
+        queues = self._read("queues", paths).drop("news")
+        if self.after:  # a folder may hold a part of a product whose other parts are not read
+            changed = settled.select("product_id").distinct().withColumn("_changed", F.lit(True))
+            queues = queues.join(changed, "product_id", "left").withColumn(
+                "_changed", F.coalesce("_changed", F.lit(False)))
+        else:  # what is whole and has not changed gives the bounds that it gave before
+            queues = queues.withColumn("_changed", F.lit(True))
+        return (queues.withColumn("_row", F.lit(True))
+                .unionByName(settled.select("product_id", SLOT, BLOCK, "accepted"),
+                             allowMissingColumns=True)
+                .repartition(BLOCK)
+                .withColumn("accepted", F.max("accepted").over(
+                    Window.partitionBy(BLOCK, "product_id", SLOT)))
+                .filter("_row").drop("_row"))
 
     def rejected(self) -> DataFrame:
         if not self.settled_at:
@@ -298,7 +330,7 @@ def explain_rejects(result: Allocation, lines: DataFrame, products: DataFrame,
     same = ((wanted["order_no"] == before["order_no"])
             & wanted["product_id"].eqNullSafe(before["product_id"]))
     slots, _ = slotted(wanted.join(before, same).drop(before["order_no"], before["product_id"]),
-                       ["order_no", "product_id", *order_cols], "explain", keys=2)
+                       ["order_no", "product_id", *order_cols], "explain", keys=2, apart=True)
     own = F.when(F.col("takes"), F.coalesce("quantity", F.lit(0))).otherwise(F.lit(0))
     rule = (F.when(F.col("stock").isNull(), "unknown_product")
             .when(F.col("quantity").isNull(), "no_quantity").otherwise("short_stock"))

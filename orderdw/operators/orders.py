@@ -73,37 +73,57 @@ def register_orders(requests: DataFrame, customers: DataFrame, sellers: DataFram
     Stock is taken at once, so confirming such an order later moves nothing (``stock_taken``).
     """
     as_of = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
-    # Stored, because sound requests and, if asked for, the malformed ones are read from it.
-    checked = cut_lineage(requests.withColumn("_flaw", _first_flaw()), "checked")
-    malformed = checked.filter("_flaw IS NOT NULL").select(
-        "request_no", F.col("_flaw.rule").alias("rule"), F.col("_flaw.message").alias("message"))
-
-    sound = (checked.filter("_flaw IS NULL").drop("_flaw")
-             .withColumn("customer_id", uuid_to_bin("customer_uuid"))
-             .withColumn("seller_id", uuid_to_bin("seller_uuid")))
-    known = (sound
-             .join(customers.select("customer_id", F.lit(True).alias("_customer")),
-                   "customer_id", "left")
-             .join(sellers.select("seller_id", F.lit(True).alias("_seller")), "seller_id", "left"))
-    stray = (F.when(F.col("_customer").isNull(), "unknown_customer")
-             .when(F.col("_seller").isNull(), "unknown_seller"))
-    known = cut_lineage(known.withColumn("_stray", stray), "requests")
-    strays = known.filter("_stray IS NOT NULL").select(
-        "request_no", F.col("_stray").alias("rule"), F.concat(
-            F.lit("no parent for "), F.when(F.col("_customer").isNull(), F.col("customer_uuid"))
-            .otherwise(F.col("seller_uuid"))).alias("message"))
-
-    heads = known.filter("_stray IS NULL").select(F.col("request_no").alias("order_no"),
-                                                  "customer_id", "seller_id")
-    slots = F.array(*[F.struct(F.lit(i).alias("line_no"),
-                               F.col(f"product{i}_uuid").alias("product"),
+    flaw = F.col("_flaw")
+    sound = F.col("_rule").isNull()
+
+    def given(c: str) -> Column:
+        """The text of a key where it is not the text that the key itself gives."""
+        return F.when(sound & (F.lower(c) != F.col(c)), F.col(c)).alias(f"_{c}")
+
+    def key(c: str, name: str) -> Column:
+        return F.when(sound, uuid_to_bin(c)).alias(name)
+
+    # Stored once, because sound requests and, if asked for, the malformed ones are read from it; as
+    # keys, which take less room than their texts. A line without a product has no key.
+    checked = cut_lineage(
+        requests.withColumn("_flaw", _first_flaw())
+        .withColumns({"_rule": flaw["rule"], "_message": flaw["message"]})
+        .select("request_no", "_rule", "_message", key("customer_uuid", "customer_id"),
+                key("seller_uuid", "seller_id"), given("customer_uuid"), given("seller_uuid"),
+                *[key(f"product{i}_uuid", f"_product{i}") for i in LINE_SLOTS],
+                *[F.col(f"quantity{i}") for i in LINE_SLOTS]), "checked")
+    malformed = checked.filter(~sound).select(
+        "request_no", F.col("_rule").alias("rule"), F.col("_message").alias("message"))
+
+    def unknown(parents: DataFrame, name: str, flag: str) -> DataFrame:
+        """Keys that requests name and no parent has, stored: their real size, mostly next to nothing,
+        tells whether the requests must be moved to meet them."""
+        asked = checked.filter(sound).select(name).distinct()
+        return cut_lineage(asked.join(parents.select(name), name, "left_anti")
+                           .withColumn(flag, F.lit(True)), "unknown")
+
+    known = (checked.filter(sound).drop("_rule", "_message")
+             .join(unknown(customers, "customer_id", "_no_customer"), "customer_id", "left")
+             .join(unknown(sellers, "seller_id", "_no_seller"), "seller_id", "left"))
+    stray = F.col("_no_customer").isNotNull() | F.col("_no_seller").isNotNull()
+    strays = known.filter(stray).select(
+        "request_no", F.when(F.col("_no_customer").isNotNull(), "unknown_customer")
+        .otherwise("unknown_seller").alias("rule"), F.concat(
+            F.lit("no parent for "), F.when(
+                F.col("_no_customer").isNotNull(),
+                F.coalesce("_customer_uuid", bin_to_uuid("customer_id")))
+            .otherwise(F.coalesce("_seller_uuid", bin_to_uuid("seller_id")))).alias("message"))
+
+    heads = known.filter(~stray).select(F.col("request_no").alias("order_no"),
+                                        "customer_id", "seller_id")
+    slots = F.array(*[F.struct(F.lit(i).alias("line_no"), F.col(f"_product{i}").alias("product_id"),
                                F.col(f"quantity{i}").alias("quantity")) for i in LINE_SLOTS])
-    wanted = (known.filter("_stray IS NULL").select(F.col("request_no").alias("order_no"),
-                                                    F.explode(slots).alias("l"))
-              .filter(is_not_blank(F.col("l.product")))
-              .select("order_no", "l.line_no", uuid_to_bin("l.product").alias("product_id"),
-                      "l.quantity"))
-    result = allocate(wanted, heads, products, line_cols=["line_no"], takes=F.lit(True))
+    wanted = (known.filter(~stray).select(F.col("request_no").alias("order_no"),
+                                          F.explode(slots).alias("l"))
+              .filter("l.product_id IS NOT NULL")
+              .select("order_no", "l.line_no", "l.product_id", "l.quantity"))
+    result = allocate(wanted, heads, products, line_cols=["line_no"], takes=F.lit(True),
+                      whole=True)
 
     numbered = assign_numbers(result.accepted.withColumnRenamed("order_no", "request_no"),
                               ["request_no"], start=last_order_no + 1)

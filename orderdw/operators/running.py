@@ -4,7 +4,9 @@ A window over ``partitionBy(key)`` puts all rows of one key into one task. Here
 cut into blocks along (key, order), at limits that are fixed beforehand. Windows run inside a block;
 the part that earlier blocks contribute is worked out on one row per (block, key) and joined back. A
 key with a third of all rows is then spread over a third of the blocks. Where limits are moved to the
-start of keys and no key is larger than a block, nothing is carried from block to block.
+start of keys and no key is larger than a block, nothing is carried from block to block. Where only
+the order within a key counts, rows are dealt to blocks by a hash of the key as long as that makes no
+block too large: that needs no limits, and none is searched for each row.
 """
 
 from __future__ import annotations
@@ -16,13 +18,14 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from orderdw.session import cut_and_measure
+from orderdw.session import cut_and_measure, cut_lineage, drop_stage
 
 SLOT, BLOCK = "_slot", "_block"
 ROWS_PER_BLOCK = 1_000_000
 SAMPLED_PER_BLOCK = 40
 _PLACE_BITS = 33  # a slot is its block above this bit, and the place within the block
 _STEPS = 1 << 40
+_GROUPS = 1 << 16  # of keys, whose rows are counted together
 
 
 class Slots(NamedTuple):
@@ -73,8 +76,18 @@ def _with_block(df: DataFrame, order_cols: Sequence[str], limits: list) -> DataF
     return df.withColumn("_limits", known.scalar()).withColumn(BLOCK, found).drop("_limits")
 
 
+def _group(keys: Sequence[str], groups: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(groups)).cast("int")
+
+
+def _largest_group(df: DataFrame, keys: Sequence[str], groups: int) -> int:
+    """Rows of the largest of so many groups of keys: no key has more."""
+    return (df.groupBy(_group(keys, groups).alias("_group")).agg(F.count("*").alias("_rows"))
+            .agg(F.max("_rows")).first()[0] or 0)
+
+
 def slotted(df: DataFrame, order_cols: Sequence[str], label: str = "slots",
-            rows_per_block: int | None = None, least: int = 1, keys: int = 0,
+            rows_per_block: int | None = None, least: int = 1, keys: int = 0, apart: bool = False,
             **metrics: Column) -> tuple[Slots, dict]:
     """Add ``_slot``, a number that grows along ``order_cols`` over the whole table, and ``_block``.
 
@@ -84,18 +97,23 @@ def slotted(df: DataFrame, order_cols: Sequence[str], label: str = "slots",
     taken from the stored rows and fixed, so the sort inside the blocks may be done again wherever
     the rows are used, and gives the same slots. ``metrics`` are measured on the way.
 
-    With ``keys``, the first so many columns are a key: only keys larger than a block are cut.
+    With ``keys``, the first so many columns are a key: only keys larger than a block are cut. With
+    ``apart``, slots need to grow within a key only.
     """
     stored, seen = cut_and_measure(df, label, _rows=F.count("*"), **metrics)
-    rows = seen.pop("_rows")
-    blocks = max(least, -(-rows // (rows_per_block or ROWS_PER_BLOCK)))
+    rows, size = seen.pop("_rows"), rows_per_block or ROWS_PER_BLOCK
+    blocks = max(least, -(-rows // size))
+    inside = Window.partitionBy(BLOCK).orderBy(*order_cols)
+    slot = (F.shiftleft(F.col(BLOCK).cast("long"), _PLACE_BITS)
+            + F.row_number().over(inside).cast("long") - 1)
+    if (apart and blocks > least
+            and _largest_group(stored, order_cols[:keys], blocks) <= 2 * size):
+        dealt = stored.withColumn(BLOCK, _group(order_cols[:keys], blocks))
+        return Slots(dealt.withColumn(SLOT, slot), blocks, (), False), seen
     limits = range_limits(stored, order_cols, rows, blocks)
     if keys:
         limits = _at_keys(limits, keys)
-    inside = Window.partitionBy(BLOCK).orderBy(*order_cols)
-    place = F.row_number().over(inside).cast("long") - 1
-    cut = _with_block(stored, order_cols, limits).withColumn(
-        SLOT, F.shiftleft(F.col(BLOCK).cast("long"), _PLACE_BITS) + place)
+    cut = _with_block(stored, order_cols, limits).withColumn(SLOT, slot)
     return Slots(cut, len(limits) + 1, limits, not keys or any(goes_on(limits, keys))), seen
 
 
@@ -145,15 +163,32 @@ def running_before(slots: Slots, keys: Sequence[str], sums: Mapping[str, Column]
 
 def number_within(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str],
                   name: str = "n") -> DataFrame:
-    """Number the rows of each key from 0 along ``order_cols``."""
-    slots, _ = slotted(df, [*keys, *order_cols], "within", keys=len(keys))
+    """Number the rows of each key from 0 along ``order_cols``.
+
+    Where no key can have more rows than a block, one window over the keys does it, and what follows
+    finds the rows dealt by key. The counts read nothing but the keys.
+    """
+    if _largest_group(df, keys, _GROUPS) <= ROWS_PER_BLOCK:
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order_cols))
+        return df.withColumn(name, place.cast("long") - 1)
+    slots, _ = slotted(df, [*keys, *order_cols], "within", keys=len(keys), apart=True)
     return running_before(slots, keys, sums={name: F.lit(1)}).drop(SLOT, BLOCK)
 
 
 def assign_numbers(df: DataFrame, order_cols: Sequence[str], start: int = 1,
                    name: str = "order_no") -> DataFrame:
-    """Gapless numbers over the whole table, counted per block and shifted by the blocks before."""
-    rows = slotted(df, order_cols, "numbers")[0].rows
+    """Gapless numbers over the whole table, counted per block and shifted by the blocks before.
+
+    The rows are stored, sorted by range and stored again with their places, so that limits which
+    Spark chose are chosen once.
+    """
+    stored, seen = cut_and_measure(df, "numbers", _rows=F.count("*"))
+    blocks = max(1, -(-8 * seen["_rows"] // ROWS_PER_BLOCK))  # what follows reads a file of each
+    place = F.monotonically_increasing_id()  # the task above bit 33, and the place in it
+    rows = cut_lineage(stored.repartitionByRange(blocks, *order_cols)
+                       .sortWithinPartitions(*order_cols).withColumn(SLOT, place), "placed")
+    drop_stage(stored)
+    rows = rows.withColumn(BLOCK, F.shiftright(SLOT, _PLACE_BITS))
     first = F.lit(1 << _PLACE_BITS).cast("long")
     # One row per block, whatever the table holds.
     counts = rows.groupBy(BLOCK).agg(F.count("*").alias("_rows"))

@@ -81,6 +81,12 @@ def cut_lineage(df: DataFrame, label: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_stage(df: DataFrame) -> None:
+    """Remove the files of a frame that :func:`cut_lineage` gave, when nothing will read it again."""
+    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        remove(df.sparkSession, path)
+
+
 def cut_and_measure(df: DataFrame, label: str, **metrics: Column) -> tuple[DataFrame, dict]:
     """As :func:`cut_lineage`, with aggregates that are taken while the rows are written."""
     seen = Observation()

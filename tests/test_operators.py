@@ -9,11 +9,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from orderdw.functions import ids, scalars
-from orderdw.operators import running
+from orderdw.operators import allocation, running
 from orderdw.operators.allocation import allocate, explain_rejects
 from orderdw.operators.running import assign_numbers, number_within, running_before, slotted
 from orderdw.operators.sampling import lookup_key, pick_side_by_side, pick_within, random_pick
 from orderdw.session import checkpoint_dir, stage_path
+from orderdw.sources.files import remove
 from seed import key, number, seed, uuid_text
 
 real = running.cut_and_measure
@@ -234,3 +235,40 @@ def test_checkpoint_folder_comes_from_the_session(spark):
     folder = checkpoint_dir(spark)
     assert folder == spark.conf.get("spark.checkpoint.dir").rstrip("/")
     assert stage_path(spark, "x").startswith(folder)
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_keys_are_dealt_by_hash_unless_one_is_too_large(spark, hot):
+    rows = [(k, i, (7 * k + i) % 5) for k in range(60) for i in range(900 if hot and k == 30 else 10)]
+    df = spark.createDataFrame(rows, "k int, i int, v int")
+    slots, _ = slotted(df, ["k", "i"], rows_per_block=50, keys=1, apart=True)
+    assert slots.spans == hot and bool(slots.limits) == hot and slots.blocks > 8
+    at = slots.rows.groupBy("k").agg(F.countDistinct("_block").alias("n")).collect()
+    assert {r.k for r in at if r.n > 1} == ({30} if hot else set())
+    got = running_before(slots, ["k"], sums={"before": F.col("v")}).collect()
+    assert len({r._slot for r in got}) == len(rows)
+    assert all(r.before == sum((7 * r.k + i) % 5 for i in range(r.i)) for r in got)
+
+
+@pytest.mark.parametrize("hot, least, folder_rows", [(False, 1, 60), (True, 16, 12), (True, 16, 3)])
+def test_allocate_in_many_folders(spark, monkeypatch, hot, least, folder_rows):
+    """Folders by a hash of the product, and folders between which hot products are cut."""
+    monkeypatch.setattr(allocation, "ROWS_PER_FOLDER", folder_rows)
+    monkeypatch.setattr(allocation, "LEAST_FOLDERS", least)
+    gone = []
+    monkeypatch.setattr(allocation, "remove", lambda s, path: gone.append(path) or remove(s, path))
+    stock, orders = batch(random.Random(8), 150, hot, False)
+    want, left = sequential(stock, orders)
+    rows = [(no, i, p, q) for no, _, items in orders for i, (p, q) in enumerate(items)]
+    lines = spark.createDataFrame(rows, "order_no long, line_no int, product_id long, quantity int")
+    lines = lines.withColumn("product_id", F.unhex(F.lpad(F.hex("product_id"), 32, "0")))
+    heads = spark.createDataFrame([(no, "confirmado" if t else "pendiente")
+                                   for no, t, _ in orders], "order_no long, state string")
+    products = spark.createDataFrame([(key(p), f"product {p}", s) for p, s in stock.items()],
+                                     "product_id binary, description string, stock int")
+    got = allocate(lines, heads, products, line_cols=["line_no"])
+    assert {r.order_no for r in got.rejected.collect()} == set(want)
+    assert got.demand.spans == hot and got.demand.blocks > 2
+    # What a round has replaced is gone: queues and open orders of the rounds before.
+    assert len(got.rounds) > 2 and {"queues" if "/queues/" in p else "orders" for p in gone} == {
+        "queues", "orders"}
