@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from orderdw.functions.ids import bin_to_uuid, stable_key
 from orderdw.operators.running import assign_numbers, number_within, running_before, slotted
@@ -30,20 +30,24 @@ def requests(m: OrderModel) -> DataFrame:
     """All order lines as requests of up to three lines, queued by order date."""
     lines = number_within(m.lines.select("order_no", "line_no", "line_id", "product_id",
                                          "quantity"), ["order_no"], ["line_no", "line_id"])
-    place = F.col("n") % 3
+    chunked = lines.withColumn("chunk", F.floor(F.col("n") / 3))
+    chunk = Window.partitionBy("order_no", "chunk").orderBy("n")
 
     def nth(c, i):
-        return F.max(F.when(place == i, c))
-
-    product = bin_to_uuid("product_id")
-    grouped = lines.groupBy("order_no", F.floor(F.col("n") / 3).alias("chunk")).agg(
-        *[nth(product, i).alias(f"product{i + 1}_uuid") for i in range(3)],
-        *[nth(F.col("quantity"), i).alias(f"quantity{i + 1}") for i in range(3)])
-    heads = m.orders.select("order_no", "order_date",
-                            bin_to_uuid("customer_id").alias("customer_uuid"),
-                            bin_to_uuid("seller_id").alias("seller_uuid"))
-    return with_flaws(assign_numbers(grouped.join(heads, "order_no"),
-                                     ["order_date", "order_no", "chunk"], name="request_no"))
+        return F.lead(c, i).over(chunk).alias(f"_{c}{i + 1}")
+
+    grouped = (chunked.select("order_no", "chunk", "n", *[nth("product_id", i) for i in range(3)],
+                              *[nth("quantity", i) for i in range(3)])
+               .filter(F.col("n") % 3 == 0).drop("n"))
+    heads = m.orders.select("order_no", "order_date", "customer_id", "seller_id")
+    numbered = assign_numbers(grouped.join(heads, "order_no"),
+                              ["order_date", "order_no", "chunk"], name="request_no")
+    return with_flaws(numbered.select(  # as text last: up to then, keys take half the room
+        "order_no", "chunk",
+        *[bin_to_uuid(f"_product_id{i}").alias(f"product{i}_uuid") for i in (1, 2, 3)],
+        *[F.col(f"_quantity{i}").alias(f"quantity{i}") for i in (1, 2, 3)], "order_date",
+        bin_to_uuid("customer_id").alias("customer_uuid"),
+        bin_to_uuid("seller_id").alias("seller_uuid"), "request_no"))
 
 
 NOBODY = "ffffffff-ffff-ffff-ffff-ffffffffffff"

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# Start and length of each hex group in the text form and in the bare hex form, and
-# the pattern of the text form.
+# Start and length of each hex group in the text form, the places of its dashes, and its
+# pattern.
 TEXT_GROUPS = [(1, 8), (10, 4), (15, 4), (20, 4), (25, 12)]
-HEX_GROUPS = [(1, 8), (9, 4), (13, 4), (17, 4), (21, 12)]
+DASHES = [9, 14, 19, 24]
 UUID_PATTERN = "^[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}$"
 
 
@@ -23,7 +23,8 @@ def _sixteen(digits: Column) -> Column:
 def uuid_to_bin(c: Column | str) -> Column:
     """UUID text to 16 bytes, reading the hex groups at their positions."""
     c = _col(c)
-    return _sixteen(F.concat(*[F.substring(c, at, n) for at, n in TEXT_GROUPS]))
+    digits = F.concat(*[F.substring(c, at, n) for at, n in TEXT_GROUPS])
+    return F.when(F.length(c) >= 36, F.unhex(digits))  # 32 digits only then; read once
 
 
 def uuid_to_bin_dashless(c: Column | str) -> Column:
@@ -33,9 +34,10 @@ def uuid_to_bin_dashless(c: Column | str) -> Column:
 
 def bin_to_uuid(c: Column | str) -> Column:
     """16 bytes to lower-case 8-4-4-4-12 text; NULL stays NULL."""
-    c = _col(c)
-    text = F.concat_ws("-", *[F.substring(F.hex(c), at, n) for at, n in HEX_GROUPS])
-    return F.when(c.isNotNull(), F.lower(text))
+    text = F.substring(F.hex(_col(c)), 1, 32)
+    for at in DASHES:
+        text = F.overlay(text, F.lit("-"), at, 0)
+    return F.lower(text)
 
 
 def is_uuid(c: Column | str) -> Column:
