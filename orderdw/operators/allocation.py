@@ -30,7 +30,7 @@ from orderdw.functions.ids import bin_to_uuid
 from orderdw.functions.scalars import NO_SUCH_PRODUCT, SHORT_STOCK, message
 from orderdw.operators.running import BLOCK, SLOT, Slots, goes_on, running_before, slotted
 from orderdw.schemas import CONFIRMED
-from orderdw.session import cut_and_measure, cut_lineage, stage_path
+from orderdw.session import cut_and_measure, cut_lineage, stage_path, without_shuffles_left
 from orderdw.sources.files import folders, remove
 
 
@@ -221,11 +221,11 @@ class _Queues:
                  .withColumn("fits", F.col("fits") | fits))
         seen = Observation()
         path = f"{self.root}/queues/_round={len(self.rounds)}"
-        (found.observe(seen, F.count("*").alias("rows"), F.collect_set(
+        found = (found.observe(seen, F.count("*").alias("rows"), F.collect_set(
             F.when(open_ & F.col("news").isNotNull(), self._bucket())).alias("asked"))
-         .filter(open_)
-         .drop("accepted", "_changed", "_taken", "_most", "_least")
-         .withColumn("_folder", F.col(BLOCK)).write.partitionBy("_folder").parquet(path))
+            .filter(open_).drop("accepted", "_changed", "_taken", "_most", "_least"))
+        with without_shuffles_left(self.spark):
+            found.withColumn("_folder", F.col(BLOCK)).write.partitionBy("_folder").parquet(path)
         # What was read is replaced; folders without open rows are gone.
         written = folders(self.spark, path, "_folder")
         self.queue_at |= written
@@ -259,12 +259,15 @@ class _Queues:
         seen = Observation()
         path = f"{self.root}/orders/_round={len(self.rounds)}"
         done = F.col("_all") | F.col("_fails")
-        (judged.select(*line, "fits", (F.col("_all") & ~F.col("_fails")).alias("accepted"),
-                       done.cast("int").alias("_done"), "_bucket")
-         .observe(seen, F.count("*").alias("rows"), F.coalesce(F.sum("_done"), F.lit(0)).alias("done"),
-                  F.collect_set(F.when(F.col("_done") == 1, F.struct(BLOCK, "_head", "_tail")))
-                  .alias("touched"))
-         .write.partitionBy("_done", "_bucket").parquet(path))
+        judged = judged.select(
+            *line, "fits", (F.col("_all") & ~F.col("_fails")).alias("accepted"),
+            done.cast("int").alias("_done"), "_bucket").observe(
+            seen, F.count("*").alias("rows"),
+            F.coalesce(F.sum("_done"), F.lit(0)).alias("done"),
+            F.collect_set(F.when(F.col("_done") == 1, F.struct(BLOCK, "_head", "_tail")))
+            .alias("touched"))
+        with without_shuffles_left(self.spark):
+            judged.write.partitionBy("_done", "_bucket").parquet(path)
         self.orders_at |= folders(self.spark, f"{path}/_done=0", "_bucket")
         self._remove(paths)
         if seen.get["done"]:

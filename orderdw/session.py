@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -21,6 +23,7 @@ SETTINGS = {
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
 }
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def build_session(app: str = "orderdw", master: str | None = None, **extra: str) -> SparkSession:
@@ -69,6 +72,18 @@ def drop_stages(spark: SparkSession) -> None:
     remove(spark, f"{checkpoint_dir(spark)}/orderdw/{spark.sparkContext.applicationId}")
 
 
+@contextmanager
+def without_shuffles_left(spark: SparkSession) -> Iterator[None]:
+    """What is written in here leaves no shuffle files behind: later work starts from what is written.
+    Otherwise they stay until the driver happens to collect its garbage."""
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before)
+
+
 def cut_lineage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -77,7 +92,8 @@ def cut_lineage(df: DataFrame, label: str = "stage") -> DataFrame:
     ``checkpoint()`` so that later steps read only the columns they need and have real sizes.
     """
     path = stage_path(df.sparkSession, label)
-    df.write.parquet(path)
+    with without_shuffles_left(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -13,7 +13,7 @@ from orderdw.operators import allocation, running
 from orderdw.operators.allocation import allocate, explain_rejects
 from orderdw.operators.running import assign_numbers, number_within, running_before, slotted
 from orderdw.operators.sampling import lookup_key, pick_side_by_side, pick_within, random_pick
-from orderdw.session import checkpoint_dir, stage_path
+from orderdw.session import CLEANUP, checkpoint_dir, cut_lineage, stage_path
 from orderdw.sources.files import remove
 from seed import key, number, seed, uuid_text
 
@@ -272,3 +272,15 @@ def test_allocate_in_many_folders(spark, monkeypatch, hot, least, folder_rows):
     # What a round has replaced is gone: queues and open orders of the rounds before.
     assert len(got.rounds) > 2 and {"queues" if "/queues/" in p else "orders" for p in gone} == {
         "queues", "orders"}
+
+
+def test_stored_rows_leave_no_shuffle_files(spark):
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        return sum(1 for b in str(manager.getAllBlocks().mkString(" ")).split() if b.startswith("shuffle"))
+
+    was, conf = shuffled(), spark.conf.get(CLEANUP, "false")
+    stored = cut_lineage(spark.range(1000).repartition(5, F.col("id") % 7), "counted")
+    assert shuffled() <= was and stored.count() == 1000
+    assert spark.conf.get(CLEANUP, "false") == conf
